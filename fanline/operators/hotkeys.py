@@ -1,19 +1,35 @@
-"""Hot-key detection and the range-split path for very large keys."""
+"""Hot keys: detection, and keyed running computations that never gather a key.
+
+A key (a queue, a subscriber, a work item) may hold a third of all rows.
+``keyed_window`` computes running aggregates per key in key order:
+
+* keys with at most ``threshold`` rows use an ordinary window
+  ``partitionBy(key).orderBy(order)`` (the group size is proven bounded);
+* hotter keys are range-partitioned on ``(key, order)`` into slices of about
+  ``threshold`` rows, each slice runs the same window locally, and a small
+  per-slice aggregate table (one row per slice: bounded by the slice count)
+  supplies the carry from earlier slices of the same key. Running counts,
+  sums, minima, maxima and last-non-null values compose this way exactly.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# At most this many hot keys can exist per threshold; the list is collected.
+# At most rows/threshold hot keys exist; this caps the collected list.
 MAX_HOT_KEYS = 1_000_000
+DEFAULT_THRESHOLD = 2_000_000
 
 
 def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame | None:
-    """Keys with more than ``threshold`` rows, or None when there are none.
+    """Keys with more than ``threshold`` rows, with their counts (``_n``), or None.
 
-    A partial (map-side) count per key; the result has at most
-    ``rows / threshold`` entries, so it is safe to broadcast.
+    The count is a partial (map-side) aggregation; the result has at most
+    ``rows / threshold`` entries, so it is safe to collect and broadcast.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold)
     rows = counts.limit(MAX_HOT_KEYS + 1).collect()
@@ -24,5 +40,98 @@ def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame | None
     return df.sparkSession.createDataFrame(rows, counts.schema)
 
 
+@dataclass(frozen=True)
+class Scan:
+    """One running aggregate: kind in row_number|sum|min|max|last."""
+
+    kind: str
+    col: str | None = None
+    exclusive: bool = False  # frame ends at the previous row
+
+
+def _frame(w, exclusive: bool):
+    return w.rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
+
+
+def _local(spec: Scan, w) -> Column:
+    if spec.kind == "row_number":
+        return F.count(F.lit(1)).over(_frame(w, spec.exclusive)).cast("bigint")
+    c = F.col(spec.col)
+    f = _frame(w, spec.exclusive)
+    return {
+        "sum": lambda: F.sum(c).over(f),
+        "min": lambda: F.min(c).over(f),
+        "max": lambda: F.max(c).over(f),
+        "last": lambda: F.last(c, ignorenulls=True).over(f),
+    }[spec.kind]()
+
+
+def keyed_window(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    scans: dict[str, Scan],
+    threshold: int = DEFAULT_THRESHOLD,
+) -> DataFrame:
+    """Adds one column per ``scans`` entry, computed per key in ``order``."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    hot = hot_keys(df, keys, threshold)
+    if hot is None:
+        return df.withColumns({name: _local(s, w) for name, s in scans.items()})
+
+    cold = df.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    cold = cold.withColumns({name: _local(s, w) for name, s in scans.items()})
+
+    total = hot.agg(F.sum("_n")).first()[0]
+    slices = max(2, math.ceil(total / threshold))
+    rows = (
+        df.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
+        .repartitionByRange(slices, *keys, *order)
+        .withColumn("_slice", F.spark_partition_id())
+    )
+    wl = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    local = rows.withColumns({name: _local(s, wl) for name, s in scans.items()})
+
+    # One row per (key, slice): totals of the slice, then carries from the
+    # earlier slices of the same key. Bounded by the number of slices.
+    ordkey = F.struct(*order)
+    aggs = [F.count(F.lit(1)).alias("_cnt")]
+    for name, s in scans.items():
+        if s.kind in ("sum", "min", "max"):
+            aggs.append(getattr(F, s.kind)(s.col).alias(f"_t_{name}"))
+        elif s.kind == "last":
+            aggs.append(F.max_by(F.col(s.col), F.when(F.col(s.col).isNotNull(), ordkey)).alias(f"_t_{name}"))
+    per_slice = rows.groupBy(*keys, "_slice").agg(*aggs)
+    wc = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry_cols = {}
+    for name, s in scans.items():
+        if s.kind == "row_number":
+            carry_cols[f"_c_{name}"] = F.coalesce(F.sum("_cnt").over(wc), F.lit(0)).cast("bigint")
+        elif s.kind == "last":
+            carry_cols[f"_c_{name}"] = F.last(f"_t_{name}", ignorenulls=True).over(wc)
+        else:
+            carry_cols[f"_c_{name}"] = getattr(F, s.kind)(f"_t_{name}").over(wc)
+    carry = per_slice.select(*keys, "_slice", *[v.alias(k) for k, v in carry_cols.items()])
+
+    joined = local.join(F.broadcast(carry), [*keys, "_slice"], "left")
+    combined = {}
+    for name, s in scans.items():
+        lc, cc = F.col(name), F.col(f"_c_{name}")
+        if s.kind == "row_number":
+            combined[name] = lc + cc
+        elif s.kind == "sum":
+            combined[name] = F.when(lc.isNull() & cc.isNull(), F.lit(None)).otherwise(
+                F.coalesce(lc, F.lit(0)) + F.coalesce(cc, F.lit(0))
+            )
+        elif s.kind == "min":
+            combined[name] = F.least(lc, cc)
+        elif s.kind == "max":
+            combined[name] = F.greatest(lc, cc)
+        else:
+            combined[name] = F.coalesce(lc, cc)
+    hot_out = joined.withColumns(combined).drop("_slice", *[f"_c_{n}" for n in scans])
+    return cold.unionByName(hot_out.select(*cold.columns))
+
+
 def ttl_anchors_hot(*args, **kwargs):  # replaced below
     raise NotImplementedError

@@ -136,3 +136,63 @@ def fixture_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fixture_heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     return ev.select(F.col("user_id").alias("instance_id"), F.col("ts").alias("seen_at"))
+
+
+def uuid_of(event_id: Column) -> Column:
+    """A deterministic UUID text for a numeric id."""
+    return F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(F.lower(F.hex(event_id)), 12, "0"))
+
+
+def fixture_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON publish bodies built from ``events``; some are invalid by rule on k:
+    90-93 no eventId, 94-95 eventId not a UUID, 96-97 bad timestamp,
+    98 no subject, 99 no event payload."""
+    ev = read_table(spark, sf_dir, "events")
+    k = k_of(F.col("props"))
+    ts_text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    payload = F.concat(
+        F.lit('{"event_type":"'), F.col("event_type"), F.lit('","user_id":'), F.col("user_id").cast("string"),
+        F.lit(',"props":'), F.col("props"), F.lit("}"),
+    )
+    eid = F.when(k.between(94, 95), F.concat(F.lit("not-a-uuid-"), F.col("event_id").cast("string"))).otherwise(
+        uuid_of(F.col("event_id"))
+    )
+    parts = F.array_compact(
+        F.array(
+            F.when(~k.between(90, 93), F.concat(F.lit('"eventId":"'), eid, F.lit('"'))),
+            F.when(k != 98, F.concat(F.lit('"subject":"'), F.col("event_type"), F.lit('"'))),
+            F.concat(F.lit('"groupId":"'), F.col("user_id").cast("string"), F.lit('"')),
+            F.concat(F.lit('"timestamp":"'), F.when(k.between(96, 97), F.lit("yesterday")).otherwise(ts_text), F.lit('"')),
+            F.when(k != 99, F.concat(F.lit('"event":'), payload)),
+        )
+    )
+    return ev.select(
+        F.col("event_id").alias("source_id"),
+        F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}")).alias("body"),
+    )
+
+
+def fixture_transport(pdf):
+    """A stand-in subscriber endpoint: answers each request by the k in its body."""
+    import numpy as np
+    import pandas as pd
+
+    k = pdf["body"].str.extract(r'"k":\s*(\d+)')[0].astype(float).to_numpy()
+    code = np.full(len(pdf), np.nan)
+    err = np.full(len(pdf), None, dtype=object)
+    msg = np.full(len(pdf), None, dtype=object)
+    for lo, hi, c, e, m in ATTEMPT_RESULTS:
+        sel = (k >= lo) & (k <= hi)
+        if c is not None:
+            code[sel] = c
+        err[sel] = e
+        msg[sel] = m
+    lat = (k * 7 % 250).astype("int64")
+    return pd.DataFrame(
+        {
+            "status_code": pd.array(np.where(np.isnan(code), None, code), dtype="Int32"),
+            "error_class": err,
+            "error_message": msg,
+            "latency_ms": lat,
+        }
+    )
