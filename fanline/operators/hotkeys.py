@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # At most rows/threshold hot keys exist; this caps the collected list.
 MAX_HOT_KEYS = 1_000_000
@@ -133,5 +134,146 @@ def keyed_window(
     return cold.unionByName(hot_out.select(*cold.columns))
 
 
-def ttl_anchors_hot(*args, **kwargs):  # replaced below
-    raise NotImplementedError
+# ---------------------------------------------------------------------------
+# Exact as-of lookup that stays balanced whatever the key skew
+
+
+def asof_next(probes: DataFrame, events: DataFrame, key: str, slices: int) -> DataFrame:
+    """For each probe (key, t, pid): the first event (key, t, eid) with t >= probe t.
+
+    ``probes``: key, ``t`` (bigint), ``pid``; ``events``: key, ``t``, ``eid``.
+    Events are ordered by (t, eid). Both sides are range-partitioned together
+    on (key, t): slices are balanced by row count even inside one key. Each
+    slice resolves its probes with a vectorised reverse scan; a probe with no
+    later event in its slice takes the first event of its key in a later
+    slice, read from a one-row-per-(slice, key) summary (bounded by slices +
+    keys) that is broadcast.
+    """
+    u = probes.select(key, "t", F.lit(0).alias("kind"), F.col("pid").alias("id")).unionByName(
+        events.select(key, "t", F.lit(1).alias("kind"), F.col("eid").alias("id"))
+    )
+    u = u.repartitionByRange(slices, key, "t", "kind", "id").withColumn("_slice", F.spark_partition_id())
+    kt = dict(u.dtypes)[key]
+    out_schema = f"tag int, {key} {kt}, _slice int, id bigint, nid bigint, nt bigint"
+
+    def scan(batches):
+        import numpy as np
+        import pandas as pd
+
+        parts = list(batches)
+        if not parts:
+            return
+        pdf = pd.concat(parts, ignore_index=True).sort_values([key, "t", "kind", "id"], kind="mergesort")
+        keys = pdf[key].to_numpy()
+        kind = pdf["kind"].to_numpy()
+        ids = pdf["id"].to_numpy()
+        ts = pdf["t"].to_numpy()
+        sl = int(pdf["_slice"].iloc[0])
+        n = len(pdf)
+        pos = np.where(kind == 1, np.arange(n), n)
+        nxt = np.minimum.accumulate(pos[::-1])[::-1]  # first event at or after i
+        ok = nxt < n
+        nk = np.where(ok, keys[np.minimum(nxt, n - 1)], keys)
+        same = ok & (nk == keys)
+        probe = kind == 0
+        nid = np.where(same, ids[np.minimum(nxt, n - 1)], -1)
+        nt = np.where(same, ts[np.minimum(nxt, n - 1)], -1)
+        res = pd.DataFrame({"tag": 0, key: keys[probe], "_slice": sl, "id": ids[probe],
+                            "nid": nid[probe], "nt": nt[probe]})
+        res["nid"] = res["nid"].astype("Int64").where(res["nid"] >= 0)
+        res["nt"] = res["nt"].astype("Int64").where(res["nt"] >= 0)
+        # summary: first event of each key in this slice (or none: key seen only)
+        ev = pdf[kind == 1].groupby(key, sort=False).head(1)
+        seen = pd.DataFrame({key: pd.unique(keys)})
+        summ = seen.merge(ev[[key, "id", "t"]], on=key, how="left")
+        summ = pd.DataFrame({"tag": 1, key: summ[key].to_numpy(), "_slice": sl, "id": pd.array([None] * len(summ), dtype="Int64"),
+                             "nid": summ["id"].astype("Int64"), "nt": summ["t"].astype("Int64")})
+        yield pd.concat([res, summ], ignore_index=True)
+
+    scanned = u.mapInPandas(scan, out_schema).checkpoint()
+    summary = scanned.where("tag = 1").select(key, "_slice", "nid", "nt")
+    w = Window.partitionBy(key).orderBy("_slice").rowsBetween(1, Window.unboundedFollowing)
+    later = summary.select(
+        key, "_slice",
+        F.first(F.when(F.col("nid").isNotNull(), F.struct("nid", "nt")), ignorenulls=True).over(w).alias("_later"),
+    )
+    res = scanned.where("tag = 0")
+    fixed = res.join(F.broadcast(later), [key, "_slice"], "left")
+    return fixed.select(
+        key,
+        F.col("id").alias("pid"),
+        F.coalesce("nid", "_later.nid").alias("nid"),
+        F.coalesce("nt", "_later.nt").alias("nt"),
+    )
+
+
+def _us(c: str) -> Column:
+    return F.unix_micros(F.col(c).cast("timestamp"))
+
+
+def ttl_anchors_hot(rows: DataFrame, key: str, ts: str, tiebreak: str, eligible: str, ttl_seconds: int,
+                    threshold: int) -> DataFrame:
+    """Anchored-TTL status for hot keys without gathering any key in one task.
+
+    1. next(e): the first eligible row at or after ``e.ts + ttl`` (``asof_next``);
+    2. the anchors of a key are the chain head, next(head), next(next(head))...:
+       found by pointer doubling, about log2(anchors per key) join rounds,
+       each checkpointed to the shared folder;
+    3. at most one anchor per (key, ttl-wide bucket), so each row finds the
+       latest anchor before it with one equi-join on (key, bucket).
+    """
+    ttl_us = int(ttl_seconds * 1_000_000)
+    spark = rows.sparkSession
+    from fanline.session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    # Node id, unique per key and ordered like (ts, tiebreak).
+    if isinstance(rows.schema[tiebreak].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        rows = rows.withColumn("_eid", F.col(tiebreak).cast("bigint"))
+    else:
+        tie = F.row_number().over(Window.partitionBy(key, ts).orderBy(tiebreak)) - 1
+        rows = rows.withColumn("_eid", _us(ts) * F.lit(1024) + tie)
+    nodes = rows.where(F.col(eligible)).select(key, _us(ts).alias("t"), F.col("_eid").alias("eid")).checkpoint()
+    n_nodes = nodes.count()
+    slices = max(2, math.ceil(2 * max(n_nodes, 1) / threshold))
+    probes = nodes.select(key, (F.col("t") + F.lit(ttl_us)).alias("t"), F.col("eid").alias("pid"))
+    jump = asof_next(probes, nodes, key, slices).select(key, F.col("pid").alias("eid"), "nid").checkpoint()
+
+    heads = nodes.groupBy(key).agg(F.min_by("eid", F.struct("t", "eid")).alias("eid"))
+    chain = heads.checkpoint()
+    frontier = chain
+    while True:
+        step = frontier.join(jump, [key, "eid"]).where(F.col("nid").isNotNull()).select(key, F.col("nid").alias("eid"))
+        step = step.checkpoint()
+        if step.isEmpty():
+            break
+        chain = chain.unionByName(step).checkpoint()
+        frontier = chain
+        a, b = jump.alias("a"), jump.alias("b")
+        jump = (
+            a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.nid") == F.col("b.eid")), "left")
+            .select(F.col(f"a.{key}").alias(key), F.col("a.eid").alias("eid"), F.col("b.nid").alias("nid"))
+            .checkpoint()
+        )
+        if jump.where(F.col("nid").isNotNull()).isEmpty():
+            break
+
+    anchors = chain.distinct().join(nodes, [key, "eid"]).select(key, "eid", "t")
+    bucket = F.floor(F.col("t") / F.lit(ttl_us)).cast("bigint")
+    own = anchors.select(key, bucket.alias("_b"), F.col("t").alias("_ot"), F.col("eid").alias("_oe"),
+                         F.lit(None).cast("bigint").alias("_pt"))
+    prev = anchors.select(key, (bucket + 1).alias("_b"), F.lit(None).cast("bigint").alias("_ot"),
+                          F.lit(None).cast("bigint").alias("_oe"), F.col("t").alias("_pt"))
+    per_bucket = own.unionByName(prev).groupBy(key, "_b").agg(
+        F.max("_ot").alias("_ot"), F.max("_oe").alias("_oe"), F.max("_pt").alias("_pt")
+    )
+    t = _us(ts)
+    e = F.col("_eid")
+    marked = rows.withColumns({"_t": t, "_e": e, "_b": F.floor(t / F.lit(ttl_us)).cast("bigint")})
+    j = marked.join(per_bucket, [key, "_b"], "left")
+    accepted = (F.col("_oe") == F.col("_e")) & (F.col("_ot") == F.col("_t"))
+    own_before = F.col("_ot").isNotNull() & ((F.col("_ot") < F.col("_t")) | ((F.col("_ot") == F.col("_t")) & (F.col("_oe") < F.col("_e"))))
+    prev_close = F.col("_pt").isNotNull() & (F.col("_t") < F.col("_pt") + F.lit(ttl_us))
+    acc = F.coalesce(accepted, F.lit(False))
+    dup = ~acc & F.coalesce(own_before | prev_close, F.lit(False))
+    return j.withColumns({"accepted": acc, "duplicate": dup}).drop("_t", "_e", "_b", "_ot", "_oe", "_pt", "_eid")
