@@ -1,7 +1,8 @@
 """D2 + K3: the publish stream and its all-or-nothing two-output sink.
 
 Each micro-batch writes its ledger rows and its queue rows under
-``{root}/batch_id={n}/`` and only then writes the marker
+``{root}/ledger/batch_id={n}/`` and ``{root}/queues/batch_id={n}/`` and only
+then writes the marker
 ``{root}/_commits/batch_id={n}``. Readers take only batches that have a
 marker, so a batch's ledger and queue rows become visible together or not
 at all. A replayed batch id (after a failure) overwrites its own folder
@@ -24,9 +25,8 @@ COMMITS = "_commits"
 
 def commit_batch(ledger: DataFrame, queues: DataFrame, batch_id: int, root: str) -> None:
     """K3: write both outputs of one batch, then publish them with a marker."""
-    base = f"{root}/batch_id={batch_id}"
-    ledger.write.mode("overwrite").parquet(f"{base}/ledger")
-    queues.write.mode("overwrite").partitionBy("queue").parquet(f"{base}/queues")
+    ledger.write.mode("overwrite").parquet(f"{root}/ledger/batch_id={batch_id}")
+    queues.write.mode("overwrite").partitionBy("queue").parquet(f"{root}/queues/batch_id={batch_id}")
     spark = ledger.sparkSession
     marker = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("committed"))
     marker.coalesce(1).write.mode("overwrite").json(f"{root}/{COMMITS}/batch_id={batch_id}")
@@ -36,7 +36,7 @@ def read_committed(spark: SparkSession, root: str, what: str) -> DataFrame:
     """Rows of ``what`` (``ledger`` or ``queues``) from committed batches only."""
     commits = spark.read.option("basePath", f"{root}/{COMMITS}").json(f"{root}/{COMMITS}/batch_id=*")
     done = commits.select("batch_id").distinct()
-    data = spark.read.option("basePath", root).parquet(f"{root}/batch_id=*/{what}")
+    data = spark.read.parquet(f"{root}/{what}")
     # one marker row per batch: small, grows with the number of batches only
     return data.join(F.broadcast(done), "batch_id", "left_semi")
 
