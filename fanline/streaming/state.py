@@ -20,17 +20,28 @@ WORK_STATE_STATE = "state string, failure_count int, dispatches int"
 
 def work_state_stream(outcomes: DataFrame, limit: int = C.NUMBER_OF_RETRIES,
                       failed_retry_after_ms: int = C.FAILED_RETRY_AFTER_MS,
-                      order: tuple[str, str] = ("sent_at", "attempt_id")) -> DataFrame:
+                      order: tuple[str, str] = ("sent_at", "attempt_id"), watermark: str = "10 minutes",
+                      finished_ttl_ms: int = C.DEAD_WORK_TTL_SECONDS * 1000) -> DataFrame:
     """D3 + D4: per work item, apply each dispatch result in order (update mode).
 
-    A failed item arms a processing-time timer; when it fires the item is
-    emitted again with ``due_again`` (it may be dispatched again).
+    A failed item arms a timer ``failed_retry_after`` after its last result
+    (event time, on the ``sent_at`` watermark, so replays are deterministic
+    and idle queries finish); when it fires the item is emitted again with
+    ``due_again`` (it may be dispatched again). Finished items keep their
+    state for ``finished_ttl`` (the dead-work TTL) so late results are still
+    ignored, then the state is dropped: state stays bounded by the items
+    active in one TTL. The batch fold ignores late results forever; the two
+    agree whenever results for an item stop within ``finished_ttl``.
     """
+    ts = order[0]
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         queue, item = k
         st, fc, n = state.get if state.exists else (C.TODO, 0, 0)
         if state.hasTimedOut:
+            if st in (C.SUCCEEDED, C.PERMANENTLY_FAILED):
+                state.remove()  # finished items are kept one dead-work TTL, then dropped
+                return
             yield pd.DataFrame([{"queue": queue, "item_id": item, "state": st, "failure_count": fc,
                                  "dispatches": n, "due_again": True}])
             return
@@ -48,14 +59,17 @@ def work_state_stream(outcomes: DataFrame, limit: int = C.NUMBER_OF_RETRIES,
             else:
                 st, fc = C.FAILED, fc + 1
         state.update((st, int(fc), int(n)))
-        if st == C.FAILED:
-            state.setTimeoutDuration(failed_retry_after_ms)
+        last_ms = int(pd.to_datetime(pdf[ts]).max().value // 1_000_000)
+        wait = failed_retry_after_ms if st == C.FAILED else finished_ttl_ms
+        if st != C.TODO and last_ms + wait > state.getCurrentWatermarkMs():
+            state.setTimeoutTimestamp(last_ms + wait)
         yield pd.DataFrame([{"queue": queue, "item_id": item, "state": st, "failure_count": int(fc),
                              "dispatches": int(n), "due_again": False}])
 
     src = outcomes if "outcome" in outcomes.columns else outcomes.withColumn("outcome", classify_outcome("status_code"))
+    src = src.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     return src.groupBy("queue", "item_id").applyInPandasWithState(
-        fn, WORK_STATE_OUT, WORK_STATE_STATE, "update", GroupStateTimeout.ProcessingTimeTimeout
+        fn, WORK_STATE_OUT, WORK_STATE_STATE, "update", GroupStateTimeout.EventTimeTimeout
     )
 
 
