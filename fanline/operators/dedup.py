@@ -12,10 +12,10 @@ Semantics (per key, rows in (ts, tiebreak) order):
 This is a sequential fold, not ``dropDuplicates`` and not a fixed window.
 
 Plan. One cheap aggregation counts rows per key (map-side combined). Keys at
-or below ``hot_threshold`` rows are folded with one ``groupBy(key)`` +
-``applyInPandas`` (the group size is now proven); inside, a vectorised
-``searchsorted`` gives every row's next-anchor candidate and the chain walk
-visits only anchors. Keys above it (a key may hold a third of all rows) are
+or below ``hot_threshold`` rows take one shuffle: ``repartition(key)`` +
+``sortWithinPartitions(key, ts, tiebreak)`` + ``mapInPandas``, which folds
+every key of a partition at once with vectorised numpy (no per-key Python
+call); a key is never larger than the proven threshold. Keys above it (a key may hold a third of all rows) are
 never gathered into one task: ``fanline.operators.hotkeys`` splits them into
 time ranges of bounded size and resolves the chain with pointer doubling
 over Spark joins.
@@ -38,29 +38,82 @@ def _to_us(s: pd.Series) -> np.ndarray:
     return s.to_numpy(dtype="datetime64[us]").astype(np.int64)
 
 
-def _fold_group(ts: str, tiebreak: str, eligible: str, ttl_us: int):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([ts, tiebreak], kind="mergesort").reset_index(drop=True)
-        t = _to_us(pdf[ts])
-        elig = pdf[eligible].to_numpy(dtype=bool)
-        epos = np.flatnonzero(elig)
-        te = t[epos]
-        nxt = np.searchsorted(te, te + ttl_us, side="left")
-        chain, i = [], 0
-        while i < len(epos):
-            chain.append(i)
-            i = nxt[i]
-        anchors = epos[np.asarray(chain, dtype=np.int64)]
-        accepted = np.zeros(len(pdf), dtype=bool)
-        accepted[anchors] = True
-        j = np.searchsorted(anchors, np.arange(len(pdf)), side="left") - 1
-        has = j >= 0
-        last_t = np.where(has, t[anchors[np.maximum(j, 0)]], 0)
-        pdf["accepted"] = accepted
-        pdf["duplicate"] = ~accepted & has & (t < last_t + ttl_us)
-        return pdf
-
-    return fn
+def fold_sorted(keys: np.ndarray, t: np.ndarray, elig: np.ndarray, ttl_us: int) -> tuple[np.ndarray, np.ndarray]:
+    """Anchored-TTL fold over rows sorted by (key, t, tiebreak), all keys at once.
+
+    Vectorised per call: one ``searchsorted`` gives every row's next-anchor
+    candidate (restricted to its own key), then the chains of all keys are
+    walked together; the loop runs once per anchor *rank*, i.e. at most
+    span/ttl + 1 times, whatever the number of keys or rows.
+    """
+    n = len(t)
+    accepted = np.zeros(n, dtype=bool)
+    if n == 0:
+        return accepted, accepted.copy()
+    codes = np.concatenate(([0], np.cumsum(keys[1:] != keys[:-1])))
+    epos = np.flatnonzero(elig)
+    if len(epos):
+        ecode, et = codes[epos], t[epos]
+        base = et.min()
+        span = int(et.max() - base) + ttl_us + 1
+        if span * (int(ecode[-1]) + 1) < 2**62:
+            comp = ecode.astype(np.int64) * span + (et - base)
+            nxt = np.searchsorted(comp, comp + ttl_us, side="left")
+        else:  # very wide partitions: per key
+            nxt = np.empty(len(epos), dtype=np.int64)
+            starts = np.flatnonzero(np.r_[True, ecode[1:] != ecode[:-1]])
+            ends = np.r_[starts[1:], len(epos)]
+            for a, b in zip(starts, ends):
+                nxt[a:b] = a + np.searchsorted(et[a:b], et[a:b] + ttl_us, side="left")
+        valid = nxt < len(epos)
+        same = np.zeros(len(epos), dtype=bool)
+        same[valid] = ecode[nxt[valid]] == ecode[valid]
+        nxt = np.where(same, nxt, -1)
+        cur = np.flatnonzero(np.r_[True, ecode[1:] != ecode[:-1]])  # first eligible row per key
+        while cur.size:
+            accepted[epos[cur]] = True
+            cur = nxt[cur]
+            cur = cur[cur >= 0]
+    anchors = np.flatnonzero(accepted)
+    j = np.searchsorted(anchors, np.arange(n), side="left") - 1
+    has = j >= 0
+    aj = anchors[np.maximum(j, 0)] if len(anchors) else np.zeros(n, dtype=np.int64)
+    has &= codes[aj] == codes
+    duplicate = ~accepted & has & (t < t[aj] + ttl_us)
+    return accepted, duplicate
+
+
+def _fold_partitions(key: str, ts: str, eligible: str, ttl_us: int):
+    """mapInPandas body: partitions hold whole keys sorted by (key, ts, tiebreak).
+
+    Arrow batches may split a key, so the rows of the last key of a batch are
+    carried into the next one.
+    """
+
+    def run(batches):
+        carry = None
+        for pdf in batches:
+            if carry is not None and len(carry):
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
+            last = pdf[key].iloc[-1]
+            tail = (pdf[key] == last).to_numpy()
+            carry, ready = pdf[tail], pdf[~tail]
+            if len(ready):
+                yield _finish(ready, key, ts, eligible, ttl_us)
+        if carry is not None and len(carry):
+            yield _finish(carry, key, ts, eligible, ttl_us)
+
+    return run
+
+
+def _finish(pdf: pd.DataFrame, key: str, ts: str, eligible: str, ttl_us: int) -> pd.DataFrame:
+    acc, dup = fold_sorted(pdf[key].to_numpy(), _to_us(pdf[ts]), pdf[eligible].to_numpy(dtype=bool), ttl_us)
+    pdf = pdf.copy()
+    pdf["accepted"] = acc
+    pdf["duplicate"] = dup
+    return pdf
 
 
 def ttl_status(
@@ -79,16 +132,21 @@ def ttl_status(
         base.schema.fields
         + [T.StructField("accepted", T.BooleanType(), False), T.StructField("duplicate", T.BooleanType(), False)]
     )
-    fold = _fold_group(ts, tiebreak, elig_col, int(ttl_seconds * 1_000_000))
+    fold = _fold_partitions(key, ts, elig_col, int(ttl_seconds * 1_000_000))
+
+    def cold_fold(rows: DataFrame) -> DataFrame:
+        ordered = rows.repartition(key).sortWithinPartitions(key, ts, tiebreak)
+        return ordered.mapInPandas(fold, schema)
 
     hot = hot_keys(base, [key], hot_threshold)
     if hot is None:
-        out = base.groupBy(key).applyInPandas(fold, schema)
+        out = cold_fold(base)
     else:
-        cold_rows = base.join(F.broadcast(hot), key, "left_anti")
-        hot_rows = base.join(F.broadcast(hot), key, "left_semi")
-        cold = cold_rows.groupBy(key).applyInPandas(fold, schema)
-        out = cold.unionByName(ttl_anchors_hot(hot_rows, key, ts, tiebreak, elig_col, ttl_seconds, hot_threshold))
+        cold_rows = base.join(F.broadcast(hot.select(key)), key, "left_anti")
+        hot_rows = base.join(F.broadcast(hot.select(key)), key, "left_semi")
+        out = cold_fold(cold_rows).unionByName(
+            ttl_anchors_hot(hot_rows, key, ts, tiebreak, elig_col, ttl_seconds, hot_threshold)
+        )
     return out.drop(elig_col)
 
 

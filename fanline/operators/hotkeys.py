@@ -73,17 +73,23 @@ def keyed_window(
     order: list[str],
     scans: dict[str, Scan],
     threshold: int = DEFAULT_THRESHOLD,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Adds one column per ``scans`` entry, computed per key in ``order``."""
+    """Adds one column per ``scans`` entry, computed per key in ``order``.
+
+    ``hot_from``: a cheaper frame whose per-key counts bound those of ``df``
+    (e.g. the rows before a filter) to detect hot keys without computing an
+    expensive ``df`` twice.
+    """
     w = Window.partitionBy(*keys).orderBy(*order)
-    hot = hot_keys(df, keys, threshold)
+    hot = hot_keys(hot_from if hot_from is not None else df, keys, threshold)
     if hot is None:
         return df.withColumns({name: _local(s, w) for name, s in scans.items()})
 
     cold = df.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     cold = cold.withColumns({name: _local(s, w) for name, s in scans.items()})
 
-    total = hot.agg(F.sum("_n")).first()[0]
+    total = sum(r["_n"] for r in hot.collect())  # at most MAX_HOT_KEYS rows
     slices = max(2, math.ceil(total / threshold))
     rows = (
         df.join(F.broadcast(hot.select(*keys)), keys, "left_semi")

@@ -15,6 +15,7 @@ skewed topics), with the path predicate as the join's residual condition.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from fanline import constants as C
 from fanline.functions.jsonpath import CompiledPath, parse_path, path_predicate
-from fanline.sources.catalog import MAX_BROADCAST_SUBSCRIPTIONS, MAX_INLINE_SUBSCRIPTIONS, topics_of, valid_subscriptions
+from fanline.sources.catalog import MAX_BROADCAST_SUBSCRIPTIONS, MAX_INLINE_SUBSCRIPTIONS, valid_subscriptions
 
 
 def queue_name(topic: Column, subscriber: Column) -> Column:
@@ -42,16 +43,18 @@ class SubscriptionIndex:
 
     @classmethod
     def build(cls, catalog: DataFrame) -> "SubscriptionIndex":
-        valid = valid_subscriptions(catalog)
-        limit = MAX_INLINE_SUBSCRIPTIONS
-        rows = valid.select("topic", "subscriber", "filter_path").limit(limit + 1).collect()
-        topics = [r.topic for r in topics_of(catalog).limit(limit + 1).collect()]
-        inline = len(rows) <= limit and len(topics) <= limit
-        if not inline:
-            rows = valid.select("topic", "subscriber", "filter_path").limit(MAX_BROADCAST_SUBSCRIPTIONS + 1).collect()
-        subs = sorted((r.topic, r.subscriber, r.filter_path) for r in rows)
+        """One bounded collect of the catalog (no shuffle); the size check
+        decides between the inline expression and a join."""
+        cap = MAX_BROADCAST_SUBSCRIPTIONS + 1
+        rows = catalog.select("topic", "subscriber", "filter_path", "errors").limit(cap).collect()
+        if len(rows) >= cap:
+            raise ValueError("subscription catalog exceeds its bound")
+        usable = [r for r in rows if not r.errors]
+        subs = sorted({(r.topic, r.subscriber, r.filter_path) for r in usable if r.subscriber is not None})
+        topics = sorted({r.topic for r in rows if r.topic and re.fullmatch(C.NAME_PATTERN, r.topic)})
+        inline = len(subs) <= MAX_INLINE_SUBSCRIPTIONS and len(topics) <= MAX_INLINE_SUBSCRIPTIONS
         paths = {p: parse_path(p) for _, _, p in subs if p is not None}
-        return cls(subs, sorted(topics), paths, valid, inline)
+        return cls(subs, topics, paths, valid_subscriptions(catalog), inline)
 
     # -- inline form ----------------------------------------------------------
     def subscribers_col(self, topic: Column, doc: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fanline import constants as C
-from fanline.sources.catalog import catalog_from_nested, load_subscriptions
+from fanline.sources.catalog import catalog_from_nested, compile_paths, load_subscriptions
 from fanline.sources.tables import read_table
 
 # --- fixed values: fixture subscription configuration ----------------------
@@ -85,7 +85,24 @@ def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_catalog(spark: SparkSession) -> DataFrame:
-    return load_subscriptions(catalog_from_nested(spark, FIXTURE_TOPICS))
+    paths = compile_paths(
+        c.get("filter-path") for subs in FIXTURE_TOPICS.values() if isinstance(subs, dict) for c in subs.values()
+    )
+    return load_subscriptions(catalog_from_nested(spark, FIXTURE_TOPICS), paths)
+
+
+_INDEX: dict = {}
+
+
+def fixture_index(spark: SparkSession):
+    """The fixture catalog's index, built once per session (configuration is
+    loaded once at start, as a service would)."""
+    from fanline.operators.matching import SubscriptionIndex
+
+    key = id(spark)
+    if key not in _INDEX:
+        _INDEX[key] = SubscriptionIndex.build(fixture_catalog(spark))
+    return _INDEX[key]
 
 
 def attempt_result_columns(k: Column) -> list[Column]:

@@ -19,7 +19,7 @@ from fanline.sources.catalog import valid_subscriptions
 
 
 def _index(spark: SparkSession) -> matching.SubscriptionIndex:
-    return matching.SubscriptionIndex.build(fx.fixture_catalog(spark))
+    return fx.fixture_index(spark)
 
 
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:

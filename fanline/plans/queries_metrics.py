@@ -152,7 +152,12 @@ FROM r""",
 def q_throttle_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """60 elements per 3 s per queue, one instance (cost 1)."""
     rows = published_queue_rows(spark, sf_dir)
-    out = delivery.throttle_schedule(rows, "queue", ["received_at", "id"], C.DEFAULT_ELEMENTS, C.DEFAULT_PER_MS)
+    # queue sizes before dedup bound those after it: a cheap hot-queue check
+    from fanline.operators import matching
+
+    candidates = matching.fan_out(fx.fixture_events(spark, sf_dir), fx.fixture_index(spark)).select("queue")
+    out = delivery.throttle_schedule(rows, "queue", ["received_at", "id"], C.DEFAULT_ELEMENTS, C.DEFAULT_PER_MS,
+                                     hot_from=candidates)
     return out.select("queue", "id", "slot", "send_at")
 
 

@@ -55,16 +55,21 @@ def _duration_field(raw: Column, default_ms: int) -> tuple[Column, Column]:
 
 def compiled_paths(raw: DataFrame) -> dict[str, CompiledPath | JsonPathError]:
     """Distinct filter paths of a (bounded) catalog, compiled on the driver."""
-    paths = raw.where(F.col("filter_path").isNotNull()).select("filter_path").distinct()
-    rows = paths.limit(MAX_BROADCAST_SUBSCRIPTIONS + 1).collect()
+    rows = raw.where(F.col("filter_path").isNotNull()).select("filter_path").limit(MAX_BROADCAST_SUBSCRIPTIONS + 1).collect()
     if len(rows) > MAX_BROADCAST_SUBSCRIPTIONS:
-        raise ValueError("too many distinct filter paths for one catalog")
+        raise ValueError("subscription catalog exceeds its bound")
+    return compile_paths(r.filter_path for r in rows)
+
+
+def compile_paths(texts) -> dict[str, CompiledPath | JsonPathError]:
     out: dict[str, CompiledPath | JsonPathError] = {}
-    for r in rows:
+    for p in texts:
+        if p is None or p in out:
+            continue
         try:
-            out[r.filter_path] = parse_path(r.filter_path)
+            out[p] = parse_path(p)
         except JsonPathError as e:
-            out[r.filter_path] = e
+            out[p] = e
     return out
 
 
@@ -146,6 +151,6 @@ def catalog_from_nested(spark: SparkSession, topics: dict) -> DataFrame:
             rows.append((topic, None) + (None,) * len(fields))
             continue
         for name, conf in subs.items():
-            conf = {k.replace("-", "_").replace("back_off", "back_off"): v for k, v in conf.items()}
+            conf = {k.replace("-", "_"): v for k, v in conf.items()}
             rows.append((topic, name) + tuple(None if conf.get(f) is None else str(conf.get(f)) for f in fields))
     return spark.createDataFrame(rows, RAW_SUBSCRIPTION_SCHEMA)

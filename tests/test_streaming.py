@@ -63,7 +63,7 @@ def test_dedup_stream_equals_batch(spark, chunks, scratch):
 
 def test_publish_stream_commits_atomically_and_replays(spark, chunks, scratch):
     d, schema = chunks
-    idx = matching.SubscriptionIndex.build(fx.fixture_catalog(spark))
+    idx = fx.fixture_index(spark)
     raw = file_stream(spark, d, schema, max_files_per_trigger=2)
     root = os.path.join(scratch, "published")
     q = sp.publish_stream(to_event_rows(raw), idx, root, os.path.join(scratch, "pub-ckpt"), key="group_id",
