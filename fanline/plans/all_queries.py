@@ -1,3 +1,10 @@
 """Import every module that registers queries."""
 
-from fanline.plans import queries, queries_delivery, queries_ingest, queries_metrics, queries_publish  # noqa: F401
+from fanline.plans import (  # noqa: F401
+    queries,
+    queries_delivery,
+    queries_ingest,
+    queries_metrics,
+    queries_publish,
+    queries_stream,
+)
