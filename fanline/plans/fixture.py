@@ -121,7 +121,11 @@ def attempt_result_columns(k: Column) -> list[Column]:
 
 def fixture_attempts_unnumbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ATTEMPT rows before numbering: one per event on queue ``{type}_main_queue``."""
-    ev = read_table(spark, sf_dir, "events")
+    return attempts_from(read_table(spark, sf_dir, "events"))
+
+
+def attempts_from(ev: DataFrame) -> DataFrame:
+    """ATTEMPT rows from ``events``-shaped rows (batch or stream)."""
     k = k_of(F.col("props"))
     return ev.select(
         F.concat(F.col("event_type"), F.lit("_main_queue")).alias("queue"),
@@ -135,7 +139,11 @@ def fixture_attempts_unnumbered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """QUEUE rows: state by k % 4, failure count k % 6, available k minutes later."""
-    ev = read_table(spark, sf_dir, "events")
+    return queue_rows_from(read_table(spark, sf_dir, "events"))
+
+
+def queue_rows_from(ev: DataFrame) -> DataFrame:
+    """QUEUE rows from ``events``-shaped rows (batch or stream)."""
     k = k_of(F.col("props"))
     state = F.element_at(F.array(*map(F.lit, QUEUE_STATES)), (k % 4) + 1)
     return ev.select(

@@ -139,9 +139,7 @@ def q_apply_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("queue", "id", "status", "failure_count")
 
 
-@query(
-    "work_state",
-    f"""WITH {EV}, {ATT},
+WORK_STATE_SQL = f"""WITH {EV}, {ATT},
   s AS (
     SELECT att.*,
       CAST(outcome = 'Failed' AS INTEGER) AS f, CAST(outcome IN ('Sent', 'Removed') AS INTEGER) AS e,
@@ -160,8 +158,10 @@ def q_apply_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT queue, item_id,
   coalesce(final, CASE WHEN fails > 0 THEN 'failed' ELSE 'todo' END) AS state,
   CAST(counted AS INTEGER) AS failure_count, CAST(dispatches AS INTEGER) AS dispatches
-FROM g""",
-)
+FROM g"""
+
+
+@query("work_state", WORK_STATE_SQL)
 def q_work_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3 batch fold: every dispatch result applied in order to its work item."""
     a = fx.fixture_attempts_unnumbered(spark, sf_dir)

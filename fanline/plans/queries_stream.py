@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fanline.plans import fixture as fx
-from fanline.plans.oracle_sql import EV, dedup_chain
+from fanline.plans.oracle_sql import ATT, DUE, EV, QUEUE, dedup_chain
+from fanline.plans.queries_delivery import WORK_STATE_SQL
+from fanline.plans.queries_metrics import E2E_SQL
 from fanline.plans.queries_publish import QUEUE_ROWS_SQL, WITH_STATUS
 from fanline.plans.registry import query
 from fanline.session import checkpoint_dir
@@ -24,6 +26,10 @@ from fanline.streaming.dedup import dedup_ttl_stream
 from fanline.streaming.sources import table_stream, to_event_rows
 
 
+# longer than the fixture's month: item ids repeat across it
+FIXTURE_SPAN_MS = 60 * 86_400_000
+
+
 def _folder(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
@@ -61,3 +67,87 @@ def q_publish_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sp.read_committed(spark, f"{root}/out", "queues")
     return rows.select("queue", "id", "status", "failure_count",
                        F.col("received_at").cast("timestamp_ntz").alias("received_at"))
+
+
+def _run(df: DataFrame, root: str, mode: str = "append") -> DataFrame:
+    """Drain a streaming frame into parquet under ``root``; returns what was
+    written, with the micro-batch id in ``_batch``."""
+    def sink(b: DataFrame, i: int) -> None:
+        b.withColumn("_batch", F.lit(i).cast("bigint")).write.mode("append").parquet(f"{root}/out")
+
+    q = (
+        df.writeStream.outputMode(mode).foreachBatch(sink)
+        .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    schema = df.withColumn("_batch", F.lit(0).cast("bigint")).schema
+    return df.sparkSession.read.schema(schema).parquet(f"{root}/out")
+
+
+@query("queue_stream", f"WITH {EV}, {QUEUE}\nSELECT queue, id, status FROM q WHERE {DUE}")
+def q_queue_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queue rows read as a stream; each micro-batch selects its due work."""
+    from fanline.operators.queue import due_predicate
+
+    root = _folder(spark, "queue-stream")
+    rows = fx.queue_rows_from(table_stream(spark, sf_dir, "events"))
+    due = rows.where(due_predicate(F.lit(fx.QUEUE_AS_OF).cast("timestamp_ntz"))).select("queue", "id", "status")
+    return _run(due, root).drop("_batch")
+
+
+@query("work_state_stream", WORK_STATE_SQL)
+def q_work_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 as a stream: per-item state; the last update per item is its state."""
+    from fanline.operators.queue import outcomes_from_attempts
+    from fanline.streaming.state import work_state_stream
+
+    root = _folder(spark, "work-stream")
+    att = outcomes_from_attempts(fx.attempts_from(table_stream(spark, sf_dir, "events")))
+    upd = _run(work_state_stream(att, finished_ttl_ms=FIXTURE_SPAN_MS), root, "update").where("NOT due_again")
+    last = upd.groupBy("queue", "item_id").agg(
+        F.max_by(F.struct("state", "failure_count", "dispatches"), "_batch").alias("s")
+    )
+    return last.select("queue", "item_id", "s.state", "s.failure_count", "s.dispatches")
+
+
+@query("latency_stream", f"WITH {EV}, {ATT}, {QUEUE}, {E2E_SQL}\nSELECT queue, id, e2e_ms FROM e2e")
+def q_latency_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enqueue and response streams joined within a time bound."""
+    from fanline.streaming.state import latency_stream
+
+    root = _folder(spark, "latency-stream")
+    enq = fx.queue_rows_from(table_stream(spark, sf_dir, "events")).select(
+        "queue", "id", F.col("received_at").cast("timestamp").alias("enqueued_at")
+    )
+    att = fx.attempts_from(table_stream(spark, sf_dir, "events"))
+    handled = F.col("sent_at").cast("timestamp") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), F.col("latency_ms") / 1000
+    )
+    resp = att.select("queue", F.col("attempt_id").alias("id"), handled.alias("handled_at"))
+    return _run(latency_stream(enq, resp, ["queue", "id"]), root).drop("_batch")
+
+
+@query("presence_stream")
+def q_presence_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Membership updates (rows-only check: the emitted transitions)."""
+    from fanline.streaming.state import presence_stream
+
+    root = _folder(spark, "presence-stream")
+    hb = table_stream(spark, sf_dir, "events").select(F.col("user_id").alias("instance_id"), F.col("ts").alias("seen_at"))
+    return _run(presence_stream(hb, fx.HEARTBEAT_TIMEOUT_MS), root, "update").drop("_batch")
+
+
+@query("deliver_stream", f"WITH {EV}, {ATT}\nSELECT attempt_id AS event_id, queue, outcome FROM att")
+def q_deliver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One delivery query for every queue, through the fixture endpoint."""
+    from fanline.streaming.state import run_delivery
+
+    root = _folder(spark, "deliver-stream")
+    ev = table_stream(spark, sf_dir, "events")
+    req = ev.select(
+        F.concat("event_type", F.lit("_main_queue")).alias("queue"), "event_id",
+        fx.envelope_json(F.col("event_type"), F.col("user_id"), F.col("props")).alias("body"),
+    )
+    q = run_delivery(req, fx.fixture_transport, f"{root}/out", f"{root}/ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("event_id", "queue", "outcome")
