@@ -30,6 +30,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class JsonPathError(ValueError):
@@ -296,3 +297,80 @@ def path_predicate(path: str | CompiledPath, json_col: Column | str) -> Column:
     )
     pred = F.when(is_array, arr_pred).otherwise(F.ltrim(container).startswith("{") & obj_pred)
     return F.coalesce(pred, F.lit(False))
+
+
+# ---------------------------------------------------------------------------
+# Parse once: one ``from_json`` per document for all paths of a catalog
+
+
+def doc_schema(paths) -> tuple[T.StructType | None, set[str]]:
+    """A struct schema holding every container and leaf the filter paths read.
+
+    Leaves are strings (numbers keep their text, objects their JSON). Paths
+    whose fields would need two types (a node compared as a value and also
+    descended into) are returned as ``slow`` and keep the per-path form.
+    """
+    tree: dict = {}
+    slow: set[str] = set()
+    leaf_mark = object()
+
+    def insert(segs):
+        node = tree
+        for i, s in enumerate(segs):
+            last = i == len(segs) - 1
+            cur = node.get(s)
+            if last:
+                if cur is None:
+                    node[s] = leaf_mark
+                elif cur is not leaf_mark:
+                    return False
+            else:
+                if cur is leaf_mark:
+                    return False
+                node = node.setdefault(s, {})
+        return True
+
+    for cp in paths:
+        if cp.kind != "filter" or not cp.container:
+            slow.add(cp.text)
+            continue
+        snapshot = _copy_tree(tree, leaf_mark)
+        ok = all(insert(cp.container + leaf) for leaf in cp.leaves() if leaf)
+        if not ok or not cp.leaves():
+            tree.clear()
+            tree.update(snapshot)
+            slow.add(cp.text)
+
+    def to_type(node):
+        if node is leaf_mark:
+            return T.StringType()
+        return T.StructType([T.StructField(k, to_type(v)) for k, v in sorted(node.items())])
+
+    return (to_type(tree) if tree else None), slow
+
+
+def _copy_tree(node, leaf_mark):
+    if node is leaf_mark:
+        return node
+    return {k: _copy_tree(v, leaf_mark) for k, v in node.items()}
+
+
+def parsed_predicate(cp: CompiledPath, parsed: Column, doc: Column) -> Column:
+    """``path_predicate`` reading leaves from the pre-parsed struct.
+
+    When the container did not parse as an object (absent, an array, or a
+    type clash somewhere in the document) the per-path form decides, so the
+    result always equals ``path_predicate``.
+    """
+    container = parsed
+    for s in cp.container:
+        container = container.getField(s)
+
+    def leaf(segs):
+        c = container
+        for s in segs:
+            c = c.getField(s)
+        return c
+
+    fast = F.coalesce(_compile(cp.ast, leaf), F.lit(False))
+    return F.when(container.isNotNull(), fast).otherwise(path_predicate(cp, doc))

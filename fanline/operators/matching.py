@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fanline import constants as C
-from fanline.functions.jsonpath import CompiledPath, parse_path, path_predicate
+from fanline.functions.jsonpath import CompiledPath, doc_schema, parse_path, parsed_predicate, path_predicate
 from fanline.sources.catalog import MAX_BROADCAST_SUBSCRIPTIONS, MAX_INLINE_SUBSCRIPTIONS, valid_subscriptions
 
 
@@ -57,14 +57,25 @@ class SubscriptionIndex:
         return cls(subs, topics, paths, valid_subscriptions(catalog), inline)
 
     # -- inline form ----------------------------------------------------------
-    def subscribers_col(self, topic: Column, doc: Column) -> Column:
+    def parse_schema(self):
+        """Schema for parsing each document once (None: no path can use it)."""
+        return doc_schema(list(self.paths.values()))
+
+    def predicate(self, p: str, doc: Column, parsed: Column | None) -> Column:
+        cp = self.paths[p]
+        schema, slow = self.parse_schema()
+        if parsed is None or schema is None or p in slow:
+            return path_predicate(cp, doc)
+        return parsed_predicate(cp, parsed, doc)
+
+    def subscribers_col(self, topic: Column, doc: Column, parsed: Column | None = None) -> Column:
         """Sorted array of matching subscriber names (empty when none)."""
         by_topic: dict[str, list[tuple[str, str | None]]] = {}
         for t, s, p in self.subs:
             by_topic.setdefault(t, []).append((s, p))
         expr = None
         for t, members in sorted(by_topic.items()):
-            flags = {p: path_predicate(self.paths[p], doc) for p in {p for _, p in members if p}}
+            flags = {p: self.predicate(p, doc, parsed) for p in {p for _, p in members if p}}
             elems = [F.lit(s) if p is None else F.when(flags[p], F.lit(s)) for s, p in members]
             arr = F.array_compact(F.array(*elems)) if any(p for _, p in members) else F.array(*elems)
             expr = F.when(topic == t, arr) if expr is None else expr.when(topic == t, arr)
@@ -75,15 +86,29 @@ class SubscriptionIndex:
         return F.coalesce(topic.isin(*self.topics), F.lit(False)) if self.topics else F.lit(False)
 
 
+PARSED = "_doc"
+
+
+def _with_parsed(events: DataFrame, index: SubscriptionIndex, doc_col: str) -> tuple[DataFrame, Column | None]:
+    """Parse each document once into the struct the filters read (kept as its
+    own projection, so the parse is not repeated per filter)."""
+    schema, _ = index.parse_schema()
+    if schema is None:
+        return events, None
+    return events.withColumn(PARSED, F.from_json(F.col(doc_col), schema)), F.col(PARSED)
+
+
 def match_subscribers(events: DataFrame, index: SubscriptionIndex, doc_col: str = "event") -> DataFrame:
     """Adds ``topic_known`` and ``subscribers`` (sorted array) to every event."""
     if index.inline:
-        return events.withColumns(
+        ev, parsed = _with_parsed(events, index, doc_col)
+        out = ev.withColumns(
             {
                 "topic_known": index.topic_known_col(F.col("topic")),
-                "subscribers": index.subscribers_col(F.col("topic"), F.col(doc_col)),
+                "subscribers": index.subscribers_col(F.col("topic"), F.col(doc_col), parsed),
             }
         )
+        return out.drop(PARSED)
     fanned = _join_fan_out(events.select("event_id", "topic", doc_col), index, doc_col)
     per_event = fanned.groupBy("event_id").agg(F.array_sort(F.collect_set("subscriber")).alias("subscribers"))
     topics = index.catalog.select("topic").distinct().withColumn("topic_known", F.lit(True))
@@ -112,7 +137,9 @@ def _join_fan_out(events: DataFrame, index: SubscriptionIndex, doc_col: str) ->
 def fan_out(events: DataFrame, index: SubscriptionIndex, doc_col: str = "event") -> DataFrame:
     """One row per (event, matching subscriber), with its queue name."""
     if index.inline:
-        out = events.withColumn("subscriber", F.explode(index.subscribers_col(F.col("topic"), F.col(doc_col))))
+        ev, parsed = _with_parsed(events, index, doc_col)
+        subs = index.subscribers_col(F.col("topic"), F.col(doc_col), parsed)
+        out = ev.withColumn("subscriber", F.explode(subs)).drop(PARSED)
     else:
         out = _join_fan_out(events, index, doc_col)
     return out.withColumn("queue", queue_name(F.col("topic"), F.col("subscriber")))

@@ -64,3 +64,39 @@ def test_rejected_paths(bad):
         p = parse_path(bad)
         if p.ast and p.ast[0] == "cmp" and p.ast[1] == "=~":
             path_predicate(p, F.col("doc"))
+
+
+def test_parse_once_equals_per_path(spark):
+    """The one-parse fast path must agree with the per-path form on every shape."""
+    from fanline.functions.jsonpath import doc_schema, parsed_predicate
+
+    paths = [
+        parse_path(p)
+        for p in [
+            REGEX,
+            "$.event[?(@.props.k >= 50)]",
+            "$.event[?(@.props.k >= 90 && @.event_type == 'error')]",
+            "$.event[?(@.user_id < 20)]",
+            "$.event[?(@.foo)]",
+            "$.event.items[?(@.x > 3)]",
+            "$.event[?(@.props == 'x')]",  # clashes with props.k: stays per-path
+        ]
+    ]
+    docs = [
+        FULL, NOPATH, FOREIGN, ARRAY,
+        '{"event":[{"props":{"k":70}},{"props":{"k":1}}]}',
+        '{"event":{"props":"x","user_id":3}}',
+        '{"event":{"props":{"k":"95"},"event_type":"error","user_id":"7"}}',
+        '{"event":{"props":{"k":[1,2]},"user_id":null}}',
+        '{"event":"text"}',
+        '{"other":1}',
+    ]
+    schema, slow = doc_schema(paths)
+    assert "$.event[?(@.props == 'x')]" in slow
+    df = spark.createDataFrame([(d,) for d in docs], "doc string").withColumn("p", F.from_json("doc", schema))
+    for cp in paths:
+        if cp.text in slow:
+            continue
+        a = [r[0] for r in df.select(parsed_predicate(cp, F.col("p"), F.col("doc"))).collect()]
+        b = [r[0] for r in df.select(path_predicate(cp, F.col("doc"))).collect()]
+        assert a == b, cp.text
