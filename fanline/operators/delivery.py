@@ -101,8 +101,9 @@ def render_requests(queue_rows: DataFrame, subs: DataFrame) -> DataFrame:
     """K5: method, uri, content type and the whole envelope as the JSON body.
 
     The scalar envelope fields go through ``to_json`` (escaping); the payload
-    is already JSON text and is spliced in unchanged. ``subs`` is the bounded
-    catalog, broadcast.
+    is already JSON text and is spliced in unchanged. ``subs`` is the
+    subscription catalog, whose size ``SubscriptionIndex.build`` checks
+    (at most ``MAX_BROADCAST_SUBSCRIPTIONS`` rows), so it is broadcast.
     """
     head = F.to_json(
         F.struct(

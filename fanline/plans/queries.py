@@ -26,9 +26,19 @@ def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.publishable(fx.fixture_events(spark, sf_dir), _index(spark))
 
 
-def publish_status_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status of every event: duplicate > no-topic > no-subscribers > published."""
+STATUS_KEYS = ["event_id", "group_id", "received_at", "topic_known", "subscribers", "publishable"]
+
+
+def publish_status_df(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
+    """Status of every event: duplicate > no-topic > no-subscribers > published.
+
+    ``keep`` names the event columns needed downstream; the TTL fold runs in
+    Python (``mapInPandas``), where Catalyst cannot prune columns, so only
+    these travel through it (default: all).
+    """
     m = _matched(spark, sf_dir)
+    if keep is not None:
+        m = m.select(*dict.fromkeys(STATUS_KEYS + keep))
     st = dedup.ttl_status(m, "group_id", fx.DEDUP_TTL_SECONDS, eligible=F.col("publishable"))
     status = (
         F.when(F.col("duplicate"), F.lit(C.ST_DUPLICATE))
@@ -145,4 +155,4 @@ PUBLISH_STATUS_SQL = f"""{EV}, {SUBS}, {TOPICS}, {FANNED}, {MATCHED},
 
 @query("publish_status", f"WITH RECURSIVE {PUBLISH_STATUS_SQL}\nSELECT event_id, status FROM status")
 def q_publish_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish_status_df(spark, sf_dir).select("event_id", "status")
+    return publish_status_df(spark, sf_dir, keep=[]).select("event_id", "status")

@@ -11,7 +11,7 @@ from fanline.plans import fixture as fx
 from fanline.plans.oracle_sql import ATT, EV, QUEUE, chain_sql
 from fanline.plans.queries import PUBLISH_STATUS_SQL, publish_status_df
 from fanline.plans.queries_delivery import attempts, chain
-from fanline.plans.queries_publish import QUEUE_ROWS_SQL, published_queue_rows
+from fanline.plans.queries_publish import QUEUE_ROWS_SQL, published_queue_keys
 from fanline.plans.registry import query
 
 WITH_STATUS = f"WITH RECURSIVE {PUBLISH_STATUS_SQL}"
@@ -32,7 +32,7 @@ FROM status WHERE status IN ('published', 'duplicate') GROUP BY 1""",
 )
 def q_event_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: published / duplicate counters per topic and subject."""
-    return metrics.event_counters(publish_status_df(spark, sf_dir))
+    return metrics.event_counters(publish_status_df(spark, sf_dir, keep=["topic", "subject"]))
 
 
 @query(
@@ -46,7 +46,7 @@ SELECT 'subscriber.' || kind || '.' || subscriber AS metric, count(*) AS value F
 )
 def q_subscriber_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: per-subscriber counters (names merge across topics)."""
-    enq = published_queue_rows(spark, sf_dir)
+    enq = published_queue_keys(spark, sf_dir)
     res = fx.fixture_attempts_unnumbered(spark, sf_dir).withColumn("subscriber", F.lit("main"))
     from fanline.operators.queue import outcomes_from_attempts
 
@@ -151,7 +151,7 @@ FROM r""",
 )
 def q_throttle_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """60 elements per 3 s per queue, one instance (cost 1)."""
-    rows = published_queue_rows(spark, sf_dir)
+    rows = published_queue_keys(spark, sf_dir)
     # queue sizes before dedup bound those after it: a cheap hot-queue check
     from fanline.operators import matching
 

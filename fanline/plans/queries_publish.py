@@ -44,6 +44,19 @@ def published_queue_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.queue_rows(fanned)
 
 
+def published_queue_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(queue, subscriber, id, received_at) of the K2 rows, without the envelope
+    travelling through the fold."""
+    from fanline.operators.matching import queue_name
+
+    st = publish_status_df(spark, sf_dir, keep=["topic"]).where("accepted")
+    fanned = st.withColumn("subscriber", F.explode("subscribers"))
+    return fanned.select(
+        queue_name(F.col("topic"), F.col("subscriber")).alias("queue"), "subscriber",
+        F.col("event_id").alias("id"), "received_at",
+    )
+
+
 @query("published_ledger", f"{WITH_STATUS}, {LEDGER_SQL}\nSELECT event_id, subject, group_id, timestamp, created_at FROM ledger")
 def q_published_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 + F9: accepted events with their publish time."""
@@ -132,7 +145,7 @@ FROM status""",
 )
 def q_publish_response(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7: HTTP code and body for every publish request."""
-    out = publish.publish_response(publish_status_df(spark, sf_dir))
+    out = publish.publish_response(publish_status_df(spark, sf_dir, keep=[]))
     return out.select("event_id", "http_code", "body")
 
 
