@@ -171,21 +171,39 @@ def first_per_key(df: DataFrame, key: str, ts: str = "received_at", tiebreak: st
 def not_yet_published(events: DataFrame, ledger: DataFrame, ttl_seconds: int, key: str = "event_id",
                       ts: str = "received_at", created: str = "created_at") -> DataFrame:
     """Events with no unexpired ledger row for their key at arrival time."""
-    cond = _ledger_hit(events, ledger, key, ts, created, ttl_seconds)
-    return events.alias("e").join(ledger.alias("l"), cond, "left_anti")
+    e, lg, cond = _ledger_hit(events, ledger, key, ts, created, ttl_seconds)
+    return e.join(lg, cond, "left_anti").drop("_eb")
 
 
 def duplicates_of(events: DataFrame, ledger: DataFrame, ttl_seconds: int, key: str = "event_id",
                   ts: str = "received_at", created: str = "created_at") -> DataFrame:
     """Events that do have such a ledger row."""
-    cond = _ledger_hit(events, ledger, key, ts, created, ttl_seconds)
-    return events.alias("e").join(ledger.alias("l"), cond, "left_semi")
+    e, lg, cond = _ledger_hit(events, ledger, key, ts, created, ttl_seconds)
+    return e.join(lg, cond, "left_semi").drop("_eb")
 
 
-def _ledger_hit(events, ledger, key, ts, created, ttl_seconds) -> Column:
-    e_ts, l_ts = F.col(f"e.{ts}"), F.col(f"l.{created}")
-    return (
-        (F.col(f"e.{key}") == F.col(f"l.{key}"))
+def _ledger_hit(events, ledger, key, ts, created, ttl_seconds):
+    """Join condition ``created in (ts - ttl, ts]`` on the key, made an equi-join.
+
+    A ledger keeps at most one unexpired row per key, so its rows for a key
+    are at least one TTL apart: at most one per TTL-wide bucket. Each ledger
+    row is offered to its own bucket and the next; an event looks only in its
+    own bucket and so meets at most two rows. No key, however hot, produces
+    all its (event, ledger) pairs, and the join spreads over (key, bucket).
+    """
+    ttl_us = int(ttl_seconds * 1_000_000)
+
+    def bucket(c):
+        return F.floor(F.unix_micros(F.col(c).cast("timestamp")) / F.lit(ttl_us)).cast("bigint")
+
+    lg = ledger.select(F.col(key).alias("_lk"), F.col(created).alias("_lc"), bucket(created).alias("_lb"))
+    lg = lg.withColumn("_lb", F.explode(F.array(F.col("_lb"), F.col("_lb") + 1)))
+    e = events.withColumn("_eb", bucket(ts))
+    e_ts, l_ts = F.col(ts), F.col("_lc")
+    cond = (
+        (F.col(key) == F.col("_lk"))
+        & (F.col("_eb") == F.col("_lb"))
         & (l_ts <= e_ts)
         & (l_ts > e_ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(ttl_seconds)))
     )
+    return e, lg, cond

@@ -91,10 +91,16 @@ def keyed_window(
 
     total = sum(r["_n"] for r in hot.collect())  # at most MAX_HOT_KEYS rows
     slices = max(2, math.ceil(total / threshold))
+    from fanline.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    # The slice id is read by two branches below: materialise it once (reliable
+    # checkpoint) so both see the same ids after AQE or a lost executor.
     rows = (
         df.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
         .repartitionByRange(slices, *keys, *order)
         .withColumn("_slice", F.spark_partition_id())
+        .checkpoint()
     )
     wl = Window.partitionBy(*keys, "_slice").orderBy(*order)
     local = rows.withColumns({name: _local(s, wl) for name, s in scans.items()})
