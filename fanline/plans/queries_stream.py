@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fanline.plans import fixture as fx
-from fanline.plans.oracle_sql import ATT, DUE, EV, QUEUE, dedup_chain
+from fanline import constants as C
+from fanline.plans.oracle_sql import ATT, DUE, EV, QUEUE, chain_sql, dedup_chain
 from fanline.plans.queries_delivery import WORK_STATE_SQL
 from fanline.plans.queries_metrics import E2E_SQL
 from fanline.plans.queries_publish import QUEUE_ROWS_SQL, WITH_STATUS
@@ -151,3 +152,41 @@ def q_deliver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = run_delivery(req, fx.fixture_transport, f"{root}/out", f"{root}/ckpt")
     q.awaitTermination()
     return spark.read.parquet(f"{root}/out").select("event_id", "queue", "outcome")
+
+
+@query(
+    "retry_stream",
+    f"""WITH {EV}, {ATT}, {chain_sql(C.DEFAULT_MAX_RETRIES)},
+  b AS (SELECT queue, item_id, attempt_id, attempt_no,
+          CASE WHEN attempt_no > 1 THEN least(600000.0, 100.0 * pow(2.0, attempt_no - 2)) ELSE 0.0 END AS delay_ms
+        FROM chain)
+SELECT queue, item_id, attempt_id, attempt_no, delay_ms,
+       sum(delay_ms) OVER (PARTITION BY queue, item_id ORDER BY attempt_no) AS cum_delay_ms
+FROM b""",
+)
+def q_retry_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-item retry chain and back-off, continued across micro-batches."""
+    from fanline.streaming.state import retry_stream
+
+    root = _folder(spark, "retry-stream")
+    att = fx.attempts_from(table_stream(spark, sf_dir, "events"))
+    return _run(retry_stream(att, idle_ttl_ms=FIXTURE_SPAN_MS), root).drop("_batch")
+
+
+@query(
+    "throttle_stream",
+    f"""WITH {EV}, {QUEUE},
+  r AS (SELECT queue, id, row_number() OVER (PARTITION BY queue ORDER BY received_at, id) AS cum,
+               min(received_at) OVER (PARTITION BY queue) AS t0 FROM q)
+SELECT queue, id, CAST(floor((cum - 1) / 60) AS BIGINT) AS slot,
+       t0 + CAST(floor((cum - 1) / 60) AS BIGINT) * INTERVAL 3 SECOND AS send_at
+FROM r""",
+)
+def q_throttle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """60 elements per 3 s per queue, slots carried across micro-batches."""
+    from fanline.streaming.state import throttle_stream
+
+    root = _folder(spark, "throttle-stream")
+    rows = fx.queue_rows_from(table_stream(spark, sf_dir, "events")).select("queue", "id", "received_at")
+    out = _run(throttle_stream(rows), root).drop("_batch")
+    return out.withColumn("send_at", F.col("send_at").cast("timestamp_ntz"))

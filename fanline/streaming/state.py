@@ -125,3 +125,96 @@ def run_delivery(requests: DataFrame, transport: Transport, sink_path: str, chec
     attempts = deliver(requests, transport, max_connections).withColumn("outcome", classify_outcome("status_code"))
     w = attempts.writeStream.format("parquet").option("path", sink_path).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+RETRY_OUT = ("queue string, item_id long, attempt_id long, attempt_no int, delay_ms double, "
+             "cum_delay_ms double")
+
+
+def retry_stream(attempts: DataFrame, max_retries: int = C.DEFAULT_MAX_RETRIES,
+                 min_backoff_ms: int = C.DEFAULT_MIN_BACKOFF_MS, max_backoff_ms: int = C.DEFAULT_MAX_BACKOFF_MS,
+                 order: tuple[str, str] = ("sent_at", "attempt_id"), watermark: str = "10 minutes",
+                 idle_ttl_ms: int = C.DEAD_WORK_TTL_SECONDS * 1000) -> DataFrame:
+    """The retry chain of each work item, continued across micro-batches.
+
+    State per item: attempts sent so far, whether the chain is still alive
+    (every result so far retryable and fewer than max_retries + 1 sent), and
+    the cumulative back-off. Each kept attempt is emitted with the
+    jitter-free delay before it (``min(max, min * 2^(n-2))``) and the
+    cumulative delay, like ``delivery.backoff_schedule`` over
+    ``delivery.retry_chain`` in batch. State expires ``idle_ttl`` after the
+    item's last attempt (event time).
+    """
+    ts = order[0]
+
+    def retryable(code, err, msg) -> bool:
+        if code is not None and not pd.isna(code):
+            return 500 <= int(code) <= 599 or int(code) == 429
+        return err == C.REQUEST_TIMEOUT_CLASS or (isinstance(msg, str) and C.CLOSED_CONNECTION_TEXT in msg)
+
+    def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        queue, item = k
+        if state.hasTimedOut:
+            state.remove()
+            return
+        n, alive, cum = state.get if state.exists else (0, True, 0.0)
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(list(order), kind="mergesort")
+        out = []
+        for row in pdf.itertuples(index=False):
+            if not alive or n >= max_retries + 1:
+                break
+            n += 1
+            delay = 0.0 if n == 1 else float(min(max_backoff_ms, min_backoff_ms * 2.0 ** (n - 2)))
+            cum += delay
+            out.append((queue, item, int(row.attempt_id), n, delay, cum))
+            alive = retryable(row.status_code, row.error_class, row.error_message)
+        state.update((int(n), bool(alive), float(cum)))
+        last_ms = int(pd.to_datetime(pdf[ts]).max().value // 1_000_000)
+        if last_ms + idle_ttl_ms > state.getCurrentWatermarkMs():
+            state.setTimeoutTimestamp(last_ms + idle_ttl_ms)
+        if out:
+            yield pd.DataFrame(out, columns=["queue", "item_id", "attempt_id", "attempt_no", "delay_ms", "cum_delay_ms"])
+
+    src = attempts.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+    return src.groupBy("queue", "item_id").applyInPandasWithState(
+        fn, RETRY_OUT, "n int, alive boolean, cum double", "append", GroupStateTimeout.EventTimeTimeout
+    )
+
+
+THROTTLE_OUT = "queue string, id long, slot long, send_at timestamp"
+
+
+def throttle_stream(rows: DataFrame, elements: int = C.DEFAULT_ELEMENTS, per_ms: int = C.DEFAULT_PER_MS,
+                    cost: int = 1, order: tuple[str, str] = ("received_at", "id"), watermark: str = "10 minutes",
+                    idle_ttl_ms: int = 86_400_000) -> DataFrame:
+    """Admission slots per queue, continued across micro-batches.
+
+    State per queue: the cumulative cost admitted so far and the queue's
+    start time; slot = floor((cum - cost) / elements), send_at = start +
+    slot * per, exactly as ``delivery.throttle_schedule`` in batch. A hot
+    queue's rows of one micro-batch form one group, bounded by the
+    micro-batch size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
+    """
+    ts = order[0]
+
+    def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        (queue,) = k
+        if state.hasTimedOut:
+            state.remove()
+            return
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(list(order), kind="mergesort")
+        t = pd.to_datetime(pdf[ts])
+        cum0, t0_us = state.get if state.exists else (0, int(t.iloc[0].value // 1000))
+        cum = cum0 + cost * (pd.RangeIndex(len(pdf)) + 1).to_numpy()
+        slot = (cum - cost) // elements
+        send = pd.to_datetime(t0_us, unit="us") + pd.to_timedelta(slot * per_ms, unit="ms")
+        state.update((int(cum[-1]), int(t0_us)))
+        last_ms = int(t.max().value // 1_000_000)
+        if last_ms + idle_ttl_ms > state.getCurrentWatermarkMs():
+            state.setTimeoutTimestamp(last_ms + idle_ttl_ms)
+        yield pd.DataFrame({"queue": queue, "id": pdf[order[1]].to_numpy(), "slot": slot, "send_at": send})
+
+    src = rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+    return src.groupBy("queue").applyInPandasWithState(
+        fn, THROTTLE_OUT, "cum long, t0_us long", "append", GroupStateTimeout.EventTimeTimeout
+    )

@@ -163,3 +163,35 @@ def test_run_delivery_equals_batch(spark, chunks, scratch):
     assert got.count() == 10000
     sent = got.where("outcome = 'Sent'").count()
     assert sent == 5960
+
+
+def test_retry_stream_across_batches_equals_batch(spark, chunks, scratch):
+    from fanline import constants as C
+    from fanline.operators.delivery import backoff_schedule, number_attempts, retry_chain
+    from fanline.streaming.state import retry_stream
+
+    d, schema = chunks
+    raw = file_stream(spark, d, schema, max_files_per_trigger=1)
+    out = _drain(retry_stream(fx.attempts_from(raw), idle_ttl_ms=60 * 86_400_000), scratch, "retry")
+    got = sorted(map(tuple, spark.read.parquet(out).select("attempt_id", "attempt_no", "delay_ms", "cum_delay_ms").collect()))
+    a = number_attempts(fx.attempts_from(spark.read.parquet(d)), ["queue", "item_id"], ["sent_at", "attempt_id"])
+    ch = retry_chain(a, ["queue", "item_id"], C.DEFAULT_MAX_RETRIES)
+    b = backoff_schedule(ch, ["queue", "item_id"], C.DEFAULT_MIN_BACKOFF_MS, C.DEFAULT_MAX_BACKOFF_MS)
+    assert got == sorted(map(tuple, b.select("attempt_id", "attempt_no", "delay_ms", "cum_delay_ms").collect()))
+
+
+def test_throttle_stream_across_batches_equals_batch(spark, chunks, scratch):
+    from fanline import constants as C
+    from fanline.operators.delivery import throttle_schedule
+    from fanline.streaming.state import throttle_stream
+
+    d, schema = chunks
+    raw = file_stream(spark, d, schema, max_files_per_trigger=1)
+    rows = fx.queue_rows_from(raw).select("queue", "id", "received_at")
+    out = _drain(throttle_stream(rows), scratch, "throttle")
+    res = spark.read.parquet(out)
+    assert res.select("_batch").distinct().count() == 4
+    got = sorted(map(tuple, res.select("queue", "id", "slot", F.col("send_at").cast("timestamp_ntz")).collect()))
+    brows = fx.queue_rows_from(spark.read.parquet(d)).select("queue", "id", "received_at")
+    b = throttle_schedule(brows, "queue", ["received_at", "id"], C.DEFAULT_ELEMENTS, C.DEFAULT_PER_MS)
+    assert got == sorted(map(tuple, b.select("queue", "id", "slot", "send_at").collect()))
