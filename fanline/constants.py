@@ -32,7 +32,7 @@ POLLING_INTERVAL_MS = 10
 # --- fixed values: names and patterns ---------------------------------------
 NAME_PATTERN = r"[0-9a-z-]+"
 QUEUE_SUFFIX = "_queue"
-AUDIT_SOURCE = "event-hub-publisher"
+AUDIT_SOURCE = "fanline-publisher"
 AUDIT_TYPE = "TxFailed"
 CLOSED_CONNECTION_TEXT = "The http server closed the connection unexpectedly"
 REQUEST_TIMEOUT_CLASS = "RequestTimeoutException"

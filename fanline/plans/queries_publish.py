@@ -124,7 +124,7 @@ def q_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT event_id, 'timestamp', '"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '"' FROM d
     UNION ALL SELECT event_id, 'event', substring(event, 10, length(event) - 10) FROM d
     UNION ALL SELECT event_id, 'reason', '{C.MSG_DUPLICATE}' FROM d)
-SELECT event_id, 'event-hub-publisher' AS audit_source, 'TxFailed' AS audit_type, field, value FROM kv""",
+SELECT event_id, 'fanline-publisher' AS audit_source, 'TxFailed' AS audit_type, field, value FROM kv""",
 )
 def q_audit_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: audit rows for refused publishes (the duplicate insert is the failure)."""
