@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fanline.functions.time import epoch_us
 from fanline.operators.hotkeys import hot_keys, ttl_anchors_hot
 
 DEFAULT_HOT_THRESHOLD = 2_000_000
@@ -193,12 +194,12 @@ def _ledger_hit(events, ledger, key, ts, created, ttl_seconds):
     """
     ttl_us = int(ttl_seconds * 1_000_000)
 
-    def bucket(c):
-        return F.floor(F.unix_micros(F.col(c).cast("timestamp")) / F.lit(ttl_us)).cast("bigint")
+    def bucket(df, c):
+        return F.floor(epoch_us(df, c) / F.lit(ttl_us)).cast("bigint")
 
-    lg = ledger.select(F.col(key).alias("_lk"), F.col(created).alias("_lc"), bucket(created).alias("_lb"))
+    lg = ledger.select(F.col(key).alias("_lk"), F.col(created).alias("_lc"), bucket(ledger, created).alias("_lb"))
     lg = lg.withColumn("_lb", F.explode(F.array(F.col("_lb"), F.col("_lb") + 1)))
-    e = events.withColumn("_eb", bucket(ts))
+    e = events.withColumn("_eb", bucket(events, ts))
     e_ts, l_ts = F.col(ts), F.col("_lc")
     cond = (
         (F.col(key) == F.col("_lk"))

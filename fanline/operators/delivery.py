@@ -128,16 +128,19 @@ Transport = Callable[[pd.DataFrame], pd.DataFrame]
 
 
 def deliver(requests: DataFrame, transport: Transport, max_connections: int = C.DEFAULT_MAX_CONNECTIONS,
-            queue: str = "queue", key: str = "event_id") -> DataFrame:
-    """K6: send every request through ``transport``, at most max_connections per queue at once.
-
-    Rows are hash-partitioned on (queue, pmod(hash(key), max_connections)), so
-    each queue's requests land in at most ``max_connections`` groups that run
-    concurrently; keying on the queue alone would serialise it. ``transport``
-    gets a pandas batch of requests and returns one row per request with
-    ``status_code``, ``error_class``, ``error_message``, ``latency_ms``.
+            queue: str = "queue", key: str = "event_id", instances: int = 1) -> DataFrame:
+    """K6: send every request through ``transport``, at most
+    ``max_connections`` per queue and instance at once.
+
+    Rows are hash-partitioned on (queue, pmod(hash(key), lanes)) with
+    lanes = instances * max_connections, so each queue's requests land in at
+    most that many groups that run concurrently (the fleet-wide in-flight
+    bound); keying on the queue alone would serialise it, and a hot queue is
+    spread over all its lanes. ``transport`` gets a pandas batch of requests
+    and returns one row per request with ``status_code``, ``error_class``,
+    ``error_message``, ``latency_ms``.
     """
-    lane = F.pmod(F.hash(F.col(key)), F.lit(max_connections))
+    lane = F.pmod(F.hash(F.col(key)), F.lit(max(1, instances) * max_connections))
     parts = requests.repartition(F.col(queue), lane)
     out_schema = (
         f"{queue} string, {key} {dict(requests.dtypes)[key]}, status_code int, "

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fanline.functions.time import epoch_us
+
 # At most rows/threshold hot keys exist; this caps the collected list.
 MAX_HOT_KEYS = 1_000_000
 DEFAULT_THRESHOLD = 2_000_000
@@ -219,10 +221,6 @@ def asof_next(probes: DataFrame, events: DataFrame, key: str, slices: int) -> Da
     )
 
 
-def _us(c: str) -> Column:
-    return F.unix_micros(F.col(c).cast("timestamp"))
-
-
 def ttl_anchors_hot(rows: DataFrame, key: str, ts: str, tiebreak: str, eligible: str, ttl_seconds: int,
                     threshold: int) -> DataFrame:
     """Anchored-TTL status for hot keys without gathering any key in one task.
@@ -244,8 +242,9 @@ def ttl_anchors_hot(rows: DataFrame, key: str, ts: str, tiebreak: str, eligible:
         rows = rows.withColumn("_eid", F.col(tiebreak).cast("bigint"))
     else:
         tie = F.row_number().over(Window.partitionBy(key, ts).orderBy(tiebreak)) - 1
-        rows = rows.withColumn("_eid", _us(ts) * F.lit(1024) + tie)
-    nodes = rows.where(F.col(eligible)).select(key, _us(ts).alias("t"), F.col("_eid").alias("eid")).checkpoint()
+        rows = rows.withColumn("_eid", epoch_us(rows, ts) * F.lit(1024) + tie)
+    rows = rows.withColumn("_t", epoch_us(rows, ts))
+    nodes = rows.where(F.col(eligible)).select(key, F.col("_t").alias("t"), F.col("_eid").alias("eid")).checkpoint()
     n_nodes = nodes.count()
     slices = max(2, math.ceil(2 * max(n_nodes, 1) / threshold))
     probes = nodes.select(key, (F.col("t") + F.lit(ttl_us)).alias("t"), F.col("eid").alias("pid"))
@@ -279,9 +278,9 @@ def ttl_anchors_hot(rows: DataFrame, key: str, ts: str, tiebreak: str, eligible:
     per_bucket = own.unionByName(prev).groupBy(key, "_b").agg(
         F.max("_ot").alias("_ot"), F.max("_oe").alias("_oe"), F.max("_pt").alias("_pt")
     )
-    t = _us(ts)
+    t = F.col("_t")
     e = F.col("_eid")
-    marked = rows.withColumns({"_t": t, "_e": e, "_b": F.floor(t / F.lit(ttl_us)).cast("bigint")})
+    marked = rows.withColumns({"_e": e, "_b": F.floor(t / F.lit(ttl_us)).cast("bigint")})
     j = marked.join(per_bucket, [key, "_b"], "left")
     accepted = (F.col("_oe") == F.col("_e")) & (F.col("_ot") == F.col("_t"))
     own_before = F.col("_ot").isNotNull() & ((F.col("_ot") < F.col("_t")) | ((F.col("_ot") == F.col("_t")) & (F.col("_oe") < F.col("_e"))))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fanline import constants as C
 from fanline.functions.http import failed_status, is_retryable
+from fanline.functions.time import diff_ms
 
 
 def event_counters(status: DataFrame) -> DataFrame:
@@ -58,17 +59,27 @@ def retry_counters(chain: DataFrame, max_retries: int | Column) -> DataFrame:
     return retried.groupBy(metric.alias("metric")).agg(F.count(F.lit(1)).alias("value"))
 
 
-def latency_stats(df: DataFrame, group: list[str], value: str) -> DataFrame:
-    """Count, min, max, mean and exact p50/p95/p99 per group."""
+def latency_stats(df: DataFrame, group: list[str], value: str, approx: bool = False) -> DataFrame:
+    """Count, min, max, mean and p50/p95/p99 per group.
+
+    Exact percentiles keep a value->count map per group (bounded by distinct
+    latencies, fine for millisecond request times); ``approx=True`` uses a
+    fixed-size quantile sketch instead (``percentile_approx``) for inputs of
+    unbounded cardinality.
+    """
     v = F.col(value)
+
+    def pct(p: float) -> Column:
+        return F.percentile_approx(v, p, 10_000).cast("double") if approx else F.percentile(v, p)
+
     return df.groupBy(*group).agg(
         F.count(v).alias("n"),
         F.min(v).alias("min_ms"),
         F.max(v).alias("max_ms"),
         F.round(F.avg(v), 6).alias("mean_ms"),
-        F.round(F.percentile(v, 0.5), 6).alias("p50_ms"),
-        F.round(F.percentile(v, 0.95), 6).alias("p95_ms"),
-        F.round(F.percentile(v, 0.99), 6).alias("p99_ms"),
+        F.round(pct(0.5), 6).alias("p50_ms"),
+        F.round(pct(0.95), 6).alias("p95_ms"),
+        F.round(pct(0.99), 6).alias("p99_ms"),
     )
 
 
@@ -86,8 +97,7 @@ def e2e_latency(enqueued: DataFrame, responses: DataFrame, keys: list[str]) -> D
     """
     first = responses.groupBy(*keys).agg(F.min("handled_at").alias("handled_at"))
     j = enqueued.join(first, keys)
-    ms = F.unix_micros(F.col("handled_at").cast("timestamp")) - F.unix_micros(F.col("enqueued_at").cast("timestamp"))
-    return j.select(*keys, (ms / 1000).cast("bigint").alias("e2e_ms"))
+    return j.select(*keys, diff_ms("enqueued_at", "handled_at").alias("e2e_ms"))
 
 
 def last_seen(heartbeats: DataFrame) -> DataFrame:
