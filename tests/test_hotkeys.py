@@ -91,3 +91,24 @@ def test_publish_status_with_all_keys_hot(spark):
     cold = dedup.ttl_status(m, "group_id", 86400, eligible=F.col("publishable")).select(cols)
     hot = dedup.ttl_status(m, "group_id", 86400, eligible=F.col("publishable"), hot_threshold=40).select(cols)
     assert sorted(map(tuple, cold.collect())) == sorted(map(tuple, hot.collect()))
+
+
+def test_work_state_with_hot_items_equals_cold(spark):
+    """Two-column keys through the hot path: every work item forced hot."""
+    from fanline.operators.queue import outcomes_from_attempts, work_state
+
+    a = outcomes_from_attempts(fx.fixture_attempts_unnumbered(spark, SF_CHECK))
+    keys, order = ["queue", "item_id"], ["sent_at", "attempt_id"]
+    cold = work_state(a, keys, order)
+    hot = work_state(a, keys, order, threshold=5)
+    assert sorted(map(tuple, cold.collect())) == sorted(map(tuple, hot.collect()))
+
+
+def test_throttle_with_hot_queue_equals_plain(spark):
+    from fanline.operators.delivery import throttle_schedule
+
+    rows = fx.queue_rows_from(spark.read.parquet(f"{SF_CHECK}/events.parquet")).select("queue", "id", "received_at")
+    a = throttle_schedule(rows, "queue", ["received_at", "id"], 60, 3000)
+    b = throttle_schedule(rows, "queue", ["received_at", "id"], 60, 3000, threshold=300)
+    cols = ["queue", "id", "slot", "send_at"]
+    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
