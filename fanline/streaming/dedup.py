@@ -71,11 +71,16 @@ def dedup_ttl_stream(
         parts = list(pdfs)
         if not parts:
             return
-        pdf = pd.concat(parts, ignore_index=True).sort_values([ts, tiebreak], kind="mergesort").reset_index(drop=True)
-        col = pd.to_datetime(pdf[ts])
-        if col.dt.tz is not None:
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        col = pdf[ts]
+        if getattr(col.dtype, "tz", None) is not None:
             col = col.dt.tz_convert("UTC").dt.tz_localize(None)
-        t = col.to_numpy(dtype="datetime64[us]").astype(np.int64)
+        t_raw = col.to_numpy(dtype="datetime64[us]").astype(np.int64)
+        order = np.lexsort((pdf[tiebreak].to_numpy(), t_raw))
+        if not np.array_equal(order, np.arange(len(order))):
+            pdf = pdf.iloc[order].reset_index(drop=True)
+            t_raw = t_raw[order]
+        t = t_raw
         carry = state.get[0] if state.exists else None
         acc, dup, new_carry = _fold(t, pdf["_eligible"].to_numpy(dtype=bool), ttl_us, carry)
         pdf["accepted"] = acc
