@@ -87,24 +87,35 @@ def fold_sorted(keys: np.ndarray, t: np.ndarray, elig: np.ndarray, ttl_us: int)
 def _fold_partitions(key: str, ts: str, eligible: str, ttl_us: int):
     """mapInPandas body: partitions hold whole keys sorted by (key, ts, tiebreak).
 
-    Arrow batches may split a key, so the rows of the last key of a batch are
-    carried into the next one.
+    Arrow batches may split a key: the open key's rows are kept as a list of
+    parts and concatenated once when the key closes (no quadratic copying).
     """
 
     def run(batches):
-        carry = None
+        open_parts: list[pd.DataFrame] = []  # rows of the key still open
+        open_key = None
         for pdf in batches:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
             if not len(pdf):
                 continue
-            last = pdf[key].iloc[-1]
-            tail = (pdf[key] == last).to_numpy()
-            carry, ready = pdf[tail], pdf[~tail]
-            if len(ready):
-                yield _finish(ready, key, ts, eligible, ttl_us)
-        if carry is not None and len(carry):
-            yield _finish(carry, key, ts, eligible, ttl_us)
+            keys = pdf[key].to_numpy()
+            if open_parts:
+                same = keys == open_key
+                if same.all():
+                    open_parts.append(pdf)
+                    continue
+                i = int(np.argmin(same))  # first row of another key
+                if i:
+                    open_parts.append(pdf.iloc[:i])
+                yield _finish(pd.concat(open_parts, ignore_index=True), key, ts, eligible, ttl_us)
+                open_parts = []
+                pdf, keys = pdf.iloc[i:], keys[i:]
+            last = keys[-1]
+            j = len(keys) - int(np.argmin((keys == last)[::-1])) if not (keys == last).all() else 0
+            if j:
+                yield _finish(pdf.iloc[:j], key, ts, eligible, ttl_us)
+            open_parts, open_key = [pdf.iloc[j:]], last
+        if open_parts:
+            yield _finish(pd.concat(open_parts, ignore_index=True), key, ts, eligible, ttl_us)
 
     return run
 
