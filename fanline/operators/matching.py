@@ -40,21 +40,31 @@ class SubscriptionIndex:
     paths: dict[str, CompiledPath]
     catalog: DataFrame
     inline: bool
+    broadcastable: bool = True
 
     @classmethod
     def build(cls, catalog: DataFrame) -> "SubscriptionIndex":
-        """One bounded collect of the catalog (no shuffle); the size check
-        decides between the inline expression and a join."""
+        """Size-checked: a catalog of at most ``MAX_BROADCAST_SUBSCRIPTIONS``
+        rows is collected once (no shuffle) and inlined when small enough;
+        a larger one stays a DataFrame joined by shuffle, and only its
+        distinct filter paths (compiled on the driver) must be bounded."""
         cap = MAX_BROADCAST_SUBSCRIPTIONS + 1
         rows = catalog.select("topic", "subscriber", "filter_path", "errors").limit(cap).collect()
-        if len(rows) >= cap:
-            raise ValueError("subscription catalog exceeds its bound")
-        usable = [r for r in rows if not r.errors]
-        subs = sorted({(r.topic, r.subscriber, r.filter_path) for r in usable if r.subscriber is not None})
-        topics = sorted({r.topic for r in rows if r.topic and re.fullmatch(C.NAME_PATTERN, r.topic)})
-        inline = len(subs) <= MAX_INLINE_SUBSCRIPTIONS and len(topics) <= MAX_INLINE_SUBSCRIPTIONS
-        paths = {p: parse_path(p) for _, _, p in subs if p is not None}
-        return cls(subs, topics, paths, valid_subscriptions(catalog), inline)
+        if len(rows) < cap:
+            usable = [r for r in rows if not r.errors]
+            subs = sorted({(r.topic, r.subscriber, r.filter_path) for r in usable if r.subscriber is not None})
+            topics = sorted({r.topic for r in rows if r.topic and re.fullmatch(C.NAME_PATTERN, r.topic)})
+            texts = {p for _, _, p in subs if p is not None}
+            inline = len(subs) <= MAX_INLINE_SUBSCRIPTIONS and len(topics) <= MAX_INLINE_SUBSCRIPTIONS
+        else:
+            valid = valid_subscriptions(catalog)
+            distinct = valid.select("filter_path").where(F.col("filter_path").isNotNull()).distinct()
+            found = distinct.limit(cap).collect()
+            if len(found) >= cap:
+                raise ValueError("too many distinct filter paths to compile on the driver")
+            subs, topics, texts, inline = [], [], {r.filter_path for r in found}, False
+        paths = {p: parse_path(p) for p in texts}
+        return cls(subs, topics, paths, valid_subscriptions(catalog), inline, len(rows) < cap)
 
     # -- inline form ----------------------------------------------------------
     def parse_schema(self):
@@ -112,8 +122,10 @@ def match_subscribers(events: DataFrame, index: SubscriptionIndex, doc_col: str
     fanned = _join_fan_out(events.select("event_id", "topic", doc_col), index, doc_col)
     per_event = fanned.groupBy("event_id").agg(F.array_sort(F.collect_set("subscriber")).alias("subscribers"))
     topics = index.catalog.select("topic").distinct().withColumn("topic_known", F.lit(True))
+    if index.broadcastable:
+        topics = F.broadcast(topics)
     return (
-        events.join(F.broadcast(topics), "topic", "left")
+        events.join(topics, "topic", "left")
         .join(per_event, "event_id", "left")
         .withColumns(
             {
@@ -126,7 +138,7 @@ def match_subscribers(events: DataFrame, index: SubscriptionIndex, doc_col: str
 
 def _join_fan_out(events: DataFrame, index: SubscriptionIndex, doc_col: str) -> DataFrame:
     subs = index.catalog.select("topic", "subscriber", "filter_path")
-    if len(index.subs) <= MAX_BROADCAST_SUBSCRIPTIONS:
+    if index.broadcastable:  # row count checked in build()
         subs = F.broadcast(subs)
     pred = F.when(F.col("filter_path").isNull(), F.lit(True))
     for p, cp in index.paths.items():

@@ -56,3 +56,20 @@ def test_retry_span_matches_formula(spark):
 
     spans = {r.worst_case_span_s for r in queries_metrics.q_retry_span(spark, SF_CHECK).collect()}
     assert spans == {83019.1}
+
+
+def test_join_form_of_matching_equals_inline(spark, monkeypatch):
+    """Catalogs too large to inline are joined; the result must not change."""
+    from fanline.operators import matching
+    from fanline.plans import fixture as fx
+
+    ev = fx.fixture_events(spark, SF_CHECK)
+    idx = matching.SubscriptionIndex.build(fx.fixture_catalog(spark))
+    inline = sorted(map(tuple, matching.fan_out(ev, idx).select("event_id", "subscriber", "queue").collect()))
+    idx.inline = False
+    joined = sorted(map(tuple, matching.fan_out(ev, idx).select("event_id", "subscriber", "queue").collect()))
+    assert inline == joined
+    m = matching.publishable(ev, idx).select("event_id", "topic_known", F.array_join("subscribers", ",")).collect()
+    idx.inline = True
+    m2 = matching.publishable(ev, idx).select("event_id", "topic_known", F.array_join("subscribers", ",")).collect()
+    assert sorted(map(tuple, m)) == sorted(map(tuple, m2))
