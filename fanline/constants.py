@@ -36,7 +36,6 @@ AUDIT_SOURCE = "fanline-publisher"
 AUDIT_TYPE = "TxFailed"
 CLOSED_CONNECTION_TEXT = "The http server closed the connection unexpectedly"
 REQUEST_TIMEOUT_CLASS = "RequestTimeoutException"
-RUNTIME_EXCEPTION_CLASS = "RuntimeException"
 EXCEPTIONAL = "exceptional"
 CONTENT_TYPE = "application/json"
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fanline import constants as C
 from fanline.functions.durations import duration_sql, parse_duration_ms
 from fanline.plans import fixture as fx
 from fanline.plans.oracle_sql import EV

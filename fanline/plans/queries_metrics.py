@@ -10,7 +10,7 @@ from fanline.operators import delivery, metrics
 from fanline.plans import fixture as fx
 from fanline.plans.oracle_sql import ATT, EV, QUEUE, chain_sql
 from fanline.plans.queries import PUBLISH_STATUS_SQL, publish_status_df
-from fanline.plans.queries_delivery import attempts, chain
+from fanline.plans.queries_delivery import chain
 from fanline.plans.queries_publish import QUEUE_ROWS_SQL, published_queue_keys
 from fanline.plans.registry import query
 

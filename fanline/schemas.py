@@ -45,16 +45,3 @@ SUBSCRIPTION_COLUMNS = [
     "max_retries",
     "filter_path",
 ]
-
-EVENT_COLUMNS = ["topic", "event_id", "subject", "group_id", "timestamp", "event", "received_at"]
-
-ATTEMPT_COLUMNS = [
-    "queue",
-    "event_id",
-    "attempt_no",
-    "sent_at",
-    "latency_ms",
-    "status_code",
-    "error_class",
-    "error_message",
-]

@@ -46,3 +46,10 @@ def to_event_rows(raw: DataFrame) -> DataFrame:
 def queue_stream(spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int | None = None) -> DataFrame:
     """Queue rows as an endless stream; the trigger sets the poll interval."""
     return file_stream(spark, path, schema, max_files_per_trigger=max_files_per_trigger)
+
+
+def poll_trigger() -> dict:
+    """The service's queue poll interval as a processing-time trigger."""
+    from fanline.constants import POLLING_INTERVAL_MS
+
+    return {"processingTime": f"{POLLING_INTERVAL_MS} milliseconds"}
