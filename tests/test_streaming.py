@@ -195,3 +195,27 @@ def test_throttle_stream_across_batches_equals_batch(spark, chunks, scratch):
     brows = fx.queue_rows_from(spark.read.parquet(d)).select("queue", "id", "received_at")
     b = throttle_schedule(brows, "queue", ["received_at", "id"], C.DEFAULT_ELEMENTS, C.DEFAULT_PER_MS)
     assert got == sorted(map(tuple, b.select("queue", "id", "slot", "send_at").collect()))
+
+
+def test_delivery_restarts_from_checkpoint_exactly_once(spark, scratch):
+    """Stop, add input, restart on the same checkpoint: every request once."""
+    src = os.path.join(scratch, "in")
+    ev = spark.read.parquet(os.path.join(SF_CHECK, "events.parquet"))
+    halves = ev.randomSplit([0.5, 0.5], seed=3)
+    schema = ev.schema
+    sink, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ckpt")
+
+    def start():
+        raw = file_stream(spark, src, schema, max_files_per_trigger=1)
+        req = raw.select(F.concat("event_type", F.lit("_main_queue")).alias("queue"), "event_id",
+                         fx.envelope_json(F.col("event_type"), F.col("user_id"), F.col("props")).alias("body"))
+        return run_delivery(req, fx.fixture_transport, sink, ckpt)
+
+    halves[0].coalesce(1).write.mode("append").parquet(src)
+    start().awaitTermination(600)
+    first = spark.read.parquet(sink).count()
+    halves[1].coalesce(1).write.mode("append").parquet(src)
+    start().awaitTermination(600)
+    got = spark.read.parquet(sink)
+    assert 0 < first < 10000
+    assert got.count() == 10000 and got.select("event_id").distinct().count() == 10000
