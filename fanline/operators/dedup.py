@@ -15,10 +15,11 @@ Plan. One cheap aggregation counts rows per key (map-side combined). Keys at
 or below ``hot_threshold`` rows take one shuffle: ``repartition(key)`` +
 ``sortWithinPartitions(key, ts, tiebreak)`` + ``mapInPandas``, which folds
 every key of a partition at once with vectorised numpy (no per-key Python
-call); a key is never larger than the proven threshold. Keys above it (a key may hold a third of all rows) are
-never gathered into one task: ``fanline.operators.hotkeys`` splits them into
-time ranges of bounded size and resolves the chain with pointer doubling
-over Spark joins.
+call); no key there is larger than the proven threshold. Keys above it (a
+key may hold a third of all rows) are never gathered into one task:
+``fanline.operators.hotkeys.ttl_anchors_hot`` finds each row's next
+candidate on count-balanced range slices and resolves the anchor chain by
+pointer doubling over Spark joins.
 """
 
 from __future__ import annotations

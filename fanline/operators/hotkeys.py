@@ -190,12 +190,12 @@ def asof_next(probes: DataFrame, events: DataFrame, key: str, slices: int) -> Da
         nk = np.where(ok, keys[np.minimum(nxt, n - 1)], keys)
         same = ok & (nk == keys)
         probe = kind == 0
-        nid = np.where(same, ids[np.minimum(nxt, n - 1)], -1)
-        nt = np.where(same, ts[np.minimum(nxt, n - 1)], -1)
-        res = pd.DataFrame({"tag": 0, key: keys[probe], "_slice": sl, "id": ids[probe],
-                            "nid": nid[probe], "nt": nt[probe]})
-        res["nid"] = res["nid"].astype("Int64").where(res["nid"] >= 0)
-        res["nt"] = res["nt"].astype("Int64").where(res["nt"] >= 0)
+        at = np.minimum(nxt, n - 1)
+        hit = same[probe]
+        res = pd.DataFrame({"tag": 0, key: keys[probe], "_slice": sl, "id": ids[probe]})
+        res["nid"] = pd.array(ids[at][probe], dtype="Int64")
+        res["nt"] = pd.array(ts[at][probe], dtype="Int64")
+        res.loc[~hit, ["nid", "nt"]] = pd.NA
         # summary: first event of each key in this slice (or none: key seen only)
         ev = pdf[kind == 1].groupby(key, sort=False).head(1)
         seen = pd.DataFrame({key: pd.unique(keys)})

@@ -38,8 +38,9 @@ def test_keyed_window_hot_equals_plain(spark):
 
 def test_asof_next_brute_force(spark):
     rnd = random.Random(5)
-    ev = [(rnd.choice([1, 1, 1, 2]), rnd.randint(0, 500), i) for i in range(600)]
-    pr = [(rnd.choice([1, 2, 3]), rnd.randint(0, 520), 10_000 + i) for i in range(300)]
+    # negative ids and times (before 1970) must work too
+    ev = [(rnd.choice([1, 1, 1, 2]), rnd.randint(-500, 500), i - 300) for i in range(600)]
+    pr = [(rnd.choice([1, 2, 3]), rnd.randint(-520, 520), 10_000 + i) for i in range(300)]
     events = spark.createDataFrame(ev, "k long, t long, eid long")
     probes = spark.createDataFrame(pr, "k long, t long, pid long")
     got = {r.pid: r.nid for r in asof_next(probes, events, "k", 7).collect()}
