@@ -76,7 +76,8 @@ def backoff_schedule(chain: DataFrame, keys: list[str], min_ms: Column | int, ma
 
 def throttle_schedule(rows: DataFrame, queue: str, order: list[str], elements: Column | int, per_ms: Column | int,
                       cost: Column | int = 1, start: str | None = None,
-                      threshold: int = DEFAULT_THRESHOLD, hot_from: DataFrame | None = None) -> DataFrame:
+                      threshold: int = DEFAULT_THRESHOLD, hot_from: DataFrame | None = None,
+                      hot: DataFrame | None | str = "detect") -> DataFrame:
     """Admission slots of a token bucket of ``elements`` per ``per_ms``.
 
     Each row costs ``cost`` units (``max(instances, 1)`` keeps the fleet-wide
@@ -91,7 +92,7 @@ def throttle_schedule(rows: DataFrame, queue: str, order: list[str], elements: C
     scans = {"_cum": Scan("sum", "_cost")}
     start = start or order[0]
     scans["_t0"] = Scan("min", start)
-    df = keyed_window(df, [queue], order, scans, threshold, hot_from)
+    df = keyed_window(df, [queue], order, scans, threshold, hot_from, hot)
     slot = F.floor((F.col("_cum") - F.col("_cost")) / el).cast("bigint")
     send_at = F.col("_t0") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (slot * per) / F.lit(1000.0))
     return df.withColumn("slot", slot).withColumn("send_at", send_at).drop("_cost", "_cum", "_t0")

@@ -76,15 +76,19 @@ def keyed_window(
     scans: dict[str, Scan],
     threshold: int = DEFAULT_THRESHOLD,
     hot_from: DataFrame | None = None,
+    hot: DataFrame | None | str = "detect",
 ) -> DataFrame:
     """Adds one column per ``scans`` entry, computed per key in ``order``.
 
-    ``hot_from``: a cheaper frame whose per-key counts bound those of ``df``
-    (e.g. the rows before a filter) to detect hot keys without computing an
-    expensive ``df`` twice.
+    Hot keys are found by counting ``df`` per key, or ``hot_from`` when given
+    (a cheaper frame whose per-key counts bound those of ``df``). A caller
+    that can bound the counts itself passes ``hot``: a frame of the keys that
+    may be hot with an upper bound ``_n`` of their rows, or None when it has
+    proven that no key exceeds ``threshold``.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
-    hot = hot_keys(hot_from if hot_from is not None else df, keys, threshold)
+    if isinstance(hot, str):
+        hot = hot_keys(hot_from if hot_from is not None else df, keys, threshold)
     if hot is None:
         return df.withColumns({name: _local(s, w) for name, s in scans.items()})
 

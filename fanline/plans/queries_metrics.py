@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fanline import constants as C
 from fanline.operators import delivery, metrics
+from fanline.operators.hotkeys import DEFAULT_THRESHOLD
 from fanline.plans import fixture as fx
 from fanline.plans.oracle_sql import ATT, EV, QUEUE, chain_sql
 from fanline.plans.queries import PUBLISH_STATUS_SQL, publish_status_df
@@ -138,6 +139,24 @@ def q_last_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.last_seen(fx.fixture_heartbeats(spark, sf_dir))
 
 
+def hot_queues(spark: SparkSession, sf_dir: str, threshold: int = DEFAULT_THRESHOLD) -> DataFrame | None:
+    """Queues that may exceed ``threshold`` rows, with an upper bound of their rows.
+
+    A queue holds at most one row per event of its topic, so only queues of
+    topics with more than ``threshold`` events can be hot. Counting topics
+    reads one column; the result is bounded by the catalog.
+    """
+    from fanline.operators.hotkeys import hot_keys
+    from fanline.operators.matching import queue_name
+
+    idx = fx.fixture_index(spark)
+    topics = hot_keys(fx.fixture_events(spark, sf_dir).where(F.col("topic").isin(*idx.topics)), ["topic"], threshold)
+    if topics is None:
+        return None
+    subs = spark.createDataFrame([(t, s) for t, s, _ in idx.subs], "topic string, subscriber string")
+    return subs.join(topics, "topic").select(queue_name(F.col("topic"), F.col("subscriber")).alias("queue"), "_n")
+
+
 @query(
     "throttle_schedule",
     f"""{WITH_STATUS}, {QUEUE_ROWS_SQL},
@@ -152,12 +171,9 @@ FROM r""",
 def q_throttle_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """60 elements per 3 s per queue, one instance (cost 1)."""
     rows = published_queue_keys(spark, sf_dir)
-    # queue sizes before dedup bound those after it: a cheap hot-queue check
-    from fanline.operators import matching
-
-    candidates = matching.fan_out(fx.fixture_events(spark, sf_dir), fx.fixture_index(spark)).select("queue")
+    hot = hot_queues(spark, sf_dir)
     out = delivery.throttle_schedule(rows, "queue", ["received_at", "id"], C.DEFAULT_ELEMENTS, C.DEFAULT_PER_MS,
-                                     hot_from=candidates)
+                                     hot=hot)
     return out.select("queue", "id", "slot", "send_at")
 
 

@@ -113,3 +113,18 @@ def test_throttle_with_hot_queue_equals_plain(spark):
     b = throttle_schedule(rows, "queue", ["received_at", "id"], 60, 3000, threshold=300)
     cols = ["queue", "id", "slot", "send_at"]
     assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+
+
+def test_hot_queue_bound_from_topic_counts(spark):
+    """Queues of topics above the threshold are offered as hot; the schedule is unchanged."""
+    from fanline.plans.queries_metrics import hot_queues, q_throttle_schedule
+    from fanline.operators.delivery import throttle_schedule
+    from fanline.plans.queries_publish import published_queue_keys
+
+    hot = hot_queues(spark, SF_CHECK, threshold=1500)
+    assert {r.queue for r in hot.collect()} >= {"click_audit-all_queue", "click_high-k_queue"}
+    rows = published_queue_keys(spark, SF_CHECK)
+    a = throttle_schedule(rows, "queue", ["received_at", "id"], 60, 3000, threshold=1500, hot=hot)
+    b = q_throttle_schedule(spark, SF_CHECK)
+    cols = ["queue", "id", "slot", "send_at"]
+    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
