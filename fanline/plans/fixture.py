@@ -170,8 +170,8 @@ def uuid_of(event_id: Column) -> Column:
 
 def fixture_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON publish bodies built from ``events``; some are invalid by rule on k:
-    90-93 no eventId, 94-95 eventId not a UUID, 96-97 bad timestamp,
-    98 no subject, 99 no event payload."""
+    89 groupId sent as a number, 90-93 no eventId, 94-95 eventId not a UUID,
+    96-97 bad timestamp, 98 no subject, 99 no event payload."""
     ev = read_table(spark, sf_dir, "events")
     k = k_of(F.col("props"))
     ts_text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
@@ -186,7 +186,9 @@ def fixture_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(
             F.when(~k.between(90, 93), F.concat(F.lit('"eventId":"'), eid, F.lit('"'))),
             F.when(k != 98, F.concat(F.lit('"subject":"'), F.col("event_type"), F.lit('"'))),
-            F.concat(F.lit('"groupId":"'), F.col("user_id").cast("string"), F.lit('"')),
+            F.when(k == 89, F.concat(F.lit('"groupId":'), F.col("user_id").cast("string"))).otherwise(
+                F.concat(F.lit('"groupId":"'), F.col("user_id").cast("string"), F.lit('"'))
+            ),
             F.concat(F.lit('"timestamp":"'), F.when(k.between(96, 97), F.lit("yesterday")).otherwise(ts_text), F.lit('"')),
             F.when(k != 99, F.concat(F.lit('"event":'), payload)),
         )

@@ -15,7 +15,8 @@ from fanline.sources.catalog import valid_name
 UUID_SQL = "'00000000-0000-4000-8000-' || lpad(lower(hex(event_id)), 12, '0')"
 PAYLOAD_SQL = """'{"event_type":"' || event_type || '","user_id":' || CAST(user_id AS VARCHAR)
   || ',"props":' || replace(props, ': ', ':') || '}'"""
-ERRORS_SQL = """CASE WHEN k BETWEEN 90 AND 93 THEN 'obj.eventId: error.path.missing'
+ERRORS_SQL = """CASE WHEN k = 89 THEN 'obj.groupId: error.expected.jsstring'
+  WHEN k BETWEEN 90 AND 93 THEN 'obj.eventId: error.path.missing'
   WHEN k BETWEEN 94 AND 95 THEN 'obj.eventId: error.expected.uuid'
   WHEN k BETWEEN 96 AND 97 THEN 'obj.timestamp: error.expected.date.isoformat'
   WHEN k = 98 THEN 'obj.subject: error.path.missing'
@@ -31,7 +32,7 @@ def parsed_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {EV}
 SELECT {UUID_SQL} AS event_id, event_type AS subject, CAST(user_id AS VARCHAR) AS group_id, ts AS timestamp,
        {PAYLOAD_SQL} AS event
-FROM ev WHERE k < 90""",
+FROM ev WHERE k < 89""",
 )
 def q_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON bodies -> typed events (valid ones)."""
@@ -43,7 +44,7 @@ def q_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "validate_events",
     f"""WITH {EV}
-SELECT event_id AS source_id, k < 90 AS is_valid, {ERRORS_SQL} AS errors FROM ev""",
+SELECT event_id AS source_id, k < 89 AS is_valid, {ERRORS_SQL} AS errors FROM ev""",
 )
 def q_validate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every body with all of its field errors."""

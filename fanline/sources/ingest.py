@@ -26,26 +26,43 @@ def local_timestamp(text: Column) -> Column:
 
 
 def parse_bodies(bodies: DataFrame, body: str = "body") -> DataFrame:
-    """S1 + S2: parse each body; adds typed columns and ``errors`` (array)."""
+    """S1 + S2: parse each body; adds typed columns and ``errors`` (array).
+
+    Values come from one ``from_json`` against the envelope schema (the
+    payload keeps its raw JSON text). JSON types are checked on a variant of
+    the same body: a field that is absent, JSON null, or of another type than
+    expected gets its own error, and every error of a body is reported.
+    """
     p = F.from_json(F.col(body), ENVELOPE_JSON_SCHEMA)
-    df = bodies.withColumn("_p", p)
+    df = bodies.withColumn("_p", p).withColumn("_v", F.try_parse_json(F.col(body)))
     eid, subj, gid, ts, ev = (F.col(f"_p.{n}") for n in ("eventId", "subject", "groupId", "timestamp", "event"))
     parsed_ts = local_timestamp(ts)
 
-    def missing(c: Column, name: str) -> Column:
-        return F.when(c.isNull(), F.lit(f"obj.{name}: error.path.missing"))
+    def jtype(name: str) -> Column:
+        # NULL when absent, 'VOID' for JSON null, else the value's type
+        return F.schema_of_variant(F.try_variant_get(F.col("_v"), f"$.{name}", "variant"))
+
+    def string_field(name: str) -> tuple[Column, Column]:
+        t = jtype(name)
+        return (
+            F.when(t.isNull(), F.lit(f"obj.{name}: error.path.missing")),
+            F.when(t.isNotNull() & (t != "STRING"), F.lit(f"obj.{name}: error.expected.jsstring")),
+        )
 
+    is_object = F.coalesce(F.schema_of_variant(F.col("_v")).startswith("OBJECT"), F.lit(False))
+    ts_type = jtype("timestamp")
     errors = F.array(
-        missing(eid, "eventId"),
-        F.when(eid.isNotNull() & ~eid.rlike(UUID_RE), F.lit("obj.eventId: error.expected.uuid")),
-        missing(subj, "subject"),
-        missing(gid, "groupId"),
-        missing(ts, "timestamp"),
-        F.when(ts.isNotNull() & parsed_ts.isNull(), F.lit("obj.timestamp: error.expected.date.isoformat")),
-        missing(ev, "event"),
+        *string_field("eventId"),
+        F.when((jtype("eventId") == "STRING") & ~eid.rlike(UUID_RE), F.lit("obj.eventId: error.expected.uuid")),
+        *string_field("subject"),
+        *string_field("groupId"),
+        F.when(ts_type.isNull(), F.lit("obj.timestamp: error.path.missing")),
+        F.when(ts_type.isNotNull() & (ts_type != "STRING"), F.lit("obj.timestamp: error.expected.date")),
+        F.when((ts_type == "STRING") & parsed_ts.isNull(), F.lit("obj.timestamp: error.expected.date.isoformat")),
+        F.when(jtype("event").isNull(), F.lit("obj.event: error.path.missing")),
     )
     errs = F.filter(errors, lambda x: x.isNotNull())
-    errs = F.when(F.col("_p").isNull(), F.array(F.lit("obj: error.expected.jsobject"))).otherwise(errs)
+    errs = F.when(~is_object, F.array(F.lit("obj: error.expected.jsobject"))).otherwise(errs)
     return df.select(
         "*",
         F.lower(eid).alias("event_id"),
@@ -54,7 +71,7 @@ def parse_bodies(bodies: DataFrame, body: str = "body") -> DataFrame:
         parsed_ts.alias("timestamp"),
         ev.alias("event"),
         errs.alias("errors"),
-    ).drop("_p")
+    ).drop("_p", "_v")
 
 
 def valid_events(parsed: DataFrame) -> DataFrame:

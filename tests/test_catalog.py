@@ -67,3 +67,27 @@ def test_parse_duration(spark):
     got = [r[0] for r in df.select(parse_duration_ms(F.col("t"))).collect()]
     assert got == [3000, 100, 600000, 86400000, 86400000, 250, 0, 2500, None, None]
     assert C.DEFAULT_PER_MS == 3000
+
+
+def test_body_validation_reports_every_error(spark):
+    from fanline.sources.ingest import parse_bodies
+
+    uid = "2b7e1516-28ae-4d2a-9f1b-6a3c8e5d4f00"
+    bodies = [
+        f'{{"eventId":"{uid}","subject":"s","groupId":"","timestamp":"2021-02-11T23:00:00.000Z","event":{{"a":1}}}}',
+        f'{{"eventId":"{uid}","subject":"s","groupId":"g","timestamp":"2021-02-11T23:00:00","event":null}}',
+        '{"subject":5,"groupId":null,"timestamp":1613084400000,"event":{}}',
+        f'{{"eventId":"{uid}","subject":"s","groupId":"g","timestamp":"2021"}}',
+        "[1,2]",
+        "not json",
+    ]
+    got = [(r.errors, r.timestamp is not None) for r in
+           parse_bodies(spark.createDataFrame([(b,) for b in bodies], "body string")).collect()]
+    assert got[0] == ([], True)  # empty groupId is a valid string
+    assert got[1] == ([], True)  # a null payload is still a payload
+    assert sorted(got[2][0]) == sorted([
+        "obj.eventId: error.path.missing", "obj.subject: error.expected.jsstring",
+        "obj.groupId: error.expected.jsstring", "obj.timestamp: error.expected.date",
+    ])
+    assert sorted(got[3][0]) == ["obj.event: error.path.missing", "obj.timestamp: error.expected.date.isoformat"]
+    assert got[4][0] == ["obj: error.expected.jsobject"] and got[5][0] == ["obj: error.expected.jsobject"]
