@@ -90,3 +90,25 @@ def publish_response(status: DataFrame) -> DataFrame:
 def expire_ledger(ledger: DataFrame, as_of: Column, ttl_seconds: int = C.LEDGER_TTL_SECONDS) -> DataFrame:
     """K8: ledger rows younger than the TTL survive (expired iff age >= ttl)."""
     return ledger.where(F.col("created_at") > as_of - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(ttl_seconds)))
+
+
+INVALID_PAYLOAD_KEY = "Invalid Event payload: "
+
+
+def invalid_response(parsed: DataFrame) -> DataFrame:
+    """K7 for bodies that failed validation: 400 and every error as JSON,
+    ``{"Invalid Event payload: ": {path: [{"msg": [msg], "args": []}]}}``."""
+    entry = F.transform(
+        "errors",
+        lambda e: F.struct(
+            F.split(e, ": ").getItem(0).alias("key"),
+            F.array(
+                F.struct(
+                    F.array(F.split(e, ": ").getItem(1)).alias("msg"),
+                    F.array().cast("array<string>").alias("args"),
+                )
+            ).alias("value"),
+        ),
+    )
+    body = F.to_json(F.create_map(F.lit(INVALID_PAYLOAD_KEY), F.map_from_entries(entry)))
+    return parsed.withColumns({"http_code": F.lit(C.CODE_BAD_REQUEST), "body": body})

@@ -137,6 +137,24 @@ def q_first_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.first_per_key(ev, "group_id").select("group_id", "event_id", "received_at")
 
 
+def status_sql(ev_cte: str = EV) -> str:
+    """Publish status over the events of ``ev_cte`` (a CTE named ``ev``)."""
+    return f"""{ev_cte}, {SUBS}, {TOPICS}, {FANNED}, {MATCHED},
+  {dedup_chain("(SELECT * FROM matched WHERE topic_known AND n_subs > 0)", "group_id")},
+  st AS (
+    SELECT m.*, a.event_id IS NOT NULL AS accepted,
+      (SELECT max(x.ts) FROM anchors x WHERE x.dkey = m.group_id
+         AND (x.ts < m.ts OR (x.ts = m.ts AND x.event_id < m.event_id))) AS last_anchor
+    FROM matched m LEFT JOIN anchors a ON a.event_id = m.event_id),
+  status AS (
+    SELECT st.*, CASE
+      WHEN NOT accepted AND last_anchor IS NOT NULL AND ts < last_anchor + INTERVAL 24 HOUR THEN 'duplicate'
+      WHEN NOT topic_known THEN 'no-topic'
+      WHEN n_subs = 0 THEN 'no-subscribers'
+      ELSE 'published' END AS status
+    FROM st)"""
+
+
 PUBLISH_STATUS_SQL = f"""{EV}, {SUBS}, {TOPICS}, {FANNED}, {MATCHED},
   {dedup_chain("(SELECT * FROM matched WHERE topic_known AND n_subs > 0)", "group_id")},
   st AS (

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from fanline.functions.durations import duration_sql, parse_duration_ms
 from fanline.plans import fixture as fx
+from fanline import constants as C
+from fanline.operators import dedup, matching, publish
 from fanline.plans.oracle_sql import EV
+from fanline.plans.queries import status_sql
 from fanline.plans.registry import query
 from fanline.sources import ingest
 from fanline.sources.catalog import valid_name
@@ -127,3 +130,47 @@ def q_parse_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     unit = F.element_at(F.array(*map(F.lit, DURATION_SPELLINGS)), (k % 7) + 1)
     d = ev.select("event_id", F.concat(k.cast("string"), unit).alias("text"))
     return d.withColumn("ms", parse_duration_ms(F.col("text")))
+
+
+RESPONSE_SQL = f"""CASE status WHEN 'published' THEN '{{"publishedSubscribers":["' || replace(subscribers, ',', '","') || '"]}}'
+    WHEN 'duplicate' THEN '{C.MSG_DUPLICATE}' WHEN 'no-subscribers' THEN '{C.MSG_NO_SUBSCRIBERS}'
+    WHEN 'no-topic' THEN '{C.MSG_NO_TOPIC}' END"""
+
+EV_VALID = EV.replace("ev AS (", "ev_all AS (", 1) + ",\n  ev AS (SELECT * FROM ev_all WHERE k < 89)"
+
+
+@query(
+    "publish_endpoint",
+    f"""WITH RECURSIVE {status_sql(EV_VALID)},
+  bad AS (SELECT event_id, {ERRORS_SQL} AS err FROM ev_all WHERE k >= 89)
+SELECT event_id AS source_id, CASE WHEN status = 'no-topic' THEN 404 ELSE 201 END AS http_code,
+       {RESPONSE_SQL} AS body
+FROM status
+UNION ALL
+SELECT event_id, 400, '{{"Invalid Event payload: ":{{"' || split_part(err, ': ', 1) || '":[{{"msg":["'
+       || split_part(err, ': ', 2) || '"],"args":[]}}]}}}}'
+FROM bad""",
+)
+def q_publish_endpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The publish endpoint end to end: body -> 400 with every error, or
+    match on the whole envelope -> anchored dedup -> 201 / 404 response."""
+    parsed = parsed_bodies(spark, sf_dir)
+    bad = publish.invalid_response(ingest.invalid_events(parsed))
+    good = ingest.valid_events(parsed).select(
+        "source_id",
+        F.col("subject").alias("topic"),  # the endpoint's topic: the subject here
+        "event_id", "subject", "group_id", "timestamp",
+        F.col("body").alias("event"),  # filters read the whole envelope
+        F.col("timestamp").alias("received_at"),
+    )
+    m = matching.publishable(good, fx.fixture_index(spark))
+    st = dedup.ttl_status(m, "group_id", fx.DEDUP_TTL_SECONDS, eligible=F.col("publishable"))
+    status = (
+        F.when(F.col("duplicate"), F.lit(C.ST_DUPLICATE))
+        .when(~F.col("topic_known"), F.lit(C.ST_NO_TOPIC))
+        .when(F.size("subscribers") == 0, F.lit(C.ST_NO_SUBSCRIBERS))
+        .otherwise(F.lit(C.ST_PUBLISHED))
+    )
+    ok = publish.publish_response(st.withColumn("status", status))
+    cols = ["source_id", "http_code", "body"]
+    return ok.select(*cols).unionByName(bad.select(*cols))
