@@ -67,3 +67,26 @@ def publish_stream(
 
     w = st.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def events_from_bodies(bodies: DataFrame) -> DataFrame:
+    """S1 + S2 on a stream: the valid bodies as EVENT rows (topic = subject,
+    the whole body is the envelope the filters read, arrival time = its
+    timestamp as an instant for watermarking)."""
+    from fanline.sources.ingest import parse_bodies, valid_events
+
+    ok = valid_events(parse_bodies(bodies))
+    return ok.select(
+        F.col("subject").alias("topic"), "event_id", "subject", "group_id", "timestamp",
+        F.col("body").alias("event"), F.col("timestamp").cast("timestamp").alias("received_at"),
+    )
+
+
+def rejected_stream(bodies: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """The 400 responses of invalid bodies, as their own exactly-once query."""
+    from fanline.sources.ingest import invalid_events, parse_bodies
+
+    bad = publish.invalid_response(invalid_events(parse_bodies(bodies)))
+    cols = [c for c in bodies.columns if c != "body"] + ["http_code", "body", "errors"]
+    w = bad.select(*cols).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()

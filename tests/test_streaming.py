@@ -219,3 +219,23 @@ def test_delivery_restarts_from_checkpoint_exactly_once(spark, scratch):
     got = spark.read.parquet(sink)
     assert 0 < first < 10000
     assert got.count() == 10000 and got.select("event_id").distinct().count() == 10000
+
+
+def test_publish_stream_from_bodies(spark, scratch):
+    """D2 from raw bodies: valid ones are published, invalid ones answered 400."""
+    from fanline.plans.queries_ingest import q_publish_endpoint
+
+    src = os.path.join(scratch, "bodies")
+    fx.fixture_bodies(spark, SF_CHECK).coalesce(2).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    root = os.path.join(scratch, "pub")
+    q = sp.publish_stream(sp.events_from_bodies(file_stream(spark, src, schema)), fx.fixture_index(spark),
+                          os.path.join(root, "out"), os.path.join(root, "ckpt"), key="group_id",
+                          ttl_seconds=fx.DEDUP_TTL_SECONDS)
+    q.awaitTermination(600)
+    r = sp.rejected_stream(file_stream(spark, src, schema), os.path.join(root, "rejected"), os.path.join(root, "rckpt"))
+    r.awaitTermination(600)
+    endpoint = q_publish_endpoint(spark, SF_CHECK)
+    published = endpoint.where("body LIKE '%publishedSubscribers%'").count()
+    assert sp.read_committed(spark, os.path.join(root, "out"), "ledger").count() == published
+    assert spark.read.parquet(os.path.join(root, "rejected")).count() == endpoint.where("http_code = 400").count()
