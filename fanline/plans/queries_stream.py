@@ -128,14 +128,24 @@ def q_latency_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(latency_stream(enq, resp, ["queue", "id"]), root).drop("_batch")
 
 
-@query("presence_stream")
+@query(
+    "presence_stream",
+    """WITH hb AS (SELECT user_id AS instance_id, max(ts) AS last_seen_at FROM events GROUP BY user_id),
+  clock AS (SELECT max(ts) - INTERVAL 1 MINUTE AS watermark FROM events)
+SELECT instance_id, last_seen_at, TRUE AS active FROM hb
+UNION ALL
+SELECT instance_id, last_seen_at, FALSE FROM hb, clock WHERE last_seen_at + INTERVAL 6 HOUR < watermark""",
+)
 def q_presence_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Membership updates (rows-only check: the emitted transitions)."""
+    """Membership transitions. Every instance is reported active; once the
+    watermark (newest heartbeat - 1 minute) passes last-seen + timeout, it is
+    reported inactive and its state dropped."""
     from fanline.streaming.state import presence_stream
 
     root = _folder(spark, "presence-stream")
     hb = table_stream(spark, sf_dir, "events").select(F.col("user_id").alias("instance_id"), F.col("ts").alias("seen_at"))
-    return _run(presence_stream(hb, fx.HEARTBEAT_TIMEOUT_MS), root, "update").drop("_batch")
+    out = _run(presence_stream(hb, fx.HEARTBEAT_TIMEOUT_MS), root, "update").drop("_batch")
+    return out.withColumn("last_seen_at", F.col("last_seen_at").cast("timestamp_ntz"))
 
 
 @query("deliver_stream", f"WITH {EV}, {ATT}\nSELECT attempt_id AS event_id, queue, outcome FROM att")
