@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from fanline.sources.tables import TABLES
 
-NO_ORACLE = {"presence_stream"}  # rows-only: emitted membership transitions
+NO_ORACLE = set()  # every registered query has a DuckDB oracle
 
 
 def _norm(v):
