@@ -34,13 +34,15 @@ def subscriber_counters(enqueued: DataFrame, outcomes: DataFrame) -> DataFrame:
     and ``outcome``.
     """
     enq = enqueued.select(F.lit("enqueued").alias("kind"), "subscriber")
+    # every outcome is one of the three, so no filter is needed (a filter
+    # here would be pushed into the derivation of ``outcome`` and copy it)
     kind = (
         F.when(F.col("outcome") == C.SENT, F.lit("published"))
         .when(F.col("outcome") == C.FAILED_OUTCOME, F.lit("failed"))
-        .when(F.col("outcome") == C.REMOVED, F.lit("permanently-failed"))
+        .otherwise(F.lit("permanently-failed"))
     )
     res = outcomes.select(kind.alias("kind"), "subscriber")
-    both = enq.unionByName(res).where(F.col("kind").isNotNull())
+    both = enq.unionByName(res)
     metric = F.concat_ws(".", F.lit("subscriber"), F.col("kind"), F.col("subscriber"))
     return both.groupBy(metric.alias("metric")).agg(F.count(F.lit(1)).alias("value"))
 
