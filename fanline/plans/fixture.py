@@ -61,6 +61,11 @@ def k_of(props: Column) -> Column:
     return F.get_json_object(props, "$.k").cast("int")
 
 
+def with_k(ev: DataFrame) -> tuple[DataFrame, Column]:
+    """Extract k once, in its own projection (the rules below use it many times)."""
+    return ev.withColumn("_k", k_of(F.col("props"))), F.col("_k")
+
+
 def envelope_json(event_type: Column, user_id: Column, props: Column) -> Column:
     """The event payload as JSON text (only ints and strings, so both engines agree)."""
     return F.concat(
@@ -126,7 +131,7 @@ def fixture_attempts_unnumbered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attempts_from(ev: DataFrame) -> DataFrame:
     """ATTEMPT rows from ``events``-shaped rows (batch or stream)."""
-    k = k_of(F.col("props"))
+    ev, k = with_k(ev)
     return ev.select(
         F.concat(F.col("event_type"), F.lit("_main_queue")).alias("queue"),
         F.col("user_id").alias("item_id"),
@@ -144,7 +149,7 @@ def fixture_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queue_rows_from(ev: DataFrame) -> DataFrame:
     """QUEUE rows from ``events``-shaped rows (batch or stream)."""
-    k = k_of(F.col("props"))
+    ev, k = with_k(ev)
     state = F.element_at(F.array(*map(F.lit, QUEUE_STATES)), (k % 4) + 1)
     return ev.select(
         F.concat(F.col("event_type"), F.lit("_main_queue")).alias("queue"),
@@ -172,8 +177,7 @@ def fixture_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON publish bodies built from ``events``; some are invalid by rule on k:
     89 groupId sent as a number, 90-93 no eventId, 94-95 eventId not a UUID,
     96-97 bad timestamp, 98 no subject, 99 no event payload."""
-    ev = read_table(spark, sf_dir, "events")
-    k = k_of(F.col("props"))
+    ev, k = with_k(read_table(spark, sf_dir, "events"))
     ts_text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
     payload = F.concat(
         F.lit('{"event_type":"'), F.col("event_type"), F.lit('","user_id":'), F.col("user_id").cast("string"),
