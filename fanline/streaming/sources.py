@@ -53,3 +53,28 @@ def poll_trigger() -> dict:
     from fanline.constants import POLLING_INTERVAL_MS
 
     return {"processingTime": f"{POLLING_INTERVAL_MS} milliseconds"}
+
+
+def kafka_body_stream(spark: SparkSession, servers: str, topic: str,
+                      max_offsets_per_trigger: int | None = None, **options: str) -> DataFrame:
+    """JSON publish bodies from a Kafka topic as a ``body`` column (plus the
+    record's topic, partition, offset and timestamp).
+
+    ``maxOffsetsPerTrigger`` bounds each micro-batch (admission control). The
+    Kafka connector must be on the classpath; without it a clear error is
+    raised instead of a failure at query start.
+    """
+    jvm = spark.sparkContext._jvm
+    try:
+        jvm.java.lang.Class.forName("org.apache.spark.sql.kafka010.KafkaSourceProvider")
+    except Exception as e:  # the connector is an optional package
+        raise RuntimeError("the Spark Kafka connector is not on the classpath") from e
+    r = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    for k, v in options.items():
+        r = r.option(k, v)
+    return r.load().select(
+        F.col("value").cast("string").alias("body"), F.col("topic").alias("source_topic"),
+        "partition", "offset", F.col("timestamp").alias("arrived_at"),
+    )
