@@ -129,7 +129,7 @@ Transport = Callable[[pd.DataFrame], pd.DataFrame]
 
 
 def deliver(requests: DataFrame, transport: Transport, max_connections: int = C.DEFAULT_MAX_CONNECTIONS,
-            queue: str = "queue", key: str = "event_id", instances: int = 1) -> DataFrame:
+            queue: str = "queue", key: str = "event_id", instances: int = 1, pace: bool = False) -> DataFrame:
     """K6: send every request through ``transport``, at most
     ``max_connections`` per queue and instance at once.
 
@@ -140,17 +140,36 @@ def deliver(requests: DataFrame, transport: Transport, max_connections: int = C.
     spread over all its lanes. ``transport`` gets a pandas batch of requests
     and returns one row per request with ``status_code``, ``error_class``,
     ``error_message``, ``latency_ms``.
+
+    ``pace``: requests carry ``send_at`` (from ``throttle_schedule``, a UTC
+    wall-clock time); each lane sends its rows in ``send_at`` order and waits
+    until that time, which applies the admission slots on the delivery path
+    (D5).
     """
     lane = F.pmod(F.hash(F.col(key)), F.lit(max(1, instances) * max_connections))
     parts = requests.repartition(F.col(queue), lane)
+    if pace:
+        parts = parts.sortWithinPartitions("send_at")
     out_schema = (
         f"{queue} string, {key} {dict(requests.dtypes)[key]}, status_code int, "
         "error_class string, error_message string, latency_ms bigint"
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import time
+
         for pdf in batches:
-            res = transport(pdf)
+            if pace and len(pdf):
+                pdf = pdf.sort_values("send_at", kind="mergesort").reset_index(drop=True)
+                parts = []
+                for at, grp in pdf.groupby("send_at", sort=True):
+                    wait = pd.Timestamp(at).timestamp() - time.time()
+                    if wait > 0:
+                        time.sleep(wait)
+                    parts.append(transport(grp))
+                res = pd.concat(parts, ignore_index=True)
+            else:
+                res = transport(pdf)
             yield pd.DataFrame(
                 {
                     queue: pdf[queue].values,

@@ -23,17 +23,20 @@ from fanline.streaming.dedup import dedup_ttl_stream
 COMMITS = "_commits"
 
 
-def commit_batch(ledger: DataFrame, queues: DataFrame, batch_id: int, root: str) -> None:
-    """K3: write both outputs of one batch, then publish them with a marker."""
+def commit_batch(ledger: DataFrame, queues: DataFrame, batch_id: int, root: str,
+                 responses: DataFrame | None = None) -> None:
+    """K3: write the outputs of one batch, then publish them with a marker."""
     ledger.write.mode("overwrite").parquet(f"{root}/ledger/batch_id={batch_id}")
     queues.write.mode("overwrite").partitionBy("queue").parquet(f"{root}/queues/batch_id={batch_id}")
+    if responses is not None:
+        responses.write.mode("overwrite").parquet(f"{root}/responses/batch_id={batch_id}")
     spark = ledger.sparkSession
     marker = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("committed"))
     marker.coalesce(1).write.mode("overwrite").json(f"{root}/{COMMITS}/batch_id={batch_id}")
 
 
 def read_committed(spark: SparkSession, root: str, what: str) -> DataFrame:
-    """Rows of ``what`` (``ledger`` or ``queues``) from committed batches only."""
+    """Rows of ``what`` (``ledger``, ``queues`` or ``responses``) from committed batches only."""
     commits = spark.read.option("basePath", f"{root}/{COMMITS}").json(f"{root}/{COMMITS}/batch_id=*")
     done = commits.select("batch_id").distinct()
     data = spark.read.parquet(f"{root}/{what}")
@@ -51,7 +54,7 @@ def publish_stream(
     ttl_seconds: int = C.LEDGER_TTL_SECONDS,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Events -> match -> TTL dedup (state) -> ledger + queues per batch."""
+    """Events -> match -> TTL dedup (state) -> ledger + queues + responses per batch."""
     m = matching.publishable(events, index)
     st = dedup_ttl_stream(m, key, ttl_seconds, eligible=F.col("publishable"))
 
@@ -61,7 +64,16 @@ def publish_stream(
             acc = df.where("accepted")
             ledger = publish.to_published(acc)
             queues = publish.queue_rows(acc.withColumn("subscriber", F.explode("subscribers")))
-            commit_batch(ledger, queues, batch_id, root)
+            status = (
+                F.when(F.col("duplicate"), F.lit(C.ST_DUPLICATE))
+                .when(~F.col("topic_known"), F.lit(C.ST_NO_TOPIC))
+                .when(F.size("subscribers") == 0, F.lit(C.ST_NO_SUBSCRIBERS))
+                .otherwise(F.lit(C.ST_PUBLISHED))
+            )
+            responses = publish.publish_response(df.withColumn("status", status)).select(
+                "event_id", "status", "http_code", "body"
+            )
+            commit_batch(ledger, queues, batch_id, root, responses)
         finally:
             df.unpersist()
 

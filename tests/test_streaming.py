@@ -76,6 +76,9 @@ def test_publish_stream_commits_atomically_and_replays(spark, chunks, scratch):
     st = publish_status_df(spark, SF_CHECK)
     assert sorted(r.event_id for r in ledger.collect()) == sorted(r.event_id for r in st.where("accepted").collect())
     assert queues.count() == st.where("accepted").select(F.explode("subscribers")).count() == 3219
+    responses = sp.read_committed(spark, root, "responses")
+    assert responses.count() == 10000
+    assert responses.where("http_code = 404").count() == st.where("status = 'no-topic'").count()
     # replaying batch 0 leaves the committed result unchanged
     n_before = queues.count()
     b0 = spark.read.parquet(os.path.join(root, "ledger", "batch_id=0"))
@@ -239,3 +242,19 @@ def test_publish_stream_from_bodies(spark, scratch):
     published = endpoint.where("body LIKE '%publishedSubscribers%'").count()
     assert sp.read_committed(spark, os.path.join(root, "out"), "ledger").count() == published
     assert spark.read.parquet(os.path.join(root, "rejected")).count() == endpoint.where("http_code = 400").count()
+
+
+def test_paced_delivery_waits_for_slots(spark):
+    """D5 on the delivery path: rows are sent no earlier than their send_at."""
+    import datetime as dt
+    import time as _t
+
+    from fanline.operators.delivery import deliver
+
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)  # send_at is read as UTC
+    rows = [("q", i, '{"event":{"props":{"k":1}}}', now + dt.timedelta(seconds=1.5 * (i % 2))) for i in range(6)]
+    req = spark.createDataFrame(rows, "queue string, event_id long, body string, send_at timestamp_ntz")
+    t0 = _t.time()
+    out = deliver(req, fx.fixture_transport, max_connections=2, pace=True).collect()
+    assert len(out) == 6 and all(r.status_code == 200 for r in out)
+    assert _t.time() - t0 >= 1.4
