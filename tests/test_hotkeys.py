@@ -128,3 +128,13 @@ def test_hot_queue_bound_from_topic_counts(spark):
     b = q_throttle_schedule(spark, SF_CHECK)
     cols = ["queue", "id", "slot", "send_at"]
     assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+
+
+def test_hot_path_without_eligible_rows(spark):
+    import datetime as dt
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [(1, base + dt.timedelta(minutes=i), i, False) for i in range(300)]
+    sdf = spark.createDataFrame(rows, "k long, received_at timestamp_ntz, event_id long, e boolean")
+    got = dedup.ttl_status(sdf, "k", 3600, eligible=F.col("e"), hot_threshold=50).collect()
+    assert len(got) == 300 and not any(r.accepted or r.duplicate for r in got)
