@@ -9,7 +9,8 @@ per-row work stays inside whole-stage codegen; no Python runs per row.
 
 Supported subset:
 
-* container: ``$`` followed by ``.name`` / ``['name']`` segments;
+* container: ``$`` followed by ``.name`` / ``['name']`` / ``[*]`` segments
+  (``[*]`` fans out over array elements or object values);
 * a trailing filter ``[?( expr )]`` or a trailing wildcard ``[*]``;
 * ``expr``: ``@.a.b OP literal``, ``literal OP @.a.b``, existence ``@.a.b``,
   ``!``, ``&&``, ``||``, parentheses; OP in ``== != < <= > >= =~ in nin``;
@@ -50,7 +51,8 @@ _TOKEN = re.compile(
     re.VERBOSE,
 )
 
-_SEGMENT = re.compile(r"\.([A-Za-z_$][\w$-]*)|\['((?:[^'\\]|\\.)*)'\]")
+_SEGMENT = re.compile(r"\.([A-Za-z_$][\w$-]*)|\['((?:[^'\\]|\\.)*)'\]|(\[\*\]|\.\*)")
+WILDCARD = "*"
 
 
 @dataclass(frozen=True)
@@ -89,7 +91,7 @@ def _split_segments(text: str) -> tuple[str, ...]:
         m = _SEGMENT.match(text, pos)
         if not m:
             raise JsonPathError(f"unsupported path segment at {pos}: {text!r}")
-        out.append(m.group(1) if m.group(1) is not None else m.group(2))
+        out.append(m.group(1) if m.group(1) is not None else m.group(2) if m.group(2) is not None else WILDCARD)
         pos = m.end()
     return tuple(out)
 
@@ -280,25 +282,60 @@ def path_predicate(path: str | CompiledPath, json_col: Column | str) -> Column:
     """Boolean (never NULL) Column: does ``path`` select anything in ``json_col``?"""
     cp = path if isinstance(path, CompiledPath) else parse_path(path)
     doc = F.col(json_col) if isinstance(json_col, str) else json_col
+    if WILDCARD in cp.container:
+        return _through(doc, cp.container, lambda c: _on_container(cp, c))
     cpath = _json_path(cp.container)
     container = doc if not cp.container else F.get_json_object(doc, cpath)
-    is_array = F.ltrim(container).startswith("[")
     if cp.kind == "wildcard":
-        nonempty = ~F.regexp_like(container, F.lit(r"^\s*(\[\s*\]|\{\s*\})\s*$"))
-        return F.coalesce(container.isNotNull() & ~F.ltrim(container).startswith('"') & nonempty, F.lit(False))
+        return _nonempty(container)
 
     def leaf_from(base_col, prefix):
         return lambda segs: F.get_json_object(base_col, _json_path(prefix + segs))
 
+    # leaves of an object container are read straight from the document
     obj_pred = _compile(cp.ast, leaf_from(doc, cp.container))
     arr_pred = F.exists(
         F.from_json(container, "array<string>"),
         lambda e: F.coalesce(_compile(cp.ast, leaf_from(e, ())), F.lit(False)),
     )
-    pred = F.when(is_array, arr_pred).otherwise(F.ltrim(container).startswith("{") & obj_pred)
+    pred = F.when(F.ltrim(container).startswith("["), arr_pred).otherwise(
+        F.ltrim(container).startswith("{") & obj_pred
+    )
     return F.coalesce(pred, F.lit(False))
 
 
+def _nonempty(container: Column) -> Column:
+    """``[*]`` selects something: a non-empty array or object."""
+    empty = F.regexp_like(container, F.lit(r"^\s*(\[\s*\]|\{\s*\})\s*$"))
+    return F.coalesce(container.isNotNull() & ~F.ltrim(container).startswith('"') & ~empty, F.lit(False))
+
+
+def _on_container(cp: CompiledPath, ctext: Column) -> Column:
+    """The filter (or trailing wildcard) applied to one container's JSON text."""
+    if cp.kind == "wildcard":
+        return _nonempty(ctext)
+
+    def leaf(base):
+        return lambda segs: F.get_json_object(base, _json_path(segs))
+
+    arr = F.exists(F.from_json(ctext, "array<string>"), lambda e: F.coalesce(_compile(cp.ast, leaf(e)), F.lit(False)))
+    obj = F.ltrim(ctext).startswith("{") & _compile(cp.ast, leaf(ctext))
+    return F.coalesce(F.when(F.ltrim(ctext).startswith("["), arr).otherwise(obj), F.lit(False))
+
+
+def _through(doc: Column, segs: tuple[str, ...], final) -> Column:
+    """Walk container segments; ``*`` fans out over array elements or object
+    values with ``exists``, so the path matches if any branch does."""
+    if WILDCARD not in segs:
+        return final(doc if not segs else F.get_json_object(doc, _json_path(segs)))
+    i = segs.index(WILDCARD)
+    c = doc if i == 0 else F.get_json_object(doc, _json_path(segs[:i]))
+    elems = F.when(F.ltrim(c).startswith("["), F.from_json(c, "array<string>")).when(
+        F.ltrim(c).startswith("{"), F.map_values(F.from_json(c, "map<string,string>"))
+    )
+    return F.coalesce(F.exists(elems, lambda e: _through(e, segs[i + 1 :], final)), F.lit(False))
+
+
 # ---------------------------------------------------------------------------
 # Parse once: one ``from_json`` per document for all paths of a catalog
 
@@ -331,7 +368,7 @@ def doc_schema(paths) -> tuple[T.StructType | None, set[str]]:
         return True
 
     for cp in paths:
-        if cp.kind != "filter" or not cp.container:
+        if cp.kind != "filter" or not cp.container or WILDCARD in cp.container:
             slow.add(cp.text)
             continue
         snapshot = _copy_tree(tree, leaf_mark)

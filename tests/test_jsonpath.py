@@ -100,3 +100,17 @@ def test_parse_once_equals_per_path(spark):
         a = [r[0] for r in df.select(parsed_predicate(cp, F.col("p"), F.col("doc"))).collect()]
         b = [r[0] for r in df.select(path_predicate(cp, F.col("doc"))).collect()]
         assert a == b, cp.text
+
+
+def test_wildcards_inside_the_container(spark):
+    docs = [
+        '{"event":{"groups":[{"members":[{"role":"user"},{"role":"admin"}]},{"members":[]}]}}',
+        '{"event":{"groups":[{"members":[{"role":"user"}]}]}}',
+        '{"event":{"groups":{"g1":{"members":{"role":"admin"}}}}}',
+        '{"event":{"items":[{"x":1},{"x":5}]}}',
+        '{"event":{"groups":[1,2]}}',
+    ]
+    assert evaluate(spark, "$.event.groups[*].members[?(@.role == 'admin')]", docs) == [True, False, True, False, False]
+    assert evaluate(spark, "$.event.items[*][?(@.x > 3)]", docs) == [False, False, False, True, False]
+    assert evaluate(spark, "$.event.items[?(@.x > 3)]", docs) == [False, False, False, True, False]
+    assert evaluate(spark, "$.event.groups[*].members[*]", docs) == [True, True, True, False, False]
