@@ -31,9 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fanline.functions.time import epoch_us
-from fanline.operators.hotkeys import hot_keys, ttl_anchors_hot
+from fanline.operators.hotkeys import hot_keys, resolve_threshold, ttl_anchors_hot
 
-DEFAULT_HOT_THRESHOLD = 2_000_000
 
 
 def _to_us(s: pd.Series) -> np.ndarray:
@@ -136,9 +135,10 @@ def ttl_status(
     ts: str = "received_at",
     tiebreak: str = "event_id",
     eligible: Column | None = None,
-    hot_threshold: int = DEFAULT_HOT_THRESHOLD,
+    hot_threshold: int | None = None,
 ) -> DataFrame:
     """Adds boolean ``accepted`` and ``duplicate`` columns (see module doc)."""
+    hot_threshold = resolve_threshold(df.sparkSession, hot_threshold)
     elig_col = "_eligible"
     base = df.withColumn(elig_col, F.coalesce(eligible, F.lit(False)) if eligible is not None else F.lit(True))
     schema = T.StructType(
@@ -164,7 +164,7 @@ def ttl_status(
 
 
 def dedup_ttl(df: DataFrame, key: str, ttl_seconds: int, ts: str = "received_at", tiebreak: str = "event_id",
-              eligible: Column | None = None, hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+              eligible: Column | None = None, hot_threshold: int | None = None) -> DataFrame:
     """D1 (batch): the accepted rows only."""
     out = ttl_status(df, key, ttl_seconds, ts, tiebreak, eligible, hot_threshold)
     return out.where("accepted").drop("accepted", "duplicate")

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from fanline import constants as C
 from fanline.functions.http import is_retryable
-from fanline.operators.hotkeys import DEFAULT_THRESHOLD, Scan, keyed_window
+from fanline.operators.hotkeys import Scan, keyed_window
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def number_attempts(attempts: DataFrame, keys: list[str], order: list[str], out: str = "attempt_no",
-                    threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+                    threshold: int | None = None) -> DataFrame:
     """Attempt number per work item (1-based), skew-safe."""
     df = keyed_window(attempts, keys, order, {out: Scan("row_number")}, threshold)
     return df.withColumn(out, F.col(out).cast("int"))
@@ -76,7 +76,7 @@ def backoff_schedule(chain: DataFrame, keys: list[str], min_ms: Column | int, ma
 
 def throttle_schedule(rows: DataFrame, queue: str, order: list[str], elements: Column | int, per_ms: Column | int,
                       cost: Column | int = 1, start: str | None = None,
-                      threshold: int = DEFAULT_THRESHOLD, hot_from: DataFrame | None = None,
+                      threshold: int | None = None, hot_from: DataFrame | None = None,
                       hot: DataFrame | None | str = "detect") -> DataFrame:
     """Admission slots of a token bucket of ``elements`` per ``per_ms``.
 

@@ -28,6 +28,18 @@ MAX_HOT_KEYS = 1_000_000
 DEFAULT_THRESHOLD = 2_000_000
 
 
+HOT_KEY_CONF = "spark.fanline.hotKeyRows"
+
+
+def resolve_threshold(spark, threshold: int | None) -> int:
+    """Rows a key may hold before it takes the range-split path: the
+    argument, else the session setting ``spark.fanline.hotKeyRows``, else
+    2,000,000 (a few hundred MB per task for narrow rows)."""
+    if threshold is not None:
+        return int(threshold)
+    return int(spark.conf.get(HOT_KEY_CONF, str(DEFAULT_THRESHOLD)))
+
+
 def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame | None:
     """Keys with more than ``threshold`` rows, with their counts (``_n``), or None.
 
@@ -74,7 +86,7 @@ def keyed_window(
     keys: list[str],
     order: list[str],
     scans: dict[str, Scan],
-    threshold: int = DEFAULT_THRESHOLD,
+    threshold: int | None = None,
     hot_from: DataFrame | None = None,
     hot: DataFrame | None | str = "detect",
 ) -> DataFrame:
@@ -86,6 +98,7 @@ def keyed_window(
     may be hot with an upper bound ``_n`` of their rows, or None when it has
     proven that no key exceeds ``threshold``.
     """
+    threshold = resolve_threshold(df.sparkSession, threshold)
     w = Window.partitionBy(*keys).orderBy(*order)
     if isinstance(hot, str):
         hot = hot_keys(hot_from if hot_from is not None else df, keys, threshold)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fanline import constants as C
 from fanline.functions.http import classify_outcome, exhausted
-from fanline.operators.hotkeys import DEFAULT_THRESHOLD, Scan, keyed_window
+from fanline.operators.hotkeys import Scan, keyed_window
 
 
 def _interval_ms(ms: int) -> Column:
@@ -92,7 +92,7 @@ def apply_outcomes(queue: DataFrame, outcomes: DataFrame, as_of: Column,
 
 
 def work_state(outcomes: DataFrame, keys: list[str], order: list[str], limit: int = C.NUMBER_OF_RETRIES,
-               threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+               threshold: int | None = None) -> DataFrame:
     """D3 (batch fold) + W3 + F8: final state of every work item.
 
     ``outcomes`` holds one row per dispatch result (``outcome`` column), in

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from fanline import constants as C
 from fanline.operators import delivery, metrics
-from fanline.operators.hotkeys import DEFAULT_THRESHOLD
 from fanline.plans import fixture as fx
 from fanline.plans.oracle_sql import ATT, EV, QUEUE, chain_sql
 from fanline.plans.queries import PUBLISH_STATUS_SQL, publish_status_df
@@ -139,16 +138,17 @@ def q_last_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.last_seen(fx.fixture_heartbeats(spark, sf_dir))
 
 
-def hot_queues(spark: SparkSession, sf_dir: str, threshold: int = DEFAULT_THRESHOLD) -> DataFrame | None:
+def hot_queues(spark: SparkSession, sf_dir: str, threshold: int | None = None) -> DataFrame | None:
     """Queues that may exceed ``threshold`` rows, with an upper bound of their rows.
 
     A queue holds at most one row per event of its topic, so only queues of
     topics with more than ``threshold`` events can be hot. Counting topics
     reads one column; the result is bounded by the catalog.
     """
-    from fanline.operators.hotkeys import hot_keys
+    from fanline.operators.hotkeys import hot_keys, resolve_threshold
     from fanline.operators.matching import queue_name
 
+    threshold = resolve_threshold(spark, threshold)
     idx = fx.fixture_index(spark)
     topics = hot_keys(fx.fixture_events(spark, sf_dir).where(F.col("topic").isin(*idx.topics)), ["topic"], threshold)
     if topics is None:
