@@ -53,3 +53,17 @@ def test_work_state_transitions(spark):
     got = {r.item_id: (r.state, r.failure_count, r.dispatches) for r in
            work_state(df, ["queue", "item_id"], ["sent_at", "attempt_id"]).collect()}
     assert got == {1: ("succeeded", 1, 2), 2: ("permanently-failed", 0, 1), 3: ("failed", 2, 2)}
+
+
+def test_backoff_delays_and_jitter_bounds(spark):
+    from pyspark.sql import functions as F
+
+    from fanline.operators.delivery import backoff_delay_ms, jittered
+
+    df = spark.range(0, 150).select(F.col("id").alias("n"))
+    d = df.select("n", backoff_delay_ms(F.col("n"), 100, 600_000).alias("d"))
+    j = d.select("n", "d", jittered(F.col("d")).alias("j")).collect()
+    assert [r.d for r in j[:5]] == [100.0, 200.0, 400.0, 800.0, 1600.0]
+    assert all(r.d == 600_000.0 for r in j if r.n >= 13)
+    assert all(r.d <= r.j < r.d * 1.2 for r in j)
+    assert round(sum(r.d for r in j) / 1000, 1) == 83019.1  # the ~23 h worst-case span
