@@ -53,8 +53,15 @@ def publish_stream(
     key: str = "event_id",
     ttl_seconds: int = C.LEDGER_TTL_SECONDS,
     trigger: dict | None = None,
+    audit_root: str | None = None,
 ) -> StreamingQuery:
-    """Events -> match -> TTL dedup (state) -> ledger + queues + responses per batch."""
+    """Events -> match -> TTL dedup (state) -> ledger + queues + responses per batch.
+
+    K4: if a batch cannot be committed, audit rows for its accepted events
+    (reason = the error) go to ``audit_root`` and the error is raised again,
+    so Spark retries the batch.
+    """
+    audit_root = audit_root or f"{root}-audit"
     m = matching.publishable(events, index)
     st = dedup_ttl_stream(m, key, ttl_seconds, eligible=F.col("publishable"))
 
@@ -73,7 +80,13 @@ def publish_stream(
             responses = publish.publish_response(df.withColumn("status", status)).select(
                 "event_id", "status", "http_code", "body"
             )
-            commit_batch(ledger, queues, batch_id, root, responses)
+            try:
+                commit_batch(ledger, queues, batch_id, root, responses)
+            except Exception as e:
+                reason = F.lit(str(e).splitlines()[0][:1000] if str(e) else type(e).__name__)
+                audit = publish.audit_rows(acc, reason)
+                audit.write.mode("overwrite").parquet(f"{audit_root}/batch_id={batch_id}")
+                raise
         finally:
             df.unpersist()
 

@@ -258,3 +258,25 @@ def test_paced_delivery_waits_for_slots(spark):
     out = deliver(req, fx.fixture_transport, max_connections=2, pace=True).collect()
     assert len(out) == 6 and all(r.status_code == 200 for r in out)
     assert _t.time() - t0 >= 1.4
+
+
+def test_failed_commit_is_audited_and_raised(spark, chunks, scratch, monkeypatch):
+    """K4: a batch that cannot commit is audited (every accepted event), then fails the query."""
+    d, schema = chunks
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("write refused by storage")
+
+    monkeypatch.setattr(sp, "commit_batch", broken)
+    root = os.path.join(scratch, "pubfail")
+    q = sp.publish_stream(to_event_rows(file_stream(spark, d, schema, max_files_per_trigger=1)), fx.fixture_index(spark),
+                          os.path.join(root, "out"), os.path.join(root, "ckpt"), key="group_id",
+                          ttl_seconds=fx.DEDUP_TTL_SECONDS)
+    import pytest as _pytest
+
+    with _pytest.raises(Exception):
+        q.awaitTermination(600)
+    audit = spark.read.parquet(os.path.join(root, "out-audit"))
+    rows = audit.select("audit_source", "audit_type", F.col("detail")["reason"].alias("reason")).distinct().collect()
+    assert len(rows) == 1 and rows[0].audit_type == "TxFailed" and "write refused by storage" in rows[0].reason
+    assert audit.count() > 0
