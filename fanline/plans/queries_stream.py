@@ -19,6 +19,7 @@ from fanline import constants as C
 from fanline.plans.oracle_sql import ATT, DUE, EV, QUEUE, chain_sql, dedup_chain
 from fanline.plans.queries_delivery import WORK_STATE_SQL
 from fanline.plans.queries_metrics import E2E_SQL
+from fanline.plans.queries import PUBLISH_STATUS_SQL
 from fanline.plans.queries_publish import QUEUE_ROWS_SQL, WITH_STATUS
 from fanline.plans.registry import query
 from fanline.session import checkpoint_dir
@@ -200,3 +201,26 @@ def q_throttle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.queue_rows_from(table_stream(spark, sf_dir, "events")).select("queue", "id", "received_at")
     out = _run(throttle_stream(rows), root).drop("_batch")
     return out.withColumn("send_at", F.col("send_at").cast("timestamp_ntz"))
+
+
+@query(
+    "publish_incremental",
+    f"""WITH RECURSIVE {PUBLISH_STATUS_SQL}
+SELECT event_id, status, CASE WHEN status = 'no-topic' THEN 404 ELSE 201 END AS http_code,
+  CASE status WHEN 'published' THEN '{{"publishedSubscribers":["' || replace(subscribers, ',', '","') || '"]}}'
+    WHEN 'duplicate' THEN '{C.MSG_DUPLICATE}' WHEN 'no-subscribers' THEN '{C.MSG_NO_SUBSCRIBERS}'
+    WHEN 'no-topic' THEN '{C.MSG_NO_TOPIC}' END AS body
+FROM status""",
+)
+def q_publish_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events published in two time-ordered batches against the committed
+    ledger (``fanline.api.publish``); equal to publishing them at once."""
+    from fanline import api
+
+    root = _folder(spark, "incremental")
+    ev = fx.fixture_events(spark, sf_dir)
+    cut = ev.select(F.percentile_approx("received_at", 0.5)).first()[0]
+    idx = fx.fixture_index(spark)
+    for i, part in enumerate([ev.where(F.col("received_at") < cut), ev.where(F.col("received_at") >= cut)]):
+        api.publish(part, idx, root, i, key="group_id", ttl_seconds=fx.DEDUP_TTL_SECONDS)
+    return sp.read_committed(spark, root, "responses").select("event_id", "status", "http_code", "body")
