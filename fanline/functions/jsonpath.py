@@ -13,7 +13,8 @@ Supported subset:
   (``[*]`` fans out over array elements or object values);
 * a trailing filter ``[?( expr )]`` or a trailing wildcard ``[*]``;
 * ``expr``: ``@.a.b OP literal``, ``literal OP @.a.b``, existence ``@.a.b``,
-  ``!``, ``&&``, ``||``, parentheses; OP in ``== != < <= > >= =~ in nin``;
+  ``!``, ``&&``, ``||``, parentheses; OP in ``== != < <= > >= =~ in nin``
+  and the collection tests ``size empty contains anyof noneof subsetof``;
 * literals: numbers, quoted strings, ``true``/``false``/``null``,
   ``/regex/flags`` (flag ``i``), ``[...]`` lists for ``in``/``nin``.
 
@@ -190,7 +191,7 @@ class _Parser:
         if kind == "op" and val in ("==", "!=", "<", "<=", ">", ">=", "=~"):
             self.take()
             right = self.operand()
-        elif kind == "word" and val in ("in", "nin"):
+        elif kind == "word" and val in ("in", "nin", "size", "empty", "contains", "anyof", "noneof", "subsetof"):
             self.take()
             right = self.operand()
         else:
@@ -247,6 +248,8 @@ def _compile(node, leaf) -> Column:
             raise JsonPathError("=~ needs a /regex/")
         pattern = ("(?i)" if right[2] else "") + r"\A(?:" + right[1] + r")\z"
         return v.rlike(pattern)
+    if cmp in ("size", "empty", "contains", "anyof", "noneof", "subsetof"):
+        return _collection_op(cmp, v, right)
     if cmp in ("in", "nin"):
         if right[0] != "list":
             raise JsonPathError(f"{cmp} needs a [list]")
@@ -265,6 +268,52 @@ def _compile(node, leaf) -> Column:
     return {"<": lhs < rhs, "<=": lhs <= rhs, ">": lhs > rhs, ">=": lhs >= rhs}[cmp]
 
 
+def _elements(v: Column) -> Column:
+    """A JSON array's elements as texts (NULL when ``v`` is not an array)."""
+    return F.when(F.ltrim(v).startswith("["), F.from_json(v, "array<string>"))
+
+
+def _lit_text(node) -> Column:
+    """A literal as the text a JSON value of it would have."""
+    if node[0] == "num":
+        x = node[1]
+        return F.lit(str(int(x)) if float(x).is_integer() else repr(x))
+    if node[0] == "bool":
+        return F.lit("true" if node[1] else "false")
+    if node[0] == "str":
+        return F.lit(node[1])
+    raise JsonPathError(f"unsupported literal {node[0]}")
+
+
+def _collection_op(cmp: str, v: Column, right) -> Column:
+    """size / empty / contains / anyof / noneof / subsetof on arrays (and strings)."""
+    arr = _elements(v)
+    is_arr = arr.isNotNull()
+    if cmp == "size":
+        if right[0] != "num":
+            raise JsonPathError("size needs a number")
+        n = F.when(is_arr, F.size(arr)).otherwise(F.length(v))
+        return F.coalesce(n == F.lit(int(right[1])), F.lit(False))
+    if cmp == "empty":
+        if right[0] != "bool":
+            raise JsonPathError("empty needs true or false")
+        n = F.when(is_arr, F.size(arr)).otherwise(F.length(v))
+        return F.coalesce((n == 0) == F.lit(right[1]), F.lit(False))
+    if cmp == "contains":
+        lit = _lit_text(right)
+        return F.coalesce(F.when(is_arr, F.array_contains(arr, lit)).otherwise(v.contains(lit)), F.lit(False))
+    if right[0] != "list":
+        raise JsonPathError(f"{cmp} needs a [list]")
+    items = F.array(*[_lit_text(i) for i in right[1]]) if right[1] else F.array().cast("array<string>")
+    if cmp == "anyof":
+        test = F.arrays_overlap(arr, items)
+    elif cmp == "noneof":
+        test = ~F.arrays_overlap(arr, items)
+    else:  # subsetof
+        test = F.size(F.array_except(arr, items)) == 0
+    return F.coalesce(F.when(is_arr, test), F.lit(False))
+
+
 def _eq(v: Column, lit_node) -> Column:
     kind = lit_node[0]
     if kind == "num":

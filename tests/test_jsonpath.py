@@ -114,3 +114,21 @@ def test_wildcards_inside_the_container(spark):
     assert evaluate(spark, "$.event.items[*][?(@.x > 3)]", docs) == [False, False, False, True, False]
     assert evaluate(spark, "$.event.items[?(@.x > 3)]", docs) == [False, False, False, True, False]
     assert evaluate(spark, "$.event.groups[*].members[*]", docs) == [True, True, True, False, False]
+
+
+def test_collection_operators(spark):
+    docs = [
+        '{"event":{"tags":["a","b"],"name":"alpha","codes":[1,2,3]}}',
+        '{"event":{"tags":[],"name":"","codes":[4]}}',
+        '{"event":{"tags":"a","codes":5}}',
+    ]
+    assert evaluate(spark, "$.event[?(@.tags size 2)]", docs) == [True, False, False]
+    assert evaluate(spark, "$.event[?(@.name size 5)]", docs) == [True, False, False]
+    assert evaluate(spark, "$.event[?(@.tags empty true)]", docs) == [False, True, False]
+    assert evaluate(spark, "$.event[?(@.name empty false)]", docs) == [True, False, False]
+    assert evaluate(spark, "$.event[?(@.tags contains 'b')]", docs) == [True, False, False]
+    assert evaluate(spark, "$.event[?(@.name contains 'lph')]", docs) == [True, False, False]
+    assert evaluate(spark, "$.event[?(@.codes anyof [3, 4])]", docs) == [True, True, False]
+    assert evaluate(spark, "$.event[?(@.codes noneof [3, 4])]", docs) == [False, False, False]
+    assert evaluate(spark, "$.event[?(@.codes subsetof [1, 2, 3, 4])]", docs) == [True, True, False]
+    assert evaluate(spark, "$.event[?(@.tags anyof ['x'])]", docs) == [False, False, False]
