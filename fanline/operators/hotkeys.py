@@ -45,7 +45,12 @@ def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame | None
 
     The count is a partial (map-side) aggregation; the result has at most
     ``rows / threshold`` entries, so it is safe to collect and broadcast.
+    When the whole input has at most ``threshold`` rows no key can be hot;
+    that total comes from parquet metadata for plain scans, so small inputs
+    skip the grouped count.
     """
+    if df.select().count() <= threshold:
+        return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold)
     rows = counts.limit(MAX_HOT_KEYS + 1).collect()
     if not rows:
