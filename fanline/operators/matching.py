@@ -105,7 +105,10 @@ def _with_parsed(events: DataFrame, index: SubscriptionIndex, doc_col: str) -> t
     schema, _ = index.parse_schema()
     if schema is None:
         return events, None
-    return events.withColumn(PARSED, F.from_json(F.col(doc_col), schema)), F.col(PARSED)
+    # only events of topics with a filtered subscription are parsed at all
+    filtered = sorted({t for t, _, p in index.subs if p is not None})
+    parsed = F.when(F.col("topic").isin(*filtered), F.from_json(F.col(doc_col), schema))
+    return events.withColumn(PARSED, parsed), F.col(PARSED)
 
 
 def match_subscribers(events: DataFrame, index: SubscriptionIndex, doc_col: str = "event") -> DataFrame:
