@@ -49,7 +49,7 @@ def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame | None
     that total comes from parquet metadata for plain scans, so small inputs
     skip the grouped count.
     """
-    if df.select().count() <= threshold:
+    if _cheap_to_count(df) and df.select().count() <= threshold:
         return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold)
     rows = counts.limit(MAX_HOT_KEYS + 1).collect()
@@ -60,6 +60,17 @@ def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame | None
     return df.sparkSession.createDataFrame(rows, counts.schema)
 
 
+_COSTLY = ("Join", "Python", "Pandas", "from_json", "parse_json", "get_json_object", "Window", "Aggregate",
+           "Generate", "Exchange")
+
+
+def _cheap_to_count(df: DataFrame) -> bool:
+    """Does counting ``df``'s rows avoid recomputing an expensive derivation?
+    (A plain or filtered scan is counted from metadata or one light pass.)"""
+    plan = df.select()._jdf.queryExecution().optimizedPlan().toString()
+    return not any(tok in plan for tok in _COSTLY)
+
+
 @dataclass(frozen=True)
 class Scan:
     """One running aggregate: kind in row_number|sum|min|max|last."""
