@@ -130,3 +130,24 @@ def test_incremental_status_with_hot_keys(spark):
     got = sorted((r.event_id, r.status) for r in first.unionByName(second).select("event_id", "status").collect())
     want = sorted((r.event_id, r.status) for r in publish_status_df(spark, SF_CHECK, keep=[]).collect())
     assert got == want
+
+
+def test_readme_flow_publish_then_deliver(spark, scratch):
+    """Publish a batch, pick the next due work per queue, render and deliver it."""
+    import os
+
+    from fanline import api
+    from fanline.operators import delivery, queue
+    from fanline.plans import fixture as fx
+    from fanline.streaming.publish import read_committed
+
+    root = os.path.join(scratch, "flow")
+    api.publish(fx.fixture_events(spark, SF_CHECK), fx.fixture_index(spark), root, 0, key="group_id",
+                ttl_seconds=fx.DEDUP_TTL_SECONDS)
+    queues = read_committed(spark, root, "queues")
+    assert queues.count() == 3219
+    due = queue.next_due(queues, F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"), n=4)
+    assert due.count() == 7 * 4  # four per subscriber queue
+    attempts = delivery.deliver(delivery.render_requests(due, fx.fixture_catalog(spark)), fx.fixture_transport)
+    got = attempts.collect()
+    assert len(got) == 28 and {r.queue for r in got} == {r.queue for r in due.collect()}
