@@ -105,6 +105,8 @@ def work_state(outcomes: DataFrame, keys: list[str], order: list[str], limit: in
     from one skew-safe ``keyed_window``; the per-item result is an aggregate
     with a partial step.
     """
+    # 'Picked' rows (a dispatch started) carry no result: they do not count
+    outcomes = outcomes.where(F.col("outcome") != "Picked")
     o = F.col("outcome")
     df = outcomes.withColumns(
         {"_f": (o == C.FAILED_OUTCOME).cast("int"), "_e": ((o == C.SENT) | (o == C.REMOVED)).cast("int")}

@@ -14,6 +14,7 @@ from fanline import constants as C
 from fanline.functions.http import classify_outcome
 from fanline.operators.delivery import Transport, deliver
 
+PICKED = "Picked"
 WORK_STATE_OUT = "queue string, item_id long, state string, failure_count int, dispatches int, due_again boolean"
 WORK_STATE_STATE = "state string, failure_count int, dispatches int"
 
@@ -21,13 +22,15 @@ WORK_STATE_STATE = "state string, failure_count int, dispatches int"
 def work_state_stream(outcomes: DataFrame, limit: int = C.NUMBER_OF_RETRIES,
                       failed_retry_after_ms: int = C.FAILED_RETRY_AFTER_MS,
                       order: tuple[str, str] = ("sent_at", "attempt_id"), watermark: str = "10 minutes",
-                      finished_ttl_ms: int = C.DEAD_WORK_TTL_SECONDS * 1000) -> DataFrame:
+                      finished_ttl_ms: int = C.DEAD_WORK_TTL_SECONDS * 1000,
+                      in_progress_after_ms: int = C.IN_PROGRESS_RETRY_AFTER_MS) -> DataFrame:
     """D3 + D4: per work item, apply each dispatch result in order (update mode).
 
-    A failed item arms a timer ``failed_retry_after`` after its last result
-    (event time, on the ``sent_at`` watermark, so replays are deterministic
-    and idle queries finish); when it fires the item is emitted again with
-    ``due_again`` (it may be dispatched again). Finished items keep their
+    A failed item arms a timer ``failed_retry_after`` (1 h) after its last
+    result, an item picked for dispatch (``outcome = 'Picked'``, no result
+    yet) one ``in_progress_after`` (24 h) later (event time, on the
+    ``sent_at`` watermark, so replays are deterministic and idle queries
+    finish); when it fires the item is emitted again with ``due_again``. Finished items keep their
     state for ``finished_ttl`` (the dead-work TTL) so late results are still
     ignored, then the state is dropped: state stays bounded by the items
     active in one TTL. The batch fold ignores late results forever; the two
@@ -49,6 +52,9 @@ def work_state_stream(outcomes: DataFrame, limit: int = C.NUMBER_OF_RETRIES,
         for outcome in pdf["outcome"]:
             if st in (C.SUCCEEDED, C.PERMANENTLY_FAILED):
                 break
+            if outcome == PICKED:  # a dispatch started: in progress until its result
+                st = C.IN_PROGRESS
+                continue
             n += 1
             if outcome == C.SENT:
                 st = C.SUCCEEDED
@@ -60,7 +66,7 @@ def work_state_stream(outcomes: DataFrame, limit: int = C.NUMBER_OF_RETRIES,
                 st, fc = C.FAILED, fc + 1
         state.update((st, int(fc), int(n)))
         last_ms = int(pd.to_datetime(pdf[ts]).max().value // 1_000_000)
-        wait = failed_retry_after_ms if st == C.FAILED else finished_ttl_ms
+        wait = {C.FAILED: failed_retry_after_ms, C.IN_PROGRESS: in_progress_after_ms}.get(st, finished_ttl_ms)
         if st != C.TODO and last_ms + wait > state.getCurrentWatermarkMs():
             state.setTimeoutTimestamp(last_ms + wait)
         yield pd.DataFrame([{"queue": queue, "item_id": item, "state": st, "failure_count": int(fc),

@@ -280,3 +280,24 @@ def test_failed_commit_is_audited_and_raised(spark, chunks, scratch, monkeypatch
     rows = audit.select("audit_source", "audit_type", F.col("detail")["reason"].alias("reason")).distinct().collect()
     assert len(rows) == 1 and rows[0].audit_type == "TxFailed" and "write refused by storage" in rows[0].reason
     assert audit.count() > 0
+
+
+def test_in_progress_item_is_due_again_after_24h(spark, scratch):
+    """D3: a picked item without a result becomes due again one day later."""
+    import datetime as dt
+
+    src = os.path.join(scratch, "picks")
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "queue string, item_id long, attempt_id long, sent_at timestamp_ntz, outcome string"
+    first = [("q", 1, 1, t0, "Picked"), ("q", 2, 2, t0, "Picked"), ("q", 2, 3, t0 + dt.timedelta(minutes=5), "Sent")]
+    later = [("q", 3, 4, t0 + dt.timedelta(hours=25), "Picked")]  # moves the watermark past t0 + 24 h
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(src)
+    import time as _t
+
+    _t.sleep(1.1)
+    spark.createDataFrame(later, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = file_stream(spark, src, spark.read.parquet(src).schema, max_files_per_trigger=1)
+    out = _drain(work_state_stream(stream), scratch, "picks-out", mode="update")
+    rows = {(r.item_id, r.state, r.due_again) for r in spark.read.parquet(out).collect()}
+    assert (1, "in-progress", True) in rows  # item 1 timed out
+    assert (2, "succeeded", False) in rows and not any(i == 2 and d for i, _, d in rows)
