@@ -70,7 +70,11 @@ CATALOG_SQL = """cat(topic, subscriber, uri, http_method, elements, per_ms, max_
 @query(
     "subscription_catalog",
     f"""WITH {CATALOG_SQL}, n AS (SELECT event_type AS topic, count(*) AS n_events FROM events GROUP BY 1)
-SELECT cat.*, '' AS errors, coalesce(n.n_events, 0) AS n_events FROM cat LEFT JOIN n ON n.topic = cat.topic""",
+SELECT cat.topic, cat.subscriber, cat.uri, cat.http_method, cat.elements, CAST(cat.per_ms AS BIGINT) AS per_ms,
+       cat.max_connections, CAST(cat.min_backoff_ms AS BIGINT) AS min_backoff_ms,
+       CAST(cat.max_backoff_ms AS BIGINT) AS max_backoff_ms, cat.max_retries, cat.filter_path,
+       '' AS errors, coalesce(n.n_events, 0) AS n_events
+FROM cat LEFT JOIN n ON n.topic = cat.topic""",
 )
 def q_subscription_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 + F5 + J5 + U1 + U2: the resolved catalog with the traffic on each topic."""
