@@ -22,6 +22,8 @@ SESSION_DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # pandas deprecation notices raised inside PySpark's own serializers
+    "spark.executorEnv.PYTHONWARNINGS": "ignore::FutureWarning",
 }
 
 
