@@ -182,3 +182,53 @@ def deliver(requests: DataFrame, transport: Transport, max_connections: int = C.
             )
 
     return parts.mapInPandas(run, out_schema)
+
+
+def http_transport(timeout_s: float = 10.0, opener=None) -> Transport:
+    """A ``deliver`` transport that sends each request over HTTP (stdlib).
+
+    Results use the vocabulary of the retry and outcome rules: a response
+    gives its status code (4xx/5xx included); a timeout gives
+    ``RequestTimeoutException``; a connection dropped by the server gives a
+    ``RuntimeException`` with the closed-connection message; anything else
+    gives the exception's class and message. ``opener`` replaces
+    ``urllib.request.urlopen`` (tests).
+    """
+
+    def send(pdf: pd.DataFrame) -> pd.DataFrame:
+        import http.client
+        import socket
+        import time
+        import urllib.error
+        import urllib.request
+
+        open_ = opener or urllib.request.urlopen
+        rows = []
+        for r in pdf.itertuples(index=False):
+            req = urllib.request.Request(
+                r.uri, data=str(r.body).encode("utf-8"), method=str(r.method),
+                headers={"Content-Type": getattr(r, "content_type", C.CONTENT_TYPE)},
+            )
+            t0 = time.monotonic()
+            code = err = msg = None
+            try:
+                with open_(req, timeout=timeout_s) as resp:
+                    code = int(resp.status)
+            except urllib.error.HTTPError as e:
+                code = int(e.code)
+            except (socket.timeout, TimeoutError) as e:
+                err, msg = C.REQUEST_TIMEOUT_CLASS, str(e)
+            except (http.client.RemoteDisconnected, ConnectionResetError) as e:
+                err, msg = "RuntimeException", f"{C.CLOSED_CONNECTION_TEXT}: {e}"
+            except urllib.error.URLError as e:
+                reason = e.reason
+                if isinstance(reason, (socket.timeout, TimeoutError)):
+                    err, msg = C.REQUEST_TIMEOUT_CLASS, str(reason)
+                else:
+                    err, msg = type(reason).__name__, str(reason)
+            except Exception as e:  # noqa: BLE001 - every failure becomes a result row
+                err, msg = type(e).__name__, str(e)
+            rows.append((code, err, msg, int((time.monotonic() - t0) * 1000)))
+        return pd.DataFrame(rows, columns=["status_code", "error_class", "error_message", "latency_ms"])
+
+    return send
