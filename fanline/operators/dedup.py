@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fanline.functions.time import epoch_us
-from fanline.operators.hotkeys import hot_keys, resolve_threshold, ttl_anchors_hot
+from fanline.operators.hotkeys import hot_keys, resolve_threshold, split_hot, ttl_anchors_hot
 
 
 
@@ -39,6 +39,20 @@ def _to_us(s: pd.Series) -> np.ndarray:
     return s.to_numpy(dtype="datetime64[us]").astype(np.int64)
 
 
+_NULL_KEY = "\u0000<null key>"
+
+
+def _norm_keys(s: pd.Series) -> np.ndarray:
+    """Key values with every NULL (None or NaN) as one sentinel: NULL is a
+    key like any other, as in Spark's grouping."""
+    a = s.to_numpy(dtype=object)
+    na = pd.isna(s).to_numpy()
+    if na.any():
+        a = a.copy()
+        a[na] = _NULL_KEY
+    return a
+
+
 def fold_sorted(keys: np.ndarray, t: np.ndarray, elig: np.ndarray, ttl_us: int) -> tuple[np.ndarray, np.ndarray]:
     """Anchored-TTL fold over rows sorted by (key, t, tiebreak), all keys at once.
 
@@ -97,7 +111,7 @@ def _fold_partitions(key: str, ts: str, eligible: str, ttl_us: int):
         for pdf in batches:
             if not len(pdf):
                 continue
-            keys = pdf[key].to_numpy()
+            keys = _norm_keys(pdf[key])
             if open_parts:
                 same = keys == open_key
                 if same.all():
@@ -121,7 +135,7 @@ def _fold_partitions(key: str, ts: str, eligible: str, ttl_us: int):
 
 
 def _finish(pdf: pd.DataFrame, key: str, ts: str, eligible: str, ttl_us: int) -> pd.DataFrame:
-    acc, dup = fold_sorted(pdf[key].to_numpy(), _to_us(pdf[ts]), pdf[eligible].to_numpy(dtype=bool), ttl_us)
+    acc, dup = fold_sorted(_norm_keys(pdf[key]), _to_us(pdf[ts]), pdf[eligible].to_numpy(dtype=bool), ttl_us)
     pdf = pdf.copy()
     pdf["accepted"] = acc
     pdf["duplicate"] = dup
@@ -155,8 +169,7 @@ def ttl_status(
     if hot is None:
         out = cold_fold(base)
     else:
-        cold_rows = base.join(F.broadcast(hot.select(key)), key, "left_anti")
-        hot_rows = base.join(F.broadcast(hot.select(key)), key, "left_semi")
+        cold_rows, hot_rows = split_hot(base, hot, [key])
         out = cold_fold(cold_rows).unionByName(
             ttl_anchors_hot(hot_rows, key, ts, tiebreak, elig_col, ttl_seconds, hot_threshold)
         )

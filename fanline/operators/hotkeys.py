@@ -71,6 +71,22 @@ def _cheap_to_count(df: DataFrame) -> bool:
     return not any(tok in plan for tok in _COSTLY)
 
 
+HK = "_hk"
+
+
+def surrogate_key(keys: list[str]) -> Column:
+    """A never-NULL text standing for the key tuple (``{}`` for all NULL)."""
+    return F.to_json(F.struct(*[F.col(k) for k in keys]))
+
+
+def split_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(cold rows, hot rows) of ``df``; NULL keys compare equal, since a
+    missing key is a classic hot key."""
+    h = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
+    cond = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
+    return df.join(h, cond, "left_anti"), df.join(h, cond, "left_semi")
+
+
 @dataclass(frozen=True)
 class Scan:
     """One running aggregate: kind in row_number|sum|min|max|last."""
@@ -121,18 +137,21 @@ def keyed_window(
     if hot is None:
         return df.withColumns({name: _local(s, w) for name, s in scans.items()})
 
-    cold = df.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    cold, hot_rows = split_hot(df, hot, keys)
     cold = cold.withColumns({name: _local(s, w) for name, s in scans.items()})
 
     total = sum(r["_n"] for r in hot.collect())  # at most MAX_HOT_KEYS rows
     slices = max(2, math.ceil(total / threshold))
+    # inside the hot path the key is a never-NULL surrogate (NULL is a key too)
+    hot_rows = hot_rows.withColumn(HK, surrogate_key(keys))
+    user_keys, keys = keys, [HK]
     from fanline.session import checkpoint_dir
 
     checkpoint_dir(df.sparkSession)
     # The slice id is read by two branches below: materialise it once (reliable
     # checkpoint) so both see the same ids after AQE or a lost executor.
     rows = (
-        df.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
+        hot_rows
         .repartitionByRange(slices, *keys, *order)
         .withColumn("_slice", F.spark_partition_id())
         .checkpoint()
@@ -177,7 +196,7 @@ def keyed_window(
             combined[name] = F.greatest(lc, cc)
         else:
             combined[name] = F.coalesce(lc, cc)
-    hot_out = joined.withColumns(combined).drop("_slice", *[f"_c_{n}" for n in scans])
+    hot_out = joined.withColumns(combined).drop("_slice", HK, *[f"_c_{n}" for n in scans])
     return cold.unionByName(hot_out.select(*cold.columns))
 
 
@@ -265,6 +284,9 @@ def ttl_anchors_hot(rows: DataFrame, key: str, ts: str, tiebreak: str, eligible:
     3. at most one anchor per (key, ttl-wide bucket), so each row finds the
        latest anchor before it with one equi-join on (key, bucket).
     """
+    user_key = key
+    rows = rows.withColumn(HK, surrogate_key([user_key]))
+    key = HK  # joins and grouping below use the never-NULL surrogate
     ttl_us = int(ttl_seconds * 1_000_000)
     spark = rows.sparkSession
     from fanline.session import checkpoint_dir
@@ -320,4 +342,4 @@ def ttl_anchors_hot(rows: DataFrame, key: str, ts: str, tiebreak: str, eligible:
     prev_close = F.col("_pt").isNotNull() & (F.col("_t") < F.col("_pt") + F.lit(ttl_us))
     acc = F.coalesce(accepted, F.lit(False))
     dup = ~acc & F.coalesce(own_before | prev_close, F.lit(False))
-    return j.withColumns({"accepted": acc, "duplicate": dup}).drop("_t", "_e", "_b", "_ot", "_oe", "_pt", "_eid")
+    return j.withColumns({"accepted": acc, "duplicate": dup}).drop("_t", "_e", "_b", "_ot", "_oe", "_pt", "_eid", HK)

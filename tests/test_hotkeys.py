@@ -138,3 +138,26 @@ def test_hot_path_without_eligible_rows(spark):
     sdf = spark.createDataFrame(rows, "k long, received_at timestamp_ntz, event_id long, e boolean")
     got = dedup.ttl_status(sdf, "k", 3600, eligible=F.col("e"), hot_threshold=50).collect()
     assert len(got) == 300 and not any(r.accepted or r.duplicate for r in got)
+
+
+def test_null_key_can_be_hot(spark):
+    """A missing key is a classic hot key: the hot paths must treat NULL as a key."""
+    import datetime as dt
+
+    rnd = random.Random(9)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(1500):
+        k = None if rnd.random() < 0.6 else rnd.randint(1, 5)
+        rows.append((k, base + dt.timedelta(seconds=rnd.randint(0, 400_000)), i, rnd.random() < 0.8))
+    sdf = spark.createDataFrame(rows, "k long, received_at timestamp_ntz, event_id long, e boolean")
+    cold = dedup.ttl_status(sdf, "k", 3600, eligible=F.col("e"), hot_threshold=10**9)
+    hot = dedup.ttl_status(sdf, "k", 3600, eligible=F.col("e"), hot_threshold=100)
+    cols = ["event_id", "accepted", "duplicate"]
+    assert sorted(map(tuple, cold.select(cols).collect())) == sorted(map(tuple, hot.select(cols).collect()))
+    scans = {"rn": Scan("row_number"), "s": Scan("sum", "event_id", exclusive=True)}
+    a = keyed_window(sdf, ["k"], ["received_at", "event_id"], scans, threshold=10**9)
+    b = keyed_window(sdf, ["k"], ["received_at", "event_id"], scans, threshold=100)
+    assert sorted(map(tuple, a.select("event_id", "rn", "s").collect())) == sorted(
+        map(tuple, b.select("event_id", "rn", "s").collect())
+    )
