@@ -30,8 +30,9 @@ def publish_events(events: DataFrame, index: matching.SubscriptionIndex, ledger:
     m = matching.publishable(events, index).withColumn("_seed", F.lit(False))
     rows = m
     if ledger is not None:
-        keys = events.select(key).distinct()
-        last = ledger.groupBy(key).agg(F.max("created_at").alias("received_at")).join(keys, key, "left_semi")
+        keys = events.select(F.col(key).alias("_bk")).distinct()
+        last = ledger.groupBy(key).agg(F.max("created_at").alias("received_at"))
+        last = last.join(keys, F.col(key).eqNullSafe(F.col("_bk")), "left_semi")  # NULL is a key too
         seeds = last.select(
             key,
             F.col("received_at").cast(m.schema["received_at"].dataType).alias("received_at"),
