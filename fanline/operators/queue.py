@@ -105,8 +105,8 @@ def work_state(outcomes: DataFrame, keys: list[str], order: list[str], limit: in
     from one skew-safe ``keyed_window``; the per-item result is an aggregate
     with a partial step.
     """
-    # 'Picked' rows (a dispatch started) carry no result: they do not count
-    outcomes = outcomes.where(F.col("outcome") != "Picked")
+    # 'Picked' rows (a dispatch started) carry no result: no dispatch is
+    # counted for them, but an item whose latest row is a pick is in progress
     o = F.col("outcome")
     df = outcomes.withColumns(
         {"_f": (o == C.FAILED_OUTCOME).cast("int"), "_e": ((o == C.SENT) | (o == C.REMOVED)).cast("int")}
@@ -129,9 +129,14 @@ def work_state(outcomes: DataFrame, keys: list[str], order: list[str], limit: in
         F.min_by(F.when(F.col("_term") == 1, final_state), F.when(F.col("_term") == 1, ordkey)).alias("_final"),
         F.sum("_f").alias("_fails"),
         F.sum(F.when(F.col("_term") == 0, F.col("_f")).otherwise(F.lit(0))).alias("_counted"),
-        F.count(F.lit(1)).alias("dispatches"),
+        F.count_if(o != "Picked").alias("dispatches"),
+        F.max_by(o, ordkey).alias("_last"),
+    )
+    state = F.coalesce(
+        F.col("_final"),
+        F.when(F.col("_last") == "Picked", F.lit(C.IN_PROGRESS)),
+        F.when(F.col("_fails") > 0, F.lit(C.FAILED)).otherwise(F.lit(C.TODO)),
     )
-    state = F.coalesce(F.col("_final"), F.when(F.col("_fails") > 0, F.lit(C.FAILED)).otherwise(F.lit(C.TODO)))
     fails = F.col("_counted")
     return agg.select(*keys, state.alias("state"), fails.cast("int").alias("failure_count"),
                       F.col("dispatches").cast("int"))

@@ -67,3 +67,16 @@ def test_backoff_delays_and_jitter_bounds(spark):
     assert all(r.d == 600_000.0 for r in j if r.n >= 13)
     assert all(r.d <= r.j < r.d * 1.2 for r in j)
     assert round(sum(r.d for r in j) / 1000, 1) == 83019.1  # the ~23 h worst-case span
+
+
+def test_work_state_with_picks(spark):
+    rows = [
+        ("q", 1, 0, "Picked"), ("q", 1, 1, "Failed"), ("q", 1, 2, "Picked"),   # picked again, no result yet
+        ("q", 2, 0, "Picked"), ("q", 2, 1, "Sent"), ("q", 2, 2, "Picked"),     # finished: later picks ignored
+        ("q", 3, 0, "Picked"), ("q", 3, 1, "Failed"),
+    ]
+    df = spark.createDataFrame(rows, "queue string, item_id long, sent_at long, outcome string")
+    df = df.withColumn("attempt_id", df.sent_at)
+    got = {r.item_id: (r.state, r.failure_count, r.dispatches) for r in
+           work_state(df, ["queue", "item_id"], ["sent_at", "attempt_id"]).collect()}
+    assert got == {1: ("in-progress", 1, 1), 2: ("succeeded", 0, 1), 3: ("failed", 1, 1)}
