@@ -37,7 +37,7 @@ def commit_batch(ledger: DataFrame, queues: DataFrame, batch_id: int, root: str,
 
 def read_committed(spark: SparkSession, root: str, what: str) -> DataFrame:
     """Rows of ``what`` (``ledger``, ``queues`` or ``responses``) from committed batches only."""
-    commits = spark.read.option("basePath", f"{root}/{COMMITS}").json(f"{root}/{COMMITS}/batch_id=*")
+    commits = spark.read.schema("committed bigint, batch_id bigint").json(f"{root}/{COMMITS}")
     done = commits.select("batch_id").distinct()
     data = spark.read.parquet(f"{root}/{what}")
     # one marker row per batch: grows with the batch count, so Spark (AQE)
