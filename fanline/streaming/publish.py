@@ -37,8 +37,11 @@ def commit_batch(ledger: DataFrame, queues: DataFrame, batch_id: int, root: str,
 
 def read_committed(spark: SparkSession, root: str, what: str) -> DataFrame:
     """Rows of ``what`` (``ledger``, ``queues`` or ``responses``) from committed batches only."""
-    commits = spark.read.schema("committed bigint, batch_id bigint").json(f"{root}/{COMMITS}")
-    done = commits.select("batch_id").distinct()
+    # the marker's own content names its batch: no partition column on this
+    # side, so no dynamic partition pruning (whose filtered broadcasts Spark
+    # could reuse across differently filtered reads of the same table)
+    commits = spark.read.schema("committed bigint").json(f"{root}/{COMMITS}/*")
+    done = commits.select(F.col("committed").alias("batch_id")).distinct()
     data = spark.read.parquet(f"{root}/{what}")
     # one marker row per batch: grows with the batch count, so Spark (AQE)
     # decides whether to broadcast it
