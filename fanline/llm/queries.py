@@ -27,3 +27,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fanline.llm.minhash_dedup import Similarity, near_duplicates
 
     return near_duplicates(c.read_table(spark, sf_dir, "documents"), Similarity(width=3, percent=85))
+
+
+@query("op9_cost_balanced_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fanline.llm.packing import pack
+
+    return pack(c.read_table(spark, sf_dir, "documents"), with_tokens=False)
