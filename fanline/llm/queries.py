@@ -34,3 +34,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fanline.llm.packing import pack
 
     return pack(c.read_table(spark, sf_dir, "documents"), with_tokens=False)
+
+
+@query("op7_wavelet_token_shards")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fanline.llm.wavelet import read_documents, write_shards
+
+    path = c.shared_path(spark, "shards")
+    write_shards(c.read_table(spark, sf_dir, "documents"), path)
+    return read_documents(spark, path, with_tokens=False)
