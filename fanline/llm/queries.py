@@ -43,3 +43,23 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = c.shared_path(spark, "shards")
     write_shards(c.read_table(spark, sf_dir, "documents"), path)
     return read_documents(spark, path, with_tokens=False)
+
+
+@query("op2_compression_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fanline.llm.labelled import fold_is
+    from fanline.llm.toxicity import score_documents, train
+
+    docs, held = c.read_table(spark, sf_dir, "documents"), fold_is("doc_id", 5, 0)
+    model = train(docs, c.read_table(spark, sf_dir, "labels"), ~held)
+    return score_documents(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+@query("op8_ftrl_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fanline.llm.labelled import fold_is
+    from fanline.llm.quality import score_documents, train
+
+    docs, held = c.read_table(spark, sf_dir, "documents"), fold_is("doc_id", 3, 1)
+    model = train(docs, c.read_table(spark, sf_dir, "labels"), ~held)
+    return score_documents(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
