@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fanline.llm import common as c
 
@@ -63,3 +64,17 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = c.read_table(spark, sf_dir, "documents"), fold_is("doc_id", 3, 1)
     model = train(docs, c.read_table(spark, sf_dir, "labels"), ~held)
     return score_documents(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+@query("op3_balanced_posting_lists")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fanline.llm.posting_lists import nearest_neighbours
+
+    return nearest_neighbours(c.read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+@query("op6_threshold_top_k")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fanline.llm.threshold_topk import exact_top_k
+
+    return exact_top_k(c.read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
