@@ -78,3 +78,66 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fanline.llm.threshold_topk import exact_top_k
 
     return exact_top_k(c.read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+#: the list that op5 joins with, made from the hosts and segments of the pages:
+#: a log of dated entries, with patterns that come, go and come again
+_ENTRIES_SQL = """
+  SELECT host AS pattern, (m * 37) % 600 AS d, 'add' AS action FROM hosts WHERE m % 3 <> 0
+  UNION ALL SELECT host, (m * 37) % 600 + 60 + m % 50, 'remove' FROM hosts WHERE m % 3 <> 0 AND m % 2 = 0
+  UNION ALL SELECT host, (m * 37) % 600 + 200, 'add' FROM hosts WHERE m % 3 <> 0 AND m % 4 = 0
+  UNION ALL SELECT parent, (m * 53) % 700, 'add' FROM parents WHERE m % 5 = 0
+  UNION ALL SELECT parent, (m * 53) % 700 + 30, 'remove' FROM parents WHERE m % 5 = 0
+  UNION ALL SELECT pattern, (m * 11) % 700, 'add' FROM segments WHERE m % 7 = 0
+"""
+
+_OP5_SQL = r"""
+WITH captures AS (
+  SELECT page_id, DATE '2023-01-01' + CAST(page_id % 730 AS INTEGER) AS day,
+    coalesce(lower(regexp_replace(regexp_replace(regexp_replace(
+      regexp_extract(trim(url), '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', ''), '[.]+$', '')), '') AS host,
+    coalesce(regexp_extract(trim(url), '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*/([^/?#]+)', 1), '') AS segment
+  FROM pages
+), hosts AS (SELECT host, min(page_id) AS m FROM captures WHERE host <> '' GROUP BY host),
+parents AS (
+  SELECT substr(host, strpos(host, '.') + 1) AS parent, min(m) AS m FROM hosts WHERE strpos(host, '.') > 0 GROUP BY 1
+), segments AS (
+  SELECT host || '/' || segment AS pattern, min(page_id) AS m FROM captures WHERE host <> '' AND segment <> '' GROUP BY 1
+), entries AS (SELECT pattern, DATE '2023-01-01' + CAST(d AS INTEGER) AS day, action FROM (ENTRIES)),
+daily AS (SELECT pattern, day, max(CASE WHEN action = 'add' THEN 1 ELSE 0 END) AS listed FROM entries GROUP BY 1, 2),
+spans AS (SELECT pattern, day AS start, lead(day) OVER (PARTITION BY pattern ORDER BY day) AS stop, listed FROM daily),
+reach AS (
+  SELECT page_id, host, day, segment, unnest(list_transform(generate_series(1, len(string_split(host, '.'))),
+    lambda i: array_to_string(string_split(host, '.')[i:], '.'))) AS domain
+  FROM captures WHERE host <> '' AND len(string_split(host, '.')) <= 127
+), cover AS (
+  SELECT page_id, day, domain AS pattern FROM reach
+  UNION SELECT page_id, day, domain || '/' || segment FROM reach WHERE segment <> ''
+), met AS (
+  SELECT page_id, s.pattern, start, row_number() OVER (PARTITION BY page_id ORDER BY length(s.pattern) DESC, s.pattern) AS rn
+  FROM cover JOIN spans s ON s.pattern = cover.pattern AND s.listed = 1 AND start <= day AND (stop IS NULL OR day < stop)
+)
+SELECT c.page_id, host, day, m.pattern IS NOT NULL AS listed, m.pattern, m.start AS since
+FROM captures c LEFT JOIN met m ON m.page_id = c.page_id AND m.rn = 1
+""".replace("ENTRIES", _ENTRIES_SQL)
+
+
+@query("op5_temporal_url_lists", _OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures are the pages, fetched on a day derived from page_id (the table
+    holds none); the list is derived from their hosts and segments."""
+    from fanline.llm.url_lists import filter_captures, url_host, url_segment
+
+    pages = c.read_table(spark, sf_dir, "pages")
+    start = F.lit("2023-01-01").cast("date")
+    captures = pages.select("page_id", "url", F.date_add(start, (F.col("page_id") % 730).cast("int")).alias("day"))
+    parts = captures.select("page_id", url_host(F.col("url")).alias("host"), url_segment(F.col("url")).alias("segment"))
+    named = parts.where("host <> ''").groupBy("host", "segment").agg(F.min("page_id").alias("m"))
+    named = c.materialise(named, "hosts")
+    least = F.min("m").alias("m")
+    hosts = named.groupBy("host").agg(least)
+    parents = hosts.where("instr(host, '.') > 0").groupBy(F.expr("substring(host, instr(host, '.') + 1)").alias("parent")).agg(least)
+    segments = named.where("segment <> ''").groupBy(F.concat("host", F.lit("/"), "segment").alias("pattern")).agg(least)
+    log = spark.sql(_ENTRIES_SQL.replace("FROM hosts", "FROM {hosts}").replace("FROM parents", "FROM {parents}").replace("FROM segments", "FROM {segments}"), hosts=hosts, parents=parents, segments=segments)
+    entries = log.select("pattern", F.date_add(start, F.col("d").cast("int")).alias("day"), "action")
+    return filter_captures(captures, entries)
