@@ -141,3 +141,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = spark.sql(_ENTRIES_SQL.replace("FROM hosts", "FROM {hosts}").replace("FROM parents", "FROM {parents}").replace("FROM segments", "FROM {segments}"), hosts=hosts, parents=parents, segments=segments)
     entries = log.select("pattern", F.date_add(start, F.col("d").cast("int")).alias("day"), "action")
     return filter_captures(captures, entries)
+
+
+@query("op10_lattice_sampling")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fanline.llm.piece_sampling import sample_pieces
+
+    return sample_pieces(c.read_table(spark, sf_dir, "documents"), with_tokens=False)
