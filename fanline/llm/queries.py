@@ -148,3 +148,24 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fanline.llm.piece_sampling import sample_pieces
 
     return sample_pieces(c.read_table(spark, sf_dir, "documents"), with_tokens=False)
+
+
+@query("op4_paragraph_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fanline.llm.paragraph_dedup import remove_repeats
+
+    cut = remove_repeats(c.read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id",
+        "n_removed",
+        F.size(F.split("text", "\n")).alias("n_lines"),
+        F.length("text").alias("n_chars"),
+        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+    )
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
