@@ -19,6 +19,11 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return r["n"], r["h"]
 
 
+def _with_roots(stars: DataFrame) -> DataFrame:
+    roots = stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Alternating large-star and small-star steps until nothing changes.
 
@@ -37,7 +42,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     )
     before = _fingerprint(edges)
     if not before[0]:
-        return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        return _with_roots(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = materialise(_least_neighbour(both), "cc-least")
@@ -51,5 +56,5 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         edges = materialise(small.where("u != v").distinct(), "cc-small")
         after = _fingerprint(edges)
         if after == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            return _with_roots(edges)
         before = after

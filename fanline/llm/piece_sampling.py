@@ -16,7 +16,8 @@ other machines give the same ids.
 
 Weights. The pieces of a merge vocabulary carry ranks, not probabilities; their
 weight is ``(rank + 2) ** -theta`` (Zipf's law). Scores of a unigram vocabulary
-are used as log-probabilities, times theta.
+are used as log-probabilities, times theta. A smaller theta spreads the draws
+over more segmentations; at 1 the commonest one takes nearly all.
 """
 
 from __future__ import annotations
@@ -243,7 +244,7 @@ class Sampler:
         took: list[np.ndarray] = []
         step = 0
         while len(live):
-            mixed = c.mix64(keys[live] + np.uint64(step + 1) * c.GOLDEN)
+            mixed = c.mix64(keys[live] + np.uint64((step + 1) * int(c.GOLDEN) % (1 << 64)))
             u = (mixed >> np.uint64(11)).astype(np.float64) * 2.0**-53
             u *= total[node[live]]
             e = first[node[live]]
@@ -316,7 +317,7 @@ def sample_pieces(
     docs: DataFrame,
     model_path: str | None = None,
     seed: int = 1,
-    theta: float = 1.0,
+    theta: float = 0.3,
     id_col: str = "doc_id",
     text_col: str = "text",
     with_tokens: bool = True,
