@@ -11,11 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fanline import constants as C
 from fanline.operators import dedup, matching, publish as ops
-from fanline.streaming.publish import commit_batch
+from fanline.streaming.publish import commit_batch, has_commits, read_committed
 
 
 def publish_events(events: DataFrame, index: matching.SubscriptionIndex, ledger: DataFrame | None,
@@ -28,21 +27,26 @@ def publish_events(events: DataFrame, index: matching.SubscriptionIndex, ledger:
     aggregate) and restricted to keys of the batch before it joins the fold.
     """
     m = matching.publishable(events, index).withColumn("_seed", F.lit(False))
-    rows = m
+    rows = m.withColumn("_tie", F.struct(F.lit(1).alias("o"), F.col("event_id").alias("id")))
     if ledger is not None:
+        # rows that expired before the batch's first event cannot matter
+        first = events.agg((F.min("received_at") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(ttl_seconds))).alias("_t0"))
+        live = ledger.join(F.broadcast(first), F.col("created_at") > F.col("_t0")).drop("_t0")
         keys = events.select(F.col(key).alias("_bk")).distinct()
-        last = ledger.groupBy(key).agg(F.max("created_at").alias("received_at"))
-        last = last.join(keys, F.col(key).eqNullSafe(F.col("_bk")), "left_semi")  # NULL is a key too
+        last = live.groupBy(F.col(key).alias("_lk")).agg(F.max("created_at").alias("received_at"))
+        last = last.join(keys, F.col("_lk").eqNullSafe(F.col("_bk")), "left_semi")  # NULL is a key too
+        id_type = m.schema["event_id"].dataType
         seeds = last.select(
-            key,
+            F.col("_lk").cast(m.schema[key].dataType).alias(key),
             F.col("received_at").cast(m.schema["received_at"].dataType).alias("received_at"),
-            _lowest(m.schema["event_id"].dataType).alias("event_id"),  # sorts first at equal times
             F.lit(True).alias("_seed"),
+            # at equal times the ledger's row comes before the batch's
+            F.struct(F.lit(0).alias("o"), F.lit(None).cast(id_type).alias("id")).alias("_tie"),
         )
-        rows = m.unionByName(seeds, allowMissingColumns=True)
+        rows = rows.unionByName(seeds, allowMissingColumns=True)
     elig = F.col("_seed") | F.coalesce(F.col("publishable"), F.lit(False))
-    st = dedup.ttl_status(rows, key, ttl_seconds, eligible=elig, hot_threshold=hot_threshold)
-    st = st.where(~F.col("_seed")).drop("_seed")
+    st = dedup.ttl_status(rows, key, ttl_seconds, tiebreak="_tie", eligible=elig, hot_threshold=hot_threshold)
+    st = st.where(~F.col("_seed")).drop("_seed", "_tie")
     status = (
         F.when(F.col("duplicate"), F.lit(C.ST_DUPLICATE))
         .when(~F.col("topic_known"), F.lit(C.ST_NO_TOPIC))
@@ -52,34 +56,31 @@ def publish_events(events: DataFrame, index: matching.SubscriptionIndex, ledger:
     return st.withColumn("status", status)
 
 
-def _lowest(dtype: T.DataType):
-    """The smallest value of an event-id type (seed rows sort before events)."""
-    if isinstance(dtype, T.LongType):
-        return F.lit(-(2**63)).cast("bigint")
-    if isinstance(dtype, (T.IntegerType, T.ShortType, T.ByteType)):
-        return F.lit(-(2**31)).cast(dtype)
-    return F.lit("").cast(dtype)
-
-
 def publish(events: DataFrame, index: matching.SubscriptionIndex, root: str, batch_id: int,
             key: str = "event_id", ttl_seconds: int = C.LEDGER_TTL_SECONDS) -> DataFrame:
     """Publish one batch against the ledger committed under ``root`` and
-    commit its ledger rows, queue rows and responses; returns the responses."""
-    from fanline.streaming.publish import read_committed
+    commit its ledger rows, queue rows and responses; returns the responses.
+
+    Publishing a batch id again reads the ledger without that batch's own rows
+    and so writes the same rows again: a replay changes nothing. If the commit
+    fails, audit rows (K4) go to ``{root}-audit`` and the error is raised again.
+    """
+    from fanline.session import checkpoint_dir
 
     spark = events.sparkSession
-    try:
-        ledger = read_committed(spark, root, "ledger").select(key, "created_at")
-    except Exception:  # nothing committed yet
-        ledger = None
-    st = publish_events(events, index, ledger, key, ttl_seconds)
+    checkpoint_dir(spark)
+    ledger = None
+    if has_commits(spark, root):
+        ledger = read_committed(spark, root, "ledger").where(F.col("batch_id") != batch_id).select(key, "created_at")
+    # evaluated once: three outputs are written from it
+    st = publish_events(events, index, ledger, key, ttl_seconds).checkpoint()
     acc = st.where("accepted")
     responses = ops.publish_response(st).select("event_id", "status", "http_code", "body")
-    commit_batch(
-        ops.to_published(acc),
-        ops.queue_rows(acc.withColumn("subscriber", F.explode("subscribers"))),
-        batch_id,
-        root,
-        responses,
-    )
+    queues = ops.queue_rows(acc.withColumn("subscriber", F.explode("subscribers")))
+    try:
+        commit_batch(ops.to_published(acc), queues, batch_id, root, responses)
+    except Exception as e:
+        failed = ops.audit_rows(acc, F.lit(str(e) or type(e).__name__))
+        failed.write.mode("overwrite").parquet(f"{root}-audit/batch_id={batch_id}")
+        raise
     return read_committed(spark, root, "responses").where(F.col("batch_id") == batch_id)

@@ -63,3 +63,4 @@ MSG_NO_SUBSCRIBERS = "No subscribers for topic"
 CODE_CREATED = 201
 CODE_NOT_FOUND = 404
 CODE_BAD_REQUEST = 400
+CODE_SERVER_ERROR = 500

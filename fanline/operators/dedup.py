@@ -13,7 +13,7 @@ This is a sequential fold, not ``dropDuplicates`` and not a fixed window.
 
 Plan. One cheap aggregation counts rows per key (map-side combined). Keys at
 or below ``hot_threshold`` rows take one shuffle: ``repartition(key)`` +
-``sortWithinPartitions(key, ts, tiebreak)`` + ``mapInPandas``, which folds
+``sortWithinPartitions(key, ts, tiebreak)`` + ``mapInArrow``, which folds
 every key of a partition at once with vectorised numpy (no per-key Python
 call); no key there is larger than the proven threshold. Keys above it (a
 key may hold a third of all rows) are never gathered into one task:
@@ -25,7 +25,8 @@ pointer doubling over Spark joins.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,22 +36,22 @@ from fanline.operators.hotkeys import hot_keys, resolve_threshold, split_hot, tt
 
 
 
-def _to_us(s: pd.Series) -> np.ndarray:
-    return s.to_numpy(dtype="datetime64[us]").astype(np.int64)
+def _codes(column: pa.Array) -> np.ndarray:
+    """Runs of equal keys as increasing numbers. NULL is a key like any other, as
+    in Spark's grouping, and so is NaN; no value is converted."""
+    n = len(column)
+    if n < 2:
+        return np.zeros(n, dtype=np.int64)
+    a, b = column.slice(1), column.slice(0, n - 1)
+    both = pc.and_(pc.is_null(a, nan_is_null=True), pc.is_null(b, nan_is_null=True))
+    differ = pc.fill_null(pc.not_equal(a, b), True)
+    return np.concatenate(([0], np.cumsum(pc.and_not(differ, both).to_numpy(zero_copy_only=False))))
 
 
-_NULL_KEY = "\u0000<null key>"
-
-
-def _norm_keys(s: pd.Series) -> np.ndarray:
-    """Key values with every NULL (None or NaN) as one sentinel: NULL is a
-    key like any other, as in Spark's grouping."""
-    a = s.to_numpy(dtype=object)
-    na = pd.isna(s).to_numpy()
-    if na.any():
-        a = a.copy()
-        a[na] = _NULL_KEY
-    return a
+def _to_us(column: pa.Array) -> np.ndarray:
+    """Microseconds of a timestamp column."""
+    unit = pa.timestamp("us", tz=column.type.tz)
+    return column.cast(unit).cast(pa.int64()).to_numpy(zero_copy_only=False)
 
 
 def fold_sorted(keys: np.ndarray, t: np.ndarray, elig: np.ndarray, ttl_us: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,47 +100,53 @@ def fold_sorted(keys: np.ndarray, t: np.ndarray, elig: np.ndarray, ttl_us: int)
 
 
 def _fold_partitions(key: str, ts: str, eligible: str, ttl_us: int):
-    """mapInPandas body: partitions hold whole keys sorted by (key, ts, tiebreak).
+    """mapInArrow body: partitions hold whole keys sorted by (key, ts, tiebreak).
 
     Arrow batches may split a key: the open key's rows are kept as a list of
     parts and concatenated once when the key closes (no quadratic copying).
+    Only key, time and eligibility are looked at; the other columns, NULLs and
+    large integers included, pass through as they are.
     """
 
     def run(batches):
-        open_parts: list[pd.DataFrame] = []  # rows of the key still open
-        open_key = None
-        for pdf in batches:
-            if not len(pdf):
+        open_parts: list[pa.RecordBatch] = []  # rows of the key still open
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            keys = _norm_keys(pdf[key])
+            at = batch.schema.get_field_index(key)
+            codes = _codes(batch.column(at))
             if open_parts:
-                same = keys == open_key
-                if same.all():
-                    open_parts.append(pdf)
-                    continue
-                i = int(np.argmin(same))  # first row of another key
+                tail = open_parts[-1].column(at)
+                meets = _codes(pa.concat_arrays([tail.slice(len(tail) - 1), batch.column(at).slice(0, 1)]))
+                i = int(np.searchsorted(codes, 1)) if meets[1] == 0 else 0  # rows of the open key
                 if i:
-                    open_parts.append(pdf.iloc[:i])
-                yield _finish(pd.concat(open_parts, ignore_index=True), key, ts, eligible, ttl_us)
-                open_parts = []
-                pdf, keys = pdf.iloc[i:], keys[i:]
-            last = keys[-1]
-            j = len(keys) - int(np.argmin((keys == last)[::-1])) if not (keys == last).all() else 0
+                    open_parts.append(batch.slice(0, i))
+                if i == batch.num_rows:
+                    continue
+                yield from _finish(open_parts, key, ts, eligible, ttl_us)
+                open_parts, batch, codes = [], batch.slice(i), codes[i:]
+            j = int(np.searchsorted(codes, codes[-1]))  # first row of the last key
             if j:
-                yield _finish(pdf.iloc[:j], key, ts, eligible, ttl_us)
-            open_parts, open_key = [pdf.iloc[j:]], last
+                yield from _finish([batch.slice(0, j)], key, ts, eligible, ttl_us)
+            open_parts = [batch.slice(j)]
         if open_parts:
-            yield _finish(pd.concat(open_parts, ignore_index=True), key, ts, eligible, ttl_us)
+            yield from _finish(open_parts, key, ts, eligible, ttl_us)
 
     return run
 
 
-def _finish(pdf: pd.DataFrame, key: str, ts: str, eligible: str, ttl_us: int) -> pd.DataFrame:
-    acc, dup = fold_sorted(_norm_keys(pdf[key]), _to_us(pdf[ts]), pdf[eligible].to_numpy(dtype=bool), ttl_us)
-    pdf = pdf.copy()
-    pdf["accepted"] = acc
-    pdf["duplicate"] = dup
-    return pdf
+def _finish(parts: list[pa.RecordBatch], key: str, ts: str, eligible: str, ttl_us: int):
+    """The parts with their ``accepted`` and ``duplicate`` columns."""
+    table = pa.Table.from_batches(parts)
+    column = lambda name: table.column(name).combine_chunks()
+    elig = column(eligible).to_numpy(zero_copy_only=False).astype(bool)
+    acc, dup = fold_sorted(_codes(column(key)), _to_us(column(ts)), elig, ttl_us)
+    at = 0
+    for part in parts:
+        end = at + part.num_rows
+        flags = [pa.array(acc[at:end]), pa.array(dup[at:end])]
+        yield pa.RecordBatch.from_arrays(part.columns + flags, names=part.schema.names + ["accepted", "duplicate"])
+        at = end
 
 
 def ttl_status(
@@ -163,7 +170,7 @@ def ttl_status(
 
     def cold_fold(rows: DataFrame) -> DataFrame:
         ordered = rows.repartition(key).sortWithinPartitions(key, ts, tiebreak)
-        return ordered.mapInPandas(fold, schema)
+        return ordered.mapInArrow(fold, schema)
 
     hot = hot_keys(base, [key], hot_threshold)
     if hot is None:

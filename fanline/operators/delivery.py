@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fanline import constants as C
+from fanline.functions.json_text import payload_json
 from fanline.functions.http import is_retryable
 from fanline.operators.hotkeys import Scan, keyed_window
 
@@ -101,10 +102,10 @@ def throttle_schedule(rows: DataFrame, queue: str, order: list[str], elements: C
 def render_requests(queue_rows: DataFrame, subs: DataFrame) -> DataFrame:
     """K5: method, uri, content type and the whole envelope as the JSON body.
 
-    The scalar envelope fields go through ``to_json`` (escaping); the payload
-    is already JSON text and is spliced in unchanged. ``subs`` is the
-    subscription catalog, whose size ``SubscriptionIndex.build`` checks
-    (at most ``MAX_BROADCAST_SUBSCRIPTIONS`` rows), so it is broadcast.
+    The scalar envelope fields go through ``to_json`` (escaping); the payload,
+    the ``event`` member of the row's envelope, is already JSON text. Whether
+    ``subs``, the subscription catalog, is broadcast is left to Spark, which
+    knows its size.
     """
     head = F.to_json(
         F.struct(
@@ -114,9 +115,10 @@ def render_requests(queue_rows: DataFrame, subs: DataFrame) -> DataFrame:
             F.date_format("timestamp", ISO_MICROS).alias("timestamp"),
         )
     )
-    body = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(","), F.expr("substring(event, 2)"))
+    open_head = F.expr("substring(_head, 1, length(_head) - 1)")
+    body = F.concat(open_head, F.lit(',"event":'), payload_json(F.col("event")), F.lit("}"))
     return (
-        queue_rows.join(F.broadcast(subs.select("topic", "subscriber", "uri", "http_method")), ["topic", "subscriber"])
+        queue_rows.join(subs.select("topic", "subscriber", "uri", "http_method"), ["topic", "subscriber"])
         .withColumn("_head", head)
         .select(
             "queue", "event_id", F.col("http_method").alias("method"), "uri",

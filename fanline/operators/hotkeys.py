@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from fanline.functions.time import epoch_us
 
 # At most rows/threshold hot keys exist; this caps the collected list.
-MAX_HOT_KEYS = 1_000_000
+MAX_HOT_KEYS = 100_000
 DEFAULT_THRESHOLD = 2_000_000
 
 
@@ -44,31 +44,20 @@ def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame | None
     """Keys with more than ``threshold`` rows, with their counts (``_n``), or None.
 
     The count is a partial (map-side) aggregation; the result has at most
-    ``rows / threshold`` entries, so it is safe to collect and broadcast.
-    When the whole input has at most ``threshold`` rows no key can be hot;
-    that total comes from parquet metadata for plain scans, so small inputs
-    skip the grouped count.
+    ``rows / threshold`` entries. Up to ``MAX_HOT_KEYS`` of them are collected
+    and marked for broadcast; a longer list stays a checkpointed table that
+    Spark joins as its size demands.
     """
-    if _cheap_to_count(df) and df.select().count() <= threshold:
-        return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold)
     rows = counts.limit(MAX_HOT_KEYS + 1).collect()
     if not rows:
         return None
-    if len(rows) > MAX_HOT_KEYS:
-        raise ValueError("hot key list exceeds its bound; raise the threshold")
-    return df.sparkSession.createDataFrame(rows, counts.schema)
-
-
-_COSTLY = ("Join", "Python", "Pandas", "from_json", "parse_json", "get_json_object", "Window", "Aggregate",
-           "Generate", "Exchange")
-
+    if len(rows) > MAX_HOT_KEYS:  # a list too long for the driver stays a table
+        from fanline.session import checkpoint_dir
 
-def _cheap_to_count(df: DataFrame) -> bool:
-    """Does counting ``df``'s rows avoid recomputing an expensive derivation?
-    (A plain or filtered scan is counted from metadata or one light pass.)"""
-    plan = df.select()._jdf.queryExecution().optimizedPlan().toString()
-    return not any(tok in plan for tok in _COSTLY)
+        checkpoint_dir(df.sparkSession)
+        return counts.checkpoint()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, counts.schema))
 
 
 HK = "_hk"
@@ -82,7 +71,7 @@ def surrogate_key(keys: list[str]) -> Column:
 def split_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(cold rows, hot rows) of ``df``; NULL keys compare equal, since a
     missing key is a classic hot key."""
-    h = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
+    h = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys])  # hot_keys marks a bounded list for broadcast
     cond = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
     return df.join(h, cond, "left_anti"), df.join(h, cond, "left_semi")
 
@@ -140,7 +129,7 @@ def keyed_window(
     cold, hot_rows = split_hot(df, hot, keys)
     cold = cold.withColumns({name: _local(s, w) for name, s in scans.items()})
 
-    total = sum(r["_n"] for r in hot.collect())  # at most MAX_HOT_KEYS rows
+    total = hot.agg(F.sum("_n")).first()[0]
     slices = max(2, math.ceil(total / threshold))
     # inside the hot path the key is a never-NULL surrogate (NULL is a key too)
     hot_rows = hot_rows.withColumn(HK, surrogate_key(keys))
@@ -292,13 +281,11 @@ def ttl_anchors_hot(rows: DataFrame, key: str, ts: str, tiebreak: str, eligible:
     from fanline.session import checkpoint_dir
 
     checkpoint_dir(spark)
-    # Node id, unique per key and ordered like (ts, tiebreak).
-    if isinstance(rows.schema[tiebreak].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        rows = rows.withColumn("_eid", F.col(tiebreak).cast("bigint"))
-    else:
-        tie = F.row_number().over(Window.partitionBy(key, ts).orderBy(tiebreak)) - 1
-        rows = rows.withColumn("_eid", epoch_us(rows, ts) * F.lit(1024) + tie)
-    rows = rows.withColumn("_t", epoch_us(rows, ts))
+    # Node id: the row's place in the order (key, ts, tiebreak), so it is unique
+    # whatever the tiebreak holds; fixed by the checkpoint. The range sort splits
+    # a hot key, and rows of one instant, over many tasks.
+    rows = rows.withColumn("_t", epoch_us(rows, ts)).orderBy(key, "_t", tiebreak)
+    rows = rows.withColumn("_eid", F.monotonically_increasing_id()).checkpoint()
     nodes = rows.where(F.col(eligible)).select(key, F.col("_t").alias("t"), F.col("_eid").alias("eid")).checkpoint()
     n_nodes = nodes.count()
     slices = max(2, math.ceil(2 * max(n_nodes, 1) / threshold))

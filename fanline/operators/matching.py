@@ -23,7 +23,13 @@ from pyspark.sql import functions as F
 
 from fanline import constants as C
 from fanline.functions.jsonpath import CompiledPath, doc_schema, parse_path, parsed_predicate, path_predicate
-from fanline.sources.catalog import MAX_BROADCAST_SUBSCRIPTIONS, MAX_INLINE_SUBSCRIPTIONS, valid_subscriptions
+from fanline.sources.catalog import (
+    MAX_BROADCAST_SUBSCRIPTIONS,
+    MAX_INLINE_SUBSCRIPTIONS,
+    topics_of,
+    valid_subscriptions,
+)
+from fanline.session import checkpoint_dir
 
 
 def queue_name(topic: Column, subscriber: Column) -> Column:
@@ -41,30 +47,30 @@ class SubscriptionIndex:
     catalog: DataFrame
     inline: bool
     broadcastable: bool = True
+    known: DataFrame | None = None  # every known topic, those without subscribers too
 
     @classmethod
-    def build(cls, catalog: DataFrame) -> "SubscriptionIndex":
+    def build(cls, catalog: DataFrame, inline: bool | None = None) -> "SubscriptionIndex":
         """Size-checked: a catalog of at most ``MAX_BROADCAST_SUBSCRIPTIONS``
         rows is collected once (no shuffle) and inlined when small enough;
         a larger one stays a DataFrame joined by shuffle, and only its
-        distinct filter paths (compiled on the driver) must be bounded."""
+        distinct filter paths are compiled on the driver. Both forms give the
+        same results; ``inline`` forces one of them."""
         cap = MAX_BROADCAST_SUBSCRIPTIONS + 1
         rows = catalog.select("topic", "subscriber", "filter_path", "errors").limit(cap).collect()
-        if len(rows) < cap:
+        valid, known = valid_subscriptions(catalog), topics_of(catalog)
+        small = len(rows) < cap
+        if small:
             usable = [r for r in rows if not r.errors]
             subs = sorted({(r.topic, r.subscriber, r.filter_path) for r in usable if r.subscriber is not None})
             topics = sorted({r.topic for r in rows if r.topic and re.fullmatch(C.NAME_PATTERN, r.topic)})
             texts = {p for _, _, p in subs if p is not None}
-            inline = len(subs) <= MAX_INLINE_SUBSCRIPTIONS and len(topics) <= MAX_INLINE_SUBSCRIPTIONS
+            fits = len(subs) <= MAX_INLINE_SUBSCRIPTIONS and len(topics) <= MAX_INLINE_SUBSCRIPTIONS
         else:
-            valid = valid_subscriptions(catalog)
             distinct = valid.select("filter_path").where(F.col("filter_path").isNotNull()).distinct()
-            found = distinct.limit(cap).collect()
-            if len(found) >= cap:
-                raise ValueError("too many distinct filter paths to compile on the driver")
-            subs, topics, texts, inline = [], [], {r.filter_path for r in found}, False
+            subs, topics, texts, fits = [], [], {r.filter_path for r in distinct.toLocalIterator()}, False
         paths = {p: parse_path(p) for p in texts}
-        return cls(subs, topics, paths, valid_subscriptions(catalog), inline, len(rows) < cap)
+        return cls(subs, topics, paths, valid, fits if inline is None else inline and small, small, known)
 
     # -- inline form ----------------------------------------------------------
     def parse_schema(self):
@@ -97,6 +103,7 @@ class SubscriptionIndex:
 
 
 PARSED = "_doc"
+ROW = "_row"
 
 
 def _with_parsed(events: DataFrame, index: SubscriptionIndex, doc_col: str) -> tuple[DataFrame, Column | None]:
@@ -122,20 +129,25 @@ def match_subscribers(events: DataFrame, index: SubscriptionIndex, doc_col: str
             }
         )
         return out.drop(PARSED)
-    fanned = _join_fan_out(events.select("event_id", "topic", doc_col), index, doc_col)
-    per_event = fanned.groupBy("event_id").agg(F.array_sort(F.collect_set("subscriber")).alias("subscribers"))
-    topics = index.catalog.select("topic").distinct().withColumn("topic_known", F.lit(True))
+    # a row's own number, not its id: ids repeat. It depends on the partition and
+    # the place in it, and both sides read the same rows, written once
+    checkpoint_dir(events.sparkSession)
+    rows = events.withColumn(ROW, F.monotonically_increasing_id()).checkpoint()
+    fanned = _join_fan_out(rows.select(ROW, "topic", doc_col), index, doc_col)
+    per_row = fanned.groupBy(ROW).agg(F.array_sort(F.collect_set("subscriber")).alias("subscribers"))
+    topics = index.known.withColumn("topic_known", F.lit(True))
     if index.broadcastable:
         topics = F.broadcast(topics)
     return (
-        events.join(topics, "topic", "left")
-        .join(per_event, "event_id", "left")
+        rows.join(topics, "topic", "left")
+        .join(per_row, ROW, "left")
         .withColumns(
             {
                 "topic_known": F.coalesce("topic_known", F.lit(False)),
                 "subscribers": F.coalesce("subscribers", F.array().cast("array<string>")),
             }
         )
+        .select(*events.columns, "topic_known", "subscribers")
     )
 
 
@@ -146,7 +158,7 @@ def _join_fan_out(events: DataFrame, index: SubscriptionIndex, doc_col: str) ->
     pred = F.when(F.col("filter_path").isNull(), F.lit(True))
     for p, cp in index.paths.items():
         pred = pred.when(F.col("filter_path") == p, path_predicate(cp, F.col(doc_col)))
-    return events.join(subs, "topic").where(pred.otherwise(F.lit(False))).drop("filter_path")
+    return events.join(subs, "topic").where(F.coalesce(pred.otherwise(F.lit(False)), F.lit(False))).drop("filter_path")
 
 
 def fan_out(events: DataFrame, index: SubscriptionIndex, doc_col: str = "event") -> DataFrame:

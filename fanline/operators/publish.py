@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fanline import constants as C
+from fanline.functions.json_text import json_text, payload_json
 from fanline.operators.delivery import ISO_MICROS
 from fanline.operators.matching import queue_name
 
@@ -45,11 +46,6 @@ def queue_rows(fanned: DataFrame, created_at: str = "received_at") -> DataFrame:
     )
 
 
-def json_text(c: Column) -> Column:
-    """A scalar as JSON text: strings keep their quotes."""
-    return F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2)
-
-
 def audit_rows(failed: DataFrame, reason: Column | str) -> DataFrame:
     """K4: one audit row per failed publish, detail = every field as JSON text + reason."""
     r = F.col(reason) if isinstance(reason, str) else reason
@@ -58,7 +54,7 @@ def audit_rows(failed: DataFrame, reason: Column | str) -> DataFrame:
         F.lit("subject"), json_text(F.col("subject")),
         F.lit("groupId"), json_text(F.col("group_id").cast("string")),
         F.lit("timestamp"), json_text(F.date_format("timestamp", ISO_MICROS)),
-        F.lit("event"), F.expr("substring(event, 10, length(event) - 10)"),
+        F.lit("event"), payload_json(F.col("event")),
         F.lit("reason"), r,
     )
     return failed.select(
@@ -75,7 +71,8 @@ def publish_response(status: DataFrame) -> DataFrame:
     code = (
         F.when(st == C.ST_NO_TOPIC, F.lit(C.CODE_NOT_FOUND))
         .when(st == C.ST_INVALID, F.lit(C.CODE_BAD_REQUEST))
-        .otherwise(F.lit(C.CODE_CREATED))
+        .when(st.isin(C.ST_PUBLISHED, C.ST_DUPLICATE, C.ST_NO_SUBSCRIBERS), F.lit(C.CODE_CREATED))
+        .otherwise(F.lit(C.CODE_SERVER_ERROR))  # any other failure to publish
     )
     published = F.to_json(F.struct(F.col("subscribers").alias("publishedSubscribers")))
     body = (

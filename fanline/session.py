@@ -43,11 +43,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is read from the
-    session. Only when it is unset (local tests) a private folder is created.
+    session. Only a local master may leave it unset (tests): it gets a private
+    folder. Elsewhere that is an error: executors could not see such a folder.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="fanline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

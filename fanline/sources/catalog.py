@@ -54,11 +54,10 @@ def _duration_field(raw: Column, default_ms: int) -> tuple[Column, Column]:
 
 
 def compiled_paths(raw: DataFrame) -> dict[str, CompiledPath | JsonPathError]:
-    """Distinct filter paths of a (bounded) catalog, compiled on the driver."""
-    rows = raw.where(F.col("filter_path").isNotNull()).select("filter_path").limit(MAX_BROADCAST_SUBSCRIPTIONS + 1).collect()
-    if len(rows) > MAX_BROADCAST_SUBSCRIPTIONS:
-        raise ValueError("subscription catalog exceeds its bound")
-    return compile_paths(r.filter_path for r in rows)
+    """Distinct filter paths of a catalog, compiled on the driver (configuration:
+    one expression per distinct path, however many rows share it)."""
+    distinct = raw.where(F.col("filter_path").isNotNull()).select("filter_path").distinct()
+    return compile_paths(r.filter_path for r in distinct.toLocalIterator())
 
 
 def compile_paths(texts) -> dict[str, CompiledPath | JsonPathError]:
@@ -73,6 +72,14 @@ def compile_paths(texts) -> dict[str, CompiledPath | JsonPathError]:
     return out
 
 
+def _one_per_name(raw: DataFrame) -> DataFrame:
+    """One row per (topic, subscriber): of rows with different settings, the least
+    in column order (NULLs first), so every run keeps the same one."""
+    rest = [c for c in raw.columns if c not in ("topic", "subscriber")]
+    least = raw.groupBy("topic", "subscriber").agg(F.min(F.struct(*rest)).alias("_r"))
+    return least.select("topic", "subscriber", "_r.*").select(*raw.columns)
+
+
 def load_subscriptions(raw: DataFrame, paths: dict | None = None) -> DataFrame:
     """S3 + F4 + F5 + U1: resolve defaults, validate, collect every error."""
     paths = compiled_paths(raw) if paths is None else paths
@@ -111,7 +118,7 @@ def load_subscriptions(raw: DataFrame, paths: dict | None = None) -> DataFrame:
         err(s.isNotNull() & path_error.isNotNull(), "filter-path", path_error),
     ]
     return (
-        raw.dropDuplicates(["topic", "subscriber"])  # U1: set semantics
+        _one_per_name(raw)  # U1: set semantics
         .select(
             t.alias("topic"),
             s.alias("subscriber"),

@@ -21,13 +21,17 @@ from fanline.operators import matching, publish
 from fanline.streaming.dedup import dedup_ttl_stream
 
 COMMITS = "_commits"
+#: files that a batch may write per queue
+QUEUE_FILES = 8
 
 
 def commit_batch(ledger: DataFrame, queues: DataFrame, batch_id: int, root: str,
                  responses: DataFrame | None = None) -> None:
     """K3: write the outputs of one batch, then publish them with a marker."""
     ledger.write.mode("overwrite").parquet(f"{root}/ledger/batch_id={batch_id}")
-    queues.write.mode("overwrite").partitionBy("queue").parquet(f"{root}/queues/batch_id={batch_id}")
+    # a queue's rows go to a few tasks by id, so a batch writes few files per queue
+    dealt = queues.repartition("queue", F.pmod(F.xxhash64("id"), F.lit(QUEUE_FILES)))
+    dealt.write.mode("overwrite").partitionBy("queue").parquet(f"{root}/queues/batch_id={batch_id}")
     if responses is not None:
         responses.write.mode("overwrite").parquet(f"{root}/responses/batch_id={batch_id}")
     spark = ledger.sparkSession
@@ -48,6 +52,12 @@ def read_committed(spark: SparkSession, root: str, what: str) -> DataFrame:
     return data.join(done, "batch_id", "left_semi")
 
 
+def has_commits(spark: SparkSession, root: str) -> bool:
+    """Whether any batch was committed under ``root`` (any store Spark knows)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{COMMITS}")
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path))
+
+
 def publish_stream(
     events: DataFrame,
     index: matching.SubscriptionIndex,
@@ -57,16 +67,20 @@ def publish_stream(
     ttl_seconds: int = C.LEDGER_TTL_SECONDS,
     trigger: dict | None = None,
     audit_root: str | None = None,
+    watermark: str = "1 hour",
 ) -> StreamingQuery:
     """Events -> match -> TTL dedup (state) -> ledger + queues + responses per batch.
 
+    ``watermark`` is how far ``received_at`` may run behind the latest one seen;
+    with arrival times (``events_from_bodies``) no row is ever that late.
+
     K4: if a batch cannot be committed, audit rows for its accepted events
     (reason = the error) go to ``audit_root`` and the error is raised again,
     so Spark retries the batch.
     """
     audit_root = audit_root or f"{root}-audit"
     m = matching.publishable(events, index)
-    st = dedup_ttl_stream(m, key, ttl_seconds, eligible=F.col("publishable"))
+    st = dedup_ttl_stream(m, key, ttl_seconds, eligible=F.col("publishable"), watermark=watermark)
 
     def sink(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
@@ -86,7 +100,7 @@ def publish_stream(
             try:
                 commit_batch(ledger, queues, batch_id, root, responses)
             except Exception as e:
-                reason = F.lit(str(e).splitlines()[0][:1000] if str(e) else type(e).__name__)
+                reason = F.lit(str(e) or type(e).__name__)
                 audit = publish.audit_rows(acc, reason)
                 audit.write.mode("overwrite").parquet(f"{audit_root}/batch_id={batch_id}")
                 raise
@@ -98,15 +112,16 @@ def publish_stream(
 
 
 def events_from_bodies(bodies: DataFrame) -> DataFrame:
-    """S1 + S2 on a stream: the valid bodies as EVENT rows (topic = subject,
-    the whole body is the envelope the filters read, arrival time = its
-    timestamp as an instant for watermarking)."""
+    """S1 + S2 on a stream: the valid bodies as EVENT rows (topic = subject, the
+    whole body is the envelope the filters read). ``received_at`` is the time
+    the micro-batch took the body in, not the publisher's ``timestamp``: it only
+    moves on, so no event is late and every one gets its response."""
     from fanline.sources.ingest import parse_bodies, valid_events
 
     ok = valid_events(parse_bodies(bodies))
     return ok.select(
         F.col("subject").alias("topic"), "event_id", "subject", "group_id", "timestamp",
-        F.col("body").alias("event"), F.col("timestamp").cast("timestamp").alias("received_at"),
+        F.col("body").alias("event"), F.current_timestamp().alias("received_at"),
     )
 
 

@@ -10,8 +10,8 @@ def rows(df):
 
 
 def test_only_uri_given_defaults_everything(spark):
-    cat = load_subscriptions(catalog_from_nested(spark, {"email": {"foo-subscriber": {"uri": "http://x"}}}))
-    r = rows(cat)["foo-subscriber"]
+    cat = load_subscriptions(catalog_from_nested(spark, {"tides": {"gauge-9": {"uri": "http://x"}}}))
+    r = rows(cat)["gauge-9"]
     assert (r.http_method, r.elements, r.per_ms, r.max_connections) == ("POST", 60, 3000, 4)
     assert (r.min_backoff_ms, r.max_backoff_ms, r.max_retries, r.filter_path) == (100, 600000, 150, None)
     assert r.errors == []
@@ -19,20 +19,21 @@ def test_only_uri_given_defaults_everything(spark):
 
 def test_put_method_and_case_insensitive(spark):
     cat = load_subscriptions(
-        catalog_from_nested(spark, {"email": {"a": {"uri": "u", "http-method": "put"}, "b": {"uri": "u", "http-method": "GET"}}})
+        catalog_from_nested(spark, {"tides": {"a": {"uri": "u", "http-method": "put"}, "b": {"uri": "u", "http-method": "GET"}}})
     )
     got = rows(cat)
     assert got["a"].http_method == "PUT" and got["a"].errors == []
-    assert got["b"].errors == ["at 'email.b.http-method': expected one of [POST, PUT], but got: GET."]
+    assert got["b"].errors == ["at 'tides.b.http-method': expected one of [POST, PUT], but got: GET."]
 
 
-def test_three_bad_fields_are_reported_together(spark):
-    raw = catalog_from_nested(spark, {"email": {"foo-subscriber": {"http-method": "POST", "elements": "foo", "per": "bar"}}})
-    errs = sorted(rows(load_subscriptions(raw))["foo-subscriber"].errors)
+def test_every_bad_field_of_a_row_is_reported(spark):
+    raw = catalog_from_nested(spark, {"tides": {"gauge-9": {"max-retries": "many", "elements": "1.5", "min-back-off": "soon"}}})
+    errs = sorted(rows(load_subscriptions(raw))["gauge-9"].errors)
     assert errs == [
-        "at 'email.foo-subscriber.elements': Expected type NUMBER. Found STRING instead.",
-        "at 'email.foo-subscriber.per': Cannot convert 'bar' to Duration",
-        "at 'email.foo-subscriber.uri': Unknown key.",
+        "at 'tides.gauge-9.elements': Expected type NUMBER. Found STRING instead.",
+        "at 'tides.gauge-9.max-retries': Expected type NUMBER. Found STRING instead.",
+        "at 'tides.gauge-9.min-back-off': Cannot convert 'soon' to Duration",
+        "at 'tides.gauge-9.uri': Unknown key.",
     ]
 
 
