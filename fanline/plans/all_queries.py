@@ -3,6 +3,7 @@
 from fanline.plans import (  # noqa: F401
     queries,
     queries_delivery,
+    queries_exact,
     queries_ingest,
     queries_metrics,
     queries_publish,

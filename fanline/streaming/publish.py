@@ -12,7 +12,7 @@ shared storage on a cluster.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -111,17 +111,18 @@ def publish_stream(
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def events_from_bodies(bodies: DataFrame) -> DataFrame:
+def events_from_bodies(bodies: DataFrame, received_at: Column | None = None) -> DataFrame:
     """S1 + S2 on a stream: the valid bodies as EVENT rows (topic = subject, the
     whole body is the envelope the filters read). ``received_at`` is the time
     the micro-batch took the body in, not the publisher's ``timestamp``: it only
-    moves on, so no event is late and every one gets its response."""
+    moves on, so no event is late and every one gets its response. A log that
+    holds its own arrival times is replayed by passing them as ``received_at``."""
     from fanline.sources.ingest import parse_bodies, valid_events
 
     ok = valid_events(parse_bodies(bodies))
     return ok.select(
         F.col("subject").alias("topic"), "event_id", "subject", "group_id", "timestamp",
-        F.col("body").alias("event"), F.current_timestamp().alias("received_at"),
+        F.col("body").alias("event"), (F.current_timestamp() if received_at is None else received_at.cast("timestamp")).alias("received_at"),
     )
 
 

@@ -232,7 +232,7 @@ def test_publish_stream_from_bodies(spark, scratch):
     fx.fixture_bodies(spark, SF_CHECK).coalesce(2).write.parquet(src)
     schema = spark.read.parquet(src).schema
     root = os.path.join(scratch, "pub")
-    q = sp.publish_stream(sp.events_from_bodies(file_stream(spark, src, schema)), fx.fixture_index(spark),
+    q = sp.publish_stream(sp.events_from_bodies(file_stream(spark, src, schema), F.col("timestamp")), fx.fixture_index(spark),
                           os.path.join(root, "out"), os.path.join(root, "ckpt"), key="group_id",
                           ttl_seconds=fx.DEDUP_TTL_SECONDS)
     q.awaitTermination(600)
