@@ -174,7 +174,8 @@ class _Parser:
         if kind == "word" and val in ("true", "false"):
             return ("bool", val == "true")
         if kind == "word" and val == "null":
-            return ("null",)
+            # a present null and a missing field read alike here, so the form is refused
+            raise JsonPathError("comparisons with null are not supported")
         if val == "[":
             items = []
             while self.peek()[1] != "]":
@@ -255,10 +256,12 @@ def _compile(node, leaf) -> Column:
             raise JsonPathError(f"{cmp} needs a [list]")
         hits = [_eq(v, item) for item in right[1]]
         anyhit = reduce(lambda a, b: a | b, hits) if hits else F.lit(False)
-        return F.when(v.isNull(), F.lit(False)).otherwise(anyhit if cmp == "in" else ~anyhit)
+        # a missing field is in no list
+        return F.when(v.isNull(), F.lit(cmp == "nin")).otherwise(anyhit if cmp == "in" else ~anyhit)
     if cmp in ("==", "!="):
         eq = _eq(v, right)
-        return F.when(v.isNull(), F.lit(False)).otherwise(eq if cmp == "==" else ~eq)
+        # a missing field equals no literal
+        return F.when(v.isNull(), F.lit(cmp == "!=")).otherwise(eq if cmp == "==" else ~eq)
     if right[0] == "num":
         lhs, rhs = _num(v), F.lit(right[1])
     elif right[0] == "str":
@@ -322,8 +325,6 @@ def _eq(v: Column, lit_node) -> Column:
         return F.coalesce(v == F.lit(lit_node[1]), F.lit(False))
     if kind == "bool":
         return F.coalesce(F.lower(v) == F.lit("true" if lit_node[1] else "false"), F.lit(False))
-    if kind == "null":
-        return F.lit(False)
     raise JsonPathError(f"cannot compare with {kind}")
 
 
@@ -404,6 +405,8 @@ def doc_schema(paths) -> tuple[T.StructType | None, set[str]]:
         node = tree
         for i, s in enumerate(segs):
             last = i == len(segs) - 1
+            if any(k != s and k.lower() == s.lower() for k in node):
+                return False  # struct fields that differ in case only are ambiguous to Spark
             cur = node.get(s)
             if last:
                 if cur is None:

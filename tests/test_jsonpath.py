@@ -57,7 +57,7 @@ def test_nested_field_and_bracket_names(spark):
     assert evaluate(spark, "$['event'][?(@['a-b'] == 'z')]", [doc]) == [True]
 
 
-@pytest.mark.parametrize("bad", ["$.event.enrolment", "event[?(@.a)]", "$..a[?(@.b)]", "$.a[?(@.b ==)]", "$.a[?(@.b =~ 'x')]"])
+@pytest.mark.parametrize("bad", ["$.event.berth", "event[?(@.a)]", "$.e[?(@.a == null)]", "$.e[?(@.a in [1, null])]", "$..a[?(@.b)]", "$.a[?(@.b ==)]", "$.a[?(@.b =~ 'x')]"])
 def test_rejected_paths(bad):
     with pytest.raises(JsonPathError):
         p = parse_path(bad)
@@ -131,3 +131,26 @@ def test_collection_operators(spark):
     assert evaluate(spark, "$.event[?(@.codes noneof [3, 4])]", docs) == [False, False, False]
     assert evaluate(spark, "$.event[?(@.codes subsetof [1, 2, 3, 4])]", docs) == [True, True, False]
     assert evaluate(spark, "$.event[?(@.tags anyof ['x'])]", docs) == [False, False, False]
+
+
+def test_missing_fields_equal_nothing(spark):
+    docs = ['{"event":{"t":"x"}}', '{"event":{"t":"y"}}', '{"event":{}}', '{"event":{"t":null}}']
+    assert evaluate(spark, "$.event[?(@.t == 'x')]", docs) == [True, False, False, False]
+    assert evaluate(spark, "$.event[?(@.t != 'x')]", docs) == [False, True, True, True]
+    assert evaluate(spark, "$.event[?(@.t in ['x', 'z'])]", docs) == [True, False, False, False]
+    assert evaluate(spark, "$.event[?(@.t nin ['x', 'z'])]", docs) == [False, True, True, True]
+
+
+def test_fields_that_differ_in_case_only(spark):
+    from fanline.functions.jsonpath import doc_schema, parsed_predicate
+
+    paths = [parse_path(p) for p in ("$.event[?(@.Kind == 1)]", "$.event[?(@.kind == 2)]", "$.Event[?(@.kind == 3)]")]
+    docs = ['{"event":{"Kind":1,"kind":2}}', '{"event":{"kind":1}}', '{"Event":{"kind":3}}']
+    schema, slow = doc_schema(paths)
+    df = spark.createDataFrame([(d,) for d in docs], "doc string").withColumn("p", F.from_json("doc", schema))
+    cols = [
+        path_predicate(p, F.col("doc")) if p.text in slow else parsed_predicate(p, F.col("p"), F.col("doc")) for p in paths
+    ]
+    assert [tuple(r) for r in df.select(*cols).collect()] == [
+        (True, True, False), (False, False, False), (False, False, True)
+    ]

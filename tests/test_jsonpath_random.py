@@ -120,12 +120,12 @@ def ev_node(n, ctx):
         return False
     if cmp in ("in", "nin"):
         if t is None:
-            return False
+            return cmp == "nin"
         hit = any(eq(i) for i in right[1])
         return hit if cmp == "in" else not hit
     if cmp in ("==", "!="):
         if t is None:
-            return False
+            return cmp == "!="
         return eq(right) if cmp == "==" else not eq(right)
     if right[0] == "num":
         a, b = num(t), right[1]
