@@ -48,9 +48,14 @@ def next_due(queue: DataFrame, as_of: Column, n: int) -> DataFrame:
     )
 
 
-def quarantine_unreadable(queue: DataFrame, item: str = "item") -> DataFrame:
-    """Rows whose item no longer parses become permanently failed."""
-    bad = F.try_parse_json(F.col(item)).isNull() & F.col(item).isNotNull()
+def quarantine_unreadable(queue: DataFrame, item: str = "item", required: tuple[str, ...] = ("event",)) -> DataFrame:
+    """Rows whose item is no event any more become permanently failed: text
+    that does not parse, that is no JSON object, or that lacks a ``required``
+    member (``eventId``, ``subject``, ``groupId``, ``timestamp``, ``event`` for
+    whole envelopes)."""
+    keys = F.json_object_keys(F.col(item))
+    whole = F.coalesce(F.array_size(F.array_except(F.array(*map(F.lit, required)), keys)) == 0, F.lit(False))
+    bad = F.col(item).isNotNull() & (F.try_parse_json(F.col(item)).isNull() | ~whole)
     return queue.withColumns(
         {
             "unreadable": bad,

@@ -19,6 +19,10 @@ WORK_STATE_OUT = "queue string, item_id long, state string, failure_count int, d
 WORK_STATE_STATE = "state string, failure_count int, dispatches int"
 
 
+#: marks the state of an item that was reported due again
+REPORTED = "!"
+
+
 def work_state_stream(outcomes: DataFrame, limit: int = C.NUMBER_OF_RETRIES,
                       failed_retry_after_ms: int = C.FAILED_RETRY_AFTER_MS,
                       order: tuple[str, str] = ("sent_at", "attempt_id"), watermark: str = "10 minutes",
@@ -45,9 +49,15 @@ def work_state_stream(outcomes: DataFrame, limit: int = C.NUMBER_OF_RETRIES,
             if st in (C.SUCCEEDED, C.PERMANENTLY_FAILED):
                 state.remove()  # finished items are kept one dead-work TTL, then dropped
                 return
+            if st.endswith(REPORTED):  # due again, and no result came for a dead-work TTL
+                state.remove()
+                return
+            state.update((st + REPORTED, fc, n))
+            state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + finished_ttl_ms)
             yield pd.DataFrame([{"queue": queue, "item_id": item, "state": st, "failure_count": fc,
                                  "dispatches": n, "due_again": True}])
             return
+        st = st.removesuffix(REPORTED)
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(list(order), kind="mergesort")
         for outcome in pdf["outcome"]:
             if st in (C.SUCCEEDED, C.PERMANENTLY_FAILED):
@@ -67,8 +77,8 @@ def work_state_stream(outcomes: DataFrame, limit: int = C.NUMBER_OF_RETRIES,
         state.update((st, int(fc), int(n)))
         last_ms = int(pd.to_datetime(pdf[ts]).max().value // 1_000_000)
         wait = {C.FAILED: failed_retry_after_ms, C.IN_PROGRESS: in_progress_after_ms}.get(st, finished_ttl_ms)
-        if st != C.TODO and last_ms + wait > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(last_ms + wait)
+        # results behind the watermark arm a timer all the same, or the state would stay
+        state.setTimeoutTimestamp(max(last_ms + wait, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame([{"queue": queue, "item_id": item, "state": st, "failure_count": int(fc),
                              "dispatches": int(n), "due_again": False}])
 
@@ -109,10 +119,12 @@ def presence_stream(heartbeats: DataFrame, timeout_ms: int = C.INSTANCE_TIMEOUT_
     )
 
 
-def latency_stream(enqueued: DataFrame, responses: DataFrame, keys: list[str], bound: str = "1 hour",
+def latency_stream(enqueued: DataFrame, responses: DataFrame, keys: list[str], bound: str = "24 hours",
                    watermark: str = "10 minutes") -> DataFrame:
     """Enqueue and response streams joined within ``bound`` (both watermarked,
-    so join state is dropped once the bound has passed)."""
+    so join state is dropped once the bound has passed; the default covers the
+    longest retry span). Every response within the bound yields a row; the
+    item's latency is the least of them, as the batch form takes it."""
     e = enqueued.withWatermark("enqueued_at", watermark).alias("e")
     r = responses.withWatermark("handled_at", watermark).alias("r")
     cond = [F.col(f"e.{k}") == F.col(f"r.{k}") for k in keys]
@@ -176,8 +188,7 @@ def retry_stream(attempts: DataFrame, max_retries: int = C.DEFAULT_MAX_RETRIES,
             alive = retryable(row.status_code, row.error_class, row.error_message)
         state.update((int(n), bool(alive), float(cum)))
         last_ms = int(pd.to_datetime(pdf[ts]).max().value // 1_000_000)
-        if last_ms + idle_ttl_ms > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(last_ms + idle_ttl_ms)
+        state.setTimeoutTimestamp(max(last_ms + idle_ttl_ms, state.getCurrentWatermarkMs() + 1))
         if out:
             yield pd.DataFrame(out, columns=["queue", "item_id", "attempt_id", "attempt_no", "delay_ms", "cum_delay_ms"])
 
@@ -216,8 +227,7 @@ def throttle_stream(rows: DataFrame, elements: int = C.DEFAULT_ELEMENTS, per_ms:
         send = pd.to_datetime(t0_us, unit="us") + pd.to_timedelta(slot * per_ms, unit="ms")
         state.update((int(cum[-1]), int(t0_us)))
         last_ms = int(t.max().value // 1_000_000)
-        if last_ms + idle_ttl_ms > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(last_ms + idle_ttl_ms)
+        state.setTimeoutTimestamp(max(last_ms + idle_ttl_ms, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"queue": queue, "id": pdf[order[1]].to_numpy(), "slot": slot, "send_at": send})
 
     src = rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
