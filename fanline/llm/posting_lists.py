@@ -5,8 +5,9 @@ k-means whose assignment is charged for a list's size, which keeps the lists
 balanced. Every vector lies in the list of its nearest centroid; a boundary
 vector also in further lists whose centroid is at most ``1 + spread`` times as
 far, unless that centroid is nearer to one already taken (then both would be
-searched together anyway). Lists beyond ``LIST_BLOCK`` rows are cut into blocks
-that are searched by separate tasks, so a crowded list is no single task.
+searched together anyway). ``BUNDLE`` lists at a time are searched together, and bundles beyond
+``LIST_BLOCK`` rows are cut into blocks for separate tasks, so a crowded list is
+no single task.
 
 Search. A best-first walk over an in-memory graph of the centroids finds a
 query's nearest lists; those at most ``1 + reach`` times as far as the nearest
@@ -29,8 +30,10 @@ from pyspark.sql import functions as F
 from fanline.llm import common as c
 from fanline.llm.vectors import best_per_query, fold_equal, matrix, valid_vectors
 
-LIST_BLOCK = 4096
+LIST_BLOCK = 8192
 QUERY_BLOCK = 512
+#: lists searched together: a query sends its vector, and gets an answer, once a bundle
+BUNDLE = 16
 
 
 @dataclass(frozen=True)
@@ -184,14 +187,14 @@ def nearest_neighbours(
     held, own = np.zeros(len(cents), int), np.zeros(len(cents), int)  # one number per centroid
     for s in sizes:
         held[s["list"]], own[s["list"]] = s["n"], s["own"]
-    blocks = np.maximum(1, -(-held // LIST_BLOCK))
+    per_bundle = np.bincount(np.arange(len(cents)) // BUNDLE, weights=held).astype(int)
     sizes_df = spark.createDataFrame(
-        [(i, int(b)) for i, b in enumerate(blocks)], "list int, blocks long"
-    )  # as many rows as centroids
+        [(i, max(1, -(-int(n) // LIST_BLOCK))) for i, n in enumerate(per_bundle)], "bundle int, blocks long"
+    )  # fewer rows than centroids
 
     def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            out = {"id": [], "vec": [], "list": []}
+            out = {"id": [], "vec": [], "bundle": [], "probed": []}
             for id_, vec, q in zip(f["id"], f["vec"], unit(matrix(f["vec"])) if len(f) else [], strict=True):
                 want = rule.least_lists
                 while True:
@@ -207,31 +210,40 @@ def nearest_neighbours(
                     if done or len(near) >= len(cents):
                         break
                     want *= 2
-                for v in taken:
+                at = np.array(sorted(taken))
+                for b in np.unique(at // BUNDLE):
                     out["id"].append(id_)
                     out["vec"].append(vec)
-                    out["list"].append(v)
+                    out["bundle"].append(b)
+                    out["probed"].append(at[at // BUNDLE == b])
             yield pd.DataFrame(out)
 
     queries = whole.where(is_query).dropDuplicates(["id"])
-    probes = c.materialise(queries.mapInPandas(probe, "id long, vec array<double>, list int"), "probes")
-    asked = probes.groupBy("list").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("long").alias("parts"))
-    grid = c.materialise(sizes_df.join(asked, "list"), "grid")  # as many rows as probed lists
+    probes = queries.mapInPandas(probe, "id long, vec array<double>, bundle int, probed array<int>")
+    probes = c.materialise(probes, "probes")
+    asked = probes.groupBy("bundle").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("long").alias("parts"))
+    grid = c.materialise(sizes_df.join(asked, "bundle"), "grid")  # fewer rows than centroids
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    r = copies.join(F.broadcast(grid), "list").select(
-        "list", F.pmod(F.xxhash64("id", F.lit(5)), "blocks").alias("rb"), each("parts").alias("qb"), "id", "vec"
+    bundled = copies.withColumn("bundle", F.floor(F.col("list") / BUNDLE).cast("int"))
+    # a row's copies within a bundle travel once, with the lists they stand in
+    held_once = bundled.groupBy("bundle", "id").agg(F.collect_list("list").alias("lists"), F.first("vec").alias("vec"))
+    r = held_once.join(F.broadcast(grid), "bundle").select(
+        "bundle", F.pmod(F.xxhash64("id", F.lit(5)), "blocks").alias("rb"), each("parts").alias("qb"), "id", "vec", "lists"
     )
-    q = probes.join(F.broadcast(grid), "list").select(
-        "list", each("blocks").alias("rb"), F.pmod(F.xxhash64("id", F.lit(6)), "parts").alias("qb"), "id", "vec"
+    q = probes.join(F.broadcast(grid), "bundle").select(
+        "bundle", each("blocks").alias("rb"), F.pmod(F.xxhash64("id", F.lit(6)), "parts").alias("qb"), "id", "vec", "probed"
     )
 
     def run(rf: pd.DataFrame, qf: pd.DataFrame) -> pd.DataFrame:
         qs, vs, ss = [], [], []
         if len(rf) and len(qf):
             ids, x = rf["id"].to_numpy(), matrix(rf["vec"])
+            stands = np.zeros((len(ids), BUNDLE), bool)  # in which of the bundle's lists
+            for k, lists in enumerate(rf["lists"]):
+                stands[k, np.asarray(lists) % BUNDLE] = True
             sims = unit(matrix(qf["vec"])) @ unit(x).T
-            for qid, qv, s in zip(qf["id"], matrix(qf["vec"]), sims, strict=True):
-                s[ids == qid] = -np.inf
+            for qid, qv, probed, s in zip(qf["id"], matrix(qf["vec"]), qf["probed"], sims, strict=True):
+                s[(ids == qid) | ~stands[:, np.asarray(probed) % BUNDLE].any(axis=1)] = -np.inf
                 kth = np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else -2.0
                 best = [(-exact_cosine(qv, x[j]), int(ids[j])) for j in np.nonzero(s >= max(kth, -2.0) - 1e-9)[0]]
                 for score, v in sorted(best)[:k]:
@@ -242,6 +254,6 @@ def nearest_neighbours(
             {"query_id": np.array(qs, np.int64), "vec_id": np.array(vs, np.int64), "score": np.array(ss, float)}
         )
 
-    by = ["list", "rb", "qb"]
+    by = ["bundle", "rb", "qb"]
     hits = r.groupBy(*by).cogroup(q.groupBy(*by)).applyInPandas(run, "query_id long, vec_id long, score double")
     return best_per_query(hits, k)
