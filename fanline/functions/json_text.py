@@ -14,9 +14,14 @@ def json_text(c: Column) -> Column:
 def payload_json(envelope: Column) -> Column:
     """JSON text of the ``event`` member of an envelope, whatever stands around it.
 
-    Objects and arrays come out as they are; a scalar's JSON type decides
-    whether it is quoted (a missing member reads as null, as does null itself).
+    An envelope of that member alone gives its text as it stands. Otherwise
+    objects and arrays come out without white space between tokens, and a
+    scalar's JSON type decides whether it is quoted (a missing member reads as
+    null, as does null itself).
     """
+    alone = F.json_object_keys(envelope) == F.array(F.lit("event"))
+    whole = F.regexp_extract(envelope, r'(?s)^\s*\{\s*"event"\s*:\s*(.*?)\s*\}\s*$', 1)
     text = F.get_json_object(envelope, "$.event")
     kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(envelope), "$.event", "variant"))
-    return F.when(kind == "STRING", json_text(text)).otherwise(F.coalesce(text, F.lit("null")))
+    by_type = F.when(kind == "STRING", json_text(text)).otherwise(F.coalesce(text, F.lit("null")))
+    return F.when(alone & (whole != ""), whole).otherwise(by_type)

@@ -53,8 +53,8 @@ def q_match_repeated_ids_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DEDUP_SQL = f"""WITH RECURSIVE {EV},
   {dedup_chain("ev", f"coalesce({REPEATED_SQL}, -1)")},
   st AS (
-    SELECT ev.event_id AS id, ts, coalesce({REPEATED_SQL}, -1) AS dkey, a.event_id IS NOT NULL AS accepted
-    FROM ev LEFT JOIN anchors a ON a.event_id = ev.event_id),
+    SELECT ev.event_id AS id, ts, coalesce({REPEATED_SQL}, -1) AS dkey, a.anchor IS NOT NULL AS accepted
+    FROM ev LEFT JOIN (SELECT event_id AS anchor FROM anchors) a ON a.anchor = ev.event_id),
   seen AS (
     SELECT st.*, (SELECT max(x.ts) FROM anchors x WHERE x.dkey = st.dkey
        AND (x.ts < st.ts OR (x.ts = st.ts AND x.event_id < st.id))) AS last_anchor FROM st)
