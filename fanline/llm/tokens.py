@@ -10,6 +10,8 @@ through the library's whole chain (normaliser, splitter, added tokens).
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 
 import numpy as np
 import regex
@@ -51,7 +53,8 @@ class WordEncoder(dict):
         self.model = self.tokenizer.model
         self.split = regex.compile(SPLIT_RULE).findall
         self.pieces: dict[str, list[int]] = {}
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        small = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.dtype, self.code = ("<u2", "H") if small else ("<u4", "I")
         self.plain = self._follows_rule(path)
 
     @staticmethod
@@ -71,19 +74,34 @@ class WordEncoder(dict):
         if len(self) >= MEMO_CHUNKS:
             self.clear()
             self.pieces.clear()
-        if self.plain and _PLAIN.fullmatch(chunk) and "<|" not in chunk:
-            ids: list[int] = []
-            for piece in self.split(chunk.lower()):
-                known = self.pieces.get(piece)
-                if known is None:
-                    mapped = piece.encode().decode("latin-1").translate(_ALPHABET)
-                    known = self.pieces[piece] = [x.id for x in self.model.tokenize(mapped)]
-                ids += known
-        else:
+        ids: list[int] = []
+        for piece in self._pieces(chunk):
+            known = self.pieces.get(piece)
+            if known is None:
+                mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_ALPHABET)
+                known = self.pieces[piece] = [x.id for x in self.model.tokenize(mapped)]
+            ids += known
+        if not ids and chunk:
             ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        out = self[chunk] = np.array(ids, self.dtype).tobytes()
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        out = self[chunk] = packed.tobytes()
         return out
 
+    def _pieces(self, chunk: str) -> list[str]:
+        """Lower-case pieces of a plain chunk by the split rule; none of another."""
+        if not self.plain:
+            return []
+        if chunk.isascii():  # the commonest forms: a word, a word and a sign
+            if chunk.isalpha():
+                return [chunk.lower()]
+            if chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":
+                return [chunk[:-1].lower(), chunk[-1]]
+        if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
+            return self.split(chunk.lower())
+        return []
+
     def encode(self, text) -> np.ndarray:
         """Ids of a whole text (NULL: none) with the end id."""
         chunks = text_of(text).replace("\n", " ").split(" ")
