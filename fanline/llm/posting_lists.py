@@ -239,8 +239,8 @@ def nearest_neighbours(
         if len(rf) and len(qf):
             ids, x = rf["id"].to_numpy(), matrix(rf["vec"])
             stands = np.zeros((len(ids), BUNDLE), bool)  # in which of the bundle's lists
-            for k, lists in enumerate(rf["lists"]):
-                stands[k, np.asarray(lists) % BUNDLE] = True
+            for row, lists in enumerate(rf["lists"]):
+                stands[row, np.asarray(lists) % BUNDLE] = True
             sims = unit(matrix(qf["vec"])) @ unit(x).T
             for qid, qv, probed, s in zip(qf["id"], matrix(qf["vec"]), qf["probed"], sims, strict=True):
                 s[(ids == qid) | ~stands[:, np.asarray(probed) % BUNDLE].any(axis=1)] = -np.inf
