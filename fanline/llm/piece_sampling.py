@@ -38,6 +38,7 @@ from fanline.llm import common as c
 SPACE = "▁"  # the vocabularies' space sign
 _HIDDEN = "￿"  # stands for a space sign in the text itself; in no piece
 _CHUNK = re.compile(" *[^ \n]+| +|\n")
+_STEP = 0x9E3779B97F4A7C15  # multiplier of the rolling hash of pieces
 #: edges a worker keeps before its lattices are dropped, some 20 bytes each
 ARENA_EDGES = 6_000_000
 #: chunks drawn at a time; longer chunks are not kept
@@ -77,12 +78,17 @@ class Pieces:
             self.table[i] = text.replace(SPACE, " ").encode()
             least = min(least, w)
         self.longest = max(map(len, self.ids), default=1)
-        # every end of a piece -> (id or -1, weight): matching backwards ends at a miss
-        self.ends: dict[str, tuple[int, float]] = {}
-        for text in self.ids:
-            for k in range(1, len(text)):
-                self.ends.setdefault(text[k:], (-1, 0.0))
-        self.ends |= {t: (i, math.exp(self.weight[i])) for t, i in self.ids.items()}
+        # every prefix of a piece by hash -> (id or -1): matching ends at a miss
+        heads = {text[:k]: -1 for text in self.ids for k in range(1, len(text))} | self.ids
+        hashes = np.zeros(len(heads), np.uint64)
+        for k, text in enumerate(heads):
+            h = 0
+            for ch in text:
+                h = (h * _STEP + ord(ch) + 1) % (1 << 64)
+            hashes[k] = h
+        order = np.argsort(hashes)
+        self.heads, self.head_ids = hashes[order], np.array(list(heads.values()), np.int32)[order]
+        self.head_weights = np.array([math.exp(self.weight[i]) if i >= 0 else 0.0 for i in self.head_ids.tolist()])
         self.byte = [-1] * 256
         for i in range(n):
             if sp.is_byte(i):
@@ -145,50 +151,96 @@ class Sampler:
         self.fresh: list[list] = [[] for _ in kinds]
 
     def place(self, chunk: str) -> int:
-        """Number of a chunk's lattice, put into the arena."""
-        short = len(chunk) <= KEPT_CHARS
-        n = (self._short(chunk) if short and SPACE not in chunk else 0) or self._any(chunk)
+        """Number of a chunk's lattice, put into the arena by itself."""
+        n = self._any(chunk)
         number = self.chunks
         self.fresh[0].append(self.nodes)
         self.fresh[1].append(self.nodes + n - 1)
         self.nodes += n
         self.edges = self.used[4] + len(self.fresh[4])
         self.chunks += 1
-        if short:
-            self.memo[chunk] = number
         return number
 
-    def _short(self, chunk: str) -> int:
-        """Forward filtering of a chunk of known characters: its nodes, or 0.
+    def place_short(self, chunks: list[str]) -> None:
+        """Lattices of many short chunks at once, put into the arena and the memo.
 
-        Path weights are plain products: a short chunk's do not underflow.
+        Matching: all places of all chunks step through the piece lengths
+        together. Forward filtering: the nodes at the same place of all chunks
+        are summed together; path weights are plain products, which a short
+        chunk's do not underflow. A chunk with a character that has no piece is
+        placed by itself.
         """
-        shown, look = chunk.replace(" ", SPACE), self.pieces.ends.get
-        _, _, first, total, source, piece, upto = self.fresh
-        begin = len(first), len(source)
-        base, offset = self.nodes, self.used[4]
-        first.append(offset + len(source))  # the first node has no edge
-        total.append(1.0)
-        alpha = [1.0]
-        for j in range(1, len(shown) + 1):
-            run = 0.0
-            first.append(offset + len(source))
-            for i in range(j - 1, -1, -1):
-                hit = look(shown[i:j])
-                if hit is None:
-                    break
-                if hit[0] >= 0:
-                    run += alpha[i] * hit[1]
-                    source.append(base + i)
-                    piece.append(hit[0])
-                    upto.append(run)
-            if run == 0.0:  # a character without a piece: spelt in bytes, the long way
-                del first[begin[0] :], total[begin[0] :], source[begin[1] :], piece[begin[1] :], upto[begin[1] :]
-                return 0
-            upto[-1] = 2 * run  # the last edge takes whatever rounding left
-            alpha.append(run)
-            total.append(run)
-        return len(shown) + 1
+        self._settle()
+        shown = [x.replace(" ", SPACE) for x in chunks]
+        size = np.array([len(x) for x in shown], np.int64)
+        cp = np.frombuffer("".join(shown).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+        chunk = np.repeat(np.arange(len(shown)), size)
+        ends = np.cumsum(size)
+        stop = ends[chunk]
+        at, h = np.arange(len(cp)), np.zeros(len(cp), np.uint64)
+        begin, length, entry = [], [], []
+        bad = np.zeros(len(shown), bool)
+        for n in range(1, self.pieces.longest + 1):
+            live = at + n <= stop[at]
+            at, h = at[live], h[live]
+            if not len(at):
+                break
+            h = h * np.uint64(_STEP) + cp[at + n - 1]
+            k = np.minimum(np.searchsorted(self.pieces.heads, h), len(self.pieces.heads) - 1)
+            known = self.pieces.heads[k] == h
+            if n == 1:
+                lost = ~known
+                lost[known] = self.pieces.head_ids[k[known]] < 0
+                bad[chunk[at[lost]]] = True
+            at, h, k = at[known], h[known], k[known]
+            whole = self.pieces.head_ids[k] >= 0
+            begin.append(at[whole])
+            length.append(np.full(int(whole.sum()), n))
+            entry.append(k[whole])
+        begin, length, entry = (np.concatenate(x) for x in (begin, length, entry))
+        good = ~bad[chunk[begin]]
+        begin, length, entry = begin[good], length[good], entry[good]
+        # node of a place: its position, and one more for every chunk before it
+        src = begin + chunk[begin]
+        dst = src + length
+        rank = dst - (ends - size + np.arange(len(shown)))[chunk[begin]]  # place within the chunk
+        order = np.lexsort((src, dst, rank))
+        src, dst, entry, rank = src[order], dst[order], entry[order], rank[order]
+        weight = self.pieces.head_weights[entry]
+        nodes = len(cp) + len(shown)
+        alpha = np.ones(nodes)
+        upto = np.empty(len(src))
+        cuts = np.searchsorted(rank, np.arange(1, int(rank.max(initial=0)) + 2))
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if lo == hi:
+                continue
+            v = alpha[src[lo:hi]] * weight[lo:hi]
+            d = dst[lo:hi]
+            heads = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1])))
+            sums = np.add.reduceat(v, heads)
+            alpha[d[heads]] = sums
+            count = np.diff(np.append(heads, hi - lo))
+            # shares of a node add up to one, so running sums are cut off by node number
+            run = np.cumsum(v / np.repeat(sums, count))
+            upto[lo:hi] = run - np.repeat(np.arange(len(heads)), count)
+            upto[lo + np.append(heads[1:], hi - lo) - 1] = 2.0  # rounding goes to the last edge
+        order = np.lexsort((src, dst))
+        first = np.searchsorted(dst[order], np.arange(nodes))
+        base = ends - size + np.arange(len(shown))
+        self._put(0, self.nodes + base)
+        self._put(1, self.nodes + base + size)
+        self._put(2, self.edges + first)
+        self._put(3, np.ones(nodes))
+        self._put(4, self.nodes + src[order])
+        self._put(5, self.pieces.head_ids[entry[order]])
+        self._put(6, upto[order])
+        for k, text in enumerate(chunks):
+            if not bad[k]:
+                self.memo[text] = self.chunks + k
+        self.nodes, self.edges, self.chunks = self.nodes + nodes, self.edges + len(src), self.chunks + len(shown)
+        for k in np.flatnonzero(bad).tolist():
+            self.memo[chunks[k]] = self.place(chunks[k])
+        self._settle()
 
     def _any(self, chunk: str) -> int:
         """Forward filtering of any chunk, in logarithms: its nodes."""
@@ -215,15 +267,18 @@ class Sampler:
             total.append(run)
         return n
 
+    def _put(self, k: int, values) -> None:
+        end = self.used[k] + len(values)
+        if end > len(self.arrays[k]):
+            self.arrays[k] = np.concatenate((self.arrays[k], np.zeros(end, self.arrays[k].dtype)))
+        self.arrays[k][self.used[k] : end] = values
+        self.used[k] = end
+
     def _settle(self) -> None:
-        """Move fresh entries into the arrays."""
+        """Move entries placed one by one into the arrays."""
         for k, values in enumerate(self.fresh):
             if values:
-                end = self.used[k] + len(values)
-                if end > len(self.arrays[k]):
-                    self.arrays[k] = np.concatenate((self.arrays[k], np.zeros(end, self.arrays[k].dtype)))
-                self.arrays[k][self.used[k] : end] = values
-                self.used[k] = end
+                self._put(k, values)
                 self.fresh[k] = []
 
     def draw(self, chunks: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,6 +289,9 @@ class Sampler:
         if self.edges > ARENA_EDGES:
             self.clear()
         memo, place = self.memo, self.place
+        new = [x for x in dict.fromkeys(chunks) if x not in memo and len(x) <= KEPT_CHARS and SPACE not in x]
+        if new:
+            self.place_short(new)
         numbers = [memo[x] if x in memo else place(x) for x in chunks]
         self._settle()
         base_of, last_of, first, total, source, piece, upto = self.arrays
