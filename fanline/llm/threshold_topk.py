@@ -6,8 +6,9 @@ the end that the sign of the query's component favours; each row met is scored
 in full (random access). Beyond the depth read, no row can score more than the
 threshold, the inner product of the query with the values at that depth. A
 query stops in a block when the threshold is below its k-th score so far (ties
-are read on, so smaller ids win); depths double, and a query that has met half
-of the block reads the rest of it at once. The blocks' best are merged by one
+are read on, so smaller ids win). Depths double while depth times dimensions is
+below the block's rows, whatever a query has met; a query still going then reads
+the rest of the block at once, as a dense product. The blocks' best are merged by one
 window. The k-th score starts from nothing in each block, so blocks are
 independent tasks: queries come in blocks as well, rows x queries in a grid.
 """
