@@ -6,7 +6,9 @@ crosses. Each chunk spans a lattice: an edge for every vocabulary piece that
 matches at a place, and the bytes of a character that has no piece. Forward
 filtering sums the weights of all paths to every node; backward sampling then
 draws, from the end, each edge in proportion to the paths through it, so every
-segmentation comes with exactly its probability. Lattices of equal chunks are
+segmentation comes with exactly its probability. One exception: a chunk of over
+4,096 characters (``MOST_CHARS``) is cut into parts of that length first, no piece
+crosses a cut, and the draw is exact within each part only. Lattices of equal chunks are
 built once per worker (bounded arena); drawing runs in numpy over all chunks
 of a batch.
 
@@ -327,7 +329,8 @@ class Sampler:
 
 
 def chunks_of(text: str) -> list[str]:
-    """Chunks of a text with the space put before it; an empty text has none."""
+    """Chunks of a text with the space put before it; an empty text has none.
+    Longer ones than ``MOST_CHARS`` are cut, and no piece crosses such a cut."""
     if not text:
         return []
     found = _CHUNK.findall(" " + text)
