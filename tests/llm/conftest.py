@@ -8,7 +8,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
-SF_SMALL = "/root/testdata/sf0.001"
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, id long, keys string"
 
 

@@ -2,11 +2,10 @@
 
 import duckdb
 import pytest
-from llm_tools import components, shingles
+from llm_tools import SF_SMALL, components, shingles
 
 import __spark_entry__ as E
 import corpus_pipeline
-from conftest import SF_SMALL
 from fanline.llm import common as c
 from fanline.llm.queries import ORACLES, QUERIES
 
@@ -77,15 +76,27 @@ def test_passages_leave_and_lengths_follow(stages):
     before = {r.doc_id: r.text for r in stages["minhash_near_dedup"].collect()}
     rows = stages["paragraph_dedup"].collect()
     assert {r.doc_id for r in rows} == set(before)
-    seen = set()
+    seen, runs = set(), {}
     for r in sorted(rows, key=lambda r: r.doc_id):
         assert r.n_chars == len(r.text)
-        lines = before[r.doc_id].split("\n")
-        assert [x for x in lines if x in set(r.text.split("\n"))] == r.text.split("\n") or not r.text
+        # only words leave, in order: what stays is a subsequence of what was
+        left = iter(before[r.doc_id].split())
+        assert all(w in left for w in r.text.split())
         for line in r.text.split("\n"):
             if len(line.split()) >= 20:
                 assert line not in seen
                 seen.add(line)
+        w = r.text.split()
+        for k in range(len(w) - 50 + 1):
+            runs.setdefault(tuple(w[k : k + 50]), set()).add(r.doc_id)
+    # no run of 50 words that two documents held before is still held by both
+    was = {}
+    for i, t in before.items():
+        w = t.split()
+        for k in range(len(w) - 50 + 1):
+            was.setdefault(tuple(w[k : k + 50]), set()).add(i)
+    assert any(len(v) > 1 for v in was.values())
+    assert not [g for g, v in runs.items() if len(v) > 1 and len(was.get(g, ())) > 1]
 
 
 def test_packing_holds_every_document(stages):
