@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from support import SF_SMALL
 from fanline.sources.tables import TABLES
 
 # the optional training-data queries have tests of their own (tests/llm)

@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from conftest import SF_CHECK
+from support import SF_CHECK
 from fanline.plans import queries, queries_delivery
 
 

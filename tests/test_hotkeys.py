@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_CHECK
+from support import SF_CHECK
 from fanline.operators import dedup, matching
 from fanline.operators.hotkeys import Scan, asof_next, keyed_window
 from fanline.plans import fixture as fx

@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_CHECK
+from support import SF_CHECK
 from fanline.operators import dedup, matching
 from fanline.operators.queue import outcomes_from_attempts, work_state
 from fanline.plans import fixture as fx
