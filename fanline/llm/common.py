@@ -107,6 +107,12 @@ def as_long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def frame(columns: dict[str, np.ndarray]) -> pd.DataFrame:
+    """A frame whose columns keep the arrays' own types (pandas would turn texts into
+    chunked string arrays, which Arrow's structs refuse)."""
+    return pd.DataFrame({k: pd.Series(v, dtype=v.dtype) for k, v in columns.items()})
+
+
 def by_rows(frames: Iterable[pd.DataFrame], cells: int) -> Iterator[pd.DataFrame]:
     """Cut pandas batches into pieces of at most ``cells`` rows."""
     for f in frames:

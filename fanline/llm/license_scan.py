@@ -144,7 +144,7 @@ def scan_documents(docs: DataFrame, phrases: list[tuple[str, str]], t: Templates
                 out.append(
                     (
                         row,
-                        None if pd.isna(doc_id) else int(doc_id),
+                        None if doc_id is None else int(doc_id),
                         len(words),
                         len(places),
                         min(places) if places else None,
@@ -221,7 +221,8 @@ def _pick(values: list):
 
 
 def _plain(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # ids travel as text: pandas would turn a column with NULLs into doubles
+    return docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def license_scan(

@@ -101,7 +101,7 @@ def _add_up(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         of = known[known["lang"] == lang]
         if not len(of):
             continue
-        terms, names = pd.factorize(of["term"])
+        terms, names = pd.factorize(of["term"].to_numpy(object))
         code = of["code"].to_numpy()
         order = np.argsort(code, kind="stable")
         terms, times = terms[order], of["times"].to_numpy()[order]
@@ -114,20 +114,20 @@ def _add_up(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         doc = np.repeat(np.repeat(np.arange(len(part)), sizes), reach)
         per_doc, back = np.unique(doc * len(names) + terms[cell], return_inverse=True)
         n = np.bincount(back, weights=np.repeat(counts, reach) * times[cell], minlength=len(per_doc)).astype(np.int64)
-        source, sources = pd.factorize(part["source"])
+        source, sources = pd.factorize(part["source"].to_numpy(object))
         key, back = np.unique(source[per_doc // len(names)] * len(names) + per_doc % len(names), return_inverse=True)
         out.append(
-            pd.DataFrame(
-                {
-                    "lang": lang,
-                    "source": sources[key // len(names)],
-                    "term": names[key % len(names)],
-                    "docs": np.bincount(back, minlength=len(key)),
-                    "n": np.bincount(back, weights=n, minlength=len(key)).astype(np.int64),
-                }
-            )
+            {
+                "lang": np.full(len(key), lang, object),
+                "source": sources[key // len(names)],
+                "term": names[key % len(names)],
+                "docs": np.bincount(back, minlength=len(key)),
+                "n": np.bincount(back, weights=n, minlength=len(key)).astype(np.int64),
+            }
         )
-    return pd.concat(out) if out else pd.DataFrame({"lang": [], "source": [], "term": [], "docs": [], "n": []})
+    if not out:
+        return pd.DataFrame(columns=["lang", "source", "term", "docs", "n"])
+    return c.frame({x: np.concatenate([o[x] for o in out]) for x in out[0]})
 
 
 def term_counts(docs: DataFrame, least_docs: int = 30, bundle_chars: int = BUNDLE_CHARS) -> tuple[DataFrame, DataFrame]:
@@ -192,7 +192,8 @@ def _pair_sums(rows: pd.DataFrame) -> pd.DataFrame:
             a += [sources[i]] * len(other)
             b += list(sources[other])
             v += list(np.abs(p[other] - p[i]).sum(1) + (terms - len(names)) * apart)
-    return pd.DataFrame({"lang": rows["lang"].iloc[0], "a": a, "b": b, "value": np.array(v, np.int64)})
+    lang = np.full(len(a), rows["lang"].iloc[0], object)
+    return c.frame({"lang": lang, "a": np.array(a, object), "b": np.array(b, object), "value": np.array(v, np.int64)})
 
 
 def source_pairs(cells: DataFrame, groups: DataFrame) -> DataFrame:

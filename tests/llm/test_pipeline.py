@@ -10,18 +10,20 @@ from fanline.llm import common as c
 from fanline.llm.queries import ORACLES, QUERIES
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_thirteen_operators_and_the_pipeline_are_registered():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 14))
     assert "pipeline" in E.queries() and set(ORACLES) <= set(QUERIES)
 
 
-def test_url_lists_equal_the_oracle(spark):
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{SF_SMALL}/pages.parquet')")
-    want = con.execute(ORACLES["op5_temporal_url_lists"])
+    for t in ("documents", "labels", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    want = con.execute(ORACLES[name])
     names = [d[0] for d in want.description]
-    got = QUERIES["op5_temporal_url_lists"](spark, SF_SMALL)
+    got = QUERIES[name](spark, SF_SMALL)
     assert sorted(got.columns) == sorted(names)
     assert sorted(map(repr, want.fetchall())) == sorted(repr(tuple(r)) for r in got.select(*names).collect())
 
