@@ -2,19 +2,23 @@
 
 Texts are cut at ASCII white space into chunks, which no term crosses. Scan
 tasks count the chunks of each document; a bundle of documents (bounded text)
-numbers its chunks, and its documents become arrays of chunk numbers and counts.
-Each globally distinct chunk is cut into terms once, and the terms are joined
-back to the bundles' chunks, where documents and occurrences add up in number
-arrays: neither texts nor (document, chunk) pairs are shuffled as strings.
+numbers its chunks, and its documents become packed chunk numbers and counts.
+The bundles' chunks are written bucketed by chunk, so that each globally
+distinct chunk is cut into terms once and its terms are joined back to all
+bundles that hold it without another shuffle of chunks. Documents and
+occurrences then add up per bundle in number arrays: neither texts nor
+(document, chunk) pairs are ever shuffled as strings.
 
 A term has at most as many documents as its chunks together, so the terms that
 cannot reach the required number leave before they are joined back; the exact
-number of distinct documents is counted after it.
+number of distinct documents of a language is counted after it.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -25,7 +29,7 @@ from pyspark.sql import functions as F
 from fanline.llm import common as c
 
 #: characters of text in a bundle; a single longer document makes one of its own
-BUNDLE_CHARS = 16_000_000
+BUNDLE_CHARS = 32_000_000
 #: terms and sources (of either side) in one group of pairwise sums
 BLOCK_TERMS, TILE_SOURCES = 1024, 128
 # fixed values: the letters that are lower-cased, the runs that are terms, the scale and prior of p
@@ -34,7 +38,7 @@ TERM = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 SCALE, PRIOR = 1_000_000_000, 5
 
 #: rows of documents (codes, counts) and rows of a bundle's chunks (code, chunk, docs)
-BUNDLE_SCHEMA = "bundle long, lang string, source string, codes array<int>, counts array<int>, code int, chunk string, docs long"
+BUNDLE_SCHEMA = "bundle long, lang string, source string, codes binary, counts binary, code int, chunk string, docs long"
 
 
 class Codes(dict):
@@ -45,22 +49,36 @@ class Codes(dict):
         return n
 
 
-def _document_rows(bundle: int, docs: list[tuple]) -> pd.DataFrame:
-    langs, sources, codes, counts = zip(*docs)
-    none = [None] * len(docs)
-    return pd.DataFrame(
-        {"bundle": bundle, "lang": langs, "source": sources, "codes": codes, "counts": counts, "code": none, "chunk": none, "docs": none}
-    )
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers byte plane by byte plane: planes of small numbers are all zero."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(x: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+class Bundle:
+    def __init__(self, number: int):
+        self.number, self.chunks, self.docs, self.found, self.chars = number, Codes(), [], [], 0
 
+    def add(self, text: str, lang: str, source: str) -> None:
+        words = text.encode("utf-8").split()  # at x20 and x09-x0D
+        at, n = np.unique(np.fromiter(map(self.chunks.__getitem__, words), np.int32, len(words)), return_counts=True)
+        self.docs.append((lang, source, packed(np.diff(at, prepend=0)), packed(n)))
+        self.found.append(at)
+        self.chars += len(text)
 
-def _chunk_rows(bundle: int, docs: list[tuple], chunks: Codes) -> Iterator[pd.DataFrame]:
-    """One row per language and chunk: its number and how many documents hold it."""
-    words = np.array([w.decode("utf-8") for w in chunks], object)
-    for lang in sorted({d[0] for d in docs}):
-        held = np.bincount(np.concatenate([d[2] for d in docs if d[0] == lang]), minlength=len(words))
-        at = np.flatnonzero(held)
-        yield pd.DataFrame(
-            {"bundle": bundle, "lang": lang, "source": None, "codes": None, "counts": None, "code": at, "chunk": words[at], "docs": held[at]}
+    def frames(self) -> Iterator[pd.DataFrame]:
+        names = BUNDLE_SCHEMA.replace(",", "").split()[::2]
+        rows = [(self.number, *d, None, None, None) for d in self.docs]
+        yield pd.DataFrame(rows, columns=names, dtype=object)
+        held = np.bincount(np.concatenate(self.found), minlength=len(self.chunks))
+        none = np.full(len(held), None, object)
+        words = np.array([w.decode("utf-8") for w in self.chunks], object)
+        yield c.frame(
+            {"bundle": np.full(len(held), self.number), "lang": none, "source": none, "codes": none, "counts": none,
+             "code": np.arange(len(held), dtype=np.int32), "chunk": words, "docs": held}
         )
 
 
@@ -68,21 +86,15 @@ def count_chunks(docs: DataFrame, bundle_chars: int = BUNDLE_CHARS) -> DataFrame
     """Rows of ``BUNDLE_SCHEMA`` for ``docs`` (text, lang, source without NULLs)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number = TaskContext.get().partitionId() << 32
-        chunks, held, chars = Codes(), [], 0
+        bundle = Bundle(TaskContext.get().partitionId() << 32)
         for b in batches:
             for text, lang, source in zip(b["text"], b["lang"], b["source"]):
-                words = text.encode("utf-8").split()  # at x20 and x09-x0D
-                at, n = np.unique(np.fromiter(map(chunks.__getitem__, words), np.int32, len(words)), return_counts=True)
-                held.append((lang, source, at, n.astype(np.int32)))
-                chars += len(text)
-                if chars >= bundle_chars:
-                    yield _document_rows(number, held)
-                    yield from _chunk_rows(number, held, chunks)
-                    number, chunks, held, chars = number + 1, Codes(), [], 0
-        if held:
-            yield _document_rows(number, held)
-            yield from _chunk_rows(number, held, chunks)
+                bundle.add(text, lang, source)
+                if bundle.chars >= bundle_chars:
+                    yield from bundle.frames()
+                    bundle = Bundle(bundle.number + 1)
+        if bundle.docs:
+            yield from bundle.frames()
 
     return docs.mapInPandas(run, BUNDLE_SCHEMA)
 
@@ -95,70 +107,82 @@ def terms_of(chunk: Column) -> Column:
 def _add_up(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
     """Documents and occurrences of each (language, source, term) of one bundle.
 
-    docs: lang, source, codes, counts; known: lang, code, term, times."""
-    out = []
-    for lang, part in docs.groupby("lang", sort=False):
-        of = known[known["lang"] == lang]
-        if not len(of):
-            continue
-        terms, names = pd.factorize(of["term"].to_numpy(object))
-        code = of["code"].to_numpy()
-        order = np.argsort(code, kind="stable")
-        terms, times = terms[order], of["times"].to_numpy()[order]
-        sizes = np.array([len(x) for x in part["codes"]])
-        codes, counts = np.concatenate([*part["codes"]]), np.concatenate([*part["counts"]]).astype(np.int64)
-        starts = np.concatenate(([0], np.cumsum(np.bincount(code, minlength=int(codes.max(initial=0)) + 1))))
-        reach = starts[codes + 1] - starts[codes]
-        # one cell per document, chunk and term of the chunk
-        cell = np.repeat(starts[codes] - np.concatenate(([0], np.cumsum(reach)[:-1])), reach) + np.arange(reach.sum())
-        doc = np.repeat(np.repeat(np.arange(len(part)), sizes), reach)
-        per_doc, back = np.unique(doc * len(names) + terms[cell], return_inverse=True)
-        n = np.bincount(back, weights=np.repeat(counts, reach) * times[cell], minlength=len(per_doc)).astype(np.int64)
-        source, sources = pd.factorize(part["source"].to_numpy(object))
-        key, back = np.unique(source[per_doc // len(names)] * len(names) + per_doc % len(names), return_inverse=True)
-        out.append(
-            {
-                "lang": np.full(len(key), lang, object),
-                "source": sources[key // len(names)],
-                "term": names[key % len(names)],
-                "docs": np.bincount(back, minlength=len(key)),
-                "n": np.bincount(back, weights=n, minlength=len(key)).astype(np.int64),
-            }
-        )
-    if not out:
-        return pd.DataFrame(columns=["lang", "source", "term", "docs", "n"])
-    return c.frame({x: np.concatenate([o[x] for o in out]) for x in out[0]})
-
+    docs: lang, source, codes, counts; known: code, id, a row for each time that
+    term ``id`` stands in chunk ``code``."""
+    if not len(docs) or not len(known):
+        return pd.DataFrame(columns=["lang", "source", "id", "docs", "n"])
+    code = known["code"].to_numpy()
+    order = np.argsort(code, kind="stable")
+    terms, ids = pd.factorize(known["id"].to_numpy()[order])
+    each = [np.cumsum(unpacked(x)) for x in docs["codes"]]
+    sizes = np.array([len(x) for x in each])
+    codes, counts = np.concatenate(each), np.concatenate([unpacked(x) for x in docs["counts"]])
+    starts = np.concatenate(([0], np.cumsum(np.bincount(code, minlength=int(codes.max(initial=0)) + 1))))
+    reach = starts[codes + 1] - starts[codes]
+    # one cell per document, chunk and term of the chunk
+    cell = np.repeat(starts[codes] - np.concatenate(([0], np.cumsum(reach)[:-1])), reach) + np.arange(reach.sum())
+    doc = np.repeat(np.repeat(np.arange(len(docs)), sizes), reach)
+    per_doc, back = np.unique(doc * len(ids) + terms[cell], return_inverse=True)
+    n = np.bincount(back, weights=np.repeat(counts, reach), minlength=len(per_doc))
+    groups = Codes()
+    group = np.array([groups[g] for g in zip(docs["lang"], docs["source"])])
+    key, back = np.unique(group[per_doc // len(ids)] * len(ids) + per_doc % len(ids), return_inverse=True)
+    named = np.array([*groups, ("", "")], object)[:-1]  # two columns, however few groups
+    return c.frame(
+        {
+            "lang": named[key // len(ids), 0],
+            "source": named[key // len(ids), 1],
+            "id": ids[key % len(ids)],
+            "docs": np.bincount(back, minlength=len(key)),
+            "n": np.bincount(back, weights=n, minlength=len(key)).astype(np.int64),
+        }
+    )
 
-def term_counts(docs: DataFrame, least_docs: int = 30, bundle_chars: int = BUNDLE_CHARS) -> tuple[DataFrame, DataFrame]:
-    """(cells, groups) of ``docs`` (text, lang, source).
 
-    cells: lang, source, term, docs, n (occurrences) of all terms that may stand in
-    ``least_docs`` documents of the language; groups: every (lang, source) that
-    occurs. NULL text, lang and source count as empty, every row is a document, and
+@contextmanager
+def bucketed(df: DataFrame, column: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder in buckets of ``column``: aggregations and
+    joins on it read a bucket each and need no shuffle. The table's name goes at the
+    end; its files stay in the shared folder."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"fanline_buckets_{uuid.uuid4().hex}"
+    # the same hash deals rows to tasks and to buckets: one file each
+    spread = df.repartition(n, column)
+    spread.write.option("path", c.shared_path(spark, "buckets")).option("compression", "zstd").bucketBy(n, column).sortBy(column).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def term_counts(docs: DataFrame, least_docs: int = 30, bundle_chars: int = BUNDLE_CHARS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cells, groups, terms) of ``docs`` (text, lang, source).
+
+    cells: lang, source, id, docs, n (occurrences) for all terms that may stand in
+    ``least_docs`` documents; groups: every (lang, source) that occurs; terms: id,
+    term. NULL text, lang and source count as empty, every row is a document, and
     other columns are not read; an empty table has neither cells nor groups.
     """
     full = docs.select(*(F.coalesce(F.col(x).cast("string"), F.lit("")).alias(x) for x in ("text", "lang", "source")))
     bundles = c.materialise(count_chunks(full, bundle_chars), "bundles")
-    # aliases: the two kinds of rows meet again as different tables
-    counted = bundles.where("codes IS NOT NULL").select(*(F.col(x).alias(x) for x in ("bundle", "lang", "source", "codes", "counts")))
-    chunks = bundles.where("codes IS NULL").select("bundle", "lang", "code", "chunk", "docs")
-    # each distinct chunk is cut once, whatever its languages
-    by_lang = c.materialise(chunks.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs")), "chunks")
-    cut = by_lang.select("chunk").distinct().select(F.col("chunk").alias("own"), F.explode(terms_of(F.col("chunk"))).alias("term"))
-    cut = cut.groupBy("own", "term").agg(F.count("*").alias("times"))
-    held = c.materialise(by_lang.join(cut, F.col("chunk") == F.col("own")).select("lang", "chunk", "term", "times", "docs"), "chunk-terms")
-    may = held.groupBy("lang", "term").agg(F.sum("docs").alias("most")).where(F.col("most") >= least_docs)
-    known = held.join(may.select("lang", "term"), ["lang", "term"]).select("lang", "chunk", "term", "times")
-    back = chunks.select("bundle", "lang", "code", "chunk").join(known, ["lang", "chunk"]).select("bundle", "lang", "code", "term", "times")
-    cells = (
-        counted.groupBy("bundle")
-        .cogroup(back.groupBy("bundle"))
-        .applyInPandas(_add_up, "lang string, source string, term string, docs long, n long")
-        .groupBy("lang", "source", "term")
-        .agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-    )
-    return c.materialise(cells, "term-counts"), c.materialise(counted.select("lang", "source").distinct(), "groups")
+    counted = bundles.where("codes IS NOT NULL").select("bundle", "lang", "source", "codes", "counts")
+    with bucketed(bundles.where("codes IS NULL").select("bundle", "code", "chunk", "docs"), "chunk") as chunks:
+        distinct = chunks.groupBy("chunk").agg(F.sum("docs").alias("docs"))
+        held = c.materialise(distinct.select("chunk", F.explode(terms_of(F.col("chunk"))).alias("term"), "docs"), "chunk-terms")
+        may = held.groupBy("term").agg(F.sum("docs").alias("most")).where(F.col("most") >= least_docs)
+        terms = c.materialise(may.select(F.monotonically_increasing_id().alias("id"), "term"), "terms")
+        known = held.join(terms, "term").select(F.col("chunk").alias("of_chunk"), "id")
+        back = chunks.join(known, F.col("chunk") == F.col("of_chunk")).select(F.col("bundle").alias("of_bundle"), "code", "id")
+        cells = (
+            counted.groupBy("bundle")
+            .cogroup(back.groupBy("of_bundle"))
+            .applyInPandas(_add_up, "lang string, source string, id long, docs long, n long")
+            .groupBy("lang", "source", "id")
+            .agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+        )
+        cells = c.materialise(cells, "term-counts")
+    return cells, c.materialise(counted.select("lang", "source").distinct(), "groups"), terms
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -173,11 +197,11 @@ def _pair_sums(rows: pd.DataFrame) -> pd.DataFrame:
     that two sources have on a term that neither holds.
 
     rows: source, side, p, base (p at count 0), terms (of the language, in block 0
-    only, else 0), term; a row without a term stands for the source itself."""
-    own = rows[rows["term"].isna()]
+    only, else 0), id; a row with id -1 stands for the source itself."""
+    own = rows[rows["id"] < 0]
     sources, base = own["source"].to_numpy(object), own["base"].to_numpy(np.int64)
-    cells = rows[rows["term"].notna()]
-    term, names = pd.factorize(cells["term"])
+    cells = rows[rows["id"] >= 0]
+    term, names = pd.factorize(cells["id"].to_numpy())
     at = pd.Index(own["source"]).get_indexer(cells["source"])
     p = np.repeat(base[:, None], len(names), 1)
     p[at, term] = cells["p"].to_numpy(np.int64)
@@ -199,22 +223,22 @@ def _pair_sums(rows: pd.DataFrame) -> pd.DataFrame:
 def source_pairs(cells: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, source, item, value) for both orders of any two sources of a language.
 
-    cells: lang, source, term, p; groups: lang, source, base, terms, sources."""
-    hashed = F.pmod(F.xxhash64("term"), F.greatest(F.lit(1), F.ceil(F.col("terms") / BLOCK_TERMS)))
+    cells: lang, source, id, p; groups: lang, source, base, terms, sources."""
+    hashed = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.ceil(F.col("terms") / BLOCK_TERMS)))
     tiles = F.greatest(F.lit(1), F.ceil(F.col("sources") / TILE_SOURCES)).cast("int")
     tiled = groups.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("source"), F.col("tiles")).cast("int"))
     of = tiled.select(F.col("lang").alias("l"), F.col("source").alias("s"), "base", "terms", "tiles", "tile")
     held = cells.join(of, (F.col("lang") == F.col("l")) & (F.col("source") == F.col("s"))).withColumn("block", hashed)
-    held = held.select("lang", "source", "term", "p", "base", F.lit(0).cast("long").alias("terms"), "block", "tiles", "tile")
+    held = held.select("lang", "source", "id", "p", "base", F.lit(0).cast("long").alias("terms"), "block", "tiles", "tile")
     blocks = F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(1), F.ceil(F.col("terms") / BLOCK_TERMS)).cast("long") - 1)
     own = tiled.withColumn("block", F.explode(blocks)).select(
-        "lang", "source", F.lit(None).cast("string").alias("term"), F.col("base").alias("p"), "base",
+        "lang", "source", F.lit(-1).cast("long").alias("id"), F.col("base").alias("p"), "base",
         F.when(F.col("block") == 0, F.col("terms")).otherwise(F.lit(0)).cast("long").alias("terms"), "block", "tiles", "tile",
     )
     # a tile meets every tile of its language, once each
     met = held.unionByName(own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     met = met.select(
-        "lang", "source", "term", "p", "base", "terms", "block",
+        "lang", "source", "id", "p", "base", "terms", "block",
         F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), (F.col("tile") > F.col("other")).cast("int").alias("side"),
     )
     sums = met.groupBy("lang", "low", "high", "block").applyInPandas(_pair_sums, "lang string, a string, b string, value long")
@@ -231,10 +255,10 @@ def divergence_audit(docs: DataFrame, least_docs: int = 30, top_terms: int = 50,
     See ``term_counts`` for odd rows. A language without kept terms gives its pairs
     with value 0, a language with one source no pairs; ties go to the smaller item.
     """
-    counts, groups = term_counts(docs, least_docs, bundle_chars)
-    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("in_docs"), F.sum("n").alias("lang_n")).where(F.col("in_docs") >= least_docs)
-    kept = c.materialise(kept.select("lang", "term", "lang_n"), "kept-terms")
-    cells = counts.select("lang", "source", "term", "n").join(kept, ["lang", "term"])
+    counts, groups, terms = term_counts(docs, least_docs, bundle_chars)
+    kept = counts.groupBy("lang", "id").agg(F.sum("docs").alias("in_docs"), F.sum("n").alias("lang_n")).where(F.col("in_docs") >= least_docs)
+    kept = c.materialise(kept.select("lang", "id", "lang_n"), "kept-terms")
+    cells = counts.select("lang", "source", "id", "n").join(kept, ["lang", "id"])
     cells = c.materialise(cells, "kept-cells")
     langs = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
     totals = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"))
@@ -247,12 +271,14 @@ def divergence_audit(docs: DataFrame, least_docs: int = 30, top_terms: int = 50,
     full = c.materialise(full, "group-totals")
     of = full.select(F.col("lang").alias("l"), F.col("source").alias("s"), "total", "terms", "lang_total")
     shares = cells.join(of, (F.col("lang") == F.col("l")) & (F.col("source") == F.col("s"))).select(
-        "lang", "source", "term",
+        "lang", "source", "id",
         share(F.col("n"), F.col("total"), F.col("terms")).alias("p"),
         share(F.col("lang_n"), F.col("lang_total"), F.col("terms")).alias("q"),
     )
-    pairs = source_pairs(shares.select("lang", "source", "term", "p"), full.select("lang", "source", "base", "terms", "sources"))
-    over = shares.where("p > q").select("lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
+    pairs = source_pairs(shares.select("lang", "source", "id", "p"), full.select("lang", "source", "base", "terms", "sources"))
+    names = terms.select(F.col("id").alias("of"), F.col("term").alias("item"))
+    over = shares.where("p > q").join(names, F.col("id") == F.col("of"))
+    over = over.select("lang", "source", "item", (F.col("p") - F.col("q")).alias("value"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     rank = F.row_number().over(order)
     columns = ["lang", "source", "part", "item", "value", "rank"]
