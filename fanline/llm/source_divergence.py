@@ -105,12 +105,12 @@ def terms_of(chunk: Column) -> Column:
 
 
 def _add_up(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-    """Documents and occurrences of each (language, source, term) of one bundle.
+    """Documents and occurrences of each (group, term) of one bundle.
 
-    docs: lang, source, codes, counts; known: code, id, a row for each time that
+    docs: g, codes, counts; known: code, id, a row for each time that
     term ``id`` stands in chunk ``code``."""
     if not len(docs) or not len(known):
-        return pd.DataFrame(columns=["lang", "source", "id", "docs", "n"])
+        return pd.DataFrame(columns=["g", "id", "docs", "n"])
     code = known["code"].to_numpy()
     order = np.argsort(code, kind="stable")
     terms, ids = pd.factorize(known["id"].to_numpy()[order])
@@ -124,14 +124,11 @@ def _add_up(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
     doc = np.repeat(np.repeat(np.arange(len(docs)), sizes), reach)
     per_doc, back = np.unique(doc * len(ids) + terms[cell], return_inverse=True)
     n = np.bincount(back, weights=np.repeat(counts, reach), minlength=len(per_doc))
-    groups = Codes()
-    group = np.array([groups[g] for g in zip(docs["lang"], docs["source"])])
+    group, groups = pd.factorize(docs["g"].to_numpy())
     key, back = np.unique(group[per_doc // len(ids)] * len(ids) + per_doc % len(ids), return_inverse=True)
-    named = np.array([*groups, ("", "")], object)[:-1]  # two columns, however few groups
     return c.frame(
         {
-            "lang": named[key // len(ids), 0],
-            "source": named[key // len(ids), 1],
+            "g": groups[key // len(ids)],
             "id": ids[key % len(ids)],
             "docs": np.bincount(back, minlength=len(key)),
             "n": np.bincount(back, weights=n, minlength=len(key)).astype(np.int64),
@@ -149,7 +146,7 @@ def bucketed(df: DataFrame, column: str) -> Iterator[DataFrame]:
     name = f"fanline_buckets_{uuid.uuid4().hex}"
     # the same hash deals rows to tasks and to buckets: one file each
     spread = df.repartition(n, column)
-    spread.write.option("path", c.shared_path(spark, "buckets")).option("compression", "zstd").bucketBy(n, column).sortBy(column).saveAsTable(name)
+    spread.write.option("path", c.shared_path(spark, "buckets")).option("compression", "zstd").bucketBy(n, column).saveAsTable(name)
     try:
         yield spark.table(name)
     finally:
@@ -159,14 +156,18 @@ def bucketed(df: DataFrame, column: str) -> Iterator[DataFrame]:
 def term_counts(docs: DataFrame, least_docs: int = 30, bundle_chars: int = BUNDLE_CHARS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cells, groups, terms) of ``docs`` (text, lang, source).
 
-    cells: lang, source, id, docs, n (occurrences) for all terms that may stand in
-    ``least_docs`` documents; groups: every (lang, source) that occurs; terms: id,
-    term. NULL text, lang and source count as empty, every row is a document, and
+    cells: g, lang, source, id, docs, n (occurrences) for all terms that may stand in
+    ``least_docs`` documents; groups: g and every (lang, source) that occurs; terms:
+    id, term. NULL text, lang and source count as empty, every row is a document, and
     other columns are not read; an empty table has neither cells nor groups.
     """
     full = docs.select(*(F.coalesce(F.col(x).cast("string"), F.lit("")).alias(x) for x in ("text", "lang", "source")))
     bundles = c.materialise(count_chunks(full, bundle_chars), "bundles")
     counted = bundles.where("codes IS NOT NULL").select("bundle", "lang", "source", "codes", "counts")
+    groups = counted.select("lang", "source").distinct()
+    groups = c.materialise(groups.select(F.monotonically_increasing_id().alias("g"), "lang", "source"), "groups")
+    of = groups.select("g", F.col("lang").alias("l"), F.col("source").alias("s"))
+    numbered = counted.join(of, (F.col("lang") == F.col("l")) & (F.col("source") == F.col("s"))).select("bundle", "g", "codes", "counts")
     with bucketed(bundles.where("codes IS NULL").select("bundle", "code", "chunk", "docs"), "chunk") as chunks:
         distinct = chunks.groupBy("chunk").agg(F.sum("docs").alias("docs"))
         held = c.materialise(distinct.select("chunk", F.explode(terms_of(F.col("chunk"))).alias("term"), "docs"), "chunk-terms")
@@ -175,14 +176,14 @@ def term_counts(docs: DataFrame, least_docs: int = 30, bundle_chars: int = BUNDL
         known = held.join(terms, "term").select(F.col("chunk").alias("of_chunk"), "id")
         back = chunks.join(known, F.col("chunk") == F.col("of_chunk")).select(F.col("bundle").alias("of_bundle"), "code", "id")
         cells = (
-            counted.groupBy("bundle")
+            numbered.groupBy("bundle")
             .cogroup(back.groupBy("of_bundle"))
-            .applyInPandas(_add_up, "lang string, source string, id long, docs long, n long")
-            .groupBy("lang", "source", "id")
+            .applyInPandas(_add_up, "g long, id long, docs long, n long")
+            .groupBy("g", "id")
             .agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
         )
         cells = c.materialise(cells, "term-counts")
-    return cells, c.materialise(counted.select("lang", "source").distinct(), "groups"), terms
+    return cells.join(groups, "g"), groups, terms
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -264,7 +265,7 @@ def divergence_audit(docs: DataFrame, least_docs: int = 30, top_terms: int = 50,
     totals = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     sources = groups.groupBy("lang").agg(F.count("*").alias("sources"))
     zero = F.lit(0).cast("long")
-    full = groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").join(sources, "lang")
+    full = groups.drop("g").join(totals, ["lang", "source"], "left").join(langs, "lang", "left").join(sources, "lang")
     full = full.select(
         "lang", "source", "sources", *(F.coalesce(x, zero).alias(x) for x in ("total", "terms", "lang_total")),
     ).withColumn("base", F.when(F.col("terms") > 0, share(zero, F.col("total"), F.col("terms"))).otherwise(zero))
