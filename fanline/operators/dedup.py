@@ -16,137 +16,21 @@ or below ``hot_threshold`` rows take one shuffle: ``repartition(key)`` +
 ``sortWithinPartitions(key, ts, tiebreak)`` + ``mapInArrow``, which folds
 every key of a partition at once with vectorised numpy (no per-key Python
 call); no key there is larger than the proven threshold. Keys above it (a
-key may hold a third of all rows) are never gathered into one task:
-``fanline.operators.hotkeys.ttl_anchors_hot`` finds each row's next
-candidate on count-balanced range slices and resolves the anchor chain by
-pointer doubling over Spark joins.
+key may hold a third of all rows) are never gathered into one task: they
+are cut into count-balanced range slices, whose transfer functions are composed
+(``fanline.operators.ttl_slices``).
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fanline.functions.time import epoch_us
-from fanline.operators.hotkeys import hot_keys, resolve_threshold, split_hot, ttl_anchors_hot
-
-
-
-def _codes(column: pa.Array) -> np.ndarray:
-    """Runs of equal keys as increasing numbers. NULL is a key like any other, as
-    in Spark's grouping, and so is NaN; no value is converted."""
-    n = len(column)
-    if n < 2:
-        return np.zeros(n, dtype=np.int64)
-    a, b = column.slice(1), column.slice(0, n - 1)
-    both = pc.and_(pc.is_null(a, nan_is_null=True), pc.is_null(b, nan_is_null=True))
-    differ = pc.fill_null(pc.not_equal(a, b), True)
-    return np.concatenate(([0], np.cumsum(pc.and_not(differ, both).to_numpy(zero_copy_only=False))))
-
-
-def _to_us(column: pa.Array) -> np.ndarray:
-    """Microseconds of a timestamp column."""
-    unit = pa.timestamp("us", tz=column.type.tz)
-    return column.cast(unit).cast(pa.int64()).to_numpy(zero_copy_only=False)
-
-
-def fold_sorted(keys: np.ndarray, t: np.ndarray, elig: np.ndarray, ttl_us: int) -> tuple[np.ndarray, np.ndarray]:
-    """Anchored-TTL fold over rows sorted by (key, t, tiebreak), all keys at once.
-
-    Vectorised per call: one ``searchsorted`` gives every row's next-anchor
-    candidate (restricted to its own key), then the chains of all keys are
-    walked together; the loop runs once per anchor *rank*, i.e. at most
-    span/ttl + 1 times, whatever the number of keys or rows.
-    """
-    n = len(t)
-    accepted = np.zeros(n, dtype=bool)
-    if n == 0:
-        return accepted, accepted.copy()
-    codes = np.concatenate(([0], np.cumsum(keys[1:] != keys[:-1])))
-    epos = np.flatnonzero(elig)
-    if len(epos):
-        ecode, et = codes[epos], t[epos]
-        base = et.min()
-        span = int(et.max() - base) + ttl_us + 1
-        if span * (int(ecode[-1]) + 1) < 2**62:
-            comp = ecode.astype(np.int64) * span + (et - base)
-            nxt = np.searchsorted(comp, comp + ttl_us, side="left")
-        else:  # very wide partitions: per key
-            nxt = np.empty(len(epos), dtype=np.int64)
-            starts = np.flatnonzero(np.r_[True, ecode[1:] != ecode[:-1]])
-            ends = np.r_[starts[1:], len(epos)]
-            for a, b in zip(starts, ends):
-                nxt[a:b] = a + np.searchsorted(et[a:b], et[a:b] + ttl_us, side="left")
-        valid = nxt < len(epos)
-        same = np.zeros(len(epos), dtype=bool)
-        same[valid] = ecode[nxt[valid]] == ecode[valid]
-        nxt = np.where(same, nxt, -1)
-        cur = np.flatnonzero(np.r_[True, ecode[1:] != ecode[:-1]])  # first eligible row per key
-        while cur.size:
-            accepted[epos[cur]] = True
-            cur = nxt[cur]
-            cur = cur[cur >= 0]
-    anchors = np.flatnonzero(accepted)
-    j = np.searchsorted(anchors, np.arange(n), side="left") - 1
-    has = j >= 0
-    aj = anchors[np.maximum(j, 0)] if len(anchors) else np.zeros(n, dtype=np.int64)
-    has &= codes[aj] == codes
-    duplicate = ~accepted & has & (t < t[aj] + ttl_us)
-    return accepted, duplicate
-
-
-def _fold_partitions(key: str, ts: str, eligible: str, ttl_us: int):
-    """mapInArrow body: partitions hold whole keys sorted by (key, ts, tiebreak).
-
-    Arrow batches may split a key: the open key's rows are kept as a list of
-    parts and concatenated once when the key closes (no quadratic copying).
-    Only key, time and eligibility are looked at; the other columns, NULLs and
-    large integers included, pass through as they are.
-    """
-
-    def run(batches):
-        open_parts: list[pa.RecordBatch] = []  # rows of the key still open
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            at = batch.schema.get_field_index(key)
-            codes = _codes(batch.column(at))
-            if open_parts:
-                tail = open_parts[-1].column(at)
-                meets = _codes(pa.concat_arrays([tail.slice(len(tail) - 1), batch.column(at).slice(0, 1)]))
-                i = int(np.searchsorted(codes, 1)) if meets[1] == 0 else 0  # rows of the open key
-                if i:
-                    open_parts.append(batch.slice(0, i))
-                if i == batch.num_rows:
-                    continue
-                yield from _finish(open_parts, key, ts, eligible, ttl_us)
-                open_parts, batch, codes = [], batch.slice(i), codes[i:]
-            j = int(np.searchsorted(codes, codes[-1]))  # first row of the last key
-            if j:
-                yield from _finish([batch.slice(0, j)], key, ts, eligible, ttl_us)
-            open_parts = [batch.slice(j)]
-        if open_parts:
-            yield from _finish(open_parts, key, ts, eligible, ttl_us)
-
-    return run
-
-
-def _finish(parts: list[pa.RecordBatch], key: str, ts: str, eligible: str, ttl_us: int):
-    """The parts with their ``accepted`` and ``duplicate`` columns."""
-    table = pa.Table.from_batches(parts)
-    column = lambda name: table.column(name).combine_chunks()
-    elig = column(eligible).to_numpy(zero_copy_only=False).astype(bool)
-    acc, dup = fold_sorted(_codes(column(key)), _to_us(column(ts)), elig, ttl_us)
-    at = 0
-    for part in parts:
-        end = at + part.num_rows
-        flags = [pa.array(acc[at:end]), pa.array(dup[at:end])]
-        yield pa.RecordBatch.from_arrays(part.columns + flags, names=part.schema.names + ["accepted", "duplicate"])
-        at = end
+from fanline.operators.hotkeys import hot_keys, resolve_threshold, split_hot
+from fanline.operators.ttl_fold import _fold_partitions, fold_sorted  # noqa: F401
+from fanline.operators.ttl_slices import ttl_status_sliced
 
 
 def ttl_status(
@@ -178,7 +62,7 @@ def ttl_status(
     else:
         cold_rows, hot_rows = split_hot(base, hot, [key])
         out = cold_fold(cold_rows).unionByName(
-            ttl_anchors_hot(hot_rows, key, ts, tiebreak, elig_col, ttl_seconds, hot_threshold)
+            ttl_status_sliced(hot_rows, hot, key, ts, tiebreak, elig_col, ttl_seconds, hot_threshold)
         )
     return out.drop(elig_col)
 

@@ -19,9 +19,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from fanline.functions.time import epoch_us
 
 # At most rows/threshold hot keys exist; this caps the collected list.
 MAX_HOT_KEYS = 100_000
@@ -68,6 +65,15 @@ def surrogate_key(keys: list[str]) -> Column:
     return F.to_json(F.struct(*[F.col(k) for k in keys]))
 
 
+def slice_count(hot: DataFrame, threshold: int) -> int:
+    """Range slices for the rows of the ``hot`` keys: about ``threshold`` rows each,
+    but where that makes more than a few slices per core, not under the default
+    number of rows (a task per handful of rows costs more than it spreads)."""
+    total = hot.agg(F.sum("_n")).first()[0]
+    few = 4 * hot.sparkSession.sparkContext.defaultParallelism
+    return max(2, min(math.ceil(total / threshold), max(few, math.ceil(total / DEFAULT_THRESHOLD))))
+
+
 def split_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(cold rows, hot rows) of ``df``; NULL keys compare equal, since a
     missing key is a classic hot key."""
@@ -129,8 +135,7 @@ def keyed_window(
     cold, hot_rows = split_hot(df, hot, keys)
     cold = cold.withColumns({name: _local(s, w) for name, s in scans.items()})
 
-    total = hot.agg(F.sum("_n")).first()[0]
-    slices = max(2, math.ceil(total / threshold))
+    slices = slice_count(hot, threshold)
     # inside the hot path the key is a never-NULL surrogate (NULL is a key too)
     hot_rows = hot_rows.withColumn(HK, surrogate_key(keys))
     user_keys, keys = keys, [HK]
@@ -260,73 +265,3 @@ def asof_next(probes: DataFrame, events: DataFrame, key: str, slices: int) -> Da
         F.coalesce("nid", "_later.nid").alias("nid"),
         F.coalesce("nt", "_later.nt").alias("nt"),
     )
-
-
-def ttl_anchors_hot(rows: DataFrame, key: str, ts: str, tiebreak: str, eligible: str, ttl_seconds: int,
-                    threshold: int) -> DataFrame:
-    """Anchored-TTL status for hot keys without gathering any key in one task.
-
-    1. next(e): the first eligible row at or after ``e.ts + ttl`` (``asof_next``);
-    2. the anchors of a key are the chain head, next(head), next(next(head))...:
-       found by pointer doubling, about log2(anchors per key) join rounds,
-       each checkpointed to the shared folder;
-    3. at most one anchor per (key, ttl-wide bucket), so each row finds the
-       latest anchor before it with one equi-join on (key, bucket).
-    """
-    user_key = key
-    rows = rows.withColumn(HK, surrogate_key([user_key]))
-    key = HK  # joins and grouping below use the never-NULL surrogate
-    ttl_us = int(ttl_seconds * 1_000_000)
-    spark = rows.sparkSession
-    from fanline.session import checkpoint_dir
-
-    checkpoint_dir(spark)
-    # Node id: the row's place in the order (key, ts, tiebreak), so it is unique
-    # whatever the tiebreak holds; fixed by the checkpoint. The range sort splits
-    # a hot key, and rows of one instant, over many tasks.
-    rows = rows.withColumn("_t", epoch_us(rows, ts)).orderBy(key, "_t", tiebreak)
-    rows = rows.withColumn("_eid", F.monotonically_increasing_id()).checkpoint()
-    nodes = rows.where(F.col(eligible)).select(key, F.col("_t").alias("t"), F.col("_eid").alias("eid")).checkpoint()
-    n_nodes = nodes.count()
-    slices = max(2, math.ceil(2 * max(n_nodes, 1) / threshold))
-    probes = nodes.select(key, (F.col("t") + F.lit(ttl_us)).alias("t"), F.col("eid").alias("pid"))
-    jump = asof_next(probes, nodes, key, slices).select(key, F.col("pid").alias("eid"), "nid").checkpoint()
-
-    heads = nodes.groupBy(key).agg(F.min_by("eid", F.struct("t", "eid")).alias("eid"))
-    chain = heads.checkpoint()
-    frontier = chain
-    while True:
-        step = frontier.join(jump, [key, "eid"]).where(F.col("nid").isNotNull()).select(key, F.col("nid").alias("eid"))
-        step = step.checkpoint()
-        if step.isEmpty():
-            break
-        chain = chain.unionByName(step).checkpoint()
-        frontier = chain
-        a, b = jump.alias("a"), jump.alias("b")
-        jump = (
-            a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.nid") == F.col("b.eid")), "left")
-            .select(F.col(f"a.{key}").alias(key), F.col("a.eid").alias("eid"), F.col("b.nid").alias("nid"))
-            .checkpoint()
-        )
-        if jump.where(F.col("nid").isNotNull()).isEmpty():
-            break
-
-    anchors = chain.distinct().join(nodes, [key, "eid"]).select(key, "eid", "t")
-    bucket = F.floor(F.col("t") / F.lit(ttl_us)).cast("bigint")
-    own = anchors.select(key, bucket.alias("_b"), F.col("t").alias("_ot"), F.col("eid").alias("_oe"),
-                         F.lit(None).cast("bigint").alias("_pt"))
-    prev = anchors.select(key, (bucket + 1).alias("_b"), F.lit(None).cast("bigint").alias("_ot"),
-                          F.lit(None).cast("bigint").alias("_oe"), F.col("t").alias("_pt"))
-    per_bucket = own.unionByName(prev).groupBy(key, "_b").agg(
-        F.max("_ot").alias("_ot"), F.max("_oe").alias("_oe"), F.max("_pt").alias("_pt")
-    )
-    t = F.col("_t")
-    e = F.col("_eid")
-    marked = rows.withColumns({"_e": e, "_b": F.floor(t / F.lit(ttl_us)).cast("bigint")})
-    j = marked.join(per_bucket, [key, "_b"], "left")
-    accepted = (F.col("_oe") == F.col("_e")) & (F.col("_ot") == F.col("_t"))
-    own_before = F.col("_ot").isNotNull() & ((F.col("_ot") < F.col("_t")) | ((F.col("_ot") == F.col("_t")) & (F.col("_oe") < F.col("_e"))))
-    prev_close = F.col("_pt").isNotNull() & (F.col("_t") < F.col("_pt") + F.lit(ttl_us))
-    acc = F.coalesce(accepted, F.lit(False))
-    dup = ~acc & F.coalesce(own_before | prev_close, F.lit(False))
-    return j.withColumns({"accepted": acc, "duplicate": dup}).drop("_t", "_e", "_b", "_ot", "_oe", "_pt", "_eid", HK)

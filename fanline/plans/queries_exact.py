@@ -77,5 +77,5 @@ def q_dedup_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dedup_repeated_ids_hot", _DEDUP_SQL)
 def q_dedup_repeated_ids_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with every key taken as hot: range slices and pointer doubling."""
+    """The same with every key taken as hot: range slices and their transfer functions."""
     return _dedup(spark, sf_dir, 3)

@@ -2,11 +2,14 @@
 
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from support import SF_CHECK
 from fanline.operators import dedup, matching
+from fanline.operators.dedup import fold_sorted
 from fanline.operators.hotkeys import Scan, asof_next, keyed_window
 from fanline.plans import fixture as fx
 
@@ -161,3 +164,43 @@ def test_null_key_can_be_hot(spark):
     assert sorted(map(tuple, a.select("event_id", "rn", "s").collect())) == sorted(
         map(tuple, b.select("event_id", "rn", "s").collect())
     )
+
+
+@pytest.mark.parametrize("rows, span, share", [(4000, 300_000, 0.9), (4000, 5_000, 0.5), (1500, 20_000_000, 0.05), (600, 40, 1.0)])
+def test_slices_compose_dense_sparse_and_tied_keys(spark, rows, span, share):
+    """Many slices per TTL, many TTLs per slice, slices without eligible rows, ties."""
+    import datetime as dt
+
+    rnd = random.Random(rows + span)
+    data = [(rnd.choice(["a", "a", "a", None, "b"]), rnd.randint(0, span), i, rnd.random() < share) for i in range(rows)]
+    base = dt.datetime(2024, 1, 1)
+    sdf = spark.createDataFrame(
+        [(k, base + dt.timedelta(seconds=t), i, e) for k, t, i, e in data], "k string, received_at timestamp_ntz, event_id long, e boolean"
+    )
+    expect = brute_fold(data, 3600)
+    got = dedup.ttl_status(sdf, "k", 3600, eligible=F.col("e"), hot_threshold=97).collect()
+    assert {r.event_id: (r.accepted, r.duplicate) for r in got} == expect
+
+
+def test_transfer_function_equals_the_fold():
+    from fanline.operators.ttl_slices import transfer
+
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        t = np.sort(rng.integers(0, 500, rng.integers(1, 60)))
+        at, exits = transfer(t, 40)
+        known = dict(zip(at.tolist(), exits.tolist()))
+        for last in range(int(t[0]) - 60, int(t[0]) + 1):  # every anchor that may lie before the slice
+            acc, _ = fold_sorted(np.zeros(len(t)), t, np.ones(len(t), bool), 40, {0: last})
+            taken = np.flatnonzero(acc)
+            if len(taken):
+                assert known[int(taken[0])] == t[taken[-1]]
+
+
+def test_slices_are_bounded_by_the_cores(spark):
+    from fanline.operators.hotkeys import slice_count
+
+    hot = spark.createDataFrame([("a", 30_000)], "k string, _n long")
+    assert slice_count(hot, 3) == 4 * spark.sparkContext.defaultParallelism
+    assert slice_count(hot, 20_000) == 2
+    assert slice_count(spark.createDataFrame([("a", 10**9)], "k string, _n long"), 3) == 500
