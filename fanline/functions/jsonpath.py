@@ -3,9 +3,8 @@
 A subscription may carry a ``filter-path`` such as
 ``$.event[?(@.props.k >= 50 && @.event_type == 'error')]``. An event matches
 when evaluating the path over the whole envelope JSON returns a non-empty
-result. The path is compiled once, on the driver, into built-in Column
-expressions (``get_json_object``, comparisons, ``rlike``, ``exists``) so the
-per-row work stays inside whole-stage codegen; no Python runs per row.
+result. The path is compiled once into built-in Column expressions over
+VARIANT values, so a leaf keeps its JSON type and no Python runs per row.
 
 Supported subset:
 
@@ -18,17 +17,23 @@ Supported subset:
 * literals: numbers, quoted strings, ``true``/``false``/``null``,
   ``/regex/flags`` (flag ``i``), ``[...]`` lists for ``in``/``nin``.
 
+Types decide. Order comparisons hold between two numbers or two strings only.
+Equality holds between equal types, and between a string and a number that
+reads the same (``'60'`` and 60); null equals a present null only. A field that
+is present exists, whatever its value, null included; a missing one equals
+nothing. A regex reads strings, numbers and booleans as text, each element of
+an array, and anything else, a missing field too, as the empty text.
+
 A filter on an object tests that object; on an array it tests every element
-and matches when any element does. Missing fields compare false. Definite
-paths (no filter, no wildcard) and anything else are rejected with
-``JsonPathError`` when the catalog is loaded.
+and matches when any element does. Definite paths (no filter, no wildcard) and
+anything else are rejected with ``JsonPathError``.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import reduce
+from decimal import Decimal, InvalidOperation
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,6 +57,8 @@ _TOKEN = re.compile(
     re.VERBOSE,
 )
 
+#: quoted strings and regexes, whose dots are no path
+_LITERAL = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|=~\s*/(?:[^/\\]|\\.)*/""")
 _SEGMENT = re.compile(r"\.([A-Za-z_$][\w$-]*)|\['((?:[^'\\]|\\.)*)'\]|(\[\*\]|\.\*)")
 WILDCARD = "*"
 
@@ -69,7 +76,7 @@ class CompiledPath:
         out: set[tuple[str, ...]] = set()
 
         def walk(n):
-            if n is None:
+            if not n:
                 return
             if n[0] == "rel":
                 out.add(n[1])
@@ -161,7 +168,7 @@ class _Parser:
         if kind == "rel":
             return ("rel", _split_segments(val[1:]))
         if kind == "num":
-            return ("num", float(val))
+            return ("num", float(val) + 0.0, str(Decimal(val)))
         if kind == "str":
             body = val[1:-1]
             return ("str", re.sub(r"\\(.)", r"\1", body))
@@ -174,8 +181,7 @@ class _Parser:
         if kind == "word" and val in ("true", "false"):
             return ("bool", val == "true")
         if kind == "word" and val == "null":
-            # a present null and a missing field read alike here, so the form is refused
-            raise JsonPathError("comparisons with null are not supported")
+            return ("null",)
         if val == "[":
             items = []
             while self.peek()[1] != "]":
@@ -207,6 +213,14 @@ class _Parser:
         return ("cmp", val, left, right)
 
 
+def _check(node) -> None:
+    if node[0] == "cmp":
+        check_literal(node[1], node[3])
+    for c in node[1:]:
+        if isinstance(c, tuple) and c and c[0] in ("and", "or", "not", "cmp"):
+            _check(c)
+
+
 def parse_path(text: str) -> CompiledPath:
     """Parse and validate a filter path (raises ``JsonPathError``)."""
     if text is None:
@@ -214,7 +228,7 @@ def parse_path(text: str) -> CompiledPath:
     s = text.strip()
     if not s.startswith("$"):
         raise JsonPathError(f"path must start with $: {text!r}")
-    if ".." in s:
+    if ".." in _LITERAL.sub("", s):
         raise JsonPathError(f"deep scan is not supported: {text!r}")
     body = s[1:]
     if body.endswith("[*]"):
@@ -224,166 +238,225 @@ def parse_path(text: str) -> CompiledPath:
         raise JsonPathError(f"a definite path never yields an array; add a filter: {text!r}")
     container = _split_segments(body[: m.start()])
     ast = _Parser(_tokens(m.group(1))).parse()
+    _check(ast)
     return CompiledPath(text, container, "filter", ast)
 
 
-def _num(c: Column) -> Column:
-    return c.try_cast("double")
+# ---------------------------------------------------------------------------
+# Typed values: a leaf is a VARIANT, SQL NULL when it is missing
+
+STRING, NUMBER, BOOLEAN, NULL, OTHER = "s", "n", "b", "z", "o"
+
+
+def _type(v: Column) -> Column:
+    # of parsed JSON: BIGINT, DECIMAL(p,s), DOUBLE, STRING, BOOLEAN, VOID, OBJECT<...>, ARRAY<...>
+    return F.substring(F.schema_of_variant(v), 1, 2)
+
+
+def is_number(v: Column) -> Column:
+    return _type(v).isin("BI", "DE", "DO")
+
+
+def is_string(v: Column) -> Column:
+    return _type(v) == "ST"
+
+
+def is_scalar(v: Column) -> Column:
+    return _type(v).isin("ST", "BI", "DE", "DO", "BO")
+
+
+def is_array(v: Column) -> Column:
+    return _type(v) == "AR"
+
+
+def kind_of(v: Column) -> Column:
+    """The JSON type of a variant; NULL when it is missing."""
+    kinds = {"ST": STRING, "BI": NUMBER, "DE": NUMBER, "DO": NUMBER, "BO": BOOLEAN, "VO": NULL, "OB": OTHER, "AR": OTHER}
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv]), _type(v))
+
+
+def text_of(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "string")
+
+
+def number_of(v: Column) -> Column:
+    # adding 0.0 makes one of the two zeros
+    return F.try_variant_get(v, "$", "double") + F.lit(0.0)
+
+
+def equality_key(kind: Column, number: Column, text: Column) -> Column:
+    """What two values share exactly if they are equal."""
+    return (
+        F.when(kind == NUMBER, F.concat(F.lit("n:"), number.cast("string")))
+        .when(kind == STRING, F.concat(F.lit("s:"), text))
+        .when(kind == BOOLEAN, F.concat(F.lit("b:"), text))
+        .when(kind == NULL, F.lit("z"))
+    )
+
+
+def value_key(v: Column) -> Column:
+    return equality_key(kind_of(v), number_of(v), text_of(v))
+
+
+def literal_values(node) -> list[tuple[str, float | None, str | None]]:
+    """(kind, number, text) of every value that a literal equals: a string that reads
+    as a number equals that number, a number equals its own text."""
+    if node[0] == "num":
+        return [(NUMBER, node[1], None), (STRING, None, node[2])]
+    if node[0] == "str":
+        out: list[tuple[str, float | None, str | None]] = [(STRING, None, node[1])]
+        try:
+            number = Decimal(node[1])
+            return out + ([(NUMBER, float(number) + 0.0, None)] if number.is_finite() else [])
+        except InvalidOperation:
+            return out
+    if node[0] == "bool":
+        return [(BOOLEAN, None, "true" if node[1] else "false")]
+    if node[0] == "null":
+        return [(NULL, None, None)]
+    raise JsonPathError(f"cannot compare with {node[0]}")
+
+
+def _equals(v: Column, *literals) -> Column:
+    values = [x for n in literals for x in literal_values(n)]
+    of = {k: [n if k == NUMBER else t for kind, n, t in values if kind == k] for k in (STRING, NUMBER, BOOLEAN, NULL)}
+    tests = {
+        STRING: lambda: is_string(v) & text_of(v).isin(of[STRING]),
+        NUMBER: lambda: is_number(v) & number_of(v).isin(of[NUMBER]),
+        BOOLEAN: lambda: (_type(v) == "BO") & text_of(v).isin(of[BOOLEAN]),
+        NULL: lambda: _type(v) == "VO",
+    }
+    any_of = F.lit(False)
+    for kind, test in tests.items():
+        if of[kind]:
+            any_of = any_of | F.coalesce(test(), F.lit(False))
+    return any_of
+
+
+def elements_of(v: Column) -> Column:
+    """The elements of an array; NULL for any other value."""
+    return F.try_variant_get(v, "$", "array<variant>")
+
+
+def regex_pattern(node) -> str:
+    return ("(?i)" if node[2] else "") + r"\A(?:" + node[1] + r")\z"
+
+
+def regex_matches(v: Column, pattern: str | Column) -> Column:
+    """Scalars are read as text, of an array any element, anything else as empty."""
+
+    def matches(x: Column) -> Column:
+        return F.rlike(x, F.lit(pattern) if isinstance(pattern, str) else pattern)
+
+    def read(x: Column) -> Column:
+        return F.when(is_scalar(x), text_of(x)).otherwise(F.lit(""))
+
+    inside = F.exists(elements_of(v), lambda e: matches(read(e)))
+    return F.when(is_scalar(v), matches(text_of(v))).when(is_array(v), inside).otherwise(matches(F.lit("")))
+
+
+def length_of(v: Column) -> Column:
+    """Characters of a string, elements of an array, fields of an object; else NULL."""
+    fields = F.try_variant_get(v, "$", "map<string,variant>")
+    of = F.when(is_string(v), F.length(text_of(v)))
+    return F.coalesce(of, F.size(F.when(elements_of(v).isNotNull(), elements_of(v))), F.when(fields.isNotNull(), F.size(fields)))
+
+
+CHECKS = {"size": "num", "empty": "bool", "anyof": "list", "noneof": "list", "subsetof": "list", "in": "list", "nin": "list", "=~": "regex"}
+
+
+def check_literal(op: str, right) -> None:
+    """Refuse a literal that the operator cannot take."""
+    if op in CHECKS and right[0] != CHECKS[op]:
+        raise JsonPathError(f"{op} needs a {CHECKS[op]}")
+    if op in ("<", "<=", ">", ">=") and right[0] not in ("num", "str"):
+        raise JsonPathError(f"cannot order-compare with {right[0]}")
+    if op in ("==", "!=", "contains"):
+        literal_values(right)
+    if right[0] == "list":
+        for item in right[1]:
+            literal_values(item)
 
 
 def _compile(node, leaf) -> Column:
-    """AST -> nullable boolean Column; ``leaf(segments)`` yields JSON text."""
+    """AST -> boolean Column, never NULL; ``leaf(segments)`` yields a variant."""
     op = node[0]
     if op == "and":
         return _compile(node[1], leaf) & _compile(node[2], leaf)
     if op == "or":
         return _compile(node[1], leaf) | _compile(node[2], leaf)
     if op == "not":
-        return ~F.coalesce(_compile(node[1], leaf), F.lit(False))
+        return ~_compile(node[1], leaf)
     if op == "exists":
         return leaf(node[1][1]).isNotNull()
     _, cmp, left, right = node
+    check_literal(cmp, right)
     v = leaf(left[1])
     if cmp == "=~":
-        if right[0] != "regex":
-            raise JsonPathError("=~ needs a /regex/")
-        pattern = ("(?i)" if right[2] else "") + r"\A(?:" + right[1] + r")\z"
-        return v.rlike(pattern)
-    if cmp in ("size", "empty", "contains", "anyof", "noneof", "subsetof"):
-        return _collection_op(cmp, v, right)
-    if cmp in ("in", "nin"):
-        if right[0] != "list":
-            raise JsonPathError(f"{cmp} needs a [list]")
-        hits = [_eq(v, item) for item in right[1]]
-        anyhit = reduce(lambda a, b: a | b, hits) if hits else F.lit(False)
-        # a missing field is in no list
-        return F.when(v.isNull(), F.lit(cmp == "nin")).otherwise(anyhit if cmp == "in" else ~anyhit)
+        return F.coalesce(regex_matches(v, regex_pattern(right)), F.lit(False))
     if cmp in ("==", "!="):
-        eq = _eq(v, right)
-        # a missing field equals no literal
-        return F.when(v.isNull(), F.lit(cmp == "!=")).otherwise(eq if cmp == "==" else ~eq)
-    if right[0] == "num":
-        lhs, rhs = _num(v), F.lit(right[1])
-    elif right[0] == "str":
-        lhs, rhs = v, F.lit(right[1])
-    else:
-        raise JsonPathError(f"cannot order-compare with {right[0]}")
-    return {"<": lhs < rhs, "<=": lhs <= rhs, ">": lhs > rhs, ">=": lhs >= rhs}[cmp]
-
-
-def _elements(v: Column) -> Column:
-    """A JSON array's elements as texts (NULL when ``v`` is not an array)."""
-    return F.when(F.ltrim(v).startswith("["), F.from_json(v, "array<string>"))
-
-
-def _lit_text(node) -> Column:
-    """A literal as the text a JSON value of it would have."""
-    if node[0] == "num":
-        x = node[1]
-        return F.lit(str(int(x)) if float(x).is_integer() else repr(x))
-    if node[0] == "bool":
-        return F.lit("true" if node[1] else "false")
-    if node[0] == "str":
-        return F.lit(node[1])
-    raise JsonPathError(f"unsupported literal {node[0]}")
+        return _equals(v, right) if cmp == "==" else ~_equals(v, right)
+    if cmp in ("in", "nin"):
+        return _equals(v, *right[1]) if cmp == "in" else ~_equals(v, *right[1])
+    if cmp in ("size", "empty", "contains", "anyof", "noneof", "subsetof"):
+        return F.coalesce(_collection_op(cmp, v, right), F.lit(False))
+    number = right[0] == "num"
+    lhs, rhs = (number_of(v), F.lit(right[1])) if number else (text_of(v), F.lit(right[1]))
+    test = {"<": lhs < rhs, "<=": lhs <= rhs, ">": lhs > rhs, ">=": lhs >= rhs}[cmp]
+    return F.coalesce((is_number(v) if number else is_string(v)) & test, F.lit(False))
 
 
 def _collection_op(cmp: str, v: Column, right) -> Column:
-    """size / empty / contains / anyof / noneof / subsetof on arrays (and strings)."""
-    arr = _elements(v)
-    is_arr = arr.isNotNull()
+    """size / empty / contains / anyof / noneof / subsetof; NULL where they do not apply."""
     if cmp == "size":
-        if right[0] != "num":
-            raise JsonPathError("size needs a number")
-        n = F.when(is_arr, F.size(arr)).otherwise(F.length(v))
-        return F.coalesce(n == F.lit(int(right[1])), F.lit(False))
+        return length_of(v) == F.lit(int(right[1]))
     if cmp == "empty":
-        if right[0] != "bool":
-            raise JsonPathError("empty needs true or false")
-        n = F.when(is_arr, F.size(arr)).otherwise(F.length(v))
-        return F.coalesce((n == 0) == F.lit(right[1]), F.lit(False))
+        return (length_of(v) == 0) == F.lit(right[1])
+    elements = elements_of(v)
     if cmp == "contains":
-        lit = _lit_text(right)
-        return F.coalesce(F.when(is_arr, F.array_contains(arr, lit)).otherwise(v.contains(lit)), F.lit(False))
-    if right[0] != "list":
-        raise JsonPathError(f"{cmp} needs a [list]")
-    items = F.array(*[_lit_text(i) for i in right[1]]) if right[1] else F.array().cast("array<string>")
-    if cmp == "anyof":
-        test = F.arrays_overlap(arr, items)
-    elif cmp == "noneof":
-        test = ~F.arrays_overlap(arr, items)
-    else:  # subsetof
-        test = F.size(F.array_except(arr, items)) == 0
-    return F.coalesce(F.when(is_arr, test), F.lit(False))
-
-
-def _eq(v: Column, lit_node) -> Column:
-    kind = lit_node[0]
-    if kind == "num":
-        return F.coalesce(_num(v) == F.lit(lit_node[1]), F.lit(False))
-    if kind == "str":
-        return F.coalesce(v == F.lit(lit_node[1]), F.lit(False))
-    if kind == "bool":
-        return F.coalesce(F.lower(v) == F.lit("true" if lit_node[1] else "false"), F.lit(False))
-    raise JsonPathError(f"cannot compare with {kind}")
+        inside = F.exists(elements, lambda e: _equals(e, right))
+        within = is_string(v) & text_of(v).contains(right[1]) if right[0] == "str" else F.lit(False)
+        return F.when(elements.isNotNull(), inside).otherwise(within)
+    if cmp == "subsetof":
+        return F.forall(elements, lambda e: _equals(e, *right[1]))
+    met = F.exists(elements, lambda e: _equals(e, *right[1]))
+    return met if cmp == "anyof" else ~met
 
 
 def path_predicate(path: str | CompiledPath, json_col: Column | str) -> Column:
     """Boolean (never NULL) Column: does ``path`` select anything in ``json_col``?"""
     cp = path if isinstance(path, CompiledPath) else parse_path(path)
     doc = F.col(json_col) if isinstance(json_col, str) else json_col
-    if WILDCARD in cp.container:
-        return _through(doc, cp.container, lambda c: _on_container(cp, c))
-    cpath = _json_path(cp.container)
-    container = doc if not cp.container else F.get_json_object(doc, cpath)
-    if cp.kind == "wildcard":
-        return _nonempty(container)
-
-    def leaf_from(base_col, prefix):
-        return lambda segs: F.get_json_object(base_col, _json_path(prefix + segs))
+    return _through(F.try_parse_json(doc), cp.container, lambda c: _on_container(cp, c))
 
-    # leaves of an object container are read straight from the document
-    obj_pred = _compile(cp.ast, leaf_from(doc, cp.container))
-    arr_pred = F.exists(
-        F.from_json(container, "array<string>"),
-        lambda e: F.coalesce(_compile(cp.ast, leaf_from(e, ())), F.lit(False)),
-    )
-    pred = F.when(F.ltrim(container).startswith("["), arr_pred).otherwise(
-        F.ltrim(container).startswith("{") & obj_pred
-    )
-    return F.coalesce(pred, F.lit(False))
 
+def fields_of(v: Column) -> Column:
+    """The fields of an object; NULL for any other value."""
+    return F.try_variant_get(v, "$", "map<string,variant>")
 
-def _nonempty(container: Column) -> Column:
-    """``[*]`` selects something: a non-empty array or object."""
-    empty = F.regexp_like(container, F.lit(r"^\s*(\[\s*\]|\{\s*\})\s*$"))
-    return F.coalesce(container.isNotNull() & ~F.ltrim(container).startswith('"') & ~empty, F.lit(False))
 
-
-def _on_container(cp: CompiledPath, ctext: Column) -> Column:
-    """The filter (or trailing wildcard) applied to one container's JSON text."""
+def _on_container(cp: CompiledPath, c: Column) -> Column:
+    """The filter (or trailing wildcard) applied to one container."""
+    elements, fields = elements_of(c), fields_of(c)
     if cp.kind == "wildcard":
-        return _nonempty(ctext)
+        return F.coalesce(F.size(F.when(elements.isNotNull(), elements)) > 0, F.when(fields.isNotNull(), F.size(fields) > 0), F.lit(False))
 
     def leaf(base):
-        return lambda segs: F.get_json_object(base, _json_path(segs))
+        return lambda segs: F.try_variant_get(base, _json_path(segs), "variant")
 
-    arr = F.exists(F.from_json(ctext, "array<string>"), lambda e: F.coalesce(_compile(cp.ast, leaf(e)), F.lit(False)))
-    obj = F.ltrim(ctext).startswith("{") & _compile(cp.ast, leaf(ctext))
-    return F.coalesce(F.when(F.ltrim(ctext).startswith("["), arr).otherwise(obj), F.lit(False))
+    each = F.exists(elements, lambda e: _compile(cp.ast, leaf(e)))
+    return F.coalesce(F.when(elements.isNotNull(), each).when(fields.isNotNull(), _compile(cp.ast, leaf(c))), F.lit(False))
 
 
-def _through(doc: Column, segs: tuple[str, ...], final) -> Column:
+def _through(v: Column, segs: tuple[str, ...], final) -> Column:
     """Walk container segments; ``*`` fans out over array elements or object
     values with ``exists``, so the path matches if any branch does."""
     if WILDCARD not in segs:
-        return final(doc if not segs else F.get_json_object(doc, _json_path(segs)))
+        return final(v if not segs else F.try_variant_get(v, _json_path(segs), "variant"))
     i = segs.index(WILDCARD)
-    c = doc if i == 0 else F.get_json_object(doc, _json_path(segs[:i]))
-    elems = F.when(F.ltrim(c).startswith("["), F.from_json(c, "array<string>")).when(
-        F.ltrim(c).startswith("{"), F.map_values(F.from_json(c, "map<string,string>"))
-    )
-    return F.coalesce(F.exists(elems, lambda e: _through(e, segs[i + 1 :], final)), F.lit(False))
+    c = v if i == 0 else F.try_variant_get(v, _json_path(segs[:i]), "variant")
+    branches = F.coalesce(elements_of(c), F.map_values(fields_of(c)))
+    return F.coalesce(F.exists(branches, lambda e: _through(e, segs[i + 1 :], final)), F.lit(False))
 
 
 # ---------------------------------------------------------------------------
@@ -393,8 +466,7 @@ def _through(doc: Column, segs: tuple[str, ...], final) -> Column:
 def doc_schema(paths) -> tuple[T.StructType | None, set[str]]:
     """A struct schema holding every container and leaf the filter paths read.
 
-    Leaves are strings (numbers keep their text, objects their JSON). Paths
-    whose fields would need two types (a node compared as a value and also
+    Leaves are variants, which keep their JSON type. Paths whose fields would need two types (a node compared as a value and also
     descended into) are returned as ``slow`` and keep the per-path form.
     """
     tree: dict = {}
@@ -424,7 +496,8 @@ def doc_schema(paths) -> tuple[T.StructType | None, set[str]]:
             slow.add(cp.text)
             continue
         snapshot = _copy_tree(tree, leaf_mark)
-        ok = all(insert(cp.container + leaf) for leaf in cp.leaves() if leaf)
+        # a filter on the element itself reads the container as a value
+        ok = () not in cp.leaves() and all(insert(cp.container + leaf) for leaf in cp.leaves())
         if not ok or not cp.leaves():
             tree.clear()
             tree.update(snapshot)
@@ -432,7 +505,7 @@ def doc_schema(paths) -> tuple[T.StructType | None, set[str]]:
 
     def to_type(node):
         if node is leaf_mark:
-            return T.StringType()
+            return T.VariantType()
         return T.StructType([T.StructField(k, to_type(v)) for k, v in sorted(node.items())])
 
     return (to_type(tree) if tree else None), slow
@@ -461,5 +534,5 @@ def parsed_predicate(cp: CompiledPath, parsed: Column, doc: Column) -> Column:
             c = c.getField(s)
         return c
 
-    fast = F.coalesce(_compile(cp.ast, leaf), F.lit(False))
+    fast = _compile(cp.ast, leaf)
     return F.when(container.isNotNull(), fast).otherwise(path_predicate(cp, doc))

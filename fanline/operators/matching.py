@@ -8,9 +8,9 @@ join, no shuffle, and each distinct filter path is evaluated at most once
 per event, only for events of a topic that uses it. A hot topic costs
 nothing extra because nothing is keyed on it.
 
-Above that size the catalog is joined instead: broadcast while below
-``MAX_BROADCAST_SUBSCRIPTIONS`` rows, shuffled on topic beyond (AQE splits
-skewed topics), with the path predicate as the join's residual condition.
+Above that size subscriptions are data: their filters become predicate rows that
+event values are joined with and counted (``fanline.operators.content_match``).
+That form serves a catalog of any size, and no filter path comes to the driver.
 """
 
 from __future__ import annotations
@@ -23,13 +23,9 @@ from pyspark.sql import functions as F
 
 from fanline import constants as C
 from fanline.functions.jsonpath import CompiledPath, doc_schema, parse_path, parsed_predicate, path_predicate
-from fanline.sources.catalog import (
-    MAX_BROADCAST_SUBSCRIPTIONS,
-    MAX_INLINE_SUBSCRIPTIONS,
-    topics_of,
-    valid_subscriptions,
-)
-from fanline.session import checkpoint_dir
+from fanline.operators.content_match import ROW, PredicateIndex, matched_subscribers
+from fanline.sources.catalog import MAX_INLINE_SUBSCRIPTIONS, topics_of, valid_subscriptions
+from fanline.session import checkpoint_dir, stored
 
 
 def queue_name(topic: Column, subscriber: Column) -> Column:
@@ -39,38 +35,30 @@ def queue_name(topic: Column, subscriber: Column) -> Column:
 
 @dataclass
 class SubscriptionIndex:
-    """The valid subscriptions of a catalog, held on the driver (bounded)."""
+    """The valid subscriptions of a catalog: held on the driver while they are few,
+    else as predicate tables."""
 
-    subs: list[tuple[str, str, str | None]]  # (topic, subscriber, filter_path)
+    subs: list[tuple[str, str, str | None]]  # (topic, subscriber, filter_path), inline form only
     topics: list[str]
     paths: dict[str, CompiledPath]
-    catalog: DataFrame
     inline: bool
-    broadcastable: bool = True
     known: DataFrame | None = None  # every known topic, those without subscribers too
+    index: PredicateIndex | None = None
 
     @classmethod
     def build(cls, catalog: DataFrame, inline: bool | None = None) -> "SubscriptionIndex":
-        """Size-checked: a catalog of at most ``MAX_BROADCAST_SUBSCRIPTIONS``
-        rows is collected once (no shuffle) and inlined when small enough;
-        a larger one stays a DataFrame joined by shuffle, and only its
-        distinct filter paths are compiled on the driver. Both forms give the
-        same results; ``inline`` forces one of them."""
-        cap = MAX_BROADCAST_SUBSCRIPTIONS + 1
-        rows = catalog.select("topic", "subscriber", "filter_path", "errors").limit(cap).collect()
-        valid, known = valid_subscriptions(catalog), topics_of(catalog)
-        small = len(rows) < cap
-        if small:
-            usable = [r for r in rows if not r.errors]
-            subs = sorted({(r.topic, r.subscriber, r.filter_path) for r in usable if r.subscriber is not None})
-            topics = sorted({r.topic for r in rows if r.topic and re.fullmatch(C.NAME_PATTERN, r.topic)})
-            texts = {p for _, _, p in subs if p is not None}
-            fits = len(subs) <= MAX_INLINE_SUBSCRIPTIONS and len(topics) <= MAX_INLINE_SUBSCRIPTIONS
-        else:
-            distinct = valid.select("filter_path").where(F.col("filter_path").isNotNull()).distinct()
-            subs, topics, texts, fits = [], [], {r.filter_path for r in distinct.toLocalIterator()}, False
-        paths = {p: parse_path(p) for p in texts}
-        return cls(subs, topics, paths, valid, fits if inline is None else inline and small, small, known)
+        """A catalog of at most ``MAX_INLINE_SUBSCRIPTIONS`` rows is collected and
+        compiled into the plan; a larger one becomes predicate tables. Both forms
+        give the same results; ``inline=False`` forces the second."""
+        cap = MAX_INLINE_SUBSCRIPTIONS + 1
+        rows = [] if inline is False else catalog.select("topic", "subscriber", "filter_path", "errors").limit(cap).collect()
+        if inline is False or len(rows) == cap:
+            known = stored(topics_of(catalog), "topics")
+            return cls([], [], {}, False, known, PredicateIndex(valid_subscriptions(catalog)))
+        usable = [r for r in rows if not r.errors]
+        subs = sorted({(r.topic, r.subscriber, r.filter_path) for r in usable if r.subscriber is not None})
+        topics = sorted({r.topic for r in rows if r.topic and re.fullmatch(C.NAME_PATTERN, r.topic)})
+        return cls(subs, topics, {p: parse_path(p) for _, _, p in subs if p is not None}, True)
 
     # -- inline form ----------------------------------------------------------
     def parse_schema(self):
@@ -103,7 +91,6 @@ class SubscriptionIndex:
 
 
 PARSED = "_doc"
-ROW = "_row"
 
 
 def _with_parsed(events: DataFrame, index: SubscriptionIndex, doc_col: str) -> tuple[DataFrame, Column | None]:
@@ -129,15 +116,10 @@ def match_subscribers(events: DataFrame, index: SubscriptionIndex, doc_col: str
             }
         )
         return out.drop(PARSED)
-    # a row's own number, not its id: ids repeat. It depends on the partition and
-    # the place in it, and both sides read the same rows, written once
-    checkpoint_dir(events.sparkSession)
-    rows = events.withColumn(ROW, F.monotonically_increasing_id()).checkpoint()
-    fanned = _join_fan_out(rows.select(ROW, "topic", doc_col), index, doc_col)
+    rows = _numbered(events)
+    fanned = matched_subscribers(rows.select(ROW, "topic", doc_col), index.index, doc_col)
     per_row = fanned.groupBy(ROW).agg(F.array_sort(F.collect_set("subscriber")).alias("subscribers"))
     topics = index.known.withColumn("topic_known", F.lit(True))
-    if index.broadcastable:
-        topics = F.broadcast(topics)
     return (
         rows.join(topics, "topic", "left")
         .join(per_row, ROW, "left")
@@ -151,14 +133,11 @@ def match_subscribers(events: DataFrame, index: SubscriptionIndex, doc_col: str
     )
 
 
-def _join_fan_out(events: DataFrame, index: SubscriptionIndex, doc_col: str) -> DataFrame:
-    subs = index.catalog.select("topic", "subscriber", "filter_path")
-    if index.broadcastable:  # row count checked in build()
-        subs = F.broadcast(subs)
-    pred = F.when(F.col("filter_path").isNull(), F.lit(True))
-    for p, cp in index.paths.items():
-        pred = pred.when(F.col("filter_path") == p, path_predicate(cp, F.col(doc_col)))
-    return events.join(subs, "topic").where(F.coalesce(pred.otherwise(F.lit(False)), F.lit(False))).drop("filter_path")
+def _numbered(events: DataFrame) -> DataFrame:
+    """``events`` with a number of each row's own, not its id: ids repeat. It depends
+    on the partition and the place in it, and both sides of a join read the same
+    rows, written once."""
+    return stored(events.withColumn(ROW, F.monotonically_increasing_id()), "events")
 
 
 def fan_out(events: DataFrame, index: SubscriptionIndex, doc_col: str = "event") -> DataFrame:
@@ -168,7 +147,8 @@ def fan_out(events: DataFrame, index: SubscriptionIndex, doc_col: str = "event")
         subs = index.subscribers_col(F.col("topic"), F.col(doc_col), parsed)
         out = ev.withColumn("subscriber", F.explode(subs)).drop(PARSED)
     else:
-        out = _join_fan_out(events, index, doc_col)
+        rows = _numbered(events)
+        out = rows.join(matched_subscribers(rows.select(ROW, "topic", doc_col), index.index, doc_col), ROW).drop(ROW)
     return out.withColumn("queue", queue_name(F.col("topic"), F.col("subscriber")))
 
 

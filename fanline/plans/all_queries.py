@@ -5,6 +5,7 @@ from fanline.plans import (  # noqa: F401
     queries_delivery,
     queries_exact,
     queries_ingest,
+    queries_match,
     queries_metrics,
     queries_publish,
     queries_stream,

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every fanline job relies on. Shuffle partitions are left to the
 # caller (cluster defaults); AQE coalesces small shuffles and splits skewed
@@ -55,3 +56,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: later joins know its size,
+    and it survives lost executors."""
+    path = f"{checkpoint_dir(df.sparkSession)}/fanline-{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

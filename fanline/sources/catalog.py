@@ -6,8 +6,8 @@ row per (topic, subscriber); a topic without subscribers is a row whose
 back to the subscription defaults. All field errors of a row are reported
 together in ``errors``; the row is usable iff ``errors`` is empty.
 
-The catalog is configuration: a bounded number of rows. It is collected once
-on the driver only to compile the filter paths (``compiled_paths``).
+Filter paths are checked where the rows are, by the parser that matching uses;
+no path comes to the driver.
 """
 
 from __future__ import annotations
@@ -17,13 +17,11 @@ from pyspark.sql import functions as F
 
 from fanline import constants as C
 from fanline.functions.durations import parse_duration_ms
-from fanline.functions.jsonpath import CompiledPath, JsonPathError, parse_path
+from fanline.operators.content_match import path_errors
 from fanline.schemas import RAW_SUBSCRIPTION_SCHEMA, SUBSCRIPTION_COLUMNS
 
-# Upper bound on catalog rows that may be inlined into expressions or
-# broadcast. A catalog above it is joined by shuffle instead.
+# Catalog rows that may be compiled into expressions; a larger catalog is joined as data.
 MAX_INLINE_SUBSCRIPTIONS = 2_000
-MAX_BROADCAST_SUBSCRIPTIONS = 200_000
 
 
 def valid_name(col: Column) -> Column:
@@ -53,25 +51,6 @@ def _duration_field(raw: Column, default_ms: int) -> tuple[Column, Column]:
     return val, bad
 
 
-def compiled_paths(raw: DataFrame) -> dict[str, CompiledPath | JsonPathError]:
-    """Distinct filter paths of a catalog, compiled on the driver (configuration:
-    one expression per distinct path, however many rows share it)."""
-    distinct = raw.where(F.col("filter_path").isNotNull()).select("filter_path").distinct()
-    return compile_paths(r.filter_path for r in distinct.toLocalIterator())
-
-
-def compile_paths(texts) -> dict[str, CompiledPath | JsonPathError]:
-    out: dict[str, CompiledPath | JsonPathError] = {}
-    for p in texts:
-        if p is None or p in out:
-            continue
-        try:
-            out[p] = parse_path(p)
-        except JsonPathError as e:
-            out[p] = e
-    return out
-
-
 def _one_per_name(raw: DataFrame) -> DataFrame:
     """One row per (topic, subscriber): of rows with different settings, the least
     in column order (NULLs first), so every run keeps the same one."""
@@ -80,9 +59,8 @@ def _one_per_name(raw: DataFrame) -> DataFrame:
     return least.select("topic", "subscriber", "_r.*").select(*raw.columns)
 
 
-def load_subscriptions(raw: DataFrame, paths: dict | None = None) -> DataFrame:
+def load_subscriptions(raw: DataFrame) -> DataFrame:
     """S3 + F4 + F5 + U1: resolve defaults, validate, collect every error."""
-    paths = compiled_paths(raw) if paths is None else paths
     t, s = F.col("topic"), F.col("subscriber")
     method_raw = F.col("http_method")
     method = F.upper(F.coalesce(method_raw, F.lit(C.DEFAULT_HTTP_METHOD)))
@@ -93,10 +71,7 @@ def load_subscriptions(raw: DataFrame, paths: dict | None = None) -> DataFrame:
     maxb, bad_maxb = _duration_field(F.col("max_back_off"), C.DEFAULT_MAX_BACKOFF_MS)
     retries, bad_retries = _int_field(F.col("max_retries"), C.DEFAULT_MAX_RETRIES)
 
-    bad_paths = {p: str(e) for p, e in paths.items() if isinstance(e, JsonPathError)}
-    path_error = F.lit(None).cast("string")
-    if bad_paths:
-        path_error = F.create_map(*[x for kv in bad_paths.items() for x in map(F.lit, kv)])[F.col("filter_path")]
+    path_error = F.col("_path_error")
 
     def err(cond: Column, field: str, msg: Column) -> Column:
         return F.when(cond, F.concat(_at(t, s, field), msg))
@@ -119,6 +94,7 @@ def load_subscriptions(raw: DataFrame, paths: dict | None = None) -> DataFrame:
     ]
     return (
         _one_per_name(raw)  # U1: set semantics
+        .withColumn("_path_error", path_errors(F.col("filter_path")))
         .select(
             t.alias("topic"),
             s.alias("subscriber"),

@@ -57,7 +57,7 @@ def test_nested_field_and_bracket_names(spark):
     assert evaluate(spark, "$['event'][?(@['a-b'] == 'z')]", [doc]) == [True]
 
 
-@pytest.mark.parametrize("bad", ["$.event.berth", "event[?(@.a)]", "$.e[?(@.a == null)]", "$.e[?(@.a in [1, null])]", "$..a[?(@.b)]", "$.a[?(@.b ==)]", "$.a[?(@.b =~ 'x')]"])
+@pytest.mark.parametrize("bad", ["$.event.berth", "event[?(@.a)]", "$.e[?(@.a < null)]", "$.e[?(@.a size '2')]", "$.e[?(@.a in 3)]", "$..a[?(@.b)]", "$.a[?(@.b ==)]", "$.a[?(@.b =~ 'x')]"])
 def test_rejected_paths(bad):
     with pytest.raises(JsonPathError):
         p = parse_path(bad)
@@ -154,3 +154,37 @@ def test_fields_that_differ_in_case_only(spark):
     assert [tuple(r) for r in df.select(*cols).collect()] == [
         (True, True, False), (False, False, False), (False, False, True)
     ]
+
+
+def test_types_decide(spark):
+    """One leaf of each JSON type and a missing one, against literals of each type."""
+    docs = ['{"event":{"v":%s}}' % v for v in ("60", '"60"', "60.0", '"60.0"', "true", '"true"', "null", "[60]", '{"x":60}')] + ['{"event":{}}']
+
+    def hits(expr):
+        got = evaluate(spark, f"$.event[?({expr})]", docs)
+        return [k for k, x in enumerate(got) if x]
+
+    assert hits("@.v >= 50") == [0, 2]  # numbers only
+    assert hits("@.v >= '50'") == [1, 3, 5]  # strings only
+    assert hits("@.v == 60") == [0, 1, 2]  # and strings that read the same
+    assert hits("@.v == '60'") == [0, 1, 2]
+    assert hits("@.v == true") == [4]
+    assert hits("@.v == 'true'") == [5]
+    assert hits("@.v == null") == [6]
+    assert hits("@.v != null") == [0, 1, 2, 3, 4, 5, 7, 8, 9]
+    assert hits("@.v") == [0, 1, 2, 3, 4, 5, 6, 7, 8]  # present, null included
+    assert hits("!(@.v)") == [9]
+    assert hits("@.v in [null, true, 61]") == [4, 6]
+    assert hits("@.v =~ /[0-9.]+/") == [0, 1, 2, 3, 7]  # scalars as text, any array element
+    assert hits("@.v =~ /.*/") == list(range(10))  # null, object and missing read as empty
+    assert hits("@.v size 1") == [7, 8]
+    assert hits("@.v contains 60") == [7]
+
+
+def test_dots_inside_literals_are_no_deep_scan(spark):
+    docs = ['{"event":{"a":"ab..c"}}', '{"event":{"a":"abxyc"}}', '{"event":{"a":"x..y"}}']
+    assert evaluate(spark, "$.event[?(@.a =~ /ab..c/)]", docs) == [True, True, False]
+    assert evaluate(spark, "$.event[?(@.a == 'x..y')]", docs) == [False, False, True]
+    for bad in ("$..event[?(@.a == 'x..y')]", "$.event[?(@..a == 'x')]"):
+        with pytest.raises(JsonPathError):
+            parse_path(bad)

@@ -58,32 +58,16 @@ def rand_pred(rnd, depth=0):
         return leaf
     if r < 0.5:
         return f"{leaf} {rnd.choice(['==', '!=', '<', '<=', '>', '>='])} {rnd.randint(0, 9)}"
-    if r < 0.75:
+    if r < 0.72:
         return f"{leaf} {rnd.choice(['==', '!=', '<', '>'])} '{rnd.choice(STRS)}'"
+    if r < 0.78:
+        return f"{leaf} {rnd.choice(['==', '!='])} {rnd.choice(['null', 'true', 'false'])}"
     if r < 0.88:
-        return f"{leaf} =~ /{rnd.choice(['ERR.*', 'x|y', '[0-9]+'])}/{rnd.choice(['', 'i'])}"
-    items = ", ".join(str(rnd.randint(0, 9)) if rnd.random() < 0.5 else f"'{rnd.choice(STRS)}'" for _ in range(2))
+        return f"{leaf} =~ /{rnd.choice(['ERR.*', 'x|y', '[0-9]+', '.*', 'true'])}/{rnd.choice(['', 'i'])}"
+    items = ", ".join(rnd.choice([str(rnd.randint(0, 9)), f"'{rnd.choice(STRS)}'", "null", "true"]) for _ in range(2))
     return f"{leaf} {rnd.choice(['in', 'nin'])} [{items}]"
 
 
-def text_of(v):
-    """What get_json_object yields for a JSON value (None for SQL NULL)."""
-    if v is MISSING or v is None:
-        return None
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    if isinstance(v, (dict, list)):
-        return json.dumps(v, separators=(",", ":"))
-    return str(v)
-
-
-def num(t):
-    try:
-        return float(t)
-    except (TypeError, ValueError):
-        return None
-
-
 def get(ctx, segs):
     for s in segs:
         if not isinstance(ctx, dict) or s not in ctx:
@@ -92,47 +76,45 @@ def get(ctx, segs):
     return ctx
 
 
+def kind(v):
+    if v is MISSING:
+        return "missing"
+    if v is None:
+        return "null"
+    return {bool: "bool", str: "str", int: "num", float: "num"}.get(type(v), "other")
+
+
+def equal(v, lit):
+    if lit[0] == "num":
+        return (kind(v) == "num" and v == lit[1]) or (kind(v) == "str" and v == lit[2])
+    if lit[0] == "str":
+        return (kind(v) == "str" and v == lit[1]) or (kind(v) == "num" and re.fullmatch("[0-9]+", lit[1]) is not None and v == int(lit[1]))
+    return kind(v) == lit[0] and (lit[0] == "null" or v == lit[1])
+
+
 def ev_node(n, ctx):
-    """Three-valued (True/False/None) like SQL, mirroring the compiled form."""
     op = n[0]
     if op == "and":
-        a, b = ev_node(n[1], ctx), ev_node(n[2], ctx)
-        return False if (a is False or b is False) else (None if (a is None or b is None) else True)
+        return ev_node(n[1], ctx) and ev_node(n[2], ctx)
     if op == "or":
-        a, b = ev_node(n[1], ctx), ev_node(n[2], ctx)
-        return True if (a is True or b is True) else (None if (a is None or b is None) else False)
+        return ev_node(n[1], ctx) or ev_node(n[2], ctx)
     if op == "not":
-        return not bool(ev_node(n[1], ctx))
+        return not ev_node(n[1], ctx)
     if op == "exists":
-        return text_of(get(ctx, n[1][1])) is not None
+        return get(ctx, n[1][1]) is not MISSING
     _, cmp, left, right = n
-    t = text_of(get(ctx, left[1]))
+    v = get(ctx, left[1])
     if cmp == "=~":
-        if t is None:
-            return None
-        return re.fullmatch(right[1], t, re.I if right[2] else 0) is not None
-    def eq(lit):
-        if lit[0] == "num":
-            x = num(t)
-            return x is not None and x == lit[1]
-        if lit[0] == "str":
-            return t == lit[1]
-        return False
+        each = v if isinstance(v, list) else [v]
+        texts = [json.dumps(x) if kind(x) in ("num", "bool") else x if kind(x) == "str" else "" for x in each]
+        return any(re.fullmatch(right[1], t, re.I if right[2] else 0) for t in texts)
     if cmp in ("in", "nin"):
-        if t is None:
-            return cmp == "nin"
-        hit = any(eq(i) for i in right[1])
-        return hit if cmp == "in" else not hit
+        return any(equal(v, i) for i in right[1]) == (cmp == "in")
     if cmp in ("==", "!="):
-        if t is None:
-            return cmp == "!="
-        return eq(right) if cmp == "==" else not eq(right)
-    if right[0] == "num":
-        a, b = num(t), right[1]
-    else:
-        a, b = t, right[1]
-    if a is None:
-        return None
+        return equal(v, right) == (cmp == "==")
+    if kind(v) != right[0]:
+        return False
+    a, b = v, right[1]
     return {"<": a < b, "<=": a <= b, ">": a > b, ">=": a >= b}[cmp]
 
 
