@@ -18,10 +18,11 @@ MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 
 #: entries of a worker's word memo; it is emptied when full, so memory stays bounded
-MEMO_WORDS = 400_000
+MEMO_WORDS = 300_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    few_rows_a_batch(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -53,6 +54,36 @@ def seeds(n: int, salt: int) -> np.ndarray:
         return mix64((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(salt) * np.uint64(1 << 20)) * GOLDEN)
 
 
+#: memos of this worker process by the operator that fills them
+_memos: dict[str, list[dict]] = {}
+_owner = [""]
+
+
+def hold(owner: str, memo: dict) -> dict:
+    """Register a worker's memo of an operator."""
+    _memos.setdefault(owner, []).append(memo)
+    return memo
+
+
+def claim(owner: str) -> None:
+    """Say whose memos are in use from now on; those of other operators are emptied,
+    as one worker process serves stage after stage."""
+    if _owner[0] != owner:
+        _owner[0] = owner
+        for name, memos in _memos.items():
+            if name != owner:
+                for memo in memos:
+                    memo.clear()
+
+
+def few_rows_a_batch(spark: SparkSession, rows: int = 1_000) -> None:
+    """Whole texts go to Python in batches of so many rows, unless the session asks for
+    fewer: a batch is held several times over on its way."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 class WordMemo(dict):
     """Memo word -> 64-bit hash for one worker."""
 
@@ -63,7 +94,7 @@ class WordMemo(dict):
         return h
 
 
-_memo = WordMemo()
+_memo = hold("words", WordMemo())
 
 
 def text_of(value) -> str:
@@ -78,6 +109,7 @@ def ascii_words(text: str) -> list[bytes]:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
+    claim("words")
     return np.fromiter(map(_memo.__getitem__, words), np.uint64, len(words))
 
 

@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 from fanline.llm import common as c
 
 _TOKEN = regex.compile(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+")
-MEMO_TOKENS = 700_000
-#: n-grams hashed at a time, so a very long text needs bounded extra memory
-CHUNK = 1 << 20
+#: entries of a worker's memo of token hashes; emptied when full
+MEMO_TOKENS = 300_000
 
 
 @dataclass(frozen=True)
@@ -59,7 +58,7 @@ class TokenMemo(dict):
         return h
 
 
-_memo = TokenMemo()
+_memo = c.hold("quality", TokenMemo())
 _REPEAT = np.uint64(xxhash.xxh3_64_intdigest(b"="))
 _PAIR = c.seeds(2, 23) | np.uint64(1)
 
@@ -114,6 +113,7 @@ def quality_score(model: QualityModel, text: str | Column = "text") -> Column:
     weights, bias, rule = model.weights, model.bias, model.rule
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        c.claim("quality")
         for texts in batches:
             out = np.empty(len(texts))
             for k, t in enumerate(texts):

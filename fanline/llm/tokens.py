@@ -16,7 +16,7 @@ from array import array
 import numpy as np
 import regex
 
-from fanline.llm.common import text_of
+from fanline.llm.common import claim, hold, text_of
 
 WORD_BPE = "word_bpe_49k.json"
 #: appended to every document
@@ -52,7 +52,8 @@ class WordEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.split = regex.compile(SPLIT_RULE).findall
-        self.pieces: dict[str, list[int]] = {}
+        # bytes hold no references, so the garbage collector never walks the memos
+        self.pieces: dict[str, bytes] = {}
         small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.dtype, self.code = ("<u2", "H") if small else ("<u4", "I")
         self.plain = self._follows_rule(path)
@@ -70,23 +71,26 @@ class WordEncoder(dict):
         added = all(x["content"].startswith("<|") for x in head.get("added_tokens", []))
         return kinds == ["NFC", "Replace", "Lowercase"] and rule == SPLIT_RULE and added
 
+    def _packed(self, ids: list[int]) -> bytes:
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_ALPHABET)
+        out = self.pieces[piece] = self._packed([x.id for x in self.model.tokenize(mapped)])
+        return out
+
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= MEMO_CHUNKS:
             self.clear()
             self.pieces.clear()
-        ids: list[int] = []
-        for piece in self._pieces(chunk):
-            known = self.pieces.get(piece)
-            if known is None:
-                mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_ALPHABET)
-                known = self.pieces[piece] = [x.id for x in self.model.tokenize(mapped)]
-            ids += known
-        if not ids and chunk:
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        packed = array(self.code, ids)
-        if sys.byteorder == "big":
-            packed.byteswap()
-        out = self[chunk] = packed.tobytes()
+        known = self.pieces.get
+        out = b"".join([known(x) or self._piece(x) for x in self._pieces(chunk)])
+        if not out and chunk:
+            out = self._packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        self[chunk] = out
         return out
 
     def _pieces(self, chunk: str) -> list[str]:
@@ -114,6 +118,9 @@ _encoders: dict[str, WordEncoder] = {}
 
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder of a tokenizer file (kept between tasks)."""
+    claim("tokens")
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        enc = _encoders[path] = WordEncoder(path)
+        hold("tokens", enc)
+        hold("tokens", enc.pieces)
     return _encoders[path]

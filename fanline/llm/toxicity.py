@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from fanline.llm import common as c
 
 #: entries of a worker's memo of window gains; emptied when full
-MEMO_WINDOWS = 700_000
+MEMO_WINDOWS = 300_000
 #: longer words are compressed each time, so the memo's keys stay small
 MEMO_BYTES = 64
 
@@ -178,8 +178,10 @@ _kept: dict[str, WindowGain] = {}
 
 def _gains(model: ToxicityModel) -> WindowGain:
     if model.name not in _kept or _kept[model.name].model != model:
+        for gain in _kept.values():
+            gain.clear()
         _kept.clear()
-        _kept[model.name] = WindowGain(model)
+        _kept[model.name] = c.hold("toxicity", WindowGain(model))
     return _kept[model.name]
 
 
@@ -187,6 +189,7 @@ def toxicity_score(model: ToxicityModel, text: str | Column = "text") -> Column:
     """Score column, 0 to 1, over whole texts; NULL counts as the empty text."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        c.claim("toxicity")
         gains = _gains(model)
         beta = np.array(model.weights)
         for texts in batches:
