@@ -55,22 +55,34 @@ def backoff_delay_ms(retry_n: Column, min_ms: Column | int, max_ms: Column | int
     return F.least(hi.cast("double"), raw)
 
 
-def jittered(delay_ms: Column, seed: int = 7, factor: float = C.BACKOFF_JITTER) -> Column:
-    """Delay with random factor in [1, 1 + factor): bounds are what tests check."""
-    return delay_ms * (F.lit(1.0) + F.rand(seed) * F.lit(factor))
+def unit_random(seed: int, *counter: Column) -> Column:
+    """A number in [0, 1) that only ``seed`` and the counter columns decide (52 bits of
+    their MD5), so partitioning, retries and engines all see the same one."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(c.cast("string"), F.lit("")) for c in counter])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
+
+
+def jittered(delay_ms: Column, counter: list[Column], seed: int = 7, factor: float = C.BACKOFF_JITTER) -> Column:
+    """Delay with a random factor in [1, 1 + factor), reproducible per counter
+    (such as queue, item and attempt)."""
+    return delay_ms * (F.lit(1.0) + unit_random(seed, *counter) * F.lit(factor))
 
 
 def backoff_schedule(chain: DataFrame, keys: list[str], min_ms: Column | int, max_ms: Column | int,
-                     attempt_no: str = "attempt_no") -> DataFrame:
+                     attempt_no: str = "attempt_no", jitter: float = 0.0, seed: int = 7) -> DataFrame:
     """Per attempt: the delay before it and the cumulative delay since attempt 1.
 
     The chain holds at most max_retries + 1 rows per item, so the running
-    sum is an ordinary window.
+    sum is an ordinary window. ``min_ms`` and ``max_ms`` may be columns: every
+    subscriber's own settings. ``jitter`` stretches each delay by up to that share.
     """
     from pyspark.sql import Window
 
     retry_n = F.col(attempt_no) - 2  # attempt 2 follows retry 0
-    delay = F.when(F.col(attempt_no) > 1, backoff_delay_ms(retry_n, min_ms, max_ms)).otherwise(F.lit(0.0))
+    delay = backoff_delay_ms(retry_n, min_ms, max_ms)
+    if jitter:
+        delay = jittered(delay, [*map(F.col, keys), F.col(attempt_no)], seed, jitter)
+    delay = F.when(F.col(attempt_no) > 1, delay).otherwise(F.lit(0.0))
     w = Window.partitionBy(*keys).orderBy(attempt_no).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return chain.withColumn("delay_ms", delay).withColumn("cum_delay_ms", F.sum("delay_ms").over(w))
 
@@ -99,11 +111,12 @@ def throttle_schedule(rows: DataFrame, queue: str, order: list[str], elements: C
     return df.withColumn("slot", slot).withColumn("send_at", send_at).drop("_cost", "_cum", "_t0")
 
 
-def render_requests(queue_rows: DataFrame, subs: DataFrame) -> DataFrame:
+def render_requests(queue_rows: DataFrame, subs: DataFrame, bare: bool = False) -> DataFrame:
     """K5: method, uri, content type and the whole envelope as the JSON body.
 
     The scalar envelope fields go through ``to_json`` (escaping); the payload,
-    the ``event`` member of the row's envelope, is already JSON text. Whether
+    the ``event`` member of the row's envelope, is already JSON text (``bare``:
+    envelopes hold nothing else). Whether
     ``subs``, the subscription catalog, is broadcast is left to Spark, which
     knows its size.
     """
@@ -116,7 +129,7 @@ def render_requests(queue_rows: DataFrame, subs: DataFrame) -> DataFrame:
         )
     )
     open_head = F.expr("substring(_head, 1, length(_head) - 1)")
-    body = F.concat(open_head, F.lit(',"event":'), payload_json(F.col("event")), F.lit("}"))
+    body = F.concat(open_head, F.lit(',"event":'), payload_json(F.col("event"), bare), F.lit("}"))
     return (
         queue_rows.join(subs.select("topic", "subscriber", "uri", "http_method"), ["topic", "subscriber"])
         .withColumn("_head", head)

@@ -46,7 +46,7 @@ def queue_rows(fanned: DataFrame, created_at: str = "received_at") -> DataFrame:
     )
 
 
-def audit_rows(failed: DataFrame, reason: Column | str) -> DataFrame:
+def audit_rows(failed: DataFrame, reason: Column | str, bare: bool = False) -> DataFrame:
     """K4: one audit row per failed publish, detail = every field as JSON text + reason."""
     r = F.col(reason) if isinstance(reason, str) else reason
     detail = F.create_map(
@@ -54,7 +54,7 @@ def audit_rows(failed: DataFrame, reason: Column | str) -> DataFrame:
         F.lit("subject"), json_text(F.col("subject")),
         F.lit("groupId"), json_text(F.col("group_id").cast("string")),
         F.lit("timestamp"), json_text(F.date_format("timestamp", ISO_MICROS)),
-        F.lit("event"), payload_json(F.col("event")),
+        F.lit("event"), payload_json(F.col("event"), bare),
         F.lit("reason"), r,
     )
     return failed.select(

@@ -68,6 +68,51 @@ def q_backoff_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("queue", "item_id", "attempt_no", "delay_ms", "cum_delay_ms")
 
 
+@query(
+    "backoff_jittered",
+    f"""WITH {EV}, {ATT}, {chain_sql(C.DEFAULT_MAX_RETRIES)},
+  b AS (SELECT queue, item_id, attempt_no,
+          CASE WHEN attempt_no > 1 THEN least(600000.0, 100.0 * pow(2.0, attempt_no - 2)) * (1.0 + 0.2 *
+            (CAST('0x' || substr(md5('7|' || queue || '|' || item_id || '|' || attempt_no), 1, 13) AS BIGINT) / 4503599627370496.0))
+          ELSE 0.0 END AS delay_ms
+        FROM chain)
+SELECT queue, item_id, attempt_no, round(delay_ms, 4) AS delay_ms,
+       round(sum(delay_ms) OVER (PARTITION BY queue, item_id ORDER BY attempt_no), 4) AS cum_delay_ms
+FROM b""",
+)
+def q_backoff_jittered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 with its jitter of up to a fifth: the same delays on any partitioning."""
+    ch = chain(spark, sf_dir, C.DEFAULT_MAX_RETRIES)
+    out = delivery.backoff_schedule(
+        ch, ["queue", "item_id"], C.DEFAULT_MIN_BACKOFF_MS, C.DEFAULT_MAX_BACKOFF_MS, jitter=C.BACKOFF_JITTER
+    )
+    return out.select(
+        "queue", "item_id", "attempt_no", F.round("delay_ms", 4).alias("delay_ms"), F.round("cum_delay_ms", 4).alias("cum_delay_ms")
+    )
+
+
+_RAW = """'{"eventId":"' || event_id || '","subject":"s","event":' || CASE event_id % 9
+    WHEN 0 THEN '{"amount":1.10,"n":' || event_id || '}' WHEN 1 THEN '1.50' WHEN 2 THEN '12345678901234567890.123456789'
+    WHEN 3 THEN '1e400' WHEN 4 THEN '"1.10"' WHEN 5 THEN 'null' WHEN 6 THEN '[1.0,{"a":"b, c"}]' WHEN 7 THEN 'true'
+    ELSE '"say \\"hi\\""' END || ',"groupId":"g"}'"""
+
+
+@query(
+    "payload_text",
+    """SELECT event_id, CASE event_id % 9
+    WHEN 0 THEN '{"amount":1.10,"n":' || event_id || '}' WHEN 1 THEN '1.50' WHEN 2 THEN '12345678901234567890.123456789'
+    WHEN 3 THEN '1e400' WHEN 4 THEN '"1.10"' WHEN 5 THEN 'null' WHEN 6 THEN '[1.0,{"a":"b, c"}]' WHEN 7 THEN 'true'
+    ELSE '"say \\"hi\\""' END AS payload FROM events""",
+)
+def q_payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4/K5: the payload of whole envelopes reaches subscribers and audit as it was sent."""
+    from fanline.functions.json_text import payload_json
+    from fanline.sources.tables import read_table
+
+    envelopes = read_table(spark, sf_dir, "events").select("event_id", F.expr(_RAW.replace("\\", "\\\\")).alias("envelope"))
+    return envelopes.select("event_id", payload_json(F.col("envelope")).alias("payload"))
+
+
 # ---------------------------------------------------------------------------
 # S5 / L1 / S6 / K9 / K10 / D3
 

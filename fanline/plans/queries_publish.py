@@ -129,7 +129,7 @@ SELECT event_id, 'fanline-publisher' AS audit_source, 'TxFailed' AS audit_type,
 def q_audit_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: audit rows for refused publishes (the duplicate insert is the failure)."""
     st = publish_status_df(spark, sf_dir).where(F.col("status") == C.ST_DUPLICATE)
-    audit = publish.audit_rows(st, F.lit(C.MSG_DUPLICATE))
+    audit = publish.audit_rows(st, F.lit(C.MSG_DUPLICATE), bare=True)
     return audit.select("event_id", "audit_source", "audit_type", F.explode("detail").alias("field", "value"))
 
 
@@ -157,7 +157,7 @@ FROM qrows""",
 )
 def q_render_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: the HTTP request of every queued work item."""
-    return delivery.render_requests(published_queue_rows(spark, sf_dir), fx.fixture_catalog(spark))
+    return delivery.render_requests(published_queue_rows(spark, sf_dir), fx.fixture_catalog(spark), bare=True)
 
 
 @query(
@@ -175,5 +175,5 @@ FROM (SELECT qrows.*, CAST(json_extract_string(event, '$.event.props.k') AS INTE
 )
 def q_deliver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6: every request sent through the (deterministic) fixture endpoint."""
-    reqs = delivery.render_requests(published_queue_rows(spark, sf_dir), fx.fixture_catalog(spark))
+    reqs = delivery.render_requests(published_queue_rows(spark, sf_dir), fx.fixture_catalog(spark), bare=True)
     return delivery.deliver(reqs, fx.fixture_transport, C.DEFAULT_MAX_CONNECTIONS)

@@ -66,12 +66,11 @@ def test_join_form_of_matching_equals_inline(spark, monkeypatch):
     ev = fx.fixture_events(spark, SF_CHECK)
     idx = matching.SubscriptionIndex.build(fx.fixture_catalog(spark))
     inline = sorted(map(tuple, matching.fan_out(ev, idx).select("event_id", "subscriber", "queue").collect()))
-    idx.inline = False
+    inline_idx, idx = idx, matching.SubscriptionIndex.build(fx.fixture_catalog(spark), inline=False)
     joined = sorted(map(tuple, matching.fan_out(ev, idx).select("event_id", "subscriber", "queue").collect()))
     assert inline == joined
     m = matching.publishable(ev, idx).select("event_id", "topic_known", F.array_join("subscribers", ",")).collect()
-    idx.inline = True
-    m2 = matching.publishable(ev, idx).select("event_id", "topic_known", F.array_join("subscribers", ",")).collect()
+    m2 = matching.publishable(ev, inline_idx).select("event_id", "topic_known", F.array_join("subscribers", ",")).collect()
     assert sorted(map(tuple, m)) == sorted(map(tuple, m2))
 
 

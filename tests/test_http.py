@@ -62,7 +62,7 @@ def test_backoff_delays_and_jitter_bounds(spark):
 
     df = spark.range(0, 150).select(F.col("id").alias("n"))
     d = df.select("n", backoff_delay_ms(F.col("n"), 100, 600_000).alias("d"))
-    j = d.select("n", "d", jittered(F.col("d")).alias("j")).collect()
+    j = d.select("n", "d", jittered(F.col("d"), [F.col("n")]).alias("j")).collect()
     assert [r.d for r in j[:5]] == [100.0, 200.0, 400.0, 800.0, 1600.0]
     assert all(r.d == 600_000.0 for r in j if r.n >= 13)
     assert all(r.d <= r.j < r.d * 1.2 for r in j)

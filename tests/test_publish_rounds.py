@@ -103,3 +103,23 @@ def test_one_row_per_subscription_is_the_same_on_every_run(spark):
     for n in (1, 3, 7):
         (row,) = load_subscriptions(both.repartition(n)).collect()
         assert (row.uri, row.elements) == ("a", 1)
+
+
+def test_payload_text_is_cut_as_it_was_sent():
+    from fanline.functions.json_text import _member_text
+
+    cases = {
+        '{"a":{"event":1},"event": 1.10 ,"z":[]}': "1.10", '{"event":1e400,"a":2}': "1e400", '{"event":12345678901234567890.10}': "12345678901234567890.10",
+        '{"a":"\\"event\\":7","event":"x, \\"y\\" }"}': '"x, \\"y\\" }"', '{"event":1,"event":[1.0, 2]}': "[1.0, 2]",
+        '{"a":1}': None, "[]": None, "": None, '{"event":': None, "{": None, '{"event":{"b":{}}}': '{"b":{}}',
+    }
+    assert {k: _member_text(k, "event") for k in cases} == cases
+
+
+def test_jitter_is_the_same_on_any_partitioning(spark):
+    from fanline.operators.delivery import unit_random
+
+    df = spark.range(200).select((F.col("id") % 7).cast("string").alias("queue"), "id")
+    runs = [{(r.queue, r.id): r.u for r in df.repartition(n).select("queue", "id", unit_random(3, F.col("queue"), F.col("id")).alias("u")).collect()} for n in (1, 5)]
+    assert runs[0] == runs[1] and all(0 <= u < 1 for u in runs[0].values()) and len(set(runs[0].values())) == 200
+    assert 0.4 < sum(runs[0].values()) / 200 < 0.6
