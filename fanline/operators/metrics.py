@@ -1,8 +1,7 @@
 """Counters, latency distributions, cluster membership.
 
 Every metric is an aggregation with a partial (map-side) step; exact
-percentiles use Spark's ``percentile`` whose buffer is a value->count map,
-so its size follows the number of distinct latencies, not the row count.
+percentiles are ranks picked from counted values (``quantiles``).
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from fanline import constants as C
 from fanline.functions.http import failed_status, is_retryable
 from fanline.functions.time import diff_ms
+from fanline.operators.quantiles import exact_quantiles
 
 
 def event_counters(status: DataFrame) -> DataFrame:
@@ -61,28 +61,28 @@ def retry_counters(chain: DataFrame, max_retries: int | Column) -> DataFrame:
     return retried.groupBy(metric.alias("metric")).agg(F.count(F.lit(1)).alias("value"))
 
 
-def latency_stats(df: DataFrame, group: list[str], value: str, approx: bool = False) -> DataFrame:
+def latency_stats(df: DataFrame, group: list[str], value: str, approx: bool = False,
+                  threshold: int | None = None) -> DataFrame:
     """Count, min, max, mean and p50/p95/p99 per group.
 
-    Exact percentiles keep a value->count map per group (bounded by distinct
-    latencies, fine for millisecond request times); ``approx=True`` uses a
-    fixed-size quantile sketch instead (``percentile_approx``) for inputs of
-    unbounded cardinality.
+    Exact percentiles are picked by rank from counted values
+    (``quantiles.exact_quantiles``): no group is gathered, whatever its number of
+    distinct latencies. ``approx=True`` uses a fixed-size sketch in one pass. A group
+    whose latencies are all NULL has a row with n = 0 in the approximate form only.
     """
-    v = F.col(value)
-    ps = F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))
-    # one aggregation buffer serves all three percentiles
-    q = F.percentile_approx(v, ps, 10_000).cast("array<double>") if approx else F.percentile(v, ps)
-    agg = df.groupBy(*group).agg(
-        F.count(v).alias("n"),
-        F.min(v).alias("min_ms"),
-        F.max(v).alias("max_ms"),
-        F.round(F.avg(v), 6).alias("mean_ms"),
-        q.alias("_q"),
-    )
-    return agg.select(
-        *group, "n", "min_ms", "max_ms", "mean_ms",
-        *[F.round(F.col("_q")[i], 6).alias(name) for i, name in enumerate(["p50_ms", "p95_ms", "p99_ms"])],
+    shares = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+    if approx:
+        v = F.col(value)
+        q = F.percentile_approx(v, F.array(*map(F.lit, shares.values())), 10_000).cast("array<double>")
+        found = df.groupBy(*group).agg(
+            F.count(v).alias("n"), F.min(v).alias("least"), F.max(v).alias("most"), F.sum(v).alias("total"), q.alias("_q")
+        ).withColumns({name: F.col("_q")[i] for i, name in enumerate(shares)})
+    else:
+        found = exact_quantiles(df, group, value, shares, threshold)
+    return found.select(
+        *group, "n", F.col("least").alias("min_ms"), F.col("most").alias("max_ms"),
+        F.round(F.col("total") / F.col("n"), 6).alias("mean_ms"),
+        *[F.round(name, 6).alias(name) for name in shares],
     )
 
 

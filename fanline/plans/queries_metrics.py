@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fanline import constants as C
-from fanline.operators import delivery, metrics
+from fanline.operators import delivery, metrics, quantiles
 from fanline.plans import fixture as fx
 from fanline.plans.oracle_sql import ATT, EV, QUEUE, chain_sql
 from fanline.plans.queries import PUBLISH_STATUS_SQL, publish_status_df
@@ -104,6 +104,21 @@ def q_e2e_latency_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.latency_stats(_e2e(spark, sf_dir), ["queue"], "e2e_ms")
 
 
+@query(
+    "e2e_latency_days",
+    f"WITH {EV}, {ATT}, {QUEUE}, {E2E_SQL},\n  d AS (SELECT e2e.queue, CAST(CAST(q.received_at AS DATE) AS VARCHAR) AS day, e2e.e2e_ms"
+    " FROM e2e JOIN q ON q.queue = e2e.queue AND q.id = e2e.id)\n"
+    "SELECT queue, day, count(e2e_ms) AS n, round(quantile_cont(e2e_ms, 0.5), 6) AS p50_ms,"
+    " round(quantile_cont(e2e_ms, 0.99), 6) AS p99_ms FROM d GROUP BY queue, day",
+)
+def q_e2e_latency_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 per queue and day: exact ranks over many groups at once."""
+    q = fx.fixture_queue(spark, sf_dir).select("queue", "id", F.date_format("received_at", "yyyy-MM-dd").alias("day"))
+    days = _e2e(spark, sf_dir).join(q, ["queue", "id"])
+    found = quantiles.exact_quantiles(days, ["queue", "day"], "e2e_ms", {"p50_ms": 0.5, "p99_ms": 0.99})
+    return found.select("queue", "day", "n", F.round("p50_ms", 6).alias("p50_ms"), F.round("p99_ms", 6).alias("p99_ms"))
+
+
 HB_SQL = """hb AS (SELECT user_id AS instance_id, max(ts) AS last_seen_at FROM events GROUP BY user_id),
   clock AS (SELECT max(ts) AS as_of FROM events)"""
 
