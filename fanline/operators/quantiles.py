@@ -2,8 +2,8 @@
 
 Exact form: values are counted per (group, value) with a map-side step, running
 counts per group come from the skew-safe ``keyed_window`` (a group with many
-distinct values is cut into range slices), and the rows that cover a wanted rank
-are picked by a filter. Approximate form: KLL sketches, a few KB a group, kept as
+distinct values is cut into range slices), and the value that covers a wanted rank
+is picked by the aggregate that also gives the totals. Approximate form: KLL sketches, a few KB a group, kept as
 binary columns, merged over days or partitions, and asked later.
 """
 
@@ -48,32 +48,25 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, wanted: dict[st
     ranked = keyed_window(counts, group, [VALUE], {BEFORE: Scan("sum", COUNT, exclusive=True)}, threshold)
     ranked = ranked.withColumn(BEFORE, F.coalesce(F.col(BEFORE), F.lit(0)))
     first, last = F.col(BEFORE), F.col(BEFORE) + F.col(COUNT)
-    totals = counts.groupBy(*group).agg(
-        F.sum(COUNT).alias("n"),
-        F.min(VALUE).alias("least"),
-        F.max(VALUE).alias("most"),
-        F.sum(F.col(VALUE).cast("double") * F.col(COUNT)).alias("total"),
-    )
-    size = totals.select(*[F.col(g).alias(f"__of_{g}") for g in group], F.col("n").alias("__n"))
+    size = counts.groupBy(*[F.col(g).alias(f"__of_{g}") for g in group]).agg(F.sum(COUNT).alias("__n"))
     # one small row per group meets the ranked values: adaptive execution broadcasts it by
     # its size, or splits the side of a hot group
-    same = [F.col(g).eqNullSafe(F.col(f"__of_{g}")) for g in group]
-    met = ranked.join(size, same)
+    met = ranked.join(size, [F.col(g).eqNullSafe(F.col(f"__of_{g}")) for g in group])
     ends = []
     for name, p in wanted.items():
         low, high, _ = _interpolated(p, F.col("__n"))
         for end, rank in (("low", low), ("high", high)):
-            ends.append((f"__{name}_{end}", (first <= rank) & (rank < last)))
-    covers = None
-    for _, c in ends:
-        covers = c if covers is None else covers | c
-    picked = met.where(covers).groupBy(*group).agg(*[F.max(F.when(c, F.col(VALUE))).alias(a) for a, c in ends])
-    own = picked.select(*[F.col(g).alias(f"__of_{g}") for g in group], *[a for a, _ in ends])
-    out = totals.join(own, same)
+            ends.append(F.max(F.when((first <= rank) & (rank < last), F.col(VALUE))).cast("double").alias(f"__{name}_{end}"))
+    out = met.groupBy(*group).agg(
+        F.sum(COUNT).alias("n"),
+        F.min(VALUE).alias("least"),
+        F.max(VALUE).alias("most"),
+        F.sum(F.col(VALUE).cast("double") * F.col(COUNT)).alias("total"),
+        *ends,
+    )
     columns = []
     for name, p in wanted.items():
-        _, _, weight = _interpolated(p, F.col("n"))
-        low, high = F.col(f"__{name}_low").cast("double"), F.col(f"__{name}_high").cast("double")
+        weight, low, high = _interpolated(p, F.col("n"))[2], F.col(f"__{name}_low"), F.col(f"__{name}_high")
         columns.append((low + (high - low) * weight).alias(name))
     return out.select(*group, "n", "least", "most", "total", *columns)
 
