@@ -8,5 +8,6 @@ from fanline.plans import (  # noqa: F401
     queries_match,
     queries_metrics,
     queries_publish,
+    queries_settings,
     queries_stream,
 )

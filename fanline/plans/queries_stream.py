@@ -25,7 +25,7 @@ from fanline.plans.registry import query
 from fanline.session import checkpoint_dir
 from fanline.streaming import publish as sp
 from fanline.streaming.dedup import dedup_ttl_stream
-from fanline.streaming.sources import table_stream, to_event_rows
+from fanline.streaming.sources import file_stream, table_stream, to_event_rows
 
 
 # longer than the fixture's month: item ids repeat across it
@@ -97,6 +97,80 @@ def q_queue_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(due, root).drop("_batch")
 
 
+ROUNDS = 2
+
+#: the rounds of the events table: equal spans of time, and the clock after each
+#: (10 minutes behind the newest row so far)
+ROUNDS_SQL = f"""span AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events),
+  dealt AS (SELECT q.*, least({ROUNDS - 1}, ({ROUNDS} * (epoch_us(received_at) - lo)) // greatest(1, hi - lo)) AS round
+            FROM q, span),
+  clocks AS (SELECT round, max(max(epoch_us(received_at))) OVER (ORDER BY round) // 1000 - 600000 AS clock_ms
+             FROM dealt GROUP BY round)"""
+
+
+def _in_rounds(spark: SparkSession, sf_dir: str, root: str, build) -> DataFrame:
+    """Feed the events table to a stream in rounds of equal spans of time: each round's
+    rows are added to the stream's folder and drained (its rows, then a closing
+    micro-batch) before the next, all on one checkpoint. Returns what was written."""
+    ev = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = ev.select(F.min(us), F.max(us)).first()
+    if lo is None:
+        lo = hi = 0
+    nth = F.expr(f"least({ROUNDS - 1}, ({ROUNDS} * (__us - {lo})) div {max(1, hi - lo)})")
+    ev = ev.withColumn("__us", us).withColumn("__round", nth).drop("__us")
+    schema = ev.drop("__round").schema
+    for i in range(ROUNDS):
+        ev.where(F.col("__round") == i).drop("__round").write.mode("append").parquet(f"{root}/in")
+        out = _run(build(file_stream(spark, f"{root}/in", schema)), root)
+    return out
+
+
+@query(
+    "delay_queue_stream",
+    f"""WITH {EV}, {QUEUE}, {ROUNDS_SQL},
+  due AS (SELECT *, epoch_us(CASE status WHEN 'todo' THEN available_at
+                    WHEN 'failed' THEN greatest(updated_at + INTERVAL 1 HOUR, available_at)
+                    WHEN 'in-progress' THEN updated_at + INTERVAL 24 HOUR END) AS due_us FROM dealt)
+SELECT queue, id, status, make_timestamp(1000 * min(clock_ms)) AS released_at
+FROM due JOIN clocks ON clocks.round >= due.round AND due_us < 1000 * clock_ms GROUP BY ALL""",
+)
+def q_delay_queue_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + S5: queue rows wait in keyed state and come out at the first clock at which
+    they are due, over several rounds of the stream."""
+    from fanline.streaming.delay_queue import release_due
+
+    root = _folder(spark, "delay-queue")
+    # a month goes by in two rounds: wide slots, few keys (a live stream wants narrow ones)
+    out = _in_rounds(
+        spark, sf_dir, root, lambda raw: release_due(fx.queue_rows_from(raw), slot_ms=24 * 3_600_000, spread=2)
+    )
+    return out.select("queue", "id", "status", F.col("released_at").cast("timestamp_ntz").alias("released_at"))
+
+
+@query(
+    "first_response_stream",
+    f"""WITH {EV}, {ATT}, {QUEUE}, {E2E_SQL}, {ROUNDS_SQL}
+SELECT q.queue, q.id, e2e.e2e_ms FROM q LEFT JOIN e2e ON e2e.queue = q.queue AND e2e.id = q.id
+  AND e2e.e2e_ms <= 86400000
+WHERE epoch_us(q.received_at + INTERVAL 24 HOUR) <= 1000 * (SELECT max(clock_ms) FROM clocks)""",
+)
+def q_first_response_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per work item whose 24 hours have passed: its first response or NULL."""
+    from fanline.streaming.first_response import first_response_stream
+
+    def build(raw: DataFrame) -> DataFrame:
+        enq = fx.queue_rows_from(raw).select("queue", "id", F.col("received_at").cast("timestamp").alias("enqueued_at"))
+        att = fx.attempts_from(raw)
+        handled = F.col("sent_at").cast("timestamp") + F.make_dt_interval(
+            F.lit(0), F.lit(0), F.lit(0), F.col("latency_ms") / 1000
+        )
+        resp = att.select("queue", F.col("attempt_id").alias("id"), handled.alias("handled_at"))
+        return first_response_stream(enq, resp, ["queue", "id"])
+
+    return _in_rounds(spark, sf_dir, _folder(spark, "first-response"), build).select("queue", "id", "e2e_ms")
+
+
 @query("work_state_stream", WORK_STATE_SQL)
 def q_work_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3 as a stream: per-item state; the last update per item is its state."""

@@ -16,8 +16,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fanline import constants as C
 
-SLOT_MS = 60_000
-SPREAD = 16
+SLOT_MS = 600_000
+SPREAD = 4
 
 
 def due_at(failed_after_ms: int = C.FAILED_RETRY_AFTER_MS,
@@ -86,7 +86,9 @@ def release_due(queue: DataFrame, watermark: str = "10 minutes", slot_ms: int =
     ``released_at`` is the first clock (watermark) of a micro-batch after ``due_at``.
     State is keyed by (queue, slot of the due time, part of the ids): a slot's rows
     leave together, so a hot queue spreads over its slots and ``spread`` parts, a
-    timer reads only rows that are about to go, and nothing is scanned to poll.
+    timer reads only rows that are about to go, and nothing is scanned to poll. Every
+    key costs a Python call, so widen ``slot_ms`` where the clock moves in big steps,
+    and raise ``spread`` where a slot of one queue outgrows a task.
     Rows that never fall due are not kept. Repeated rows are released as often as
     they come; a NULL queue is a queue; rows without ``received_at`` are released too.
     Rows that come more than ``watermark`` behind the clock are refused by Spark:

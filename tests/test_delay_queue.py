@@ -26,6 +26,7 @@ def rounds():
             rows.append((queue, r * 100 + i, st, t, t, t + dt.timedelta(minutes=(i * 37) % 1800)))
         out.append(rows)
     out[1].append(out[1][0])  # a repeated row
+    out[1].append(("q2", 902, "todo", None, T0, T0 + dt.timedelta(hours=3)))  # no time of its own
     out[2].append(("q1", 900, "todo", T0 + dt.timedelta(hours=20), None, None))  # never due
     out[2].append(("q1", 901, "in-progress", T0 + dt.timedelta(hours=20), None, None))
     return out
@@ -52,7 +53,7 @@ def test_released_rows_equal_due_work_at_each_clock(spark, scratch):
     assert len(clocks) >= 3
     for n, wave in enumerate(waves):
         # after the wave's closing batch the clock stands 10 minutes behind its newest row
-        clock = max(r[3] for r in wave) - dt.timedelta(minutes=10)
+        clock = max(r[3] for r in wave if r[3]) - dt.timedelta(minutes=10)
         known = spark.createDataFrame([r for w in waves[: n + 1] for r in w], SCHEMA)
         due = due_work(known, F.lit(clock).cast("timestamp"))
         want = sorted((r.queue or "", r.id) for r in due.collect())
