@@ -17,7 +17,7 @@ def first_response_stream(enqueued: DataFrame, responses: DataFrame, keys: list[
     twice at one time counts once; items and responses without a time, and responses
     before their item or to a NULL key, do not count.
     """
-    e = enqueued.withWatermark("enqueued_at", watermark).select(*keys, "enqueued_at").alias("e")
+    e = enqueued.where(F.col("enqueued_at").isNotNull()).withWatermark("enqueued_at", watermark).select(*keys, "enqueued_at").alias("e")
     r = responses.withWatermark("handled_at", watermark).select(*keys, "handled_at").alias("r")
     cond = [F.col(f"e.{k}") == F.col(f"r.{k}") for k in keys]
     cond.append(F.col("r.handled_at") >= F.col("e.enqueued_at"))
