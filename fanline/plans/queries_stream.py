@@ -171,6 +171,25 @@ def q_first_response_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _in_rounds(spark, sf_dir, _folder(spark, "first-response"), build).select("queue", "id", "e2e_ms")
 
 
+@query(
+    "active_gauge_stream",
+    """WITH covered AS (SELECT user_id, unnest(generate_series(date_trunc('hour', ts) + INTERVAL 1 HOUR,
+                date_trunc('hour', ts) + INTERVAL 6 HOUR, INTERVAL 1 HOUR)) AS moment FROM events)
+SELECT moment, count(DISTINCT user_id) AS active FROM covered
+WHERE epoch_ms(moment) <= (SELECT epoch_us(max(ts)) // 1000 - 600000 FROM events) GROUP BY moment""",
+)
+def q_active_gauge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D7 + A7: active members at every full hour, over several rounds of the stream."""
+    from fanline.streaming.gauge import active_gauge_stream
+
+    def build(raw: DataFrame) -> DataFrame:
+        hb = raw.select(F.col("user_id").alias("instance_id"), F.col("ts").alias("seen_at"))
+        return active_gauge_stream(hb, "6 hours", "1 hour", "10 minutes")
+
+    out = _in_rounds(spark, sf_dir, _folder(spark, "gauge"), build)
+    return out.select(F.col("at").cast("timestamp_ntz").alias("moment"), "active")
+
+
 @query("work_state_stream", WORK_STATE_SQL)
 def q_work_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3 as a stream: per-item state; the last update per item is its state."""
