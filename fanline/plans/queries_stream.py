@@ -145,7 +145,9 @@ def q_delay_queue_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _in_rounds(
         spark, sf_dir, root, lambda raw: release_due(fx.queue_rows_from(raw), slot_ms=24 * 3_600_000, spread=2)
     )
-    return out.select("queue", "id", "status", F.col("released_at").cast("timestamp_ntz").alias("released_at"))
+    # a row that came several times is one row of the result, as in the SQL
+    out = out.groupBy("queue", "id", "status").agg(F.min("released_at").alias("released_at"))
+    return out.withColumn("released_at", F.col("released_at").cast("timestamp_ntz"))
 
 
 @query(

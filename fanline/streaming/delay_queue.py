@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from fanline import constants as C
 
@@ -36,46 +37,45 @@ def due_at(failed_after_ms: int = C.FAILED_RETRY_AFTER_MS,
     )
 
 
-class _Waiting(StatefulProcessor):
-    """Rows of one (queue, slot, part), released by the slot's timers."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.rows = handle.getListState("rows", "id long, status string, due_us long")
-
-    def _release(self, key: tuple, rows: pd.DataFrame, now_ms: int) -> Iterator[pd.DataFrame]:
-        due = rows["due_us"].to_numpy() < now_ms * 1000
-        if due.any():
-            out = rows.loc[due, ["id", "status", "due_us"]]
-            yield out.assign(queue=key[0], clock_ms=now_ms)[["queue", "id", "status", "due_us", "clock_ms"]]
-
-    def _wake(self, due_us) -> None:
-        # in whole milliseconds, after the first row has fallen due
-        self.handle.registerTimer(int(due_us) // 1000 + 1)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        now = max(0, timerValues.getCurrentWatermarkInMs())
-        for part in rows:
-            yield from self._release(key, part, now)
-            rest = part[part["due_us"] >= now * 1000]
-            if len(rest):
-                self.rows.appendList(list(rest[["id", "status", "due_us"]].itertuples(index=False, name=None)))
-                self._wake(rest["due_us"].min())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs()
-        rows = pd.DataFrame(list(self.rows.get()), columns=["id", "status", "due_us"])
-        if not len(rows):
-            return
-        yield from self._release(key, rows, now)
-        rest = rows[rows["due_us"] >= now * 1000]
-        self.rows.clear()
-        if len(rest):
-            self.rows.put(list(rest.itertuples(index=False, name=None)))
-            self._wake(rest["due_us"].min())
-
-    def close(self) -> None:
-        pass
+#: a waiting row in its group's state; the statuses that fall due, by their number
+WAITING = np.dtype([("id", "<i8"), ("no_id", "?"), ("status", "i1"), ("due_us", "<i8")])
+DUE_STATUSES = (C.TODO, C.FAILED, C.IN_PROGRESS)
+RELEASED = "queue string, id long, status string, due_us long, clock_ms long"
+#: rows of an emitted frame
+FRAME = 1 << 16
+
+
+def _packed(part: pd.DataFrame) -> np.ndarray:
+    out = np.empty(len(part), WAITING)
+    for name in ("id", "no_id", "status", "due_us"):
+        out[name] = part[name].to_numpy()
+    return out
+
+
+def _wait(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Rows of one (queue, slot, part): due ones leave, a timer wakes the others."""
+    now = max(0, state.getCurrentWatermarkMs())
+    kept = [np.frombuffer(state.get[0], WAITING)] if state.exists else []
+    batches = [kept.pop()] if state.hasTimedOut else (_packed(part) for part in pdfs)
+    for rows in batches:
+        due = rows["due_us"] < now * 1000
+        kept.append(rows[~due])
+        gone = rows[due]
+        for at in range(0, len(gone), FRAME):
+            some = gone[at : at + FRAME]
+            yield pd.DataFrame({
+                "queue": key[0],
+                "id": pd.arrays.IntegerArray(some["id"].copy(), some["no_id"].copy()),
+                "status": np.array(DUE_STATUSES, object)[some["status"]],
+                "due_us": some["due_us"], "clock_ms": now,
+            })
+    rest = np.concatenate(kept) if kept else np.empty(0, WAITING)
+    if len(rest):
+        state.update((rest.tobytes(),))
+        # a timer fires when the clock has passed its millisecond: the row's is over then
+        state.setTimeoutTimestamp(max(1, int(rest["due_us"].min()) // 1000))
+    elif state.exists:
+        state.remove()
 
 
 def release_due(queue: DataFrame, watermark: str = "10 minutes", slot_ms: int = SLOT_MS, spread: int = SPREAD,
@@ -92,22 +92,27 @@ def release_due(queue: DataFrame, watermark: str = "10 minutes", slot_ms: int =
     Rows that never fall due are not kept. Repeated rows are released as often as
     they come; a NULL queue is a queue; rows without ``received_at`` are released too.
     Rows that come more than ``watermark`` behind the clock are refused by Spark:
-    choose it as the source's disorder.
+    choose it as the source's disorder. A group's waiting rows are one packed value of
+    its state, so any state store serves.
     """
+    id_ = F.col("id").cast("long")
+    number = F.when(F.col("status") == C.TODO, 0).when(F.col("status") == C.FAILED, 1).otherwise(2)
     rows = queue.select(
-        F.col("queue").cast("string").alias("queue"), F.col("id").cast("long").alias("id"), "status",
+        F.col("queue").cast("string").alias("queue"), id_.alias("id"), number.cast("int").alias("status"),
         F.col("received_at").cast("timestamp").alias("received_at"),
         due_at(failed_after_ms, in_progress_after_ms).alias("due_us"),
-    ).where(F.col("due_us").isNotNull())
-    keyed = rows.withWatermark("received_at", watermark).withColumns({
+    ).withWatermark("received_at", watermark)
+    # rows that never fall due move the clock too: a filter that is not deterministic
+    # stays above the watermark, where Spark would push another one below it
+    rows = rows.where(F.when(F.spark_partition_id() >= 0, F.col("due_us")).isNotNull())
+    keyed = rows.withColumns({
         "slot": F.floor(F.col("due_us") / (slot_ms * 1000)).cast("long"),
         "part": F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int"),
     })
-    out = keyed.groupBy("queue", "slot", "part").transformWithStateInPandas(
-        statefulProcessor=_Waiting(),
-        outputStructType="queue string, id long, status string, due_us long, clock_ms long",
-        outputMode="append",
-        timeMode="eventTime",
+    # a NULL in an integer column would turn pandas' ids into doubles: a flag carries it
+    keyed = keyed.withColumns({"id": F.coalesce("id", F.lit(0).cast("long")), "no_id": F.col("id").isNull()})
+    out = keyed.groupBy("queue", "slot", "part").applyInPandasWithState(
+        _wait, RELEASED, "rows binary", "append", GroupStateTimeout.EventTimeTimeout
     )
     return out.select(
         "queue", "id", "status",

@@ -60,3 +60,34 @@ def test_released_rows_equal_due_work_at_each_clock(spark, scratch):
         assert sorted((r.queue or "", r.id) for r in got if r.released_at <= clock) == want, n
     assert all(r.due_at < r.released_at for r in got)
     assert not {900, 901} & {r.id for r in got}
+
+
+def test_query_gives_a_repeated_row_once_as_its_sql(spark, scratch):
+    from fanline.plans.queries_stream import q_delay_queue_stream
+
+    ev = [(i, T0 + dt.timedelta(hours=i), i % 3, "click", 1.0, '{"k": %d}' % (i % 7)) for i in (*range(40), 5, 5)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(ev, schema).write.parquet(os.path.join(scratch, "events.parquet"))
+    ids = [r.id for r in q_delay_queue_stream(spark, scratch).collect()]
+    assert 5 in ids and len(ids) == len(set(ids))
+
+
+def test_rows_that_never_fall_due_move_the_clock(spark, scratch):
+    last = ("q1", 1, "permanently-failed", T0 + dt.timedelta(hours=5), T0, T0)
+    got = drain(spark, scratch, [[("q1", 2, "todo", T0, T0, T0), last]]).collect()
+    assert [(r.id, r.released_at) for r in got] == [(2, T0 + dt.timedelta(hours=4, minutes=50))]
+
+
+def test_rows_wait_in_any_state_store(spark, scratch):
+    """A session that names no state store has Spark's own default one."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        waves = rounds()
+        waves[0].append(("q3", None, "todo", T0, T0, T0))  # no id
+        got = drain(spark, scratch, waves[:2]).collect()
+    finally:
+        spark.conf.set(name, was)
+    assert any(r.id is None and r.status == "todo" for r in got)
+    assert len({r.released_at for r in got}) == 2 and all(r.due_at < r.released_at for r in got)
