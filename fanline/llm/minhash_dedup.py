@@ -6,9 +6,7 @@ combines ``rows`` min-hashes. Table (i, j) is keyed by the pair (A_i, B_j), so
 ``2 * half * rows`` hash functions, about the square root of what separate
 tables would need. A pair of similarity s meets in some table with probability
 ``(1 - (1 - s**rows)**half)**2``: 0.99998 at s = 0.85 for rows = 3, half = 12.
-Crowded buckets are read in ``diagonals`` tables per half-key only (j - i below
-it, cyclically): at s = 0.85 a pair still meets in one of these 60 with
-probability 0.99997, and a crowd's members meet through many others.
+Every table counts, however crowded its buckets.
 
 Plan.
 1. One pass over the texts computes per row: set size, set digest, half-keys.
@@ -16,11 +14,13 @@ Plan.
 3. Half-keys held by one class only are dropped (grouped count, combined on the
    map side). Only the remaining half-keys of a class are paired into table
    keys, so documents without a partner cost a few rows, not ``half**2``.
-4. All pairs of a small bucket are compared inside its task; the members of a
-   large one with pivots of it (about twice the square root of its size, drawn
-   by hash). Those whose min-hashes agree within five standard errors of the
-   threshold are tied. Components of these ties are the candidate clusters; a
-   cluster holds every pair that a small bucket and that bound leave open.
+4. All pairs of a bucket whose min-hashes agree within five standard errors of
+   the threshold are tied. A small bucket's pairs are compared inside its task.
+   The members of a large one meet pivots of it first (about twice the square
+   root of its size, drawn by hash); those that the ties so far leave outside its
+   largest component then meet all members, block by block, so no pair is open
+   whatever the size. Components of the ties are the candidate clusters; a
+   cluster holds every pair that a bucket and that bound leave open.
 5. Clusters are compared exactly: they are cut into blocks of bounded size, and
    a task counts the intersections of the full sets of two blocks with sparse
    and dense matrix steps. It returns the local components of the confirmed
@@ -57,14 +57,12 @@ BUCKET_BLOCK = 4096
 @dataclass(frozen=True)
 class Similarity:
     """Link when ``100 * |intersection| >= percent * |union|`` of the sets of
-    ``width``-word shingles; ``rows`` and ``half`` shape the tables, of which
-    ``diagonals`` per half-key serve crowded buckets."""
+    ``width``-word shingles; ``rows`` and ``half`` shape the tables."""
 
     width: int = 5
     percent: int = 80
     rows: int = 3
     half: int = 12
-    diagonals: int = 5
 
     @property
     def hashes(self) -> int:
@@ -153,16 +151,10 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) -> Data
     return rows.mapInPandas(run, schema)
 
 
-def table_key(sim: Similarity):
-    """Key of table (i, j); even for the ``diagonals`` tables next to each A_i."""
-    off = (F.col("l.k") - F.col("r.k") + 2 * sim.half) % sim.half >= sim.diagonals
-    return F.xxhash64("l.hk", "r.hk").bitwiseAND(F.lit(-2)).bitwiseOR(off.cast("long"))
-
-
 def _buckets(classes: DataFrame, sim: Similarity) -> DataFrame:
     """(key, size, pivot, id): members of the tables that hold two classes or
     more, one of each set of tables with the same members; pivot is a member
-    drawn by hash. Large buckets count in the diagonal tables only."""
+    drawn by hash."""
     half = classes.select("id", F.posexplode("keys").alias("k", "hk"))
     shared = c.materialise(
         half.groupBy("hk").agg(F.count("*").alias("n")).where("n > 1").select("hk"), "halves"
@@ -178,14 +170,14 @@ def _buckets(classes: DataFrame, sim: Similarity) -> DataFrame:
         )
         .select("id", F.explode("left").alias("l"), "right")
         .select("id", "l", F.explode("right").alias("r"))
-        .select(table_key(sim).alias("key"), "id")
+        .select(F.xxhash64("l.hk", "r.hk").alias("key"), "id")
     )
     tables = c.materialise(pairs, "tables")
     drawn = F.min(F.struct(F.xxhash64("key", "id").alias("h"), "id"))
     kept = (
         tables.groupBy("key")
         .agg(F.count("*").alias("size"), F.min("id").alias("lo"), F.bit_xor(F.xxhash64("id")).alias("members"), drawn.alias("p"))
-        .where(f"size > 1 AND (size <= {SMALL_BUCKET} OR key % 2 = 0)")
+        .where("size > 1")
         .groupBy("size", "lo", "members")
         .agg(F.min(F.struct("key", F.col("p.id").alias("pivot"))).alias("one"))
         .select("one.key", "size", "one.pivot")
@@ -235,8 +227,9 @@ def local_components(linked: np.ndarray) -> np.ndarray:
 
 
 def ties(buckets: DataFrame, info: DataFrame, sim: Similarity) -> DataFrame:
-    """(a, b): links that join what the agreement bound ties: all pairs of a small
-    bucket (within the size ratio), members and pivots of a large one."""
+    """(a, b): links that join what the agreement bound ties: all pairs of a bucket
+    within the size ratio. Which way a bucket's pairs are found depends on its size,
+    what they join does not."""
     least = sim.least_agreement
     small = c.materialise(buckets.where(F.col("size") <= SMALL_BUCKET).select("key", "id"), "small")
     small = small.join(info.select("id", "n_shingles", "agree"), "id").repartition("key").sortWithinPartitions("key", "id")
@@ -265,11 +258,12 @@ def ties(buckets: DataFrame, info: DataFrame, sim: Similarity) -> DataFrame:
     each = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block")
     members = large.select("key", F.pmod(F.xxhash64("id", F.lit(3)), blocks).alias("block"), "id", F.lit(0).alias("role"))
     pivots = large.where(chosen).select("key", each, "id", F.lit(1).alias("role"))
-    placed = c.materialise(members.union(pivots), "placed").join(info.select("id", "agree"), "id")
+    placed = c.materialise(members.union(pivots), "placed").join(info.select("id", "n_shingles", "agree"), "id")
 
     def tie(f: pd.DataFrame) -> pd.DataFrame:
         role = f["role"].to_numpy()
-        ids = f["id"].to_numpy()
+        ids, size = f["id"].to_numpy(), f["n_shingles"].to_numpy()
+        small_size, piv_size = size[role == 0], size[role == 1]
         own, piv = ids[role == 0], ids[role == 1]
         agree = np.frombuffer(b"".join(f["agree"]), np.uint8).reshape(len(f), -1)
         x, p = np.ascontiguousarray(agree[role == 0].T), agree[role == 1]
@@ -286,7 +280,7 @@ def ties(buckets: DataFrame, info: DataFrame, sim: Similarity) -> DataFrame:
         a, b = [], []
         for k, v in enumerate(piv.tolist()):
             same = (x == p[k][:, None]).sum(axis=0, dtype=np.uint8 if sim.hashes < 256 else np.int32) >= least
-            same &= own != v
+            same &= (own != v) & _fits(small_size, piv_size[k], sim)
             new = same & (first < 0)
             first[new] = v
             a += [v] * int(new.sum())
@@ -299,7 +293,72 @@ def ties(buckets: DataFrame, info: DataFrame, sim: Similarity) -> DataFrame:
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     big = placed.groupBy("key", "block").applyInPandas(tie, "a long, b long")
-    return small.union(big).distinct()
+    if large.isEmpty():
+        return small.distinct()
+    found = c.materialise(small.union(big).distinct(), "ties")
+    return found.union(_stragglers(large, found, info, sim))
+
+
+def _fits(sizes: np.ndarray, size: int, sim: Similarity) -> np.ndarray:
+    """The size ratio, which every pair that is linked has."""
+    return 100 * np.minimum(sizes, size) >= sim.percent * np.maximum(sizes, size)
+
+
+def _stragglers(large: DataFrame, found: DataFrame, info: DataFrame, sim: Similarity) -> DataFrame:
+    """(a, b): the ties of large buckets that ``found`` does not join yet.
+
+    Two members of one component need no further tie. Of a pair in two components
+    at least one member lies outside the bucket's largest one: those members, cut
+    into chunks, meet the blocks of all members.
+    """
+    parts = connected_components(found).toDF("id", "part")
+    named = large.select("key", "id").join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
+    named = c.materialise(named, "parts")
+    counts = named.groupBy("key", "part").agg(F.count("*").alias("n"))
+    mains = counts.groupBy("key").agg(F.max(F.struct("n", "part")).alias("main"), F.sum("n").alias("size"))
+    pieces = lambda n: F.ceil(n / BUCKET_BLOCK).cast("long")
+    open_ = c.materialise(
+        mains.where("main.n < size").select(
+            "key", F.col("main.part").alias("main"), pieces(F.col("size")).alias("blocks"),
+            pieces(F.col("size") - F.col("main.n")).alias("chunks"),
+        ), "open",
+    )
+    rows = named.join(open_, "key")
+
+    def deal(of: str, over: str, role: int, at: tuple[str, str]):
+        own = F.pmod(F.xxhash64("id", F.lit(3)), of).alias(at[0])
+        each = F.explode(F.sequence(F.lit(0).cast("long"), F.col(over) - 1)).alias(at[1])
+        return ["key", own, each, "id", "part", F.lit(role).alias("role")]
+
+    members = rows.select(*deal("blocks", "chunks", 0, ("block", "chunk")))
+    outside = rows.where("part != main").select(*deal("chunks", "blocks", 1, ("chunk", "block")))
+    cells = c.materialise(members.unionByName(outside), "stragglers")
+
+    def tie(f: pd.DataFrame) -> pd.DataFrame:
+        role, part, size = f["role"].to_numpy(), f["part"].to_numpy(), f["n_shingles"].to_numpy()
+        agree = np.frombuffer(b"".join(f["agree"]), np.uint8).reshape(len(f), -1)
+        x, own, sizes = np.ascontiguousarray(agree[role == 0].T), part[role == 0], size[role == 0]
+        root: dict[int, int] = {}
+
+        def find(v: int) -> int:
+            while root.setdefault(v, v) != v:
+                root[v] = v = root[root[v]]
+            return v
+
+        a, b = [], []
+        for k in np.flatnonzero(role == 1):
+            same = (x == agree[k][:, None]).sum(axis=0, dtype=np.int32) >= sim.least_agreement
+            same &= (own != part[k]) & _fits(sizes, size[k], sim)
+            for u in np.unique(own[same]).tolist():
+                v = int(part[k])
+                if find(u) != find(v):
+                    root[find(u)] = find(v)
+                    a.append(u)
+                    b.append(v)
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+    held = cells.join(info.select("id", "n_shingles", "agree"), "id")
+    return held.groupBy("key", "block", "chunk").applyInPandas(tie, "a long, b long")
 
 
 def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:

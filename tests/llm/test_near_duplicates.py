@@ -132,3 +132,46 @@ def test_long_pair_among_many_shortened_copies(spark):
     found = connected_components(m.ties(df.select("key", "size", "pivot", "id"), df.select("id", "n_shingles", "agree"), sim))
     label = {r.node: r.component for r in found.collect()}
     assert all(a in label and label[a] == label.get(b) for a, b in pairs)
+
+
+def test_links_do_not_depend_on_the_size_of_a_bucket(spark, monkeypatch):
+    """What the agreement bound ties, and so the components, is the same whether a
+    bucket's pairs are compared in its task or by pivots and stragglers in blocks."""
+    from fanline.llm import minhash_dedup as md
+
+    sim = md.Similarity(width=3, percent=85)
+    rng = np.random.default_rng(5)
+    n, kinds = 90, 30  # one bucket of 30 kinds, three near copies of each
+    base = rng.integers(0, 256, (kinds, sim.hashes))
+    rows = []
+    for i in range(n):
+        agree = base[i % kinds].copy()
+        agree[rng.choice(sim.hashes, 4, replace=False)] = rng.integers(0, 256, 4)
+        rows.append((i, 100, bytes(agree.astype(np.uint8).tolist())))
+    info = spark.createDataFrame(rows, "id long, n_shingles long, agree binary")
+    buckets = spark.createDataFrame([(1, n, 0, i) for i in range(n)], "key long, size long, pivot long, id long")
+
+    def joined():
+        found = md.connected_components(md.ties(buckets, info, sim)).collect()
+        return {tuple(r) for r in found}
+
+    want = {(i, i % kinds) for i in range(n)}
+    assert joined() == want  # larger than SMALL_BUCKET
+    monkeypatch.setattr(md, "BUCKET_BLOCK", 20)
+    assert joined() == want
+    monkeypatch.setattr(md, "SMALL_BUCKET", n)
+    assert joined() == want
+
+
+def test_crowded_buckets_count_in_every_table(spark):
+    """A crowd that shares one pair of half-keys meets, whichever pair it is."""
+    from fanline.llm import minhash_dedup as md
+
+    sim = md.Similarity(width=3, percent=85)
+    crowd = md.SMALL_BUCKET + 8
+    for i, j in ((0, 0), (0, 11), (3, 9), (7, 2)):
+        keys = [[1000 * r + k for k in range(2 * sim.half)] for r in range(1, crowd + 1)]
+        for row in keys:
+            row[i], row[sim.half + j] = 1, 2
+        classes = spark.createDataFrame(list(enumerate(keys)), "id long, keys array<long>")
+        assert md._buckets(classes, sim).select("id").distinct().count() == crowd, (i, j)
