@@ -8,7 +8,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fanline.session import checkpoint_dir
 
@@ -19,6 +20,8 @@ MIX_2 = np.uint64(0x94D049BB133111EB)
 
 #: entries of a worker's word memo; it is emptied when full, so memory stays bounded
 MEMO_WORDS = 300_000
+#: 64-bit words of a key filter at most (one for every four keys until then)
+FILTER_WORDS = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +44,45 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh_names(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``docs`` has them in any case."""
+    taken = {x.lower() for x in docs.columns}
+    longest = max(map(len, taken), default=0)
+    return [n + "_" * (longest + 1 - len(n)) if n.lower() in taken else n for n in names]
+
+
+def split_by_keys(rows: DataFrame, key: Column, found: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two parts: those whose key may be in column ``by`` of ``found`` (a few
+    others among them), and those whose key is not there. Only the first part, and so
+    few long texts, need go through a join with ``found``.
+
+    A Bloom filter of three bits in one word for each key is aggregated from ``found``
+    and broadcast; with more keys than it has room for it lets more rows pass, no fewer.
+    ``found`` is read twice and should be a written table.
+    """
+    words = min(FILTER_WORDS, max(1, found.count() // 4))
+    one = F.lit(1).cast("long")
+
+    def place(k: Column) -> tuple[Column, Column]:
+        h = F.xxhash64(k)
+        bits = [F.call_function("shiftleft", one, F.shiftrightunsigned(h, n).bitwiseAND(63).cast("int")) for n in (0, 6, 12)]
+        return F.pmod(F.shiftrightunsigned(h, 18), F.lit(words)), bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2])
+
+    at, bits = fresh_names(rows, "__at", "__bits")
+    of, own = place(F.col(by))
+    held = found.select(of.alias(at), own.alias(bits)).groupBy(at).agg(F.bit_or(bits).alias(bits))
+    of, own = place(key)
+    has = F.col(bits).bitwiseAND(own) == own
+    near = rows.join(F.broadcast(held), of == F.col(at)).where(has)
+    rest = rows.join(F.broadcast(held), of == F.col(at), "left").where(~F.coalesce(has, F.lit(False)))
+    return near.select(*rows.columns), rest.select(*rows.columns)
+
+
+def join_by_keys(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Inner join on ``key``, for a ``found`` (a written table) with few of the keys."""
+    return split_by_keys(rows, F.col(key), found, key)[0].join(found, key)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finalise 64-bit values so that every input bit reaches every output bit."""
     x = (x ^ (x >> np.uint64(30))) * MIX_1

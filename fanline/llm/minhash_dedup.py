@@ -12,8 +12,11 @@ Plan.
 1. One pass over the texts computes per row: set size, set digest, half-keys.
 2. Rows with equal digests form a class; its smallest id stands for it.
 3. Half-keys held by one class only are dropped (grouped count, combined on the
-   map side). Only the remaining half-keys of a class are paired into table
-   keys, so documents without a partner cost a few rows, not ``half**2``.
+   map side). Of a half-key that many hold, all members meet one of them, drawn by
+   hash. Half-keys whose members are all tied so are dropped as well, and those
+   of a crowd with few others, which then meet all its members. Only the
+   remaining half-keys of a class are paired into table keys, so documents without
+   a partner, and crowds of near copies, cost a few rows each, not ``half**2``.
 4. All pairs of a bucket whose min-hashes agree within five standard errors of
    the threshold are tied. A small bucket's pairs are compared inside its task.
    The members of a large one meet pivots of it first (about twice the square
@@ -151,38 +154,93 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) -> Data
     return rows.mapInPandas(run, schema)
 
 
-def _buckets(classes: DataFrame, sim: Similarity) -> DataFrame:
-    """(key, size, pivot, id): members of the tables that hold two classes or
-    more, one of each set of tables with the same members; pivot is a member
-    drawn by hash."""
+def _halves(classes: DataFrame) -> DataFrame:
+    """(id, k, hk, n): the half-keys that n classes hold, two or more."""
     half = classes.select("id", F.posexplode("keys").alias("k", "hk"))
-    shared = c.materialise(
-        half.groupBy("hk").agg(F.count("*").alias("n")).where("n > 1").select("hk"), "halves"
-    )
-    met = half.join(shared, "hk").select("id", F.struct("k", "hk").alias("h"))
+    shared = half.groupBy("hk").agg(F.count("*").alias("n")).where("n > 1")
+    return c.materialise(c.join_by_keys(half, c.materialise(shared, "shared-halves"), "hk"), "halves")
+
+
+def _crowd_ties(halves: DataFrame, info: DataFrame, sim: Similarity) -> DataFrame:
+    """(a, b): of each half-key that many classes hold, the class drawn by hash with
+    those that agree with it. The draw does not depend on the half-key, so copies
+    that share many half-keys meet the same few classes."""
+    crowds = halves.where(F.col("n") > SMALL_BUCKET).select("hk", "id")
+    drawn = crowds.groupBy("hk").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id"))["id"].alias("one"))
+    pairs = crowds.join(c.materialise(drawn, "drawn"), "hk").where("id <> one").select("one", "id").distinct()
+    own = info.select("id", "n_shingles", "agree")
+    ones = own.toDF("one", "one_size", "one_agree")
+    met = c.materialise(pairs, "crowd-pairs").join(own, "id").join(ones, "one")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if not len(f):
+                continue
+            x, y = (np.frombuffer(b"".join(f[k]), np.uint8).reshape(len(f), -1) for k in ("agree", "one_agree"))
+            same = (x == y).sum(axis=1) >= sim.least_agreement
+            same &= _fits(f["n_shingles"].to_numpy(), f["one_size"].to_numpy(), sim)
+            yield pd.DataFrame({"a": f["one"][same], "b": f["id"][same]})
+
+    return met.mapInPandas(run, "a long, b long")
+
+
+def _crowd_parts(halves: DataFrame, early: DataFrame, info: DataFrame, sim: Similarity) -> tuple[DataFrame, DataFrame]:
+    """The open half-keys (id, k, hk, part), part being what ``early`` joins, and
+    (a, b), further ties.
+
+    A half-key is settled, and leaves, when no pair of two parts is open in it: all
+    its members are of one part, or those of a crowd that are not (a few times the
+    square root of its size at most) met all its members here.
+    """
+    parts = c.materialise(connected_components(early).toDF("id", "part"), "crowd-parts")
+    named = halves.join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
+    named = c.materialise(named.select("id", "k", "hk", "part"), "part-halves")
+    counts = named.groupBy("hk", "part").agg(F.count("*").alias("n"))
+    outside = counts.groupBy("hk").agg(F.sum("n").alias("size"), (F.sum("n") - F.max("n")).alias("outside"))
+    few = F.when(F.col("size") > SMALL_BUCKET, F.sqrt("size") * 4).otherwise(0)
+    outside = c.materialise(outside.withColumn("settled", F.col("outside") <= few), "outside")
+    crowds = named.join(outside.where("settled AND outside > 0").select("hk"), "hk")
+    late = _stragglers(crowds.select(F.col("hk").alias("key"), "id", "part"), info, sim)
+    return named.join(outside.where("NOT settled").select("hk"), "hk"), late
+
+
+def _buckets(classes: DataFrame, sim: Similarity, halves: DataFrame | None = None) -> DataFrame:
+    """(key, size, pivot, id): members of the tables that hold two parts or
+    more, one of each set of tables with the same members; pivot is a member
+    drawn by hash. ``halves``: (id, k, hk, part) of the half-keys to pair; without
+    them those of two classes or more, each class a part."""
+    met = _halves(classes).withColumn("part", F.col("id")) if halves is None else halves
+    met = met.select("id", "part", F.struct("k", "hk").alias("h"))
     pairs = (
-        met.groupBy("id")
+        met.groupBy("id", "part")
         .agg(F.collect_list("h").alias("hs"))  # at most 2 * half entries
         .select(
             "id",
+            "part",
             F.filter("hs", lambda h: h["k"] < sim.half).alias("left"),
             F.filter("hs", lambda h: h["k"] >= sim.half).alias("right"),
         )
-        .select("id", F.explode("left").alias("l"), "right")
-        .select("id", "l", F.explode("right").alias("r"))
-        .select(F.xxhash64("l.hk", "r.hk").alias("key"), "id")
+        .select("id", "part", F.explode("left").alias("l"), "right")
+        .select("id", "part", "l", F.explode("right").alias("r"))
+        .select(F.xxhash64("l.hk", "r.hk").alias("key"), "id", "part")
     )
-    tables = c.materialise(pairs, "tables")
-    drawn = F.min(F.struct(F.xxhash64("key", "id").alias("h"), "id"))
+    return open_buckets(c.materialise(pairs, "tables"))
+
+
+def open_buckets(rows: DataFrame) -> DataFrame:
+    """(key, size, pivot, id) of the rows (key, id, part): the keys that hold two
+    parts or more, one of each set of keys with the same members."""
+    met = rows.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("key")
+    rows = c.materialise(c.join_by_keys(rows.select("key", "id"), c.materialise(met, "open-keys"), "key"), "open-rows")
+    drawn = F.min(F.struct(F.xxhash64("id").alias("h"), "id"))
     kept = (
-        tables.groupBy("key")
+        rows.groupBy("key")
         .agg(F.count("*").alias("size"), F.min("id").alias("lo"), F.bit_xor(F.xxhash64("id")).alias("members"), drawn.alias("p"))
-        .where("size > 1")
         .groupBy("size", "lo", "members")
         .agg(F.min(F.struct("key", F.col("p.id").alias("pivot"))).alias("one"))
         .select("one.key", "size", "one.pivot")
     )
-    return c.materialise(tables.join(c.materialise(kept, "keys"), "key"), "buckets")
+    return c.materialise(c.join_by_keys(rows, c.materialise(kept, "keys"), "key"), "buckets")
 
 
 def _bucket_ties(f: pd.DataFrame, sim: Similarity) -> pd.DataFrame:
@@ -226,10 +284,10 @@ def local_components(linked: np.ndarray) -> np.ndarray:
         label = least
 
 
-def ties(buckets: DataFrame, info: DataFrame, sim: Similarity) -> DataFrame:
+def ties(buckets: DataFrame, info: DataFrame, sim: Similarity, early: DataFrame | None = None) -> DataFrame:
     """(a, b): links that join what the agreement bound ties: all pairs of a bucket
-    within the size ratio. Which way a bucket's pairs are found depends on its size,
-    what they join does not."""
+    within the size ratio, and the ties ``early``, if any. Which way a bucket's pairs
+    are found depends on its size, what they join does not."""
     least = sim.least_agreement
     small = c.materialise(buckets.where(F.col("size") <= SMALL_BUCKET).select("key", "id"), "small")
     small = small.join(info.select("id", "n_shingles", "agree"), "id").repartition("key").sortWithinPartitions("key", "id")
@@ -251,9 +309,8 @@ def ties(buckets: DataFrame, info: DataFrame, sim: Similarity) -> DataFrame:
     # large buckets: blocks of members, each with all pivots of its bucket
     large = c.materialise(buckets.where(F.col("size") > SMALL_BUCKET), "large")
     share = F.col("size").cast("double") ** -0.5 * 2
-    chosen = (F.col("id") == F.col("pivot")) | (
-        F.pmod(F.xxhash64("id", "key"), F.lit(1 << 20)) < share * (1 << 20)
-    )
+    # drawn alike in every bucket: members of many buckets keep few ties
+    chosen = (F.col("id") == F.col("pivot")) | (F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share * (1 << 20))
     blocks = F.ceil(F.col("size") / BUCKET_BLOCK).cast("long")
     each = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block")
     members = large.select("key", F.pmod(F.xxhash64("id", F.lit(3)), blocks).alias("block"), "id", F.lit(0).alias("role"))
@@ -267,8 +324,10 @@ def ties(buckets: DataFrame, info: DataFrame, sim: Similarity) -> DataFrame:
         own, piv = ids[role == 0], ids[role == 1]
         agree = np.frombuffer(b"".join(f["agree"]), np.uint8).reshape(len(f), -1)
         x, p = np.ascontiguousarray(agree[role == 0].T), agree[role == 1]
-        # forest over pivots and members: the smallest pivot tied to each member,
-        # and the pivots tied through a member
+        order = np.argsort(c.mix64(piv.view(np.uint64)), kind="stable")
+        piv, piv_size, p = piv[order], piv_size[order], p[order]
+        # forest over pivots and members: the first pivot tied to each member, in an
+        # order that all buckets have, and the pivots tied through a member
         root = {int(v): int(v) for v in piv}
 
         def find(v: int) -> int:
@@ -293,10 +352,13 @@ def ties(buckets: DataFrame, info: DataFrame, sim: Similarity) -> DataFrame:
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     big = placed.groupBy("key", "block").applyInPandas(tie, "a long, b long")
+    known = small if early is None else small.union(early)
     if large.isEmpty():
-        return small.distinct()
-    found = c.materialise(small.union(big).distinct(), "ties")
-    return found.union(_stragglers(large, found, info, sim))
+        return known.distinct()
+    found = c.materialise(known.union(big).distinct(), "ties")
+    parts = connected_components(found).toDF("id", "part")
+    named = large.select("key", "id").join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
+    return found.union(_stragglers(c.materialise(named, "parts"), info, sim))
 
 
 def _fits(sizes: np.ndarray, size: int, sim: Similarity) -> np.ndarray:
@@ -304,16 +366,13 @@ def _fits(sizes: np.ndarray, size: int, sim: Similarity) -> np.ndarray:
     return 100 * np.minimum(sizes, size) >= sim.percent * np.maximum(sizes, size)
 
 
-def _stragglers(large: DataFrame, found: DataFrame, info: DataFrame, sim: Similarity) -> DataFrame:
-    """(a, b): the ties of large buckets that ``found`` does not join yet.
+def _stragglers(named: DataFrame, info: DataFrame, sim: Similarity) -> DataFrame:
+    """(a, b): the ties of large buckets (key, id, part) between two parts.
 
-    Two members of one component need no further tie. Of a pair in two components
-    at least one member lies outside the bucket's largest one: those members, cut
+    Two members of one part need no further tie. Of a pair in two parts at least
+    one member lies outside the bucket's largest one: those members, cut
     into chunks, meet the blocks of all members.
     """
-    parts = connected_components(found).toDF("id", "part")
-    named = large.select("key", "id").join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
-    named = c.materialise(named, "parts")
     counts = named.groupBy("key", "part").agg(F.count("*").alias("n"))
     mains = counts.groupBy("key").agg(F.max(F.struct("n", "part")).alias("main"), F.sum("n").alias("size"))
     pieces = lambda n: F.ceil(n / BUCKET_BLOCK).cast("long")
@@ -461,13 +520,19 @@ def link_components(classes: DataFrame, texts: DataFrame, sim: Similarity) -> Da
 
     classes: (id, n_shingles, keys, agree), ids unique; texts: (id, text).
     """
-    buckets = _buckets(classes, sim)
-    met = c.materialise(buckets.select("id").distinct(), "met")
-    info = c.materialise(classes.join(met, "id").select("id", "n_shingles", "agree"), "info")
-    clusters = connected_components(ties(buckets, info, sim)).toDF("id", "cluster")
+    halves = _halves(classes)
+    held = c.materialise(halves.select("id").distinct(), "met")
+    info = c.materialise(c.join_by_keys(classes.select("id", "n_shingles", "agree"), held, "id"), "info")
+    early = c.materialise(_crowd_ties(halves, info, sim), "crowd-ties")
+    if early.isEmpty():
+        halves = halves.withColumn("part", F.col("id"))
+    else:
+        halves, late = _crowd_parts(halves, early, info, sim)
+        early = early.union(c.materialise(late, "late-ties"))
+    buckets = _buckets(classes, sim, halves)
+    clusters = connected_components(ties(buckets, info, sim, early)).toDF("id", "cluster")
     clusters = c.materialise(clusters.join(info.select("id", "n_shingles"), "id"), "clusters")
-    held = texts.join(clusters.select("id"), "id")
-    links = confirmed_links(clusters, held, sim)
+    links = confirmed_links(clusters, c.join_by_keys(texts, clusters.select("id"), "id"), sim)
     return connected_components(links).toDF("id", "component")
 
 

@@ -175,3 +175,42 @@ def test_crowded_buckets_count_in_every_table(spark):
             row[i], row[sim.half + j] = 1, 2
         classes = spark.createDataFrame(list(enumerate(keys)), "id long, keys array<long>")
         assert md._buckets(classes, sim).select("id").distinct().count() == crowd, (i, j)
+
+def test_crowds_of_near_copies_cost_a_few_rows_each(make_docs, monkeypatch):
+    """A crowd and some strangers that share words with it: no class is spread over all
+    tables, and components equal brute force."""
+    written = {}
+    real = c.materialise
+
+    def materialise(df, label):
+        out = real(df, label)
+        written[label] = max(written.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(c, "materialise", materialise)
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for i in range(160):
+        t = list(base)
+        for _ in range(i % 3 if i % 20 else 25):
+            t[rng.randrange(len(t))] = f"v{rng.randrange(10**6)}"
+        rows.append((i, " ".join(t)))
+    _, want = expected(rows, 5, 80)
+    got = {r.doc_id: r.component_id for r in m.near_duplicates(make_docs(rows), m.Similarity(5, 80)).collect()}
+    assert got == want
+    assert written["tables"] < 40 * len(rows)  # 144 tables
+
+
+def test_rows_split_by_keys(spark, monkeypatch):
+    keys = spark.createDataFrame([(7 * k,) for k in range(300)], "id long")
+    rows = spark.createDataFrame([(k, "x", "y") for k in range(3000)] + [(None, "x", "y")], "key long, __at string, __BITS string")
+    for words, most in ((1 << 20, 700), (1, 3001)):
+        monkeypatch.setattr(c, "FILTER_WORDS", words)
+        near, rest = c.split_by_keys(rows, F.col("key"), keys, "id")
+        assert near.columns == rest.columns == rows.columns
+        a, b = ([r.key for r in x.collect()] for x in (near, rest))
+        assert sorted(a + b, key=str) == sorted([*range(3000), None], key=str)
+        assert {7 * k for k in range(300)} <= set(a) and len(a) <= most
+    near, rest = c.split_by_keys(rows, F.col("key"), keys.limit(0), "id")
+    assert near.count() == 0 and rest.count() == 3001
