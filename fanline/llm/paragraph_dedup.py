@@ -18,7 +18,7 @@ of a window of ``running`` words in a row that an earlier place holds too
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from fanline.llm import common as c
 from fanline.llm.components import connected_components
-from fanline.llm.minhash_dedup import Similarity, confirmed_links, signatures, ties
+from fanline.llm.minhash_dedup import Similarity, confirmed_links, open_buckets, signatures, ties
 from fanline.llm.running_passages import repeated_windows, without_windows
 
 
@@ -104,27 +104,11 @@ def sketch_paragraphs(docs: DataFrame, rule: PassageRule, id_col: str, text_col:
     return rows.where("id IS NOT NULL AND text IS NOT NULL").mapInPandas(run, schema)
 
 
-def _band_buckets(classes: DataFrame) -> DataFrame:
-    """(key, size, pivot, id): the bands that hold two classes or more, one of
-    each set of bands with the same members."""
-    rows = classes.select(F.explode("keys").alias("key"), "id")
-    drawn = F.min(F.struct(F.xxhash64("key", "id").alias("h"), "id"))
-    kept = (
-        rows.groupBy("key")
-        .agg(F.count("*").alias("size"), F.min("id").alias("lo"), F.bit_xor(F.xxhash64("id")).alias("members"), drawn.alias("p"))
-        .where("size > 1")
-        .groupBy("size", "lo", "members")
-        .agg(F.min(F.struct("key", F.col("p.id").alias("pivot"))).alias("one"))
-        .select("one.key", "size", "one.pivot")
-    )
-    return c.materialise(rows.join(c.materialise(kept, "bands"), "key"), "buckets")
-
-
 def _lines_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text) of wanted paragraphs (id, doc, pos, h)."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("whole"))
     per_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("id", "pos", "h")).alias("lines"))
-    met = texts.join(c.materialise(per_doc, "wanted"), "doc").withColumn("parts", F.split("whole", "\n"))
+    met = c.join_by_keys(texts, c.materialise(per_doc, "wanted"), "doc").withColumn("parts", F.split("whole", "\n"))
     each = met.select("parts", F.explode("lines").alias("l")).select(
         "l.id", "l.h", F.try_element_at("parts", F.col("l.pos") + 1).alias("text")
     )
@@ -142,31 +126,26 @@ def repeated_paragraphs(
     classes = rows.groupBy("digest").agg(first, F.count("*").alias("n"), *own)
     # ids are fixed by writing the table
     classes = c.materialise(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
-    buckets = _band_buckets(classes)
+    buckets = open_buckets(classes.select(F.explode("keys").alias("key"), "id", F.col("id").alias("part")))
     met = c.materialise(buckets.select("id").distinct(), "met")
-    info = c.materialise(classes.join(met, "id").select("id", "n_shingles", "agree", "first"), "info")
+    info = c.join_by_keys(classes.select("id", "n_shingles", "agree", "first"), met, "id")
+    info = c.materialise(info, "info")
     clusters = connected_components(ties(buckets, info, rule.similarity)).toDF("id", "cluster")
     clusters = c.materialise(clusters.join(info.drop("agree"), "id"), "clusters")
     lines = _lines_of(docs, clusters.select("id", "first.doc", "first.pos", "first.h"), id_col, text_col)
     links = confirmed_links(clusters.drop("first"), lines, rule.similarity)
-    grouped = connected_components(links).toDF("id", "component")
+    grouped = c.materialise(connected_components(links).toDF("id", "component"), "grouped")
     # the first paragraph of every group; single classes matter only if copied
-    named = classes.select("id", "digest", "first", "n").join(grouped, "id", "left")
-    named = c.materialise(named.withColumn("grp", F.coalesce("component", "id")).drop("component"), "named")
+    near, single = c.split_by_keys(classes.select("id", "digest", "first", "n"), F.col("id"), grouped, "id")
+    named = near.join(grouped, "id", "left").withColumn("grp", F.coalesce("component", "id")).drop("component")
+    named = c.materialise(named.union(single.where("n > 1").withColumn("grp", F.col("id"))), "named")
     firsts = named.groupBy("grp").agg(F.min("first").alias("stays"), F.sum("n").alias("n")).where("n > 1").drop("n")
     groups = c.materialise(named.join(c.materialise(firsts, "firsts"), "grp").select("digest", "stays"), "groups")
-    found = rows.select("doc", "pos", "h", "digest").join(groups, "digest")
+    found = c.join_by_keys(rows.select("doc", "pos", "h", "digest"), groups, "digest")
     gone = found.where("NOT (doc = stays.doc AND pos = stays.pos AND h = stays.h)")
     return gone.select("doc", "pos", "h", F.col("stays.doc").alias("first_doc"), F.col("stays.pos").alias("first_pos"))
 
 
-def fresh_names(docs: DataFrame, *names: str) -> list[str]:
-    """The names, lengthened until no column of ``docs`` has them in any case."""
-    taken = {x.lower() for x in docs.columns}
-    longest = max(map(len, taken), default=0)
-    return [n + "_" * (longest + 1 - len(n)) if n.lower() in taken else n for n in names]
-
-
 def remove_repeats(
     docs: DataFrame, rule: PassageRule = PassageRule(running=50), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -183,32 +162,47 @@ def remove_repeats(
     its parts went stays; an empty table gives no rows.
     """
     gone = repeated_paragraphs(docs, rule, id_col, text_col)
-    of, places = fresh_names(docs, "__doc", "__gone")
-    per_doc = gone.groupBy(F.col("doc").alias(of)).agg(F.collect_set(F.struct("pos", "h")).alias(places))
-    per_doc = c.materialise(per_doc, "gone")
-    joined = docs.join(per_doc, F.col(id_col).cast("long") == F.col(of), "left")
+    of, places, runs = c.fresh_names(docs, "__doc", "__gone", "__runs")
+    cuts = gone.groupBy(F.col("doc").alias(of)).agg(F.collect_set(F.struct("pos", "h")).alias(places))
+    cuts = c.materialise(cuts, "gone")
+
+    def changed(cuts: DataFrame, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Only documents that may have cuts are joined with them."""
+        key = F.col(id_col).cast("long")
+        near, rest = c.split_by_keys(docs, key, cuts, of)
+        out = change(near.join(cuts, key == F.col(of), "left"))
+        names = [x for x in docs.columns if x != "n_removed"]
+        rest = rest.select(*names, F.lit(0).cast("long").alias("n_removed"))
+        return out.select(*names, "n_removed").union(rest)
+
+    out = changed(cuts, lambda near: _without_paragraphs(near, places, text_col))
+    if not rule.running:
+        return out
+    texts = out.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    texts = c.materialise(texts.where("doc IS NOT NULL AND text IS NOT NULL"), "left")
+    found = repeated_windows(texts, rule.running)
+    found = found.groupBy(F.col("doc").alias(of)).agg(F.collect_set(F.struct("pos", "h")).alias(runs))
+    cuts = c.materialise(cuts.join(c.materialise(found, "runs"), of, "full"), "cuts")
+    return changed(
+        cuts, lambda near: _without_runs(_without_paragraphs(near, places, text_col), runs, rule.running, text_col)
+    )
+
+
+def _without_paragraphs(docs: DataFrame, places: str, text_col: str) -> DataFrame:
+    """``docs`` without the lines at the places of column ``places``; n_removed counts them."""
     stays = F.filter(
         F.split(F.col(text_col), "\n"),
         lambda x, i: ~F.array_contains(F.col(places), F.struct(i.alias("pos"), F.xxhash64(x).alias("h"))),
     )
     n = F.size(F.split(F.col(text_col), "\n")) - F.size(stays)
     cut = F.col(places).isNotNull()
-    out = joined.withColumn("n_removed", F.when(cut, n).otherwise(0).cast("long"))
-    out = out.withColumn(text_col, F.when(cut, F.array_join(stays, "\n")).otherwise(F.col(text_col)))
-    names = [x for x in docs.columns if x != "n_removed"]
-    if rule.running:
-        out = _without_runs(out.drop(of, places), rule.running, id_col, text_col)
-    return out.select(*names, "n_removed")
+    out = docs.withColumn("n_removed", F.when(cut, n).otherwise(0).cast("long"))
+    return out.withColumn(text_col, F.when(cut, F.array_join(stays, "\n")).otherwise(F.col(text_col)))
 
 
-def _without_runs(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` without repeated windows of ``length`` words; n_removed counts them."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    texts = c.materialise(texts.where("doc IS NOT NULL AND text IS NOT NULL"), "left")
-    runs = repeated_windows(texts, length)
-    of, places, trimmed = fresh_names(docs, "__doc", "__runs", "__cut")
-    runs = runs.groupBy(F.col("doc").alias(of)).agg(F.collect_set(F.struct("pos", "h")).alias(places))
-    joined = docs.join(c.materialise(runs, "runs"), F.col(id_col).cast("long") == F.col(of), "left")
+def _without_runs(docs: DataFrame, runs: str, length: int, text_col: str) -> DataFrame:
+    """``docs`` without the windows of ``length`` words in column ``runs``; n_removed counts them."""
+    (trimmed,) = c.fresh_names(docs, "__cut")
 
     @F.pandas_udf("text string, n long")
     def trim(text: pd.Series, pos: pd.Series, h: pd.Series) -> pd.DataFrame:
@@ -218,7 +212,7 @@ def _without_runs(docs: DataFrame, length: int, id_col: str, text_col: str) -> D
         ]
         return pd.DataFrame(done, columns=["text", "n"])
 
-    cut = F.col(places).isNotNull()
-    joined = joined.withColumn(trimmed, trim(F.when(cut, F.col(text_col)), F.col(places)["pos"], F.col(places)["h"]))
-    joined = joined.withColumn("n_removed", F.col("n_removed") + F.when(cut, F.col(trimmed)["n"]).otherwise(0))
-    return joined.withColumn(text_col, F.when(cut, F.col(trimmed)["text"]).otherwise(F.col(text_col)))
+    cut = F.col(runs).isNotNull()
+    docs = docs.withColumn(trimmed, trim(F.when(cut, F.col(text_col)), F.col(runs)["pos"], F.col(runs)["h"]))
+    docs = docs.withColumn("n_removed", F.col("n_removed") + F.when(cut, F.col(trimmed)["n"]).otherwise(0))
+    return docs.withColumn(text_col, F.when(cut, F.col(trimmed)["text"]).otherwise(F.col(text_col)))

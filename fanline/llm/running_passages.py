@@ -85,7 +85,7 @@ def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
 
     kept = c.materialise(texts.mapInPandas(keep, "h long, doc long, n long"), "winnowed")
     shared = kept.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
-    shared = kept.select("h", "doc").join(c.materialise(shared, "shared"), "h")
+    shared = c.join_by_keys(kept.select("h", "doc"), c.materialise(shared, "shared"), "h")
     per_doc = c.materialise(shared.groupBy("doc").agg(F.collect_set("h").alias("hs")), "looked-at")
 
     def windows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -105,7 +105,7 @@ def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
                 {"h": c.as_long(one[pos]), "g": c.as_long(two[pos]), "doc": f["doc"].to_numpy()[row], "pos": pos - start[row]}
             )
 
-    near = texts.join(per_doc, "doc").select("doc", "text", "hs").mapInPandas(windows, "h long, g long, doc long, pos long")
+    near = c.join_by_keys(texts, per_doc, "doc").select("doc", "text", "hs").mapInPandas(windows, "h long, g long, doc long, pos long")
     near = c.materialise(near, "windows")
     first = F.min(F.struct("doc", "pos")).alias("first")
     firsts = near.groupBy("h", "g").agg(F.count("*").alias("n"), first).where("n > 1").drop("n")

@@ -92,3 +92,24 @@ def test_columns_named_like_the_operators_own(make_docs):
     for r in odd.collect():
         assert (r.text, r.n_removed) == plain[r.doc_id]
         assert all(r[x] == f"own {x}" for x in names[:-1])
+
+
+def test_texts_without_repeats_stay_where_they_are(make_docs, monkeypatch):
+    """Only documents that may hold a repeat are joined with what was found."""
+    rng = random.Random(3)
+    lines = [" ".join(f"u{rng.randrange(10**6)}" for _ in range(60)) for _ in range(400)]
+    rows = list(enumerate(lines)) + [(1000, lines[5] + "\n" + lines[9])]
+    docs = make_docs(rows)
+    joined = []
+    real = type(docs).join
+
+    def join(self, other, on=None, how=None):
+        if "text" in self.columns and not {"__at", "__bits"} & set(other.columns):
+            joined.append(self.count())
+        return real(self, other, on, how)
+
+    monkeypatch.setattr(type(docs), "join", join)
+    got = {r.doc_id: r for r in remove_repeats(docs, PassageRule(running=50)).collect()}
+    assert got[1000].text == "" and got[1000].n_removed == 2
+    assert all(got[i].text == t and got[i].n_removed == 0 for i, t in rows[:-1])
+    assert joined and max(joined) < 100
