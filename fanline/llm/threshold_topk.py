@@ -1,14 +1,14 @@
 """Exact top-k inner products by Fagin's threshold algorithm.
 
 The rows are dealt into blocks by id hash. In a block every dimension has its
-list of rows sorted by value. For a query, all lists are read in parallel from
-the end that the sign of the query's component favours; each row met is scored
-in full (random access). Beyond the depth read, no row can score more than the
-threshold, the inner product of the query with the values at that depth. A
+list of rows sorted by value. All lists are read in parallel from the ends that
+the signs of the queries' components favour; each row met is scored in full
+(random access), once, and for all queries still going in one product: what one
+query meets serves the others. Beyond the depth read, no row can score more than
+the threshold, the inner product of the query with the values at that depth. A
 query stops in a block when the threshold is below its k-th score so far (ties
-are read on, so smaller ids win). Depths double while depth times dimensions is
-below the block's rows, whatever a query has met; a query still going then reads
-the rest of the block at once, as a dense product. The blocks' best are merged by one
+are read on, so smaller ids win), at the latest when it has met every row of the
+block. Depths double from round to round. The blocks' best are merged by one
 window. The k-th score starts from nothing in each block, so blocks are
 independent tasks: queries come in blocks as well, rows x queries in a grid.
 """
@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from fanline.llm import common as c
 from fanline.llm.vectors import best_per_query, fold_equal, matrix, valid_vectors
 
-ROW_BLOCK = 8192
-QUERY_BLOCK = 1024
+ROW_BLOCK = 16384
+QUERY_BLOCK = 4096
+#: queries that read the lists together: bounds the scores held at once
+QUERY_PART = 256
 FIRST_DEPTH = 8
 
 
@@ -36,51 +38,58 @@ def threshold_search(ids: np.ndarray, rows: np.ndarray, qids: np.ndarray, querie
     ids: row ids; rows: integer matrix; ``ids == qid`` is no answer to a query.
     """
     n, d = rows.shape
-    low, high = int(rows.min()), int(rows.max())
-    span = max(abs(low), abs(high)) * max(1, int(np.abs(queries).max())) * d
-    exact = np.float64 if span < 1 << 53 else np.int64  # BLAS doubles hold such sums exactly
-    order = np.lexsort((ids,))
-    ids, rows = ids[order], rows[order].astype(exact)
-    queries = queries.astype(exact)
-    lists = np.argsort(rows, axis=0, kind="stable")  # ascending values, ids ascending within
-    values = np.take_along_axis(rows, lists, axis=0)
-    positive, negative = np.maximum(queries, 0), np.minimum(queries, 0)
-    out_q, out_r, out_s = [], [], []
-
-    def emit(q: int, seen: np.ndarray, scores: np.ndarray) -> None:
-        if len(seen) > k:
-            kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-            at = np.nonzero(scores >= kth)[0]
-            at = at[np.lexsort((ids[seen[at]], -scores[at]))][:k]
-            seen, scores = seen[at], scores[at]
-        out_q.append(np.full(len(seen), q))
-        out_r.append(order[seen])
-        out_s.append(scores)
-
-    active, depth = np.arange(len(queries)), FIRST_DEPTH
-    signs = [(np.nonzero(q > 0)[0], np.nonzero(q < 0)[0]) for q in queries]
-    while len(active) and depth * d < n:
-        bound = positive[active] @ values[n - 1 - depth] + negative[active] @ values[depth]
-        left = []
-        for q, tau in zip(active, bound, strict=True):
-            up, down = signs[q]
-            met = np.concatenate((lists[n - depth - 1 :, up].ravel(), lists[: depth + 1, down].ravel()))
-            seen = np.unique(met)
-            seen = seen[ids[seen] != qids[q]]
-            scores = rows[seen] @ queries[q]
-            if len(seen) >= k and np.partition(scores, len(scores) - k)[len(scores) - k] > tau:
-                emit(q, seen, scores)
+    span = max(abs(int(rows.min())), abs(int(rows.max()))) * max(1, int(np.abs(queries).max())) * d
+    # BLAS floats hold such sums exactly
+    exact = np.float32 if span < 1 << 24 else np.float64 if span < 1 << 53 else np.int64
+    least = np.iinfo(exact).min if exact is np.int64 else -np.inf
+    rows, queries = rows.astype(exact), queries.astype(exact)
+    lists = np.argsort(rows.T, axis=1, kind="stable")  # a dimension's rows by ascending value
+    values = np.take_along_axis(rows.T, lists, axis=1)
+    # the depth at which a row is met first, in any list from any end that a query reads
+    place, first = np.arange(n), np.full(n, n - 1)
+    for k_list, up, down in zip(lists, (queries > 0).any(axis=0), (queries < 0).any(axis=0), strict=True):
+        depth = np.minimum(n - 1 - place if up else n - 1, place if down else n - 1)
+        first[k_list] = np.minimum(first[k_list], depth)
+    met = np.argsort(first, kind="stable")
+    first, met_ids, met_rows = first[met], ids[met], rows[met]
+    out = []
+
+    def best(q: np.ndarray, r: np.ndarray, s: np.ndarray):
+        """Of (query, row met, score) triples the k best of each query, in order; their ranks."""
+        by = np.lexsort((met_ids[r], -s, q))
+        q, r, s = q[by], r[by], s[by]
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        return q[rank < k], r[rank < k], s[rank < k], rank[rank < k]
+
+    for start in range(0, len(queries), QUERY_PART):
+        active = np.arange(start, min(start + QUERY_PART, len(queries)))
+        kth = np.full(start + len(active), least, exact)
+        found = (active[:0], active[:0], np.zeros(0, exact))
+        at, depth = 0, FIRST_DEPTH
+        while len(active):
+            to = int(np.searchsorted(first, depth, side="right"))
+            scores = queries[active] @ met_rows[at:to].T
+            floor = kth[active]
+            if at == 0 and to > k:  # nothing to beat yet: the k-th of the rows just met
+                others = np.where(met_ids[at:to] == qids[active, None], scores.dtype.type(least), scores)
+                floor = np.partition(others, to - k, axis=1)[:, to - k]
+            q, r = np.nonzero(scores >= floor[:, None])
+            s, q, r = scores[q, r], active[q], r + at
+            other = met_ids[r] != qids[q]
+            *found, rank = best(*(np.concatenate(x) for x in zip(found, (q[other], r[other], s[other]), strict=True)))
+            kth[found[0][rank == k - 1]] = found[2][rank == k - 1]
+            if to == n:
+                stops = np.ones(len(active), bool)
             else:
-                left.append(q)
-        active, depth = np.array(left, int), depth * 2
-    for a in range(0, len(active), 256):  # the rest of the lists at once
-        part = active[a : a + 256]
-        scores = queries[part] @ rows.T
-        for q, s in zip(part, scores, strict=True):
-            seen = np.nonzero(ids != qids[q])[0]
-            emit(q, seen, s[seen])
-    cat = lambda v: np.concatenate(v) if v else np.array([], np.int64)
-    return cat(out_q), cat(out_r), cat(out_s)
+                part = queries[active]
+                bound = np.maximum(part, 0) @ values[:, n - 1 - depth] + np.minimum(part, 0) @ values[:, depth]
+                stops = kth[active] > bound
+            done = np.isin(found[0], active[stops])
+            out.append([x[done] for x in found])
+            found, active = [x[~done] for x in found], active[~stops]
+            at, depth = to, depth * 2
+    q, r, s = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (first[:0],) * 3
+    return q, met[r], s
 
 
 def exact_top_k(

@@ -2,6 +2,7 @@
 
 import math
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -63,6 +64,41 @@ def test_threshold_stops_early_and_is_exact():
         assert sorted((-int(v), int(i)) for i, v in zip(r[q == k], s[q == k], strict=True)) == want
 
 
+def calls_of(search):
+    """Calls of functions, built-in ones too, that a search makes."""
+    made = []
+    sys.setprofile(lambda frame, event, arg: made.append(event) if event in ("call", "c_call") else None)
+    try:
+        search()
+    finally:
+        sys.setprofile(None)
+    return len(made)
+
+
+def test_threshold_rounds_serve_many_queries_at_once():
+    # vectors that no threshold stops early: each query meets the whole block
+    rng = np.random.default_rng(4)
+    rows, queries = rng.integers(-30, 30, (2000, 32)), rng.integers(-30, 30, (200, 32))
+    few, many = (
+        calls_of(lambda m=m: threshold_search(np.arange(2000), rows, np.full(m, -1), queries[:m], 5)) for m in (20, 200)
+    )
+    assert many < 1.5 * few
+
+
+@pytest.mark.parametrize("high", [3, 2**12, 2**28])
+def test_threshold_search_equals_brute_force(high):
+    rng = np.random.default_rng(high)
+    for n, d, m, k in [(1, 3, 4, 2), (40, 2, 600, 3), (300, 5, 30, 7), (900, 3, 40, 20)]:
+        rows = rng.integers(-high, high + 1, (n, d)) * (rng.random((n, d)) < 0.7)
+        queries = rng.integers(-high, high + 1, (m, d)) * (rng.random((m, d)) < 0.6)
+        ids, qids = rng.permutation(2 * n)[:n], rng.integers(0, 2 * n, m)
+        q, r, s = threshold_search(ids, rows, qids, queries, k)
+        scores = rows @ queries.T
+        for j in range(m):
+            want = sorted((-int(scores[i, j]), int(ids[i])) for i in range(n) if ids[i] != qids[j])[:k]
+            assert sorted((-int(v), int(ids[i])) for i, v in zip(r[q == j], s[q == j], strict=True)) == want
+
+
 def test_large_components_stay_exact():
     rows = np.array([[2**30, 1], [2**30, 2], [-(2**30), 3]])
     _, r, s = threshold_search(np.arange(3), rows, np.array([9]), np.array([[2**30, 1]]), 2)
