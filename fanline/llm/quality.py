@@ -3,8 +3,8 @@
 A text is read as runs of letters or digits and runs of signs; a token equal to
 the one before counts as the token "=". One- and two-token runs are hashed into
 ``2**bits`` places; a text's vector holds each place's share of its n-grams.
-The follow-the-regularised-leader updates run over a bounded labelled sample;
-scoring is a sparse dot product of that vector with the weights.
+The follow-the-regularised-leader updates run over a bounded labelled sample, whose
+texts stay in Spark; scoring is a sparse dot product of that vector with the weights.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fanline.llm import common as c
+from fanline.llm.labelled import class_weights, drawn_rows
 
 _TOKEN = regex.compile(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+")
 #: entries of a worker's memo of token hashes; emptied when full
@@ -75,20 +76,43 @@ def places(text, rule: FtrlRule) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(at, return_counts=True)
 
 
+def shares(counts: np.ndarray, rule: FtrlRule) -> np.ndarray:
+    return rule.scale * counts / max(1, counts.sum())
+
+
 def vector(text, rule: FtrlRule) -> tuple[np.ndarray, np.ndarray]:
     at, n = places(text, rule)
-    return at, rule.scale * n / max(1, n.sum())
+    return at, shares(n, rule)
+
 
+def text_vectors(rule: FtrlRule, text: str | Column = "text") -> Column:
+    """Struct column (digest of the text, places, counts): ``places`` as 32-bit numbers."""
 
-def fit_ftrl(sample: list[tuple[str, int]], weights: dict[int, float], rule: FtrlRule = FtrlRule()) -> QualityModel:
-    """FTRL-proximal over the sample, in an order fixed by the texts' hashes."""
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        c.claim("quality")
+        for texts in batches:
+            found = [places(t, rule) for t in texts]
+            yield pd.DataFrame(
+                {
+                    "digest": [xxhash.xxh3_64_hexdigest(t.encode("utf-8", "surrogatepass")) for t in texts],
+                    "places": [at.astype(np.int32).tobytes() for at, _ in found],
+                    "counts": [n.astype(np.int32).tobytes() for _, n in found],
+                }
+            )
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    made = F.pandas_udf(run, "digest string, places binary, counts binary")
+    return made(F.col(text) if isinstance(text, str) else text)
+
+
+def fit_ftrl(sample: DataFrame, sizes: dict[int, int], rule: FtrlRule = FtrlRule()) -> QualityModel:
+    """FTRL-proximal over the rows of ``labelled.drawn_rows``, in an order fixed by the
+    texts' hashes. Texts are read by the tasks; the driver gets their places and counts."""
     size = 1 << rule.bits
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    order = sorted(sample, key=lambda s: xxhash.xxh3_64_intdigest(s[0].encode("utf-8", "surrogatepass")))
-    rows = []
-    for text, y in order:
-        at, v = vector(text, rule)
-        rows.append((np.append(at, size), np.append(v, 1.0), y, weights[y]))
+    rows = sample.select("id", "nth", "label", text_vectors(rule).alias("vector")).collect()
+    rows.sort(key=lambda r: (r["vector"]["digest"], r["id"], r["nth"]))
+    weights = class_weights([(None, r["label"]) for r in rows], sizes)
 
     def weight(at):
         za, na = z[at], n[at]
@@ -96,10 +120,13 @@ def fit_ftrl(sample: list[tuple[str, int]], weights: dict[int, float], rule: Ftr
         return np.where(np.abs(za) <= rule.l1, 0.0, shrunk)
 
     for _ in range(rule.passes):
-        for at, v, y, w8 in rows:
+        for r in rows:
+            _, at, v = r["vector"]
+            at = np.append(np.frombuffer(at, np.int32), size)
+            v = np.append(shares(np.frombuffer(v, np.int32), rule), 1.0)
             w = weight(at)
             p = 1 / (1 + math.exp(-max(-30.0, min(30.0, float(w @ v)))))
-            g = w8 * (p - y) * v
+            g = weights[r["label"]] * (p - r["label"]) * v
             g2 = g * g
             z[at] += g - (np.sqrt(n[at] + g2) - np.sqrt(n[at])) / rule.alpha * w
             n[at] += g2
@@ -131,12 +158,10 @@ def train(
 ) -> QualityModel:
     """Fit on at most ``good_rows`` and ``poor_rows`` labelled rows for which
     ``may_learn`` holds (rows of labels: id_col, quality)."""
-    from fanline.llm.labelled import class_weights, labelled_sample
-
-    sample, sizes = labelled_sample(
+    sample, sizes = drawn_rows(
         docs, labels, "quality", may_learn, {1: good_rows, 0: poor_rows}, id_col=id_col, text_col=text_col
     )
-    return fit_ftrl(sample, class_weights(sample, sizes), rule)
+    return fit_ftrl(sample, sizes, rule)
 
 
 def score_documents(

@@ -1,6 +1,7 @@
 """Toxicity by compression distance: two zstandard dictionaries, window by window.
 
-Fitting (on a bounded sample of labelled texts):
+Fitting (on a bounded sample of labelled texts, which stays in Spark; the driver
+gets counts of words that may enter a dictionary and eight numbers a text):
 * words are counted by their distinct neighbours, so copies of a passage count
   once; words that stand out in toxic texts by a clear and significant ratio
   are the toxic dictionary's own content, the commonest other words the
@@ -20,9 +21,9 @@ above it, the largest gain and their share go through a logistic calibration.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pandas as pd
@@ -32,11 +33,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fanline.llm import common as c
+from fanline.llm.labelled import class_weights, drawn_rows
 
 #: entries of a worker's memo of window gains; emptied when full
 MEMO_WINDOWS = 300_000
 #: longer words are compressed each time, so the memo's keys stay small
 MEMO_BYTES = 64
+#: gains in bytes that may become the window threshold
+THRESHOLDS = range(1, 7)
+#: words of the ordinary dictionary at most
+USUAL_WORDS = 4000
 
 
 @dataclass(frozen=True)
@@ -90,23 +96,30 @@ class WindowGain(dict):
         return np.fromiter(map(self.__getitem__, words), np.int16, len(words))
 
 
-def _contexts(texts: list[str]) -> Counter:
-    """word -> number of distinct (word before, word after) pairs it stands in."""
-    seen, count = set(), Counter()
-    for t in texts:
-        w = c.ascii_words(t)
-        for a, b, d in zip([b"", *w], w, [*w[1:], b""], strict=False):
-            key = xxhash.xxh3_64_intdigest(a + b" " + b + b" " + d)
-            if key not in seen:
-                seen.add(key)
-                count[b] += 1
-    return count
+def word_contexts(sample: DataFrame) -> DataFrame:
+    """(word, toxic long, ordinary long): in how many distinct (word before, word
+    after) pairs a word stands in the texts of label 1 and of label 0; words as
+    ``common.ascii_words`` finds them."""
+    words = F.split(F.translate("text", ascii_uppercase, ascii_lowercase), "[\\x20\\x09-\\x0D]+")
+    held = sample.select("label", F.filter(words, lambda w: w != "").alias("words"))
 
+    def context(w: Column, at: Column) -> Column:
+        before, after = (F.coalesce(F.get("words", k), F.lit("")) for k in (at - 1, at + 1))
+        return F.struct(w.alias("word"), F.xxhash64(before, w, after).alias("context"))
 
-def _features(gains: np.ndarray, threshold: int) -> list[float]:
-    hits = int((gains >= threshold).sum())
-    top = float(gains.max()) if len(gains) else 0.0
-    return [1.0, math.log1p(hits), min(top, 8.0) / 4, hits / max(1, len(gains)) ** 0.5]
+    met = held.select("label", F.explode(F.transform("words", context)).alias("met")).select("label", "met.*")
+    count = lambda label: F.count_if(F.col("label") == label)
+    return met.distinct().groupBy("word").agg(count(1).alias("toxic"), count(0).alias("ordinary"))
+
+
+def _summary(gains: np.ndarray, thresholds: Iterable[int]) -> list[int]:
+    """Number of windows, the largest gain, and how many gains reach each threshold."""
+    top = int(gains.max()) if len(gains) else 0
+    return [len(gains), top, *(int((gains >= t).sum()) for t in thresholds)]
+
+
+def _features(windows: int, top: int, hits: int) -> list[float]:
+    return [1.0, math.log1p(hits), min(float(top), 8.0) / 4, hits / max(1, windows) ** 0.5]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 0.05, steps: int = 40) -> np.ndarray:
@@ -122,53 +135,56 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 0.05,
 
 
 def fit_toxicity(
-    sample: list[tuple[str, int]],
-    weights: dict[int, float],
+    sample: DataFrame,
+    sizes: dict[int, int],
     toxic_bytes: int = 8192,
     ordinary_bytes: int = 16384,
     least_contexts: int = 6,
     least_log_ratio: float = 3.0,
     least_z: float = 2.5,
 ) -> ToxicityModel:
-    """Train both dictionaries, the window threshold and the calibration.
+    """Train both dictionaries, the window threshold and the calibration on the rows
+    of ``labelled.drawn_rows`` (a written table).
 
     Without a toxic or an ordinary text the model has no toxic content and its
     scores are the classes' smoothed share.
     """
-    bad = _contexts([t for t, y in sample if y == 1])
-    good = _contexts([t for t, y in sample if y == 0])
-    n_bad, n_good = max(1, sum(bad.values())), max(1, sum(good.values()))
+    words = c.materialise(word_contexts(sample), "contexts")
+    total = words.agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).first()
+    n_bad, n_good = max(1, total["toxic"] or 0), max(1, total["ordinary"] or 0)
     own = []
-    for w, a in bad.items():
-        b = good[w]
+    for r in words.where(F.col("toxic") >= least_contexts).collect() if total["ordinary"] else []:
+        a, b = r["toxic"], r["ordinary"]
         ratio = math.log((a + 0.5) / n_bad) - math.log((b + 0.5) / n_good)
-        if a >= least_contexts and good and ratio >= least_log_ratio:
-            if ratio / math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)) >= least_z:
-                own.append((a, w))
+        if ratio >= least_log_ratio and ratio / math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)) >= least_z:
+            own.append((a, r["word"].encode()))
     own.sort()
     picked = {w for _, w in own}
-    common = sorted(((n, w) for w, n in (good or bad).items() if w not in picked), reverse=True)[:4000]
-    usual = [w for _, w in common]
+    known = "ordinary" if total["ordinary"] else "toxic"
+    top = words.where(F.col(known) > 0).orderBy(F.desc(known), F.desc("word")).select("word").limit(USUAL_WORDS + len(own))
+    usual = [w for w in (r["word"].encode() for r in top.collect()) if w not in picked][:USUAL_WORDS]
     toxic = (b" " + b" ".join(w for _, w in own) + b" ")[-toxic_bytes:] if own else b""
     ordinary = (b" " + b" ".join(usual[::-1]) + b" ")[-ordinary_bytes:]
     frame = (b" ".join(usual[:60]) + b" 0123456789 abcdefghijklmnopqrstuvwxyz " * 4).ljust(160, b".")
     model = ToxicityModel(ordinary, toxic, b" " + frame[:95] + b" ", b" " + frame[100:140])
-    gains = WindowGain(model)
-    each = [gains.of(t) for t, _ in sample]
-    y = np.array([v for _, v in sample], float)
-    w = np.array([weights[v] for _, v in sample], float)
+    summary = window_summary(model, "text") if own else F.lit(None)
+    rows = sample.select("id", "nth", "label", summary.alias("summary")).collect()
+    rows.sort(key=lambda r: (r["id"], r["nth"]))
+    weights = class_weights([(None, r["label"]) for r in rows], sizes)
+    y = np.array([r["label"] for r in rows], float)
+    w = np.array([weights[r["label"]] for r in rows], float)
     if not own or not len(y) or y.min() == y.max():
         share = (float((w * y).sum()) + 0.5) / (float(w.sum()) + 2.0) if len(y) else 0.25
         return ToxicityModel(ordinary, b"", model.head, model.tail, 1, (math.log(share / (1 - share)), 0.0, 0.0, 0.0), "none")
 
     def fitted(t: int):
-        x = np.array([_features(g, t) for g in each])
+        x = np.array([_features(n, top, hits[t - THRESHOLDS[0]]) for n, top, *hits in (r["summary"] for r in rows)])
         beta = _logistic(x, y, w)
         wrong = float((w * ((x @ beta >= 0) != (y == 1))).sum())
         loss = float((w * np.logaddexp(0, np.where(y == 1, -(x @ beta), x @ beta))).sum())
         return wrong, loss, t, tuple(beta)
 
-    _, _, t, beta = min(fitted(t) for t in range(1, 7))
+    _, _, t, beta = min(fitted(t) for t in THRESHOLDS)
     name = xxhash.xxh3_64_hexdigest(ordinary + toxic)
     return ToxicityModel(ordinary, toxic, model.head, model.tail, t, beta, name)
 
@@ -185,6 +201,19 @@ def _gains(model: ToxicityModel) -> WindowGain:
     return _kept[model.name]
 
 
+def window_summary(model: ToxicityModel, text: str | Column = "text") -> Column:
+    """Array column: the ``_summary`` of a whole text's gains for ``THRESHOLDS``."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        c.claim("toxicity")
+        gains = _gains(model)
+        for texts in batches:
+            yield pd.Series([_summary(gains.of(t), THRESHOLDS) for t in texts])
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(run, "array<int>")(F.col(text) if isinstance(text, str) else text)
+
+
 def toxicity_score(model: ToxicityModel, text: str | Column = "text") -> Column:
     """Score column, 0 to 1, over whole texts; NULL counts as the empty text."""
 
@@ -193,7 +222,8 @@ def toxicity_score(model: ToxicityModel, text: str | Column = "text") -> Column:
         gains = _gains(model)
         beta = np.array(model.weights)
         for texts in batches:
-            x = np.array([_features(gains.of(t), model.threshold) for t in texts]).reshape(len(texts), 4)
+            x = [_features(*_summary(gains.of(t), (model.threshold,))) for t in texts]
+            x = np.array(x).reshape(len(texts), 4)
             yield pd.Series(1 / (1 + np.exp(-np.clip(x @ beta, -30, 30))))
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
@@ -206,12 +236,10 @@ def train(
 ) -> ToxicityModel:
     """Fit on at most ``toxic_rows`` and ``ordinary_rows`` labelled rows for which
     ``may_learn`` holds (rows of labels: id_col, toxic)."""
-    from fanline.llm.labelled import class_weights, labelled_sample
-
-    sample, sizes = labelled_sample(
+    sample, sizes = drawn_rows(
         docs, labels, "toxic", may_learn, {1: toxic_rows, 0: ordinary_rows}, id_col=id_col, text_col=text_col
     )
-    return fit_toxicity(sample, class_weights(sample, sizes))
+    return fit_toxicity(sample, sizes)
 
 
 def score_documents(

@@ -1,11 +1,13 @@
 """op2 and op8: held-out accuracy, folds, and inputs of a score."""
 
 import random
+import tracemalloc
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
+from fanline.llm import common as c
 from fanline.llm import quality, toxicity
 from fanline.llm.labelled import class_weights, fold_is, labelled_sample
 
@@ -86,3 +88,33 @@ def test_sample_is_bounded_and_weighted(spark, make_docs):
     assert sum(y for _, y in sample) <= 10 and sum(1 - y for _, y in sample) <= 20
     w = class_weights(sample, sizes)
     assert abs(sum(w[y] for _, y in sample) - len(sample)) < 1e-9
+
+
+def test_texts_of_the_sample_stay_out_of_the_driver(spark):
+    word = "concat(if(id % 4 = 0 AND i % 10 = 0, 'rude', 'w'), pmod(xxhash64(id, i), 20))"
+    docs = spark.range(600).selectExpr("id AS doc_id", f"concat_ws(' ', transform(sequence(1, 10000), i -> {word})) AS text")
+    labels = spark.range(600).selectExpr("id AS doc_id", "int(id % 4 = 0) AS toxic", "int(id % 4 = 0) AS quality")
+    docs = c.materialise(docs, "test")
+    size = docs.selectExpr("sum(length(text))").first()[0]
+    for operator in (toxicity, quality):
+        tracemalloc.start()
+        model = operator.train(docs, labels, F.lit(True))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < size
+        assert operator.score_documents(docs, model).count() == 600
+
+
+def test_word_contexts_equal_plain_counting(spark):
+    texts = [
+        ("A b a b\ta\x0bB  A\x85b \x1cb É é\u00a0é İ", 1), ("a b a b a", 1), ("b A c", 0), ("", 0), (" \r\n", 0),
+        ("one", 0), ("漢 字\x0c漢 字", 0), ("\x00 a \x00", 1), ("a b a b a", 0),
+    ]
+    met = {}
+    for text, label in texts:
+        w = ["", *(x.decode() for x in c.ascii_words(text)), ""]
+        for k in range(1, len(w) - 1):
+            met.setdefault(w[k], ({}, {}))[label][w[k - 1], w[k + 1]] = 1
+    got = toxicity.word_contexts(spark.createDataFrame(texts, "text string, label int")).collect()
+    assert {r.word: (r.ordinary, r.toxic) for r in got} == {w: (len(a), len(b)) for w, (a, b) in met.items()}
+    assert len(got) == len(met)
