@@ -32,8 +32,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, 0.8), keep the smallest id."""
-    found = near_duplicates(docs, Similarity(width=5, percent=80))
-    gone = c.materialise(found.where("NOT kept").select("doc_id").distinct(), "copies")
+
+    def copies() -> DataFrame:
+        found = near_duplicates(docs, Similarity(width=5, percent=80))
+        return found.where("NOT kept").select("doc_id").distinct()
+
+    gone = c.materialise_alone(copies, "copies")
     return docs.join(gone, "doc_id", "left_anti")
 
 

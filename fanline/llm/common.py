@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pandas as pd
@@ -23,6 +24,9 @@ MEMO_WORDS = 300_000
 #: 64-bit words of a key filter at most (one for every four keys until then)
 FILTER_WORDS = 1 << 20
 
+#: tables written so far within the innermost ``materialise_alone``: session and folder
+_on_the_way: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("on_the_way", default=None)
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     few_rows_a_batch(spark)
@@ -40,8 +44,39 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     both sides, which adaptive execution can split when a key is hot."""
     spark = df.sparkSession
     path = shared_path(spark, label)
+    if (held := _on_the_way.get()) is not None:
+        held.append((spark, path))
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def materialise_alone(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """``materialise`` what ``make`` returns, and drop the tables that were written for
+    it on the way; nothing else may read those. They go after an error as well."""
+    held: list[tuple[SparkSession, str]] = []
+    token = _on_the_way.set(held)
+    try:
+        try:
+            out = make()
+        finally:
+            _on_the_way.reset(token)
+        return materialise(out, label)
+    finally:
+        for spark, path in held:
+            _delete(spark, path)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` that no frame still to be run reads."""
+    for t in tables:
+        _delete(t.sparkSession, t.written_to)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def fresh_names(docs: DataFrame, *names: str) -> list[str]:

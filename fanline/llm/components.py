@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fanline.llm.common import materialise
+from fanline.llm.common import drop, materialise
+
+#: rows of a step's table that a task takes, once every core has one
+ROWS_A_TASK = 1 << 16
 
 
 def _least_neighbour(both: DataFrame) -> DataFrame:
@@ -32,7 +37,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     the smallest node reachable. Self links, repeats, NULL ends and empty
     inputs are fine (they link nothing). Each step is written to the shared
     checkpoint folder, so lineage stays short; the joins read two freshly
-    exchanged sides, which adaptive execution splits at hub nodes.
+    exchanged sides, which adaptive execution splits at hub nodes. A step's
+    tables are written by as many tasks as their rows need, however many
+    partitions the session shuffles to, and go once the next step is written.
     """
     edges = materialise(
         links.where(F.col(a) != F.col(b))
@@ -43,17 +50,22 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     before = _fingerprint(edges)
     if not before[0]:
         return _with_roots(edges)
+    cores = links.sparkSession.sparkContext.defaultParallelism
     while True:
+        # no table of a step has more than two rows for each link
+        tasks = max(cores, math.ceil(2 * before[0] / ROWS_A_TASK))
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = materialise(_least_neighbour(both), "cc-least")
+        least = materialise(_least_neighbour(both).coalesce(tasks), "cc-least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        edges = materialise(large.where("u != v"), "cc-large")
+        old, edges = (edges, least), materialise(large.where("u != v").coalesce(tasks), "cc-large")
+        drop(*old)
         # small star: every larger end links to the smallest neighbour at or below itself
-        least = materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "cc-least")
+        least = materialise(edges.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks), "cc-least")
         small = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.select("u", F.col("m").alias("v"))
         )
-        edges = materialise(small.where("u != v").distinct(), "cc-small")
+        old, edges = (edges, least), materialise(small.where("u != v").distinct().coalesce(tasks), "cc-small")
+        drop(*old)
         after = _fingerprint(edges)
         if after == before:
             return _with_roots(edges)

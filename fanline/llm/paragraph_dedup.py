@@ -161,10 +161,12 @@ def remove_repeats(
     same place stay in each; a run that comes about only because words between
     its parts went stays; an empty table gives no rows.
     """
-    gone = repeated_paragraphs(docs, rule, id_col, text_col)
     of, places, runs = c.fresh_names(docs, "__doc", "__gone", "__runs")
-    cuts = gone.groupBy(F.col("doc").alias(of)).agg(F.collect_set(F.struct("pos", "h")).alias(places))
-    cuts = c.materialise(cuts, "gone")
+
+    def per_doc(found: DataFrame, name: str) -> DataFrame:
+        return found.groupBy(F.col("doc").alias(of)).agg(F.collect_set(F.struct("pos", "h")).alias(name))
+
+    cuts = c.materialise_alone(lambda: per_doc(repeated_paragraphs(docs, rule, id_col, text_col), places), "gone")
 
     def changed(cuts: DataFrame, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """Only documents that may have cuts are joined with them."""
@@ -179,10 +181,11 @@ def remove_repeats(
     if not rule.running:
         return out
     texts = out.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    texts = c.materialise(texts.where("doc IS NOT NULL AND text IS NOT NULL"), "left")
-    found = repeated_windows(texts, rule.running)
-    found = found.groupBy(F.col("doc").alias(of)).agg(F.collect_set(F.struct("pos", "h")).alias(runs))
-    cuts = c.materialise(cuts.join(c.materialise(found, "runs"), of, "full"), "cuts")
+    texts = texts.where("doc IS NOT NULL AND text IS NOT NULL")
+    found = c.materialise_alone(
+        lambda: per_doc(repeated_windows(c.materialise(texts, "left"), rule.running), runs), "runs"
+    )
+    cuts = c.materialise(cuts.join(found, of, "full"), "cuts")
     return changed(
         cuts, lambda near: _without_runs(_without_paragraphs(near, places, text_col), runs, rule.running, text_col)
     )
